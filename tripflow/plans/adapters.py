@@ -106,14 +106,16 @@ def _event_fields() -> dict[str, Column]:
     }
 
 
-def rides_from_events(events: DataFrame) -> DataFrame:
+def rides_from_events(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Typed rides (wire field names) with event time as ``timestamp``.
 
     Watermarks need ``timestamp``, not ``timestamp_ntz``; with the session
-    time zone at UTC the instants are unchanged.
+    time zone at UTC the instants are unchanged. ``keep`` carries source
+    columns along (e.g. ``event_id``).
     """
     f = _event_fields()
     return events.select(
+        *(keep or []),
         f["VendorID"].alias("VendorID"),
         f["pickup"].cast("timestamp").alias("pickup_datetime"),
         f["dropoff"].cast("timestamp").alias("dropoff_datetime"),

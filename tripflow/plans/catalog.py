@@ -155,8 +155,34 @@ def _oracle() -> dict[str, str]:
 
 
 def queries() -> dict[str, QueryFn]:
-    return _queries()
+    from tripflow.plans import catalog_rides
+
+    out = _queries()
+    out.update(catalog_rides.QUERIES)
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracle()
+    out = _oracle()
+    out.update(
+        {
+            "wire_encode": O.WIRE_ENCODE_SQL,
+            "wire_decode": O.WIRE_DECODE_SQL,
+            "wire_roundtrip": O.WIRE_ROUNDTRIP_SQL,
+            "wire_decode_full": O.WIRE_DECODE_FULL_SQL,
+            "running_totals": O.RUNNING_TOTALS_SQL,
+            "running_totals_stream": O.RUNNING_TOTALS_SQL,
+            "window_metrics_5min": O.window_metrics_sql(),
+            "window_metrics_5min_update": O.window_metrics_sql(),
+            "window_metrics_5min_complete": O.window_metrics_sql(),
+            "window_metrics_5min_append": O.window_metrics_sql(append=True),
+            "anomalies": O.ANOMALIES_SQL,
+            "anomalies_stream": O.ANOMALIES_SQL,
+            "surcharged_trips": O.SURCHARGED_SQL,
+            "surcharged_trips_stream": O.SURCHARGED_SQL,
+            "peak_windows_30min": O.PEAK_WINDOWS_SQL,
+            "peak_windows_30min_stream": O.PEAK_WINDOWS_SQL,
+            "recent_rides": O.recent_rides_sql("6 hours"),
+        }
+    )
+    return out

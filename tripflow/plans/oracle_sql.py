@@ -233,3 +233,143 @@ def report_sql(services: list[str], core: bool) -> str:
         "CAST(date_trunc('month', pickup_datetime) AS TIMESTAMP) AS revenue_month, "
         f"service_type, {aggs} FROM ({unified_sql(services, core)}) AS t GROUP BY 1, 2, 3"
     )
+
+
+# --- rides from events ------------------------------------------------------
+
+_K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
+_EV_DROPOFF = "ts + to_seconds(CAST(floor(value) AS BIGINT))"
+_EV_FARE = "CAST(CAST(value AS DECIMAL(18,2)) * 10 AS DECIMAL(18,2))"
+_EV_SURCHARGE = "CASE WHEN event_type = 'error' THEN 2.75 END"
+
+RIDES_SQL = (
+    "SELECT event_id, CAST(user_id % 7 + 1 AS VARCHAR) AS VendorID, ts AS pickup_datetime, "
+    f"{_EV_DROPOFF} AS dropoff_datetime, CAST(user_id AS INTEGER) AS PULocationID, "
+    f"CAST(user_id AS INTEGER) AS DOLocationID, CAST({_K} * 15 AS DOUBLE) AS trip_distance, "
+    f"{_EV_FARE} AS fare_amount, 0.0 AS mta_tax, value AS tip_amount, 0.0 AS tolls_amount, "
+    f"CAST({_EV_SURCHARGE} AS DOUBLE) AS congestion_surcharge, event_type FROM events"
+)
+
+
+def _pytext_ts(c: str) -> str:
+    return (
+        f"CASE WHEN microsecond({c}) % 1000000 = 0 THEN strftime({c}, '%Y-%m-%d %H:%M:%S') "
+        f"ELSE strftime({c}, '%Y-%m-%d %H:%M:%S.%f') END"
+    )
+
+
+GREEN_EVENTS_SQL = (
+    "SELECT event_id, CAST(user_id % 7 + 1 AS INTEGER) AS VendorID, ts AS p, "
+    f"{_EV_DROPOFF} AS d, CAST(user_id AS INTEGER) AS pu, CAST(user_id AS INTEGER) AS dl, "
+    f"CAST({_K} * 15 AS INTEGER) AS dist, {_EV_FARE} AS fare, 0 AS mta, "
+    f"CAST(value AS DECIMAL(18,2)) AS tip, 0 AS tolls, CAST({_EV_SURCHARGE} AS DECIMAL(18,2)) AS cs "
+    "FROM events"
+)
+
+
+def _none(c: str) -> str:
+    return f"COALESCE(CAST({c} AS VARCHAR), 'None')"
+
+
+WIRE_ENCODE_SQL = (
+    f"SELECT event_id, {_none('VendorID')} AS key, concat_ws(', ', {_none('VendorID')}, "
+    f"COALESCE({_pytext_ts('p')}, 'None'), COALESCE({_pytext_ts('d')}, 'None'), "
+    f"{_none('pu')}, {_none('dl')}, {_none('dist')}, {_none('fare')}, {_none('mta')}, "
+    f"{_none('tip')}, {_none('tolls')}, {_none('cs')}) AS value FROM ({GREEN_EVENTS_SQL}) AS g"
+)
+
+WIRE_DECODE_SQL = (
+    "SELECT event_id, CAST(VendorID AS VARCHAR) AS VendorID, p AS pickup_datetime, "
+    "d AS dropoff_datetime, pu AS PULocationID, dl AS DOLocationID, "
+    "CAST(dist AS FLOAT) AS trip_distance, CAST(fare AS FLOAT) AS fare_amount, "
+    "CAST(mta AS FLOAT) AS mta_tax, CAST(tip AS FLOAT) AS tip_amount, "
+    "CAST(tolls AS FLOAT) AS tolls_amount, CAST(cs AS FLOAT) AS congestion_surcharge "
+    f"FROM ({GREEN_EVENTS_SQL}) AS g"
+)
+
+WIRE_ROUNDTRIP_SQL = (
+    "SELECT COUNT(*) AS rides, COUNT(*) AS rides_equal, "
+    "COUNT(*) FILTER (WHERE event_type <> 'error') AS none_tokens FROM events"
+)
+
+_D4 = "DECIMAL(18,4)"
+WIRE_DECODE_FULL_SQL = (
+    "SELECT l_orderkey, l_linenumber, CAST(l_linenumber AS VARCHAR) AS vendor_id, "
+    "l_shipdate AS tpep_pickup_datetime, "
+    f"{_DROPOFF} AS tpep_dropoff_datetime, "
+    "l_linenumber AS passenger_count, "
+    f"CAST(CAST(l_quantity AS DECIMAL(18,2)) AS {_D4}) AS trip_distance, "
+    "CAST(l_orderkey % 6 + 1 AS INTEGER) AS rate_code_id, l_linestatus AS store_and_fwd_flag, "
+    "CAST(l_suppkey AS INTEGER) AS pu_location_id, CAST(l_partkey AS INTEGER) AS do_location_id, "
+    "l_returnflag AS payment_type, "
+    f"CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS {_D4}) AS fare_amount, "
+    f"CAST(CAST(l_discount AS DECIMAL(18,2)) AS {_D4}) AS extra, "
+    f"CAST(CAST(l_tax AS DECIMAL(18,2)) AS {_D4}) AS mta_tax, "
+    f"CAST(CAST(l_discount AS DECIMAL(18,2)) AS {_D4}) AS tip_amount, "
+    f"CAST(CAST(l_tax AS DECIMAL(18,2)) AS {_D4}) AS tolls_amount, "
+    f"CAST(CAST(l_discount AS DECIMAL(18,2)) AS {_D4}) AS improvement_surcharge, "
+    f"CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS {_D4}) AS total_amount, "
+    f"CAST(CAST(l_tax AS DECIMAL(18,2)) AS {_D4}) AS congestion_surcharge "
+    "FROM lineitem"
+)
+
+
+def _money(kind: str, c: str) -> str:
+    return _exact(kind, c)
+
+
+RUNNING_TOTALS_SQL = (
+    f"SELECT COUNT(*) AS total_trips, {_money('sum', 'fare_amount')} AS total_revenue "
+    f"FROM ({RIDES_SQL}) AS r"
+)
+
+
+def window_metrics_sql(append: bool = False) -> str:
+    having = ""
+    if append:
+        having = (
+            " HAVING time_bucket(INTERVAL '5 minutes', pickup_datetime) + INTERVAL '5 minutes' "
+            "<= (SELECT max(ts) FROM events) - INTERVAL '5 minutes'"
+        )
+    return (
+        "SELECT time_bucket(INTERVAL '5 minutes', pickup_datetime) AS window_start, "
+        "time_bucket(INTERVAL '5 minutes', pickup_datetime) + INTERVAL '5 minutes' AS window_end, "
+        "COUNT(*) AS total_trips_last_month, "
+        f"{_money('sum', 'fare_amount')} AS total_revenue_last5mins, "
+        f"{_money('avg', 'fare_amount')} AS avg_revenue_last_5mins, "
+        f"{_money('avg', 'tip_amount')} AS avg_tip, "
+        f"{_money('avg', 'trip_distance')} AS avg_trip_distance_last_5mins, "
+        "avg(epoch(date_trunc('second', dropoff_datetime)) - epoch(date_trunc('second', pickup_datetime))) "
+        "AS avg_trip_duration_seconds_last_5mins "
+        f"FROM ({RIDES_SQL}) AS r GROUP BY 1, 2{having}"
+    )
+
+
+RIDE_COLS = (
+    "VendorID, pickup_datetime, dropoff_datetime, PULocationID, DOLocationID, trip_distance, "
+    "fare_amount, mta_tax, tip_amount, tolls_amount, congestion_surcharge"
+)
+
+ANOMALIES_SQL = (
+    f"SELECT event_id, {RIDE_COLS}, CASE WHEN fare_amount > 1000 THEN 'High amount' "
+    "WHEN trip_distance > 1000 THEN 'Long trip' ELSE 'No anomaly' END AS Anomaly "
+    f"FROM ({RIDES_SQL}) AS r WHERE trip_distance > 1000 OR fare_amount > 1000"
+)
+
+SURCHARGED_SQL = (
+    "SELECT COUNT(*) AS trips_with_surcharge_count "
+    f"FROM ({RIDES_SQL}) AS r WHERE congestion_surcharge > 0"
+)
+
+PEAK_WINDOWS_SQL = (
+    "SELECT time_bucket(INTERVAL '30 minutes', pickup_datetime) AS pickup_window_start, "
+    "time_bucket(INTERVAL '30 minutes', pickup_datetime) + INTERVAL '30 minutes' AS pickup_window_end, "
+    f"COUNT(*) AS trip_count FROM ({RIDES_SQL}) AS r GROUP BY 1, 2"
+)
+
+
+def recent_rides_sql(span: str) -> str:
+    return (
+        f"SELECT event_id, {RIDE_COLS} FROM ({RIDES_SQL}) AS r "
+        f"WHERE pickup_datetime >= (SELECT max(ts) FROM events) - INTERVAL '{span}'"
+    )
