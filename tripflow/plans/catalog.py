@@ -155,10 +155,11 @@ def _oracle() -> dict[str, str]:
 
 
 def queries() -> dict[str, QueryFn]:
-    from tripflow.plans import catalog_rides
+    from tripflow.plans import catalog_io, catalog_rides
 
     out = _queries()
     out.update(catalog_rides.QUERIES)
+    out.update(catalog_io.QUERIES)
     return out
 
 
@@ -183,6 +184,13 @@ def oracle_sql() -> dict[str, str]:
             "peak_windows_30min": O.PEAK_WINDOWS_SQL,
             "peak_windows_30min_stream": O.PEAK_WINDOWS_SQL,
             "recent_rides": O.recent_rides_sql("6 hours"),
+            "clean_write_readback": O.READBACK_SQL,
+            "read_fixed_schema": O.FIXED_SCHEMA_SQL,
+            "report_write_modes": O.report_sql(["green", "yellow"], core=False),
+            "details_append": O.DETAILS_SQL,
+            "stream_parquet_sink": O.ANOMALIES_SQL,
+            "multi_query_status": O.MULTI_STATUS_SQL,
+            "late_data_drop": O.late_data_sql(),
         }
     )
     return out

@@ -373,3 +373,49 @@ def recent_rides_sql(span: str) -> str:
         f"SELECT event_id, {RIDE_COLS} FROM ({RIDES_SQL}) AS r "
         f"WHERE pickup_datetime >= (SELECT max(ts) FROM events) - INTERVAL '{span}'"
     )
+
+
+# --- write / read back --------------------------------------------------------
+
+READBACK_SQL = (
+    "SELECT * FROM (" + clean_sql("green", None, keep_folder=True) + ") AS c WHERE year = 1997"
+)
+
+FIXED_SCHEMA_SQL = (
+    "SELECT VendorID, lpep_pickup_datetime, lpep_dropoff_datetime, "
+    "CAST(NULL AS VARCHAR) AS store_and_fwd_flag, CAST(NULL AS BIGINT) AS RatecodeID, "
+    "TRY_CAST(PULocationID AS INTEGER) AS PULocationID, TRY_CAST(DOLocationID AS INTEGER) AS DOLocationID, "
+    "passenger_count, trip_distance, fare_amount, extra, mta_tax, tip_amount, tolls_amount, "
+    "CAST(NULL AS INTEGER) AS ehail_fee, improvement_surcharge, total_amount, "
+    "TRY_CAST(payment_type AS INTEGER) AS payment_type, CAST(NULL AS DOUBLE) AS trip_type, "
+    "congestion_surcharge FROM (" + raw_sql("green") + ") AS r"
+)
+
+DETAILS_SQL = (
+    "SELECT service_type, 2 * COUNT(*) AS rows_append, COUNT(*) AS rows_replace FROM ("
+    + unified_sql(["green", "yellow"], core=False)
+    + ") AS t GROUP BY 1"
+)
+
+MULTI_STATUS_SQL = (
+    "SELECT q.name, false AS is_active, (SELECT COUNT(*) FROM events) AS input_rows "
+    "FROM (VALUES ('running_totals'), ('window_metrics'), ('surcharged_trips'), "
+    "('anomalies'), ('peak_windows')) AS q(name)"
+)
+
+
+def late_data_sql(late_type: str = "view", split_day: int = 20) -> str:
+    """Window metrics when ``late_type`` events arrive after all others:
+    such a row counts only if its window ends after the watermark left by
+    the earlier deliveries (newest on-time pickup, millisecond precision,
+    minus the 5-minute delay)."""
+    wm = (
+        "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL '5 minutes' "
+        f"FROM events WHERE event_type <> '{late_type}')"
+    )
+    rides = RIDES_SQL
+    kept = (
+        f"SELECT * FROM ({rides}) AS r WHERE event_type <> '{late_type}' OR "
+        f"time_bucket(INTERVAL '5 minutes', pickup_datetime) + INTERVAL '5 minutes' > {wm}"
+    )
+    return window_metrics_sql().replace(f"FROM ({RIDES_SQL}) AS r", f"FROM ({kept}) AS k")

@@ -36,16 +36,21 @@ def read_year(
     spec: ServiceSpec | str,
     year: int,
     glob_filter: str | None = "*.parquet",
+    partitioned: bool = False,
 ) -> DataFrame:
     """All month folders of a year through a ``{year}/*/`` glob.
 
     ``glob_filter`` keeps only matching file names (markers such as
-    ``_SUCCESS`` are skipped either way).
+    ``_SUCCESS`` are skipped either way). ``partitioned`` reads the
+    ``year=/month=`` layout instead, keeping ``year``/``month`` columns.
     """
+    base = f"{root.rstrip('/')}/{service(spec).folder}"
     reader = spark.read
     if glob_filter:
         reader = reader.option("pathGlobFilter", glob_filter)
-    return reader.parquet(f"{root.rstrip('/')}/{service(spec).folder}/{year}/*/")
+    if partitioned:
+        return reader.option("basePath", base).parquet(f"{base}/year={year}/*/")
+    return reader.parquet(f"{base}/{year}/*/")
 
 
 def with_folder_month(df: DataFrame) -> DataFrame:
