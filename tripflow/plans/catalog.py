@@ -10,6 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.sources.tables import read_table
+
 from tripflow.operators.clean import clean_month, clean_months
 from tripflow.operators.report import (
     REPORT_CORE_MEASURES,
@@ -29,7 +31,7 @@ CLEAN_YEAR, CLEAN_MONTH = 1996, 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, sf_dir, name)
 
 
 def raw_trips(spark: SparkSession, sf_dir: str, spec) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.sources.tables import read_table
+
 from tripflow.operators import metrics as M
 from tripflow.operators.report import REPORT_MEASURES, zone_month_report
 from tripflow.plans.adapters import raw_trips_from_lineitem, rides_from_events
@@ -38,7 +40,7 @@ SPLIT_DAY = 20
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, sf_dir, name)
 
 
 def q_clean_write_readback(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.sources.tables import read_table
+
 from tripflow.operators import metrics as M
 from tripflow.operators.wire import decode_full_rides, decode_rides, encode_rides
 from tripflow.plans.adapters import green_trips_from_events, rides_from_events
@@ -20,7 +22,7 @@ RECENT_SPAN = "6 hours"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_table(spark, sf_dir, name)
 
 
 def rides(spark: SparkSession, sf_dir: str, keep_id: bool = False) -> DataFrame:
