@@ -37,54 +37,62 @@ from tripflow.schemas import ServiceSpec, service
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def _typed(df: DataFrame, spec: ServiceSpec) -> DataFrame:
-    """Apply the service's casts (vendor extraction first)."""
-    casts: dict[str, Column] = {}
+def _vendor_value(df: DataFrame, spec: ServiceSpec) -> Column:
     if spec.licence_digit:
-        casts[spec.vendor_col] = F.substring(F.col(spec.vendor_col), 6, 1).try_cast("int")
-    for c in spec.int_cols:
-        if c in df.columns and c not in casts:
-            casts[c] = F.col(c).try_cast("int")
-    return df.withColumns(casts)
+        return F.substring(F.col(spec.vendor_col), 6, 1).try_cast("int")
+    return F.col(spec.vendor_col).try_cast("int")
 
 
-def _vendor_predicate(raw: DataFrame, spec: ServiceSpec) -> tuple[Column, bool]:
-    """Vendor test, and whether it can run on the raw column.
-
-    On an integral raw column ``isin`` gives the same answer before and
-    after the int cast (out-of-range values are never in the list), and a
-    predicate on the raw column reaches the parquet reader.
-    """
+def _vendor_predicate(raw: DataFrame, spec: ServiceSpec) -> Column:
+    """Vendor test. On an integral raw column ``isin`` gives the same answer
+    before and after the int cast (out-of-range values are never in the
+    list), and a predicate on the raw column reaches the parquet reader."""
     dtype = raw.schema[spec.vendor_col].dataType
     if not spec.licence_digit and isinstance(dtype, _INTEGRAL):
-        return F.col(spec.vendor_col).isin(spec.vendors), True
-    return F.col(spec.vendor_col).isin(spec.vendors), False
+        return F.col(spec.vendor_col).isin(spec.vendors)
+    return _vendor_value(raw, spec).isin(spec.vendors)
+
+
+def fill_zero(col: Column) -> Column:
+    """Null and NaN -> 0 (what ``fillna(0)`` does to a double column)."""
+    return F.when(col.isNull() | F.isnan(col), F.lit(0.0)).otherwise(col)
+
+
+def _typed_projection(df: DataFrame, spec: ServiceSpec) -> list[Column]:
+    """All columns in their order, with the service's casts and fills."""
+    ints = set(spec.int_cols)
+    doubles = set(spec.double_cols)
+    fills = set(spec.fill_cols)
+    cols = []
+    for name in df.columns:
+        c = F.col(name)
+        if name == spec.vendor_col:
+            c = _vendor_value(df, spec)
+        elif name in ints:
+            c = c.try_cast("int")
+        elif name in doubles:
+            c = c.try_cast("double")
+            if name in fills:
+                c = fill_zero(c)
+        cols.append(c.alias(name))
+    return cols
 
 
-def _finish(df: DataFrame, spec: ServiceSpec) -> DataFrame:
-    doubles = {c: F.col(c).try_cast("double") for c in spec.double_cols if c in df.columns}
-    df = df.withColumns(doubles)
-    fill = [c for c in spec.fill_cols if c in df.columns]
-    if fill:
-        df = df.fillna(0.0, subset=fill)
-    return df
+def _clean(df: DataFrame, spec: ServiceSpec, in_month: Column) -> DataFrame:
+    return df.filter(_vendor_predicate(df, spec) & in_month).select(*_typed_projection(df, spec))
 
 
 def clean_month(df: DataFrame, spec: ServiceSpec | str, year: int, month: int) -> DataFrame:
     """Clean one month's raw trips of one service (bounds as literals)."""
     spec = service(spec)
     start, end = month_bounds(year, month)
-    pick_t = df.schema[spec.pickup_col].dataType
-    drop_t = df.schema[spec.dropoff_col].dataType
+    schema = df.schema
+    pick_t = schema[spec.pickup_col].dataType
+    drop_t = schema[spec.dropoff_col].dataType
     in_month = (F.col(spec.pickup_col) >= timestamp_literal(start, pick_t)) & (
         F.col(spec.dropoff_col) <= timestamp_literal(end, drop_t)
     )
-    vendor_ok, on_raw = _vendor_predicate(df, spec)
-    if on_raw:
-        out = _typed(df.filter(vendor_ok & in_month), spec)
-    else:
-        out = _typed(df, spec).filter(vendor_ok & in_month)
-    return _finish(out, spec)
+    return _clean(df, spec, in_month)
 
 
 def clean_months(
@@ -96,16 +104,12 @@ def clean_months(
     """Clean many months at once; each row is judged against its own
     folder month, held in ``year_col``/``month_col``."""
     spec = service(spec)
-    ntz_pick = isinstance(df.schema[spec.pickup_col].dataType, T.TimestampNTZType)
-    ntz_drop = isinstance(df.schema[spec.dropoff_col].dataType, T.TimestampNTZType)
+    schema = df.schema
+    ntz_pick = isinstance(schema[spec.pickup_col].dataType, T.TimestampNTZType)
+    ntz_drop = isinstance(schema[spec.dropoff_col].dataType, T.TimestampNTZType)
     y = F.col(year_col).try_cast("int")
     m = F.col(month_col).try_cast("int")
     in_month = (F.col(spec.pickup_col) >= month_start_col(y, m, ntz_pick)) & (
         F.col(spec.dropoff_col) <= month_end_col(y, m, ntz_drop)
     )
-    vendor_ok, on_raw = _vendor_predicate(df, spec)
-    if on_raw:
-        out = _typed(df.filter(vendor_ok & in_month), spec)
-    else:
-        out = _typed(df, spec).filter(vendor_ok & in_month)
-    return _finish(out, spec)
+    return _clean(df, spec, in_month)

@@ -43,7 +43,8 @@ def to_common(
     spec: ServiceSpec | str,
     columns: list[str] | None = None,
 ) -> DataFrame:
-    """Cleaned trips of one service as the unified schema plus ``service_type``.
+    """Cleaned trips of one service as the unified schema plus ``service_type``,
+    in one projection.
 
     ``payment_type`` is text in every service (the high-volume feed has a
     text constant, the others an integer code), so the union never has to
@@ -52,17 +53,22 @@ def to_common(
     spec = service(spec)
     if columns is None:
         columns = TRIP_CORE_COLUMNS if spec.licence_digit else TRIP_COLUMNS
-    df = rename_to_common(df, spec)
+    source = {new: old for old, new in spec.renames.items() if old in df.columns}
+    derived: dict[str, object] = {}
+    if spec.licence_digit:
+        derived["payment_type"] = F.lit(HIGH_VOLUME_PAYMENT_TYPE)
+        addends = [F.col(source.get(c, c)) for c in HIGH_VOLUME_TOTAL_ADDENDS]
+        derived["total_amount"] = reduce(lambda a, b: a + b, addends)
     cols = []
     for c in columns:
+        expr = derived.get(c, F.col(source.get(c, c)))
         if c == "payment_type":
-            cols.append(F.col(c).cast("string").alias(c))
+            expr = expr.cast("string")
         elif c in _INT_COLUMNS:
-            cols.append(F.col(c).try_cast("int").alias(c))
-        elif c in _TIME_COLUMNS:
-            cols.append(F.col(c))
-        else:
-            cols.append(F.col(c).try_cast("double").alias(c))
+            expr = expr.try_cast("int")
+        elif c not in _TIME_COLUMNS:
+            expr = expr.try_cast("double")
+        cols.append(expr.alias(c))
     return df.select(*cols, F.lit(spec.name).alias("service_type"))
 
 

@@ -13,16 +13,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+# (application id, path) -> partitions of a plain scan of that path
+_SCAN_PARTITIONS: dict[tuple[str, str], int] = {}
+# (application id, path) -> schema read from the parquet footers
+_SCHEMAS: dict[tuple[str, str], object] = {}
+
+
+def scan_partitions(df: DataFrame) -> int:
+    """Partitions the physical plan of ``df`` yields (plans, runs nothing)."""
+    return df.rdd.getNumPartitions()
+
+
+def balanced(df: DataFrame, min_partitions: int | None = None, key: str | None = None) -> DataFrame:
     """``df`` spread to at least ``min_partitions`` (default: the session's
-    default parallelism) when its scan yields fewer; otherwise unchanged."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    default parallelism) when its scan yields fewer; otherwise unchanged.
+    ``key`` (the scanned path) lets the partition count be looked up once
+    per application."""
+    sc = df.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    if key is None:
+        parts = scan_partitions(df)
+    else:
+        cache_key = (sc.applicationId, key)
+        if cache_key not in _SCAN_PARTITIONS:
+            _SCAN_PARTITIONS[cache_key] = scan_partitions(df)
+        parts = _SCAN_PARTITIONS[cache_key]
+    if parts >= target:
         return df
     return df.repartition(target)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
     """``{sf_dir}/{name}.parquet`` as a DataFrame."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return balanced(df) if balance else df
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key in _SCHEMAS:
+        # the footers were read once; later reads skip schema inference
+        df = spark.read.schema(_SCHEMAS[key]).parquet(path)
+    else:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+    return balanced(df, key=path) if balance else df
