@@ -88,13 +88,9 @@ def test_late_row_dropped_in_update_kept_in_complete(spark):
         for i, ts in enumerate(["2024-01-01 00:00:00", "2024-01-01 02:00:00", "2024-01-01 02:01:00", "2024-01-01 00:01:00"]):
             _write_one(spark, src, ts)
             plan = M.flatten_window(M.window_metrics(parquet_stream(spark, src, schema)))
-            if i == 0:
-                from tripflow.streaming.runner import _empty_table
-
-                _empty_table(spark, plan.schema, out)
             q = start_query(plan, mode=mode, sink="table", path=out, checkpoint=ckpt, trigger="availableNow")
             q.awaitTermination(120)
-        res = read_table_sink(spark, out, mode, ["window_start", "window_end"])
+        res = read_table_sink(spark, out, mode, ["window_start", "window_end"], schema=plan.schema)
         results[mode] = {r.window_start: r.total_trips_last_month for r in res.collect()}
     assert results["update"][datetime(2024, 1, 1, 0, 0)] == 1
     assert results["complete"][datetime(2024, 1, 1, 0, 0)] == 2
@@ -110,6 +106,15 @@ def test_stream_equals_batch(spark, sf_small):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
 
 
+def test_empty_stream_gives_empty_answer(spark, sf_small):
+    from tripflow.plans.adapters import rides_from_events
+    from tripflow.sources.stream import table_stream
+
+    rides = rides_from_events(table_stream(spark, sf_small, "events")).filter(F.lit(False))
+    got = run_to_table(M.anomalies(rides), "append", "empty")
+    assert got.count() == 0 and "Anomaly" in got.columns
+
+
 def test_update_sink_keeps_last_version_per_key(spark):
     path = scratch_path(spark, "sink")
     df = spark.createDataFrame([("a", 1, 0), ("b", 5, 0), ("a", 3, 1), ("a", 2, 2)], "k string, v int, batch_id long")

@@ -69,22 +69,24 @@ def run_report(
         write_details(trips, details_out, mode="replace" if replace else "append")
 
 
-def ride_queries(rides: DataFrame) -> dict[str, tuple[DataFrame, str]]:
-    """The five continuous metrics with their output modes."""
+def ride_queries(rides: DataFrame) -> dict[str, tuple[DataFrame, str, int | None]]:
+    """The five continuous metrics with output mode and state partitions."""
+    glob, windowed = M.STATE_PARTITIONS_GLOBAL, M.STATE_PARTITIONS_WINDOWED
     return {
-        "running_totals": (M.running_totals(rides), "update"),
-        "window_metrics": (M.window_metrics(rides), "update"),
-        "surcharged_trips": (M.surcharged_trips(rides), "update"),
-        "anomalies": (M.anomalies(rides), "append"),
-        "peak_windows": (M.peak_windows(rides), "complete"),
+        "running_totals": (M.running_totals(rides), "update", glob),
+        "window_metrics": (M.window_metrics(rides), "update", windowed),
+        "surcharged_trips": (M.surcharged_trips(rides), "update", glob),
+        "anomalies": (M.anomalies(rides), "append", None),
+        "peak_windows": (M.peak_windows(rides), "complete", windowed),
     }
 
 
 def run_consume(spark: SparkSession, src: KafkaSource, out: str | None, sink: str) -> None:
+    """Start all five queries over one subscription, then wait."""
     rides = decode_rides(ride_payload(kafka_stream(spark, src)))
-    for name, (plan, mode) in ride_queries(rides).items():
+    for name, (plan, mode, parts) in ride_queries(rides).items():
         path = f"{out.rstrip('/')}/{name}" if out and sink == "table" else None
-        start_query(plan, name=name, mode=mode, sink=sink, path=path)
+        start_query(plan, name=name, mode=mode, sink=sink, path=path, state_partitions=parts)
     await_any(spark)
 
 

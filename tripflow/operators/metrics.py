@@ -25,6 +25,13 @@ from tripflow.functions.timecols import trip_seconds
 
 EVENT_TIME = "pickup_datetime"
 
+# State store partitions for streaming runs. Every metric pre-aggregates
+# before its state store, so the shuffle into the state carries one row
+# per task and key, and the state holds one row (global metrics) or one
+# row per open window: a handful of partitions serves any input rate.
+STATE_PARTITIONS_GLOBAL = 1
+STATE_PARTITIONS_WINDOWED = 4
+
 # Thresholds and labels of the anomaly rule.
 ANOMALY_FARE = 1000
 ANOMALY_DISTANCE = 1000

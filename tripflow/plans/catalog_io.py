@@ -23,7 +23,6 @@ from tripflow.sinks.writers import write_clean, write_details, write_report
 from tripflow.sources.parquet import read_with_schema, read_year
 from tripflow.sources.stream import parquet_stream, table_stream
 from tripflow.streaming.runner import (
-    _empty_table,
     await_all,
     query_status,
     read_table_sink,
@@ -118,19 +117,25 @@ def q_multi_query_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five metrics started together over one source, then waited for;
     returns each query's name, activity and input rows."""
     rides = rides_from_events(table_stream(spark, sf_dir, "events"))
+    glob, windowed = M.STATE_PARTITIONS_GLOBAL, M.STATE_PARTITIONS_WINDOWED
     plans = {
-        "running_totals": (M.running_totals(rides), "update", None),
-        "window_metrics": (M.flatten_window(M.window_metrics(rides)), "update", None),
-        "surcharged_trips": (M.surcharged_trips(rides), "complete", None),
+        "running_totals": (M.running_totals(rides), "update", glob),
+        "window_metrics": (M.flatten_window(M.window_metrics(rides)), "update", windowed),
+        "surcharged_trips": (M.surcharged_trips(rides), "complete", glob),
         "anomalies": (M.anomalies(rides), "append", None),
-        "peak_windows": (M.flatten_window(M.peak_windows(rides), "pickup_window"), "complete", None),
+        "peak_windows": (M.flatten_window(M.peak_windows(rides), "pickup_window"), "complete", windowed),
     }
     started = {}
-    for name, (plan, mode, _) in plans.items():
+    for name, (plan, mode, parts) in plans.items():
         path = scratch_path(spark, f"multi-{name}")
-        _empty_table(spark, plan.schema, path)
         started[name] = start_query(
-            plan, name=f"{name}_{path[-12:]}", mode=mode, sink="table", path=path, trigger="availableNow"
+            plan,
+            name=f"{name}_{path[-12:]}",
+            mode=mode,
+            sink="table",
+            path=path,
+            trigger="availableNow",
+            state_partitions=parts,
         )
     await_all(started, timeout=600)
     status = query_status(spark, started)
@@ -154,13 +159,19 @@ def q_late_data_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, cond in enumerate(deliveries):
         events.filter(cond).write.mode("append").parquet(stage)
         plan = M.flatten_window(M.window_metrics(rides_from_events(parquet_stream(spark, stage, events.schema))))
-        if i == 0:
-            _empty_table(spark, plan.schema, out)
-        q = start_query(plan, mode="update", sink="table", path=out, checkpoint=ckpt, trigger="availableNow")
+        q = start_query(
+            plan,
+            mode="update",
+            sink="table",
+            path=out,
+            checkpoint=ckpt,
+            trigger="availableNow",
+            state_partitions=M.STATE_PARTITIONS_WINDOWED,
+        )
         q.awaitTermination(600)
         if q.exception() is not None:
             raise RuntimeError(f"late-data delivery {i} failed: {q.exception()}")
-    return read_table_sink(spark, out, "update", ["window_start", "window_end"])
+    return read_table_sink(spark, out, "update", ["window_start", "window_end"], schema=plan.schema)
 
 
 QUERIES = {

@@ -147,13 +147,24 @@ def q_recent_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_running_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_to_table(M.running_totals(ride_stream(spark, sf_dir)), "update", "running_totals")
+    return run_to_table(
+        M.running_totals(ride_stream(spark, sf_dir)),
+        "update",
+        "running_totals",
+        state_partitions=M.STATE_PARTITIONS_GLOBAL,
+    )
 
 
 def _window_stream(mode: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         plan = M.flatten_window(M.window_metrics(ride_stream(spark, sf_dir)))
-        return run_to_table(plan, mode, f"window_metrics_{mode}", keys=["window_start", "window_end"])
+        return run_to_table(
+            plan,
+            mode,
+            f"window_metrics_{mode}",
+            keys=["window_start", "window_end"],
+            state_partitions=M.STATE_PARTITIONS_WINDOWED,
+        )
 
     return run
 
@@ -164,12 +175,17 @@ def q_anomalies_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_surcharged_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_to_table(M.surcharged_trips(ride_stream(spark, sf_dir)), "complete", "surcharged")
+    return run_to_table(
+        M.surcharged_trips(ride_stream(spark, sf_dir)),
+        "complete",
+        "surcharged",
+        state_partitions=M.STATE_PARTITIONS_GLOBAL,
+    )
 
 
 def q_peak_windows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = M.flatten_window(M.peak_windows(ride_stream(spark, sf_dir)), "pickup_window")
-    return run_to_table(plan, "complete", "peak_windows")
+    return run_to_table(plan, "complete", "peak_windows", state_partitions=M.STATE_PARTITIONS_WINDOWED)
 
 
 QUERIES = {

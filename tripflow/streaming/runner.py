@@ -6,9 +6,8 @@ Sinks:
 * ``parquet`` - Spark's file sink, append mode only (stateless queries or
   watermarked aggregations), exactly once through its checkpoint;
 * ``table`` - any output mode through ``foreachBatch``: each micro-batch
-  is written to its own ``batch_id=N`` folder with dynamic partition
-  overwrite, so a batch that is re-run after a failure replaces its own
-  output instead of adding to it. ``read_table_sink`` turns the folder
+  overwrites its own ``batch_id=N`` folder, so a batch that is re-run
+  after a failure replaces its own output instead of adding to it. ``read_table_sink`` turns the folder
   into the query's answer: all rows (append), the last batch (complete)
   or the last version of every key (update), all as Spark jobs.
 
@@ -19,6 +18,7 @@ re-reading its whole source.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,14 +40,11 @@ def _trigger(writer, trigger: str | None):
 
 
 def _table_batch_writer(path: str):
+    """Each micro-batch replaces exactly its own ``batch_id=N`` folder, so
+    a batch re-run after a failure overwrites its earlier attempt."""
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        (
-            batch.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH_COL)
-            .parquet(path)
-        )
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COL}={batch_id}")
 
     return write
 
@@ -61,8 +58,16 @@ def start_query(
     checkpoint: str | None = None,
     trigger: str | None = None,
     options: dict[str, str] | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Start one streaming query; returns at once."""
+    """Start one streaming query; returns at once.
+
+    ``state_partitions`` sets the number of shuffle (state store)
+    partitions of a stateful query. It is fixed by the checkpoint at the
+    first start; the metrics here pre-aggregate before the state store and
+    keep one row per open window (or one row in all), so a few partitions
+    hold their state at any input rate.
+    """
     spark = df.sparkSession
     writer = df.writeStream.outputMode(mode)
     if name:
@@ -89,7 +94,14 @@ def start_query(
         writer = writer.format("kafka")
     else:
         raise ValueError(f"unknown sink {sink!r}")
-    return _trigger(writer, trigger).start()
+    if state_partitions is None:
+        return _trigger(writer, trigger).start()
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        return _trigger(writer, trigger).start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
 
 
 def start_all(queries: dict[str, tuple[DataFrame, str]], **kw) -> dict[str, StreamingQuery]:
@@ -109,20 +121,22 @@ def await_any(spark: SparkSession, timeout: float | None = None) -> None:
     spark.streams.awaitAnyTermination(timeout)
 
 
-def _empty_table(spark: SparkSession, schema: T.StructType, path: str) -> None:
-    """Give an output folder its schema before the first batch lands."""
-    full = T.StructType(list(schema.fields) + [T.StructField(BATCH_COL, T.LongType())])
-    spark.createDataFrame([], full).write.mode("append").partitionBy(BATCH_COL).parquet(path)
-
-
 def read_table_sink(
     spark: SparkSession,
     path: str,
     mode: str,
     keys: list[str] | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """The answer held by a ``table`` sink folder (see module doc)."""
-    out = spark.read.parquet(path)
+    """The answer held by a ``table`` sink folder (see module doc).
+    ``schema`` (the query's output schema) answers an empty result when no
+    batch has been written yet."""
+    try:
+        out = spark.read.parquet(path)
+    except AnalysisException:
+        if schema is None:
+            raise
+        return spark.createDataFrame([], schema)
     cols = [c for c in out.columns if c != BATCH_COL]
     if mode == "append":
         return out.select(*cols)
@@ -146,14 +160,21 @@ def run_to_table(
     path: str | None = None,
     checkpoint: str | None = None,
     timeout: float = 600,
+    state_partitions: int | None = None,
 ) -> DataFrame:
     """Run a streaming query over all data available now into a ``table``
     sink and return its answer as a DataFrame."""
     spark = df.sparkSession
     path = path or scratch_path(spark, f"out-{name}")
-    _empty_table(spark, df.schema, path)
     q = start_query(
-        df, name=None, mode=mode, sink="table", path=path, checkpoint=checkpoint, trigger="availableNow"
+        df,
+        name=None,
+        mode=mode,
+        sink="table",
+        path=path,
+        checkpoint=checkpoint,
+        trigger="availableNow",
+        state_partitions=state_partitions,
     )
     finished = q.awaitTermination(timeout)
     if q.exception() is not None:
@@ -161,7 +182,7 @@ def run_to_table(
     if not finished:
         q.stop()
         raise TimeoutError(f"stream {name} did not finish in {timeout} s")
-    return read_table_sink(spark, path, mode, keys)
+    return read_table_sink(spark, path, mode, keys, schema=df.schema)
 
 
 def run_to_parquet(
