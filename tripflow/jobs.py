@@ -32,11 +32,22 @@ from tripflow.sources.stream import KafkaSource, kafka_stream
 from tripflow.streaming.runner import await_any, start_query
 
 
-def run_clean(spark: SparkSession, root: str, out: str, svc: str, year: int, month: int | None) -> None:
+def run_clean(
+    spark: SparkSession,
+    root: str,
+    out: str,
+    svc: str,
+    year: int,
+    month: int | None,
+    files: int | None = None,
+) -> None:
+    """Clean one month (``files`` fixes the file count, e.g. 4 as in the
+    original layout) or all months of a year in one job; source folders
+    are per month, so the partitioned write needs no shuffle."""
     spec = service(svc)
     if month:
         cleaned = clean_month(read_month(spark, root, spec, year, month), spec, year, month)
-        write_clean(cleaned, f"{out.rstrip('/')}/{spec.folder}/{year}/{month:02d}/")
+        write_clean(cleaned, f"{out.rstrip('/')}/{spec.folder}/{year}/{month:02d}/", files=files)
         return
     cleaned = clean_months(read_months(spark, root, spec, [year]), spec)
     write_clean(cleaned, f"{out.rstrip('/')}/{spec.folder}", partition_cols=["year", "month"])
@@ -99,6 +110,7 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("--service", required=True)
     c.add_argument("--year", type=int, required=True)
     c.add_argument("--month", type=int)
+    c.add_argument("--files", type=int, help="fixed files per month (original layout: 4)")
     r = sub.add_parser("report")
     r.add_argument("--root", required=True)
     r.add_argument("--year", type=int, required=True)
@@ -120,7 +132,7 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = get_session()
     if args.job == "clean":
-        run_clean(spark, args.root, args.out, args.service, args.year, args.month)
+        run_clean(spark, args.root, args.out, args.service, args.year, args.month, args.files)
     elif args.job == "report":
         run_report(spark, args.root, args.year, args.services, args.report_out, args.details_out, args.replace)
     elif args.job == "publish":

@@ -7,6 +7,7 @@ All scratch output goes under the session's shared checkpoint folder.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,8 +52,9 @@ def q_clean_write_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "clean")
     cleaned = clean_months(raw_trips_from_lineitem(_table(spark, sf_dir, "lineitem"), GREEN), GREEN)
     out = f"{root}/{GREEN.folder}"
-    write_clean(cleaned, out, partition_cols=["year", "month"])
-    write_clean(cleaned, out, partition_cols=["year", "month"])
+    # line items of all months are mixed in every split: ask for clustering
+    write_clean(cleaned, out, partition_cols=["year", "month"], cluster=True)
+    write_clean(cleaned, out, partition_cols=["year", "month"], cluster=True)
     return read_year(spark, root, GREEN, READBACK_YEAR, glob_filter="*.parquet", partitioned=True)
 
 
@@ -89,11 +91,16 @@ def q_details_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     replace keeps one copy. Counted per service."""
     from tripflow.plans.catalog import q_unify_two
 
-    trips = q_unify_two(spark, sf_dir)
+    # four writes of one frame: compute it once (blocks lost with an
+    # executor are recomputed from the lineage)
+    trips = q_unify_two(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     appended, replaced = scratch_path(spark, "details-append"), scratch_path(spark, "details-replace")
-    for _ in range(2):
-        write_details(trips, appended, mode="append")
-        write_details(trips, replaced, mode="replace")
+    try:
+        for _ in range(2):
+            write_details(trips, appended, mode="append", cluster=True)
+            write_details(trips, replaced, mode="replace", cluster=True)
+    finally:
+        trips.unpersist()
     both = spark.read.parquet(appended).select("service_type", F.lit(True).alias("appended")).unionByName(
         spark.read.parquet(replaced).select("service_type", F.lit(False).alias("appended"))
     )

@@ -2,14 +2,21 @@
 
 Scale notes:
 
-* One month: ``repartition(files)`` (round robin, deterministic on retry
-  because Spark sorts before a round-robin repartition) gives the fixed
-  number of files per month of the original layout.
-* Many months in one job: ``partitionBy(year, month)`` with the
-  ``rebalance`` hint: AQE cuts each month's rows into partitions of the
-  advisory size, so a month holding a third of all rows is written by many
-  tasks instead of one, and small months do not turn into thousands of
-  tiny files. ``spark.sql.files.maxRecordsPerFile`` bounds file size.
+* Input already clustered by the output partitions (monthly source
+  folders: every input split belongs to one month) is written as it is:
+  each task writes its own files into its month's folder, no shuffle, and
+  file sizes follow the input splits.
+* ``cluster=True`` is for input that is not clustered (rows of many
+  months mixed in every split): the ``rebalance`` hint shuffles rows by
+  the partition columns and AQE cuts them into advisory-size partitions,
+  splitting a month that holds a third of all rows over many writers and
+  merging small months, instead of every task writing a file into every
+  folder.
+* ``files=n`` reproduces the original fixed number of files per month
+  (``repartition(n)``, round robin, deterministic on retry since Spark
+  sorts before it); meant for small months only, as n tasks write the
+  whole month.
+* ``spark.sql.files.maxRecordsPerFile`` bounds every file.
 * Reruns: ``partitionOverwriteMode=dynamic`` replaces only the partitions
   present in the new data, so re-running a month (or a failed job) is
   idempotent; plain append is kept for callers that want it.
@@ -24,27 +31,37 @@ from tripflow.operators.wire import encode_rides, kafka_records
 from tripflow.schemas import ServiceSpec, service
 from tripflow.sources.stream import KafkaSource
 
-DEFAULT_FILES_PER_MONTH = 4
+# Files per month of the original layout (use with files=...).
+ORIGINAL_FILES_PER_MONTH = 4
+
+
+def _layout(df: DataFrame, files: int | None, partition_cols: list[str] | None, cluster: bool) -> DataFrame:
+    if files:
+        return df.repartition(files)
+    if cluster:
+        return df.hint("rebalance", *(partition_cols or []))
+    return df
 
 
 def write_clean(
     df: DataFrame,
     out: str,
-    files: int | None = DEFAULT_FILES_PER_MONTH,
+    files: int | None = None,
     partition_cols: list[str] | None = None,
+    cluster: bool = False,
 ) -> None:
     """Overwrite cleaned trips.
 
-    Without ``partition_cols``: one folder, ``files`` files (the monthly
+    Without ``partition_cols``: one folder (a month of the original
     layout). With them: dynamic overwrite of just the partitions present.
+    See the module notes for ``files`` and ``cluster``.
     """
+    data = _layout(df, files, partition_cols, cluster)
     if not partition_cols:
-        data = df.repartition(files) if files else df
         data.write.mode("overwrite").parquet(out)
         return
     (
-        df.hint("rebalance", *partition_cols)
-        .write.mode("overwrite")
+        data.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_cols)
         .parquet(out)
@@ -81,11 +98,15 @@ def write_report(
         w.save(target)
 
 
+# Details are partitioned by service and pickup year: a report job runs
+# per year, so a rerun replaces exactly the (service, year) partitions it
+# wrote. Month filters still skip row groups through parquet statistics.
+DETAILS_PARTITIONS = ["service_type", "year"]
+
+
 def details_partitions(trips: DataFrame) -> DataFrame:
-    """Add ``year``/``month`` of the pickup as partition columns."""
-    return trips.withColumns(
-        {"year": F.year("pickup_datetime"), "month": F.month("pickup_datetime")}
-    )
+    """Add the pickup ``year`` as a partition column."""
+    return trips.withColumn("year", F.year("pickup_datetime"))
 
 
 def write_details(
@@ -94,15 +115,16 @@ def write_details(
     mode: str = "append",
     fmt: str = "parquet",
     as_table: bool = False,
+    cluster: bool = False,
 ) -> None:
     """Write unified trips to the details table.
 
     ``mode="append"`` adds every row again on a rerun (the original
-    behaviour). ``mode="replace"`` partitions by service and pickup month
-    and overwrites just those partitions: running twice leaves one copy.
+    behaviour). ``mode="replace"`` overwrites just the (service, year)
+    partitions present in ``trips``: running twice leaves one copy.
     """
-    parts = ["service_type", "year", "month"]
-    data = details_partitions(trips).hint("rebalance", *parts)
+    parts = DETAILS_PARTITIONS
+    data = _layout(details_partitions(trips), None, parts, cluster)
     if mode == "append":
         w = _writer(data, fmt, "append", parts, None)
     elif mode == "replace":
