@@ -143,3 +143,28 @@ def test_kafka_options():
     assert opts["subscribe"] == "rides" and opts["startingOffsets"] == "earliest"
     assert opts["kafka.security.protocol"] == "SASL_SSL" and opts["kafka.sasl.mechanism"] == "OAUTHBEARER"
     assert opts["kafka.sasl.oauthbearer.token.endpoint.url"] == "https://t" and opts["kafka.x"] == "1"
+
+
+def test_console_sink_await_any_and_ride_stream(spark, sf_small):
+    from tripflow.operators.wire import decode_rides, encode_rides
+    from tripflow.plans.adapters import green_trips_from_events
+    from tripflow.schemas import GREEN
+    from tripflow.sources.stream import ride_stream
+    from tripflow.streaming.runner import await_any
+
+    path = scratch_path(spark, "wire-lines")
+    trips = green_trips_from_events(spark.read.parquet(f"{sf_small}/events.parquet"))
+    encode_rides(trips, GREEN).select("value").write.text(path)
+    rides = decode_rides(ride_stream(spark, path))
+    q = start_query(M.running_totals(rides), name="console_totals", mode="update", sink="console", trigger="availableNow")
+    await_any(spark, 120)
+    q.awaitTermination(120)
+    assert q.exception() is None
+    assert sum(p["numInputRows"] for p in q.recentProgress) == trips.count()
+
+
+def test_recent_rides_default_now_is_current_time(spark):
+    now = datetime.now()
+    rows = [ride(now.replace(microsecond=0).isoformat(sep=" ")), ride("2000-01-01 00:00:00")]
+    df = spark.createDataFrame(rows, RIDE_SCHEMA)
+    assert M.recent_rides(df, "1 hour").count() == 1

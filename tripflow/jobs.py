@@ -23,12 +23,12 @@ from tripflow.operators import metrics as M
 from tripflow.operators.clean import clean_month, clean_months
 from tripflow.operators.report import zone_month_report
 from tripflow.operators.unify import register_trips, unify
-from tripflow.operators.wire import decode_rides, ride_payload
+from tripflow.operators.wire import decode_rides
 from tripflow.schemas import service
 from tripflow.session import get_session
 from tripflow.sinks.writers import publish_rides, write_clean, write_details, write_report
 from tripflow.sources.parquet import read_month, read_months
-from tripflow.sources.stream import KafkaSource, kafka_stream
+from tripflow.sources.stream import KafkaSource, ride_stream
 from tripflow.streaming.runner import await_any, start_query
 
 
@@ -94,7 +94,7 @@ def ride_queries(rides: DataFrame) -> dict[str, tuple[DataFrame, str, int | None
 
 def run_consume(spark: SparkSession, src: KafkaSource, out: str | None, sink: str) -> None:
     """Start all five queries over one subscription, then wait."""
-    rides = decode_rides(ride_payload(kafka_stream(spark, src)))
+    rides = decode_rides(ride_stream(spark, src))
     for name, (plan, mode, parts) in ride_queries(rides).items():
         path = f"{out.rstrip('/')}/{name}" if out and sink == "table" else None
         start_query(plan, name=name, mode=mode, sink=sink, path=path, state_partitions=parts)

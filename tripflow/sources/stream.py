@@ -86,3 +86,16 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, **kw) -> DataFrame
     base = sf_dir.rstrip("/")
     schema = spark.read.parquet(f"{base}/{name}.parquet").schema
     return parquet_stream(spark, base, schema, glob_filter=f"{name}.parquet", **kw)
+
+
+def ride_stream(spark: SparkSession, source: KafkaSource | str, max_per_trigger: int | None = None) -> DataFrame:
+    """Wire records as a stream of one ``value`` string column.
+
+    ``source`` is a Kafka subscription, or a folder of text files holding
+    one record per line (replays and tests); the caller decodes with
+    ``decode_rides``.
+    """
+    if isinstance(source, KafkaSource):
+        src = kafka_stream(spark, source)
+        return src.select(src["value"].cast("string").alias("value"))
+    return text_stream(spark, source, max_files_per_trigger=max_per_trigger)
