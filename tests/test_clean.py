@@ -122,5 +122,52 @@ def test_vendor_cast_then_filter_for_text_vendor(spark):
     rows = [("1", datetime(2024, 2, 2), datetime(2024, 2, 2, 1)), ("1.0", datetime(2024, 2, 2), datetime(2024, 2, 2, 1)), ("x", datetime(2024, 2, 2), datetime(2024, 2, 2, 1))]
     df = spark.createDataFrame(rows, "VendorID string, lpep_pickup_datetime timestamp_ntz, lpep_dropoff_datetime timestamp_ntz")
     out = clean_month(df, GREEN, 2024, 2).collect()
-    assert [r.VendorID for r in out] == [1]
+    # text vendors parse as numbers ("1.0" -> 1, as older non-ANSI casts did); junk is dropped
+    assert [r.VendorID for r in out] == [1, 1]
     assert F is not None
+
+
+def test_type_drift_between_month_files(spark):
+    from pyspark.sql import types as T
+
+    from tripflow.session import scratch_path
+    from tripflow.sources.parquet import month_folders, read_months_conformed
+
+    root = scratch_path(spark, "drift")
+    d = datetime
+    jan = spark.createDataFrame(
+        [(1, d(2019, 1, 5), d(2019, 1, 5, 1), 10, 20, 1.5), (4, d(2019, 1, 6), d(2019, 1, 6, 1), 10, 20, None)],
+        "VendorID long, lpep_pickup_datetime timestamp_ntz, lpep_dropoff_datetime timestamp_ntz, "
+        "PULocationID long, DOLocationID long, congestion_surcharge double",
+    )
+    feb = spark.createDataFrame(
+        [(2.0, d(2019, 2, 5), d(2019, 2, 5, 1), 11.0, 21.0)],
+        "VendorID double, lpep_pickup_datetime timestamp_ntz, lpep_dropoff_datetime timestamp_ntz, "
+        "PULocationID double, DOLocationID double",
+    )
+    mar = spark.createDataFrame(
+        [("6", d(2019, 3, 5), d(2019, 3, 5, 1), " 12 ", "x", "2.75"), ("2.0", d(2019, 3, 7), d(2019, 3, 7, 1), "12", "13", None)],
+        "VendorID string, lpep_pickup_datetime timestamp_ntz, lpep_dropoff_datetime timestamp_ntz, "
+        "PULocationID string, DOLocationID string, congestion_surcharge string",
+    )
+    for m, df in ((1, jan), (2, feb), (3, mar)):
+        df.write.parquet(f"{root}/green/2019/{m:02d}/")
+    assert [(y, m) for y, m, _ in month_folders(spark, root, GREEN, [2019])] == [(2019, 1), (2019, 2), (2019, 3)]
+    target = T.StructType(
+        [
+            T.StructField("VendorID", T.IntegerType()),
+            T.StructField("lpep_pickup_datetime", T.TimestampNTZType()),
+            T.StructField("lpep_dropoff_datetime", T.TimestampNTZType()),
+            T.StructField("PULocationID", T.IntegerType()),
+            T.StructField("DOLocationID", T.IntegerType()),
+            T.StructField("congestion_surcharge", T.DoubleType()),
+        ]
+    )
+    raw = read_months_conformed(spark, root, GREEN, target, [2019])
+    got = sorted(clean_months(raw, GREEN).collect(), key=lambda r: r.lpep_pickup_datetime)
+    assert [(r.VendorID, r.PULocationID, r.DOLocationID, r.congestion_surcharge, r.month) for r in got] == [
+        (1, 10, 20, 1.5, 1),
+        (2, 11, 21, None, 2),
+        (6, 12, None, 2.75, 3),
+        (2, 12, 13, None, 3),
+    ]

@@ -13,9 +13,23 @@ def safe_cast_all(df: DataFrame, columns: list[str], dtype: str | T.DataType) ->
     return df.withColumns({c: F.col(c).try_cast(dtype) for c in present})
 
 
+def int_from_any(col: Column, src: T.DataType | None = None) -> Column:
+    """Integer value of a column stored as any type, null when impossible.
+
+    Text goes through a number first so that ``"2.0"`` and ``" 6 "`` give 2
+    and 6 as the non-ANSI casts of older monthly files did; doubles are
+    truncated; out-of-range values and junk give null.
+    """
+    if src is not None and not isinstance(src, T.StringType):
+        return col.try_cast("int")
+    return F.coalesce(col.try_cast("int"), F.trim(col).try_cast("double").try_cast("int"))
+
+
 def _cast(col: Column, src: T.DataType, dst: T.DataType) -> Column:
     if src == dst:
         return col
+    if isinstance(dst, T.IntegerType):
+        return int_from_any(col, src)
     return col.try_cast(dst)
 
 

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripflow.functions.casts import int_from_any
 from tripflow.functions.timecols import (
     month_bounds,
     month_end_col,
@@ -40,7 +41,7 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 def _vendor_value(df: DataFrame, spec: ServiceSpec) -> Column:
     if spec.licence_digit:
         return F.substring(F.col(spec.vendor_col), 6, 1).try_cast("int")
-    return F.col(spec.vendor_col).try_cast("int")
+    return int_from_any(F.col(spec.vendor_col), df.schema[spec.vendor_col].dataType)
 
 
 def _vendor_predicate(raw: DataFrame, spec: ServiceSpec) -> Column:
@@ -63,13 +64,14 @@ def _typed_projection(df: DataFrame, spec: ServiceSpec) -> list[Column]:
     ints = set(spec.int_cols)
     doubles = set(spec.double_cols)
     fills = set(spec.fill_cols)
+    types = {f.name: f.dataType for f in df.schema.fields}
     cols = []
     for name in df.columns:
         c = F.col(name)
         if name == spec.vendor_col:
             c = _vendor_value(df, spec)
         elif name in ints:
-            c = c.try_cast("int")
+            c = int_from_any(c, types[name])
         elif name in doubles:
             c = c.try_cast("double")
             if name in fills:

@@ -111,3 +111,62 @@ def read_with_schema(
     if strict:
         return reader.schema(schema).parquet(*paths)
     return conform(reader.parquet(*paths), schema)
+
+
+def month_folders(
+    spark: SparkSession, root: str, spec: ServiceSpec | str, years: list[int] | None = None
+) -> list[tuple[int, int, str]]:
+    """``(year, month, path)`` of every ``{year}/{MM}`` folder, listed through
+    the Hadoop file system of the path (local, HDFS, object stores)."""
+    spec = service(spec)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    base = f"{root.rstrip('/')}/{spec.folder}"
+    patterns = [f"{base}/{y}/*" for y in years] if years else [f"{base}/*/*"]
+    found = []
+    for pattern in patterns:
+        glob = jvm.org.apache.hadoop.fs.Path(pattern)
+        statuses = glob.getFileSystem(conf).globStatus(glob) or []
+        for st in statuses:
+            if not st.isDirectory():
+                continue
+            path = st.getPath()
+            y, m = path.getParent().getName(), path.getName()
+            if y.isdigit() and m.isdigit():
+                found.append((int(y), int(m), path.toString()))
+    return sorted(found)
+
+
+def read_months_conformed(
+    spark: SparkSession,
+    root: str,
+    spec: ServiceSpec | str,
+    schema: T.StructType,
+    years: list[int] | None = None,
+    glob_filter: str | None = "*.parquet",
+) -> DataFrame:
+    """Every month folder read with its own footer schema, projected onto
+    ``schema`` (``try_cast``, typed nulls for absent columns), then unioned,
+    with ``year``/``month`` of the folder.
+
+    For months whose files disagree on physical types (a column stored as
+    bigint in one year, double or text in another), where a single scan
+    over all folders would fail. The union is a plan of one scan per month;
+    no data passes through the driver.
+    """
+    frames = []
+    for year, month, path in month_folders(spark, root, spec, years):
+        reader = spark.read
+        if glob_filter:
+            reader = reader.option("pathGlobFilter", glob_filter)
+        frames.append(
+            conform(reader.parquet(path), schema).withColumns(
+                {"year": F.lit(year), "month": F.lit(month)}
+            )
+        )
+    if not frames:
+        raise FileNotFoundError(f"no month folders under {root}/{service(spec).folder}")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
