@@ -37,6 +37,9 @@ def test_folder_layout_cleaned_in_one_job(spark, sf_small):
     run_clean(spark, root, out, "green", YEAR, None)
     run_clean(spark, root, out, "green", YEAR, None)  # rerun: no duplicates
     assert load_cleaned(spark, out, "green", YEAR).count() == expected
+    conformed = scratch_path(spark, "clean-conformed")
+    run_clean(spark, root, conformed, "green", YEAR, None, conform_types=True)
+    assert load_cleaned(spark, conformed, "green", YEAR).count() == expected
     one = scratch_path(spark, "clean-one")
     run_clean(spark, root, one, "green", YEAR, 3)
     got = spark.read.parquet(f"{one}/green/{YEAR}/03/")

@@ -24,10 +24,10 @@ from tripflow.operators.clean import clean_month, clean_months
 from tripflow.operators.report import zone_month_report
 from tripflow.operators.unify import register_trips, unify
 from tripflow.operators.wire import decode_rides
-from tripflow.schemas import service
+from tripflow.schemas import raw_schema, service
 from tripflow.session import get_session
 from tripflow.sinks.writers import publish_rides, write_clean, write_details, write_report
-from tripflow.sources.parquet import read_month, read_months
+from tripflow.sources.parquet import read_month, read_months, read_months_conformed
 from tripflow.sources.stream import KafkaSource, ride_stream
 from tripflow.streaming.runner import await_any, start_query
 
@@ -40,16 +40,24 @@ def run_clean(
     year: int,
     month: int | None,
     files: int | None = None,
+    conform_types: bool = False,
 ) -> None:
     """Clean one month (``files`` fixes the file count, e.g. 4 as in the
     original layout) or all months of a year in one job; source folders
-    are per month, so the partitioned write needs no shuffle."""
+    are per month, so the partitioned write needs no shuffle.
+    ``conform_types`` reads each month with its own footer schema and
+    projects it onto the service's raw schema first (months whose column
+    types drift)."""
     spec = service(svc)
     if month:
         cleaned = clean_month(read_month(spark, root, spec, year, month), spec, year, month)
         write_clean(cleaned, f"{out.rstrip('/')}/{spec.folder}/{year}/{month:02d}/", files=files)
         return
-    cleaned = clean_months(read_months(spark, root, spec, [year]), spec)
+    if conform_types:
+        raw = read_months_conformed(spark, root, spec, raw_schema(spec), [year])
+    else:
+        raw = read_months(spark, root, spec, [year])
+    cleaned = clean_months(raw, spec)
     write_clean(cleaned, f"{out.rstrip('/')}/{spec.folder}", partition_cols=["year", "month"])
 
 
@@ -111,6 +119,7 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("--year", type=int, required=True)
     c.add_argument("--month", type=int)
     c.add_argument("--files", type=int, help="fixed files per month (original layout: 4)")
+    c.add_argument("--conform", action="store_true", help="read months with drifting column types")
     r = sub.add_parser("report")
     r.add_argument("--root", required=True)
     r.add_argument("--year", type=int, required=True)
@@ -132,7 +141,7 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = get_session()
     if args.job == "clean":
-        run_clean(spark, args.root, args.out, args.service, args.year, args.month, args.files)
+        run_clean(spark, args.root, args.out, args.service, args.year, args.month, args.files, args.conform)
     elif args.job == "report":
         run_report(spark, args.root, args.year, args.services, args.report_out, args.details_out, args.replace)
     elif args.job == "publish":

@@ -306,3 +306,35 @@ def service(name: str | ServiceSpec) -> ServiceSpec:
     if spec is None:
         raise ValueError(f"unknown service {name!r}; expected one of {sorted(SERVICES)}")
     return spec
+
+
+def raw_schema(spec: ServiceSpec | str) -> T.StructType:
+    """Read schema of a service's raw monthly files, for reading months
+    whose physical types drift (see ``read_months_conformed``).
+
+    Green is the declared 20-field schema; yellow is the same with the
+    ``tpep_`` time names and without the green-only ``ehail_fee`` and
+    ``trip_type``; the high-volume schema holds the columns its cleaning
+    and unification read.
+    """
+    spec = service(spec)
+    if spec.name == "green":
+        return GREEN_FIXED_SCHEMA
+    if spec.name == "yellow":
+        fields = []
+        for f in GREEN_FIXED_SCHEMA.fields:
+            if f.name in ("ehail_fee", "trip_type"):
+                continue
+            fields.append(T.StructField(f.name.replace("lpep_", "tpep_"), f.dataType))
+        return T.StructType(fields)
+    return T.StructType(
+        [
+            T.StructField("hvfhs_license_num", T.StringType()),
+            T.StructField("pickup_datetime", T.TimestampType()),
+            T.StructField("dropoff_datetime", T.TimestampType()),
+            T.StructField("PULocationID", T.IntegerType()),
+            T.StructField("DOLocationID", T.IntegerType()),
+            T.StructField("trip_miles", T.DoubleType()),
+        ]
+        + [T.StructField(c, T.DoubleType()) for c in HIGH_VOLUME_FILL_COLUMNS]
+    )
