@@ -29,6 +29,19 @@ BASE_CONF = {
 }
 
 
+# Added on a cluster master (not local): scan splits and AQE's target
+# partition size of 256 MB keep task counts in the hundreds of thousands at
+# 100 TB instead of near a million; coalescing follows size, not the number
+# of cores; the initial shuffle width leaves AQE room to split a hot key
+# group and merge the rest.
+CLUSTER_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.shuffle.partitions": "2000",
+}
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "tripflow",
@@ -39,7 +52,7 @@ def get_session(
 
     ``master`` is only set when given, so that ``spark-submit`` decides on a
     cluster. ``shuffle_partitions`` defaults to 8 on a local master (tests,
-    bench) and to Spark's own default elsewhere.
+    bench); elsewhere ``CLUSTER_CONF`` applies.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -50,8 +63,10 @@ def get_session(
         conf.setdefault("spark.ui.showConsoleProgress", "false")
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
         conf.setdefault("spark.driver.memory", os.environ.get("TRIPFLOW_DRIVER_MEMORY", "8g"))
-    elif shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    else:
+        conf.update(CLUSTER_CONF)
+        if shuffle_partitions:
+            conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
