@@ -88,7 +88,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     can reach). Only a local session without one gets a fresh folder of
     its own, as in tests.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - session without a SparkContext (Spark Connect)
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder") from None
+        return root
     root = sc.getCheckpointDir()
     if root:
         return root

@@ -14,7 +14,10 @@ class KafkaSource:
 
     ``security`` takes ``"SASL_SSL"`` with ``mechanism`` (e.g. OAUTHBEARER)
     and ``token_endpoint``; everything in ``extra`` is passed through as
-    ``kafka.*`` options.
+    ``kafka.*`` options. ``max_offsets_per_trigger`` bounds a micro-batch
+    (a restart after a long stop does not read the whole backlog at once);
+    ``min_partitions`` gives a batch more tasks than the topic has
+    partitions.
     """
 
     bootstrap_servers: str
@@ -24,6 +27,8 @@ class KafkaSource:
     mechanism: str | None = None
     token_endpoint: str | None = None
     max_offsets_per_trigger: int | None = None
+    min_partitions: int | None = None
+    fail_on_data_loss: bool = True
     extra: dict[str, str] = field(default_factory=dict)
 
 
@@ -32,8 +37,8 @@ def kafka_options(src: KafkaSource) -> dict[str, str]:
         "kafka.bootstrap.servers": src.bootstrap_servers,
         "subscribe": src.topic,
         "startingOffsets": src.starting_offsets,
-        # a restart after topic retention passed must not kill the job
-        "failOnDataLoss": "false",
+        # stop rather than skip records the topic no longer holds
+        "failOnDataLoss": "true" if src.fail_on_data_loss else "false",
     }
     if src.security:
         opts["kafka.security.protocol"] = src.security
@@ -43,6 +48,9 @@ def kafka_options(src: KafkaSource) -> dict[str, str]:
         opts["kafka.sasl.oauthbearer.token.endpoint.url"] = src.token_endpoint
     if src.max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(src.max_offsets_per_trigger)
+    if src.min_partitions:
+        # split large offset ranges into more tasks than topic partitions
+        opts["minPartitions"] = str(src.min_partitions)
     for k, v in src.extra.items():
         opts[k if k.startswith("kafka.") else f"kafka.{k}"] = v
     return opts

@@ -19,9 +19,20 @@ _SCAN_PARTITIONS: dict[tuple[str, str], int] = {}
 _SCHEMAS: dict[tuple[str, str], object] = {}
 
 
-def scan_partitions(df: DataFrame) -> int:
-    """Partitions the physical plan of ``df`` yields (plans, runs nothing)."""
-    return df.rdd.getNumPartitions()
+def scan_partitions(df: DataFrame) -> int | None:
+    """Partitions the physical plan of ``df`` yields (plans, runs nothing);
+    None where the session offers no RDD view (Spark Connect)."""
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API on this session
+        return None
+
+
+def _parallelism(df: DataFrame) -> int | None:
+    try:
+        return df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext on this session
+        return None
 
 
 def balanced(df: DataFrame, min_partitions: int | None = None, key: str | None = None) -> DataFrame:
@@ -29,16 +40,17 @@ def balanced(df: DataFrame, min_partitions: int | None = None, key: str | None =
     default parallelism) when its scan yields fewer; otherwise unchanged.
     ``key`` (the scanned path) lets the partition count be looked up once
     per application."""
-    sc = df.sparkSession.sparkContext
-    target = min_partitions or sc.defaultParallelism
+    target = min_partitions or _parallelism(df)
+    if not target:
+        return df
     if key is None:
         parts = scan_partitions(df)
     else:
-        cache_key = (sc.applicationId, key)
+        cache_key = (df.sparkSession.conf.get("spark.app.id", ""), key)
         if cache_key not in _SCAN_PARTITIONS:
             _SCAN_PARTITIONS[cache_key] = scan_partitions(df)
         parts = _SCAN_PARTITIONS[cache_key]
-    if parts >= target:
+    if parts is None or parts >= target:
         return df
     return df.repartition(target)
 
@@ -46,7 +58,7 @@ def balanced(df: DataFrame, min_partitions: int | None = None, key: str | None =
 def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
     """``{sf_dir}/{name}.parquet`` as a DataFrame."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (spark.conf.get("spark.app.id", ""), path)
     if key in _SCHEMAS:
         # the footers were read once; later reads skip schema inference
         df = spark.read.schema(_SCHEMAS[key]).parquet(path)
