@@ -377,9 +377,7 @@ def recent_rides_sql(span: str) -> str:
 
 # --- write / read back --------------------------------------------------------
 
-READBACK_SQL = (
-    "SELECT * FROM (" + clean_sql("green", None, keep_folder=True) + ") AS c WHERE year = 1997"
-)
+READBACK_SQL = clean_sql("green", None, keep_folder=True)
 
 FIXED_SCHEMA_SQL = (
     "SELECT VendorID, lpep_pickup_datetime, lpep_dropoff_datetime, "

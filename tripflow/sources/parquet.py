@@ -34,11 +34,12 @@ def read_year(
     spark: SparkSession,
     root: str,
     spec: ServiceSpec | str,
-    year: int,
+    year: int | str,
     glob_filter: str | None = "*.parquet",
     partitioned: bool = False,
 ) -> DataFrame:
-    """All month folders of a year through a ``{year}/*/`` glob.
+    """All month folders of a year through a ``{year}/*/`` glob
+    (``year="*"``: of every year).
 
     ``glob_filter`` keeps only matching file names (markers such as
     ``_SUCCESS`` are skipped either way). ``partitioned`` reads the
