@@ -168,3 +168,34 @@ def test_recent_rides_default_now_is_current_time(spark):
     rows = [ride(now.replace(microsecond=0).isoformat(sep=" ")), ride("2000-01-01 00:00:00")]
     df = spark.createDataFrame(rows, RIDE_SCHEMA)
     assert M.recent_rides(df, "1 hour").count() == 1
+
+
+def _many_files(spark, sf_small, n):
+    """The events table cut into ``n`` files by day (one micro-batch each)."""
+    path = scratch_path(spark, "days")
+    ev = spark.read.parquet(f"{sf_small}/events.parquet")
+    for d in range(1, n + 1):
+        lo, hi = (d - 1) * 31 // n + 1, d * 31 // n
+        ev.filter(F.dayofmonth("ts").between(lo, hi)).write.mode("append").parquet(path)
+        time.sleep(1.1)
+    return path, ev.schema
+
+
+def test_table_sink_compaction_keeps_the_answer_and_bounds_storage(spark, sf_small):
+    from tripflow.plans.adapters import rides_from_events
+    from tripflow.streaming.runner import _batch_folders
+
+    src, schema = _many_files(spark, sf_small, 5)
+    batch = M.flatten_window(M.window_metrics(rides_from_events(spark.read.parquet(src))))
+    want = sorted(map(tuple, batch.collect()))
+    for mode, keys in (("update", ["window_start", "window_end"]), ("complete", None)):
+        out = scratch_path(spark, f"compact-{mode}")
+        plan = M.flatten_window(M.window_metrics(rides_from_events(parquet_stream(spark, src, schema, max_files_per_trigger=1))))
+        q = start_query(plan, mode=mode, sink="table", path=out, trigger="availableNow", keys=keys, compact_every=2, state_partitions=2)
+        q.awaitTermination(300)
+        assert q.exception() is None
+        assert len(q.recentProgress) >= 5
+        got = sorted(map(tuple, read_table_sink(spark, out, mode, keys).collect()))
+        assert got == want
+        folders = len(_batch_folders(spark, out))
+        assert folders <= (1 if mode == "complete" else 3)

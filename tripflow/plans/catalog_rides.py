@@ -151,6 +151,7 @@ def q_running_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         M.running_totals(ride_stream(spark, sf_dir)),
         "update",
         "running_totals",
+        keys=[],
         state_partitions=M.STATE_PARTITIONS_GLOBAL,
     )
 

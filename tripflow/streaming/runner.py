@@ -7,7 +7,12 @@ Sinks:
   watermarked aggregations), exactly once through its checkpoint;
 * ``table`` - any output mode through ``foreachBatch``: each micro-batch
   overwrites its own ``batch_id=N`` folder, so a batch that is re-run
-  after a failure replaces its own output instead of adding to it. ``read_table_sink`` turns the folder
+  after a failure replaces its own output instead of adding to it.
+  Storage stays bounded on a stream that runs for months: in complete
+  mode older batch folders are deleted once batch N is written; in update
+  mode every ``compact_every`` batches batch N's folder is written as the
+  last version of every key so far, and only then are older folders
+  deleted (a crash in between leaves a folder set with the same answer). ``read_table_sink`` turns the folder
   into the query's answer: all rows (append), the last batch (complete)
   or the last version of every key (update), all as Spark jobs.
 
@@ -39,12 +44,64 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
-def _table_batch_writer(path: str):
+def _batch_folders(spark: SparkSession, path: str) -> list[tuple[int, object]]:
+    """``(batch id, Hadoop path)`` of the ``batch_id=N`` folders under ``path``."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    out = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(f"{BATCH_COL}="):
+            tail = name.split("=", 1)[1]
+            if tail.isdigit():
+                out.append((int(tail), st.getPath()))
+    return out
+
+
+def _drop_batches_below(spark: SparkSession, path: str, batch_id: int) -> None:
+    for bid, folder in _batch_folders(spark, path):
+        if bid < batch_id:
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _latest_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    cols = [c for c in df.columns if c != BATCH_COL]
+    values = [c for c in cols if c not in keys]
+    latest = F.max_by(F.struct(*[F.col(c) for c in values]), F.col(BATCH_COL)).alias("__v")
+    grouped = df.groupBy(*keys).agg(latest) if keys else df.agg(latest)
+    return grouped.filter(F.col("__v").isNotNull()).select(*keys, "__v.*").select(*cols)
+
+
+def _table_batch_writer(path: str, mode: str, keys: list[str] | None, compact_every: int | None):
     """Each micro-batch replaces exactly its own ``batch_id=N`` folder, so
     a batch re-run after a failure overwrites its earlier attempt."""
+    base = path.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH_COL}={batch_id}")
+        spark = batch.sparkSession
+        target = f"{base}/{BATCH_COL}={batch_id}"
+        # compaction needs the grouping keys ([] = one global row); without
+        # them the versions of different keys could not be told apart
+        compact = (
+            mode == "update"
+            and keys is not None
+            and compact_every
+            and batch_id > 0
+            and batch_id % compact_every == 0
+        )
+        if compact and any(bid < batch_id for bid, _ in _batch_folders(spark, base)):
+            older = spark.read.parquet(base).filter(F.col(BATCH_COL) < batch_id)
+            current = batch.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
+            merged = _latest_per_key(older.unionByName(current), keys)
+            merged.write.mode("overwrite").parquet(target)
+            _drop_batches_below(spark, base, batch_id)
+            return
+        batch.write.mode("overwrite").parquet(target)
+        if mode == "complete":
+            _drop_batches_below(spark, base, batch_id)
 
     return write
 
@@ -59,6 +116,8 @@ def start_query(
     trigger: str | None = None,
     options: dict[str, str] | None = None,
     state_partitions: int | None = None,
+    keys: list[str] | None = None,
+    compact_every: int | None = 50,
 ) -> StreamingQuery:
     """Start one streaming query; returns at once.
 
@@ -66,7 +125,9 @@ def start_query(
     partitions of a stateful query. It is fixed by the checkpoint at the
     first start; the metrics here pre-aggregate before the state store and
     keep one row per open window (or one row in all), so a few partitions
-    hold their state at any input rate.
+    hold their state at any input rate. ``keys`` (the grouping columns of
+    an update-mode query) and ``compact_every`` drive the ``table`` sink's
+    compaction.
     """
     spark = df.sparkSession
     writer = df.writeStream.outputMode(mode)
@@ -89,7 +150,7 @@ def start_query(
     elif sink == "table":
         if not path:
             raise ValueError("sink 'table' needs a path")
-        writer = writer.foreachBatch(_table_batch_writer(path))
+        writer = writer.foreachBatch(_table_batch_writer(path, mode, keys, compact_every))
     elif sink == "kafka":
         writer = writer.format("kafka")
     else:
@@ -144,11 +205,7 @@ def read_table_sink(
         last = out.agg(F.max(BATCH_COL).alias("__last"))
         return out.join(F.broadcast(last), out[BATCH_COL] == last["__last"]).select(*cols)
     if mode == "update":
-        keys = keys or []
-        values = [c for c in cols if c not in keys]
-        latest = F.max_by(F.struct(*[F.col(c) for c in values]), F.col(BATCH_COL)).alias("__v")
-        grouped = out.groupBy(*keys).agg(latest) if keys else out.agg(latest)
-        return grouped.filter(F.col("__v").isNotNull()).select(*keys, "__v.*").select(*cols)
+        return _latest_per_key(out, keys or [])
     raise ValueError(f"unknown output mode {mode!r}")
 
 
@@ -161,6 +218,7 @@ def run_to_table(
     checkpoint: str | None = None,
     timeout: float = 600,
     state_partitions: int | None = None,
+    compact_every: int | None = 50,
 ) -> DataFrame:
     """Run a streaming query over all data available now into a ``table``
     sink and return its answer as a DataFrame."""
@@ -175,6 +233,8 @@ def run_to_table(
         checkpoint=checkpoint,
         trigger="availableNow",
         state_partitions=state_partitions,
+        keys=keys,
+        compact_every=compact_every,
     )
     finished = q.awaitTermination(timeout)
     if q.exception() is not None:
