@@ -2,7 +2,9 @@
 
 A ``sum`` over doubles depends on the order rows arrive in, so two runs over
 the same 100 TB with different partitionings differ in the last digits.
-Summing the cent amounts as decimals is exact and order-free; the result is
+Each value is taken to ``MONEY_SCALE`` decimals (a millionth: cents and
+sub-cent fees are kept, only binary noise such as 0.30000000000000004 is
+cut) and summed as a decimal, which is exact and order-free; the result is
 cast back to double so that the output types stay those of the plain
 ``sum``/``avg``. Decimal sums run in whole-stage codegen like double sums.
 """
@@ -12,9 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# decimal(18, s) input keeps the sum buffer at decimal(28, s): room for 10^26
-# units, far beyond any trip total.
+# decimal(18, 6) holds values up to 10^12; the sum buffer is decimal(28, 6),
+# room for 10^22, far beyond any trip total.
 _MONEY_PRECISION = 18
+MONEY_SCALE = 6
 
 
 def _dec(col: Column | str, scale: int) -> Column:
@@ -22,20 +25,20 @@ def _dec(col: Column | str, scale: int) -> Column:
     return c.cast(f"decimal({_MONEY_PRECISION},{scale})")
 
 
-def exact_sum(col: Column | str, scale: int = 2) -> Column:
+def exact_sum(col: Column | str, scale: int = MONEY_SCALE) -> Column:
     """``sum`` of the value rounded to ``scale`` decimals, as double."""
     return F.sum(_dec(col, scale)).cast("double")
 
 
-def exact_avg(col: Column | str, scale: int = 2) -> Column:
+def exact_avg(col: Column | str, scale: int = MONEY_SCALE) -> Column:
     """``avg`` as exact sum / count of non-null values, as double."""
     c = F.col(col) if isinstance(col, str) else col
     return F.sum(_dec(c, scale)).cast("double") / F.count(c)
 
 
-def measure_sum(col: str, exact: bool, scale: int = 2) -> Column:
+def measure_sum(col: str, exact: bool, scale: int = MONEY_SCALE) -> Column:
     return exact_sum(col, scale) if exact else F.sum(col).cast("double")
 
 
-def measure_avg(col: str, exact: bool, scale: int = 2) -> Column:
+def measure_avg(col: str, exact: bool, scale: int = MONEY_SCALE) -> Column:
     return exact_avg(col, scale) if exact else F.avg(col)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.functions.money import measure_avg, measure_sum
+from tripflow.functions.money import MONEY_SCALE, measure_avg, measure_sum
 
 
 @dataclass(frozen=True)
@@ -73,8 +73,9 @@ def zone_month_report(
 ) -> DataFrame:
     """Sums and averages per (``revenue_zone``, ``revenue_month``, ``service_type``).
 
-    ``exact=True`` sums money as cents (decimal) and returns doubles: the
-    figures no longer depend on partitioning or row order. ``exact=False``
+    ``exact=True`` sums each value taken to a millionth as a decimal and
+    returns doubles: the figures no longer depend on partitioning or row
+    order. ``exact=False``
     gives the plain double ``sum``/``avg``.
     """
     measures = measures or measures_for(trips)
@@ -94,7 +95,7 @@ def report_sql(view: str, measures: list[Measure], exact: bool = True, ntz: bool
     lines = []
     for m in measures:
         if exact:
-            dec = f"CAST({m.column} AS DECIMAL(18,2))"
+            dec = f"CAST({m.column} AS DECIMAL(18,{MONEY_SCALE}))"
             if m.kind == "sum":
                 expr = f"CAST(SUM({dec}) AS DOUBLE)"
             else:
