@@ -91,8 +91,10 @@ def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, **kw) -> DataFrame:
     """One driver table (``{sf_dir}/{name}.parquet``) as a file stream."""
+    from tripflow.sources.tables import table_schema
+
     base = sf_dir.rstrip("/")
-    schema = spark.read.parquet(f"{base}/{name}.parquet").schema
+    schema = table_schema(spark, f"{base}/{name}.parquet")
     return parquet_stream(spark, base, schema, glob_filter=f"{name}.parquet", **kw)
 
 

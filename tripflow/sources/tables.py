@@ -55,14 +55,17 @@ def balanced(df: DataFrame, min_partitions: int | None = None, key: str | None =
     return df.repartition(target)
 
 
+def table_schema(spark: SparkSession, path: str):
+    """Schema from the parquet footers of ``path``, read once per application."""
+    key = (spark.conf.get("spark.app.id", ""), path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return _SCHEMAS[key]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
     """``{sf_dir}/{name}.parquet`` as a DataFrame."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.conf.get("spark.app.id", ""), path)
-    if key in _SCHEMAS:
-        # the footers were read once; later reads skip schema inference
-        df = spark.read.schema(_SCHEMAS[key]).parquet(path)
-    else:
-        df = spark.read.parquet(path)
-        _SCHEMAS[key] = df.schema
+    # the footers are read once; later reads skip schema inference
+    df = spark.read.schema(table_schema(spark, path)).parquet(path)
     return balanced(df, key=path) if balance else df
