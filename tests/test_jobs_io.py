@@ -79,3 +79,18 @@ def test_publish_then_consume_as_stream(spark, sf_small):
     assert got.filter(F.col("congestion_surcharge").isNotNull()).count() == trips.filter(
         F.col("congestion_surcharge").isNotNull()
     ).count()
+
+
+def test_command_line_jobs(spark, sf_small):
+    from tripflow.jobs import main
+
+    root, out = scratch_path(spark, "cli-raw"), scratch_path(spark, "cli-clean")
+    raw = _raw_folders(spark, sf_small, GREEN, root)
+    main(["clean", "--root", root, "--out", out, "--service", "green", "--year", str(YEAR), "--conform"])
+    one = scratch_path(spark, "cli-month")
+    main(["clean", "--root", root, "--out", one, "--service", "green", "--year", str(YEAR), "--month", "5", "--files", "4"])
+    assert len(spark.read.parquet(f"{one}/green/{YEAR}/05/").inputFiles()) <= 4
+    rep = scratch_path(spark, "cli-report")
+    main(["report", "--root", out, "--year", str(YEAR), "--services", "green", "--report-out", rep])
+    assert spark.read.parquet(rep).agg(F.sum("revenue_monthly_fare")).first()[0] is not None
+    raw.unpersist()
