@@ -88,24 +88,25 @@ def run_report(
         write_details(trips, details_out, mode="replace" if replace else "append")
 
 
-def ride_queries(rides: DataFrame) -> dict[str, tuple[DataFrame, str, int | None]]:
-    """The five continuous metrics with output mode and state partitions."""
+def ride_queries(rides: DataFrame) -> dict[str, tuple[DataFrame, str, int | None, list[str] | None]]:
+    """The five continuous metrics: plan, output mode, state partitions and
+    the keys an update-mode table sink compacts on."""
     glob, windowed = M.STATE_PARTITIONS_GLOBAL, M.STATE_PARTITIONS_WINDOWED
     return {
-        "running_totals": (M.running_totals(rides), "update", glob),
-        "window_metrics": (M.window_metrics(rides), "update", windowed),
-        "surcharged_trips": (M.surcharged_trips(rides), "update", glob),
-        "anomalies": (M.anomalies(rides), "append", None),
-        "peak_windows": (M.peak_windows(rides), "complete", windowed),
+        "running_totals": (M.running_totals(rides), "update", glob, []),
+        "window_metrics": (M.window_metrics(rides), "update", windowed, ["window"]),
+        "surcharged_trips": (M.surcharged_trips(rides), "update", glob, []),
+        "anomalies": (M.anomalies(rides), "append", None, None),
+        "peak_windows": (M.peak_windows(rides), "complete", windowed, None),
     }
 
 
 def run_consume(spark: SparkSession, src: KafkaSource, out: str | None, sink: str) -> None:
     """Start all five queries over one subscription, then wait."""
     rides = decode_rides(ride_stream(spark, src))
-    for name, (plan, mode, parts) in ride_queries(rides).items():
+    for name, (plan, mode, parts, keys) in ride_queries(rides).items():
         path = f"{out.rstrip('/')}/{name}" if out and sink == "table" else None
-        start_query(plan, name=name, mode=mode, sink=sink, path=path, state_partitions=parts)
+        start_query(plan, name=name, mode=mode, sink=sink, path=path, state_partitions=parts, keys=keys)
     await_any(spark)
 
 
