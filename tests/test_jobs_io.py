@@ -94,3 +94,32 @@ def test_command_line_jobs(spark, sf_small):
     main(["report", "--root", out, "--year", str(YEAR), "--services", "green", "--report-out", rep])
     assert spark.read.parquet(rep).agg(F.sum("revenue_monthly_fare")).first()[0] is not None
     raw.unpersist()
+
+
+def test_consume_queries_with_compacting_table_sinks(spark, sf_small):
+    from tripflow.jobs import ride_queries
+    from tripflow.operators import metrics as M
+    from tripflow.operators.wire import encode_rides
+    from tripflow.streaming.runner import await_all, read_table_sink, start_query
+
+    trips = green_trips_from_events(spark.read.parquet(f"{sf_small}/events.parquet"))
+    lines = scratch_path(spark, "lines")
+    for day in range(1, 31, 10):  # three deliveries -> three micro-batches at least
+        part = trips.filter(F.dayofmonth("lpep_pickup_datetime").between(day, day + 9))
+        encode_rides(part, GREEN).select("value").write.mode("append").text(lines)
+    rides = decode_rides(text_stream(spark, lines, max_files_per_trigger=1))
+    started, paths = {}, {}
+    for name, (plan, mode, parts, keys) in ride_queries(rides).items():
+        paths[name] = (scratch_path(spark, f"consume-{name}"), mode, keys)
+        started[name] = start_query(
+            plan, mode=mode, sink="table", path=paths[name][0], trigger="availableNow",
+            state_partitions=parts, keys=keys, compact_every=1,
+        )
+    await_all(started, timeout=300)
+    batch_rides = decode_rides(encode_rides(trips, GREEN))
+    want = sorted(map(tuple, M.window_metrics(batch_rides).collect()))
+    path, mode, keys = paths["window_metrics"]
+    got = sorted(map(tuple, read_table_sink(spark, path, mode, keys).collect()))
+    assert got == want
+    totals = read_table_sink(spark, *paths["running_totals"]).first()
+    assert totals.total_trips == trips.count()
