@@ -6,8 +6,9 @@ Sinks:
 * ``parquet`` - Spark's file sink, append mode only (stateless queries or
   watermarked aggregations), exactly once through its checkpoint;
 * ``table`` - any output mode through ``foreachBatch``: each micro-batch
-  overwrites its own ``batch_id=N`` folder, so a batch that is re-run
-  after a failure replaces its own output instead of adding to it.
+  writes its own ``batch_id=N`` folder, so a batch that is re-run after a
+  failure replaces its partial output, and one replayed after its output
+  was committed is skipped, instead of adding to it.
   Storage stays bounded on a stream that runs for months: in complete
   mode older batch folders are deleted once batch N is written; in update
   mode every ``compact_every`` batches batch N's folder is written as the
@@ -61,6 +62,13 @@ def _batch_folders(spark: SparkSession, path: str) -> list[tuple[int, object]]:
     return out
 
 
+def _committed(spark: SparkSession, folder: str) -> bool:
+    """Whether a batch folder was written completely (commit marker)."""
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+
 def _drop_batches_below(spark: SparkSession, path: str, batch_id: int) -> None:
     for bid, folder in _batch_folders(spark, path):
         if bid < batch_id:
@@ -76,8 +84,10 @@ def _latest_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _table_batch_writer(path: str, mode: str, keys: list[str] | None, compact_every: int | None):
-    """Each micro-batch replaces exactly its own ``batch_id=N`` folder, so
-    a batch re-run after a failure overwrites its earlier attempt."""
+    """Each micro-batch writes its own ``batch_id=N`` folder: a batch re-run
+    after a failed write overwrites the partial attempt, a batch replayed
+    after a committed write is recognised by its commit marker and skipped
+    (deduplication by batch id)."""
     base = path.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -85,18 +95,24 @@ def _table_batch_writer(path: str, mode: str, keys: list[str] | None, compact_ev
         target = f"{base}/{BATCH_COL}={batch_id}"
         # compaction needs the grouping keys ([] = one global row); without
         # them the versions of different keys could not be told apart
-        compact = (
+        compacts = bool(
             mode == "update"
             and keys is not None
             and compact_every
             and batch_id > 0
             and batch_id % compact_every == 0
         )
-        if compact and any(bid < batch_id for bid, _ in _batch_folders(spark, base)):
+        if _committed(spark, target):
+            # a replay of a batch whose output was committed before the
+            # engine recorded it: same rows, so only finish the clean-up and
+            # never rebuild it (older folders may already be gone)
+            if mode == "complete" or compacts:
+                _drop_batches_below(spark, base, batch_id)
+            return
+        if compacts and any(bid < batch_id for bid, _ in _batch_folders(spark, base)):
             older = spark.read.parquet(base).filter(F.col(BATCH_COL) < batch_id)
             current = batch.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-            merged = _latest_per_key(older.unionByName(current), keys)
-            merged.write.mode("overwrite").parquet(target)
+            _latest_per_key(older.unionByName(current), keys).write.mode("overwrite").parquet(target)
             _drop_batches_below(spark, base, batch_id)
             return
         batch.write.mode("overwrite").parquet(target)
