@@ -84,6 +84,8 @@ def test_publish_then_consume_as_stream(spark, sf_small):
 def test_command_line_jobs(spark, sf_small):
     from tripflow.jobs import main
 
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+
     root, out = scratch_path(spark, "cli-raw"), scratch_path(spark, "cli-clean")
     raw = _raw_folders(spark, sf_small, GREEN, root)
     main(["clean", "--root", root, "--out", out, "--service", "green", "--year", str(YEAR), "--conform"])
@@ -93,6 +95,8 @@ def test_command_line_jobs(spark, sf_small):
     rep = scratch_path(spark, "cli-report")
     main(["report", "--root", out, "--year", str(YEAR), "--services", "green", "--report-out", rep])
     assert spark.read.parquet(rep).agg(F.sum("revenue_monthly_fare")).first()[0] is not None
+    # the jobs reuse the running session without resizing it
+    assert spark.conf.get("spark.sql.shuffle.partitions") == partitions
     raw.unpersist()
 
 

@@ -89,7 +89,10 @@ def test_late_row_dropped_in_update_kept_in_complete(spark):
             _write_one(spark, src, ts)
             plan = M.flatten_window(M.window_metrics(parquet_stream(spark, src, schema)))
             q = start_query(plan, mode=mode, sink="table", path=out, checkpoint=ckpt, trigger="availableNow")
-            q.awaitTermination(120)
+            finished = q.awaitTermination(120)
+            if not finished:
+                q.stop()
+            assert finished and q.exception() is None
         res = read_table_sink(spark, out, mode, ["window_start", "window_end"], schema=plan.schema)
         results[mode] = {r.window_start: r.total_trips_last_month for r in res.collect()}
     assert results["update"][datetime(2024, 1, 1, 0, 0)] == 1

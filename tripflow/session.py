@@ -48,12 +48,18 @@ def get_session(
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Build (or reuse) a session with the package defaults.
+    """Build a session with the package defaults, or reuse the active one.
 
     ``master`` is only set when given, so that ``spark-submit`` decides on a
     cluster. ``shuffle_partitions`` defaults to 8 on a local master (tests,
-    bench); elsewhere ``CLUSTER_CONF`` applies.
+    bench); elsewhere ``CLUSTER_CONF`` applies. An already active session is
+    returned with only the runtime SQL defaults applied: its own sizing
+    (shuffle partitions, split sizes) is left as its owner set it.
     """
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        apply_sql_defaults(active)
+        return active
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
