@@ -219,3 +219,14 @@ def test_replayed_batch_keeps_committed_compaction(spark):
     got = {r.k: r.v for r in read_table_sink(spark, path, "update", ["k"]).collect()}
     assert got == {"a": 2, "b": 1, "c": 3}
     assert {r[BATCH_COL] for r in spark.read.parquet(path).select(BATCH_COL).distinct().collect()} == {2}
+
+
+def test_stream_global_count_emits_zero_when_all_rows_filtered(spark, sf_small):
+    from tripflow.plans.adapters import rides_from_events
+    from tripflow.sources.stream import table_stream
+
+    rides = rides_from_events(table_stream(spark, sf_small, "events")).withColumn(
+        "congestion_surcharge", F.lit(None).cast("double")
+    )
+    got = run_to_table(M.surcharged_trips(rides), "complete", "zero", state_partitions=1).collect()
+    assert [r.trips_with_surcharge_count for r in got] == [0]
