@@ -108,3 +108,14 @@ def test_full_line_decode(spark):
     assert r.store_and_fwd_flag == "N" and r.payment_type == "1" and r.total_amount == Decimal("14.8000")
     s = out[1]
     assert s.tpep_pickup_datetime is None and s.passenger_count is None and s.congestion_surcharge is None
+
+
+def test_python_text_equals_str_over_the_guaranteed_range(spark):
+    import random
+
+    rnd = random.Random(11)
+    vals = [rnd.choice([1, -1]) * 10 ** rnd.uniform(-99, 15.99) for _ in range(3000)]
+    vals += [round(rnd.uniform(-1e6, 1e6), 2) for _ in range(1000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    bad = [(r.x, r.t) for r in df.select("x", python_text("x", T.DoubleType()).alias("t")).collect() if r.t != str(r.x)]
+    assert bad == []

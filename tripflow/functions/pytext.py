@@ -11,6 +11,13 @@ from Spark's own ``CAST(x AS STRING)`` handled here:
   for 1e-4 <= |x| < 1e16 (Java switches to ``1.0E7`` style at 1e7 and
   1e-3), ``1e+16`` style outside it. Floats print as the double Python
   sees (``str(float32 -> double)``), which Spark's double cast gives.
+
+The digits come from the JVM's ``Double.toString``. On Java 17 these are
+the shortest round-trip digits (so the text equals Python's) for
+1e-99 <= |x| < 1e16 and for 0; beyond that range Java may print one or
+two extra digits. The text still parses back to the same double, so
+decoding is unaffected; only byte equality with Python's text is lost for
+such magnitudes, far outside any fare, tax or distance.
 """
 
 from __future__ import annotations
