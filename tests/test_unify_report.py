@@ -112,3 +112,23 @@ def test_exact_sums_do_not_depend_on_partitioning(spark):
     one = df.coalesce(1).agg(exact_sum("fare_amount")).first()[0]
     many = df.repartition(7).agg(exact_sum("fare_amount")).first()[0]
     assert one == many == 600.0
+
+
+def test_exact_sum_rules(spark):
+    from tripflow.functions.money import exact_avg, exact_sum
+
+    def agg(df):
+        out = df.groupBy("g").agg(exact_sum("x").alias("s"), exact_avg("x").alias("a")).collect()
+        return {r.g: (r.s, r.a) for r in out}
+
+    floats = agg(spark.createDataFrame([("a", 123.45), ("a", 0.1), ("a", None)], "g string, x float"))
+    # float32 noise is cut at a hundredth of a cent; nulls are skipped
+    assert floats["a"] == (123.55, 123.55 / 2)
+    doubles = agg(
+        spark.createDataFrame(
+            [("b", float("nan")), ("b", 1.0), ("c", 2e14), ("c", 1.0)], "g string, x double"
+        )
+    )
+    # NaN and out-of-range values fall back to the plain double sum
+    assert doubles["b"][0] != doubles["b"][0]
+    assert doubles["c"][0] == 2e14 + 1.0

@@ -2,11 +2,17 @@
 
 A ``sum`` over doubles depends on the order rows arrive in, so two runs over
 the same 100 TB with different partitionings differ in the last digits.
-Each value is taken to ``MONEY_SCALE`` decimals (a millionth: cents and
-sub-cent fees are kept, only binary noise such as 0.30000000000000004 is
-cut) and summed as a decimal, which is exact and order-free; the result is
-cast back to double so that the output types stay those of the plain
-``sum``/``avg``. Decimal sums run in whole-stage codegen like double sums.
+Here each value is taken to whole units of 10^-``MONEY_SCALE`` (a hundredth
+of a cent: fares, taxes and distances keep every digit they have, float
+noise such as 0.30000000000000004 or a float32 fare's tail is cut) and the
+units are summed as ``long``: exact, independent of order, and as fast as a
+double sum (no per-row decimal objects; a ``decimal`` sum measured three
+times slower). The result is returned as double, like the plain ``sum``.
+
+A group holding NaN, an infinity or a value of 10^14 or more falls back to
+the plain double ``sum`` (so NaN still propagates as in the original).
+Within the bound a sum holds up to 9.2 * 10^14, far beyond any trip total;
+under ANSI an overflow raises instead of wrapping.
 """
 
 from __future__ import annotations
@@ -14,26 +20,34 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# decimal(18, 6) holds values up to 10^12; the sum buffer is decimal(28, 6),
-# room for 10^22, far beyond any trip total.
-_MONEY_PRECISION = 18
-MONEY_SCALE = 6
+MONEY_SCALE = 4
+# |value| below this keeps value * 10^scale well inside a long
+_SAFE_LIMIT = 1e14
 
 
-def _dec(col: Column | str, scale: int) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast(f"decimal({_MONEY_PRECISION},{scale})")
+def _col(col: Column | str) -> Column:
+    return F.col(col) if isinstance(col, str) else col
+
+
+def units(col: Column | str, scale: int = MONEY_SCALE) -> Column:
+    """The value in whole 10^-scale units, half up; null outside the safe range."""
+    c = _col(col)
+    scaled = F.floor(c * F.lit(float(10**scale)) + F.lit(0.5)).cast("long")
+    return F.when(F.abs(c) < F.lit(_SAFE_LIMIT), scaled)
 
 
 def exact_sum(col: Column | str, scale: int = MONEY_SCALE) -> Column:
-    """``sum`` of the value rounded to ``scale`` decimals, as double."""
-    return F.sum(_dec(col, scale)).cast("double")
+    """``sum`` of the values taken to ``scale`` decimals, exact, as double."""
+    c = _col(col)
+    unsafe = F.count_if(~(F.abs(c) < F.lit(_SAFE_LIMIT)))
+    exact = F.sum(units(c, scale)).cast("double") / F.lit(float(10**scale))
+    return F.when(unsafe > 0, F.sum(c).cast("double")).otherwise(exact)
 
 
 def exact_avg(col: Column | str, scale: int = MONEY_SCALE) -> Column:
     """``avg`` as exact sum / count of non-null values, as double."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.sum(_dec(c, scale)).cast("double") / F.count(c)
+    c = _col(col)
+    return exact_sum(c, scale) / F.count(c)
 
 
 def measure_sum(col: str, exact: bool, scale: int = MONEY_SCALE) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.functions.money import MONEY_SCALE, measure_avg, measure_sum
+from tripflow.functions.money import _SAFE_LIMIT, MONEY_SCALE, measure_avg, measure_sum
 
 
 @dataclass(frozen=True)
@@ -73,9 +73,9 @@ def zone_month_report(
 ) -> DataFrame:
     """Sums and averages per (``revenue_zone``, ``revenue_month``, ``service_type``).
 
-    ``exact=True`` sums each value taken to a millionth as a decimal and
-    returns doubles: the figures no longer depend on partitioning or row
-    order. ``exact=False``
+    ``exact=True`` sums each value taken to a hundredth of a cent, exactly
+    (see ``functions.money``), and returns doubles: the figures no longer
+    depend on partitioning or row order. ``exact=False``
     gives the plain double ``sum``/``avg``.
     """
     measures = measures or measures_for(trips)
@@ -95,11 +95,15 @@ def report_sql(view: str, measures: list[Measure], exact: bool = True, ntz: bool
     lines = []
     for m in measures:
         if exact:
-            dec = f"CAST({m.column} AS DECIMAL(18,{MONEY_SCALE}))"
-            if m.kind == "sum":
-                expr = f"CAST(SUM({dec}) AS DOUBLE)"
-            else:
-                expr = f"CAST(SUM({dec}) AS DOUBLE) / COUNT({m.column})"
+            c, unit = m.column, float(10**MONEY_SCALE)
+            safe = f"ABS({c}) < {_SAFE_LIMIT!r}"
+            exact_units = f"CAST(FLOOR({c} * {unit!r} + 0.5) AS BIGINT)"
+            expr = (
+                f"CASE WHEN COUNT_IF(NOT ({safe})) > 0 THEN CAST(SUM({c}) AS DOUBLE) "
+                f"ELSE CAST(SUM(CASE WHEN {safe} THEN {exact_units} END) AS DOUBLE) / {unit!r} END"
+            )
+            if m.kind == "avg":
+                expr = f"({expr}) / COUNT({c})"
         else:
             expr = f"{m.kind.upper()}({m.column})"
         lines.append(f"    {expr} AS {m.alias}")

@@ -221,8 +221,8 @@ REPORT_CORE = [m for m in REPORT_FULL if m[1] not in ("extra", "improvement_surc
 
 
 def _exact(kind: str, col: str) -> str:
-    # each value to a millionth, summed exactly (the rule of the Spark side)
-    s = f"CAST(SUM(CAST({col} AS DECIMAL(18,6))) AS DOUBLE)"
+    # each value to a hundredth of a cent, summed exactly (the rule of the Spark side)
+    s = f"CAST(SUM(CAST({col} AS DECIMAL(18,4))) AS DOUBLE)"
     return s if kind == "sum" else f"{s} / COUNT({col})"
 
 
