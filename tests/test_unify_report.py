@@ -132,3 +132,27 @@ def test_exact_sum_rules(spark):
     # NaN and out-of-range values fall back to the plain double sum
     assert doubles["b"][0] != doubles["b"][0]
     assert doubles["c"][0] == 2e14 + 1.0
+
+
+def test_sql_twin_follows_the_exact_rules(spark):
+    import math
+
+    trips = union_services([to_common(_green(spark), GREEN)])
+    trips = trips.withColumn(
+        "fare_amount", F.when(F.col("PULocationID") == 11, F.lit(float("nan"))).otherwise(F.col("fare_amount"))
+    )
+    df_rows = {(r.revenue_zone, r.revenue_month): r for r in zone_month_report(trips, REPORT_MEASURES).collect()}
+    sql_rows = {
+        (r.revenue_zone, r.revenue_month): r
+        for r in zone_month_report_sql(spark, trips, "trips_nan", REPORT_MEASURES).collect()
+    }
+    assert df_rows.keys() == sql_rows.keys()
+    for key, a in df_rows.items():
+        b = sql_rows[key]
+        for name in a.asDict():
+            x, y = a[name], b[name]
+            if isinstance(x, float) and math.isnan(x):
+                assert isinstance(y, float) and math.isnan(y)
+            else:
+                assert x == y, (key, name, x, y)
+    assert math.isnan(df_rows[(11, datetime(2024, 2, 1))].revenue_monthly_fare)
