@@ -49,3 +49,30 @@ def test_balanced_leaves_large_scans_alone(spark, tmp_path):
     assert balanced(df, 8) is df
     small = spark.range(0, 10, 1, 1)
     assert balanced(small, 8).rdd.getNumPartitions() == 8
+
+
+def test_stream_plans_stay_in_the_jvm(spark, sf_small):
+    import contextlib
+    import io
+
+    from tripflow.operators import metrics as M
+    from tripflow.operators.wire import decode_rides
+    from tripflow.plans.adapters import rides_from_events
+    from tripflow.sources.stream import table_stream
+
+    rides = rides_from_events(table_stream(spark, sf_small, "events"))
+    plans = [
+        M.running_totals(rides),
+        M.window_metrics(rides),
+        M.anomalies(rides),
+        M.surcharged_trips(rides),
+        M.peak_windows(rides),
+        decode_rides(rides.selectExpr("CAST(VendorID AS STRING) AS value")),
+    ]
+    for plan in plans:
+        assert plan.isStreaming
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            plan.explain(True)
+        text = buf.getvalue()
+        assert not any(node in text for node in PYTHON_NODES), text
