@@ -12,13 +12,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm import oracle
-from tripflow.llm.common import documents
+from tripflow.llm.common import crc32_of, documents
 from tripflow.llm.exact_dedup import exact_dedup
+from tripflow.llm.language_id import identify, train_profiles
 from tripflow.llm.sharding import shard_rows
+from tripflow.llm.substring_dedup import remove_repeats
 
 SHARDS = 24
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = crc32_of(F.col("doc_id")) % 3 == 1
+    profiles = train_profiles(docs.filter(~F.coalesce(held_out, F.lit(False))))
+    return identify(docs, profiles, keep=["doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out")])
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_rows(documents(spark, sf_dir), SHARDS)
     return placed.select(
@@ -32,13 +41,22 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_repeats(documents(spark, sf_dir), 20)
+    return cleaned.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_language_id": op2_language_id,
         "op4_sharding": op4_sharding,
+        "op8_substring_dedup": op8_substring_dedup,
         "op10_exact_dedup": op10_exact_dedup,
     }
 
