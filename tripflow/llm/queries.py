@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm import oracle
+from tripflow.llm.bpe import encode_texts
 from tripflow.llm.common import crc32_of, documents
 from tripflow.llm.exact_dedup import exact_dedup
 from tripflow.llm.language_id import identify, train_profiles
@@ -41,6 +42,23 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def vocabulary_path() -> str:
+    """Place of the vocabulary that the queries encode with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_texts(documents(spark, sf_dir), vocabulary_path(), decoded=True)
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = remove_repeats(documents(spark, sf_dir), 20)
     return cleaned.select(
@@ -56,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_language_id": op2_language_id,
         "op4_sharding": op4_sharding,
+        "op5_bpe": op5_bpe,
         "op8_substring_dedup": op8_substring_dedup,
         "op10_exact_dedup": op10_exact_dedup,
     }
