@@ -18,10 +18,20 @@ from tripflow.llm.exact_dedup import exact_dedup
 from tripflow.llm.language_id import identify, train_profiles
 from tripflow.llm.sharding import shard_rows
 from tripflow.llm.substring_dedup import remove_repeats
+from tripflow.llm.toxicity import score_toxicity, train_toxicity
 
 SHARDS = 24
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.coalesce(crc32_of(F.col("doc_id")) % 5 == 0, F.lit(False))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = train_toxicity(docs.filter(~held_out), labels.filter(~held_out))
+    scored = score_toxicity(docs, model, keep=("doc_id", held_out.alias("held_out")))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = crc32_of(F.col("doc_id")) % 3 == 1
@@ -72,6 +82,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op2_language_id": op2_language_id,
         "op4_sharding": op4_sharding,
         "op5_bpe": op5_bpe,
