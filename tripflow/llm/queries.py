@@ -16,6 +16,7 @@ from tripflow.llm.bpe import encode_texts
 from tripflow.llm.common import crc32_of, documents
 from tripflow.llm.exact_dedup import exact_dedup
 from tripflow.llm.language_id import identify, train_profiles
+from tripflow.llm.ngram_join import linked_groups
 from tripflow.llm.sharding import shard_rows
 from tripflow.llm.substring_dedup import remove_repeats
 from tripflow.llm.toxicity import score_toxicity, train_toxicity
@@ -69,6 +70,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_groups(documents(spark, sf_dir), size=3, num=90, den=100)
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = remove_repeats(documents(spark, sf_dir), 20)
     return cleaned.select(
@@ -86,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_language_id": op2_language_id,
         "op4_sharding": op4_sharding,
         "op5_bpe": op5_bpe,
+        "op6_ngram_join": op6_ngram_join,
         "op8_substring_dedup": op8_substring_dedup,
         "op10_exact_dedup": op10_exact_dedup,
     }
