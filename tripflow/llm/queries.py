@@ -16,6 +16,7 @@ from tripflow.llm.bpe import encode_texts
 from tripflow.llm.common import crc32_of, documents
 from tripflow.llm.exact_dedup import exact_dedup
 from tripflow.llm.language_id import identify, train_profiles
+from tripflow.llm.line_dedup import remove_lines
 from tripflow.llm.ngram_join import linked_groups
 from tripflow.llm.sharding import shard_rows
 from tripflow.llm.substring_dedup import remove_repeats
@@ -81,6 +82,17 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_lines(documents(spark, sf_dir))
+    return cleaned.select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.concat_ws(",", F.transform("removed_lines", lambda x: x.cast("string"))).alias("removed_lines"),
+        F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
@@ -93,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_bpe": op5_bpe,
         "op6_ngram_join": op6_ngram_join,
         "op8_substring_dedup": op8_substring_dedup,
+        "op9_line_dedup": op9_line_dedup,
         "op10_exact_dedup": op10_exact_dedup,
     }
 
