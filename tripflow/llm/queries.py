@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tripflow.llm import oracle
 from tripflow.llm.bpe import encode_texts
 from tripflow.llm.common import crc32_of, documents
+from tripflow.llm.decontaminate import contaminated
 from tripflow.llm.exact_dedup import exact_dedup
 from tripflow.llm.language_id import identify, train_profiles
 from tripflow.llm.line_dedup import remove_lines
@@ -41,6 +42,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, profiles, keep=["doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out")])
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_rows(documents(spark, sf_dir), SHARDS)
     return placed.select(
@@ -101,6 +106,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_language_id": op2_language_id,
+        "op3_decontamination": op3_decontamination,
         "op4_sharding": op4_sharding,
         "op5_bpe": op5_bpe,
         "op6_ngram_join": op6_ngram_join,
