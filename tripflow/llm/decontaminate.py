@@ -17,10 +17,11 @@ verified by the exact edit distance, so no clean document is reported.
 
 A window starts at every word of every document and is as long as the item.
 The walk from a word doesn't depend on the window's length, so all lengths
-share it. Two lossless steps keep the work small: a window can only match if
-all but ``floor(max_edits * n)`` of its words are benchmark words, which
-running sums tell; and of a window's sampled words the first must equal some
-item's first sampled word before the walk goes on.
+share it; items of similar length share their samples too. Two lossless
+steps keep the work small. A window can only match if all but ``floor(max_edits
+* n)`` of an item's words, and of its words that are rare in the benchmark,
+lie in it; running sums of benchmark words and of rare ones tell. And a walk
+goes on only while the sampled words are those of some item.
 
 Items are broadcast in blocks of at most ``block_words`` words, and each
 block is one pass over the documents, so the benchmark may have any size.
@@ -46,7 +47,7 @@ from pyspark.sql import functions as F
 from tripflow.llm.textnp import mix, parts
 
 NOISE = re.compile(r"[\W_]+")
-COORDS = 3
+COORDS = 2
 PART, PIECE = 1 << 22, 1 << 20
 GAP = -1  # a token without letters or digits
 
@@ -80,36 +81,48 @@ def _bits(seed: int, step: int, vocabulary: int) -> np.ndarray:
 
 @dataclass
 class Walk:
-    """One CGK walk: its seed and, for each window length, the sampled steps."""
+    """One CGK walk: its seed, whether it reads backwards, the sampled steps of each class of lengths."""
 
     seed: int
+    back: bool
     steps: dict[int, tuple[int, ...]]
 
 
-def plan_walks(lengths: list[int], repeats: int, seed: int = 11) -> list[Walk]:
-    """Independent walks; samples come from the steps before a walk nears its window's end."""
+def plan_walks(classes: dict[int, int], repeats: int, seed: int = 11) -> list[Walk]:
+    """Independent walks; ``classes`` has the least length of each class of lengths.
+
+    The first sample comes from the walk's beginning, so that most windows
+    leave it early; the others from all steps before it nears the window's
+    end. Every second walk reads the window backwards, from its end.
+    """
     rng = np.random.default_rng(seed)
-    return [
-        Walk(
-            r + 1,
-            {
-                n: tuple(sorted(rng.choice(max(COORDS, int(1.5 * n)), size=COORDS, replace=False).tolist()))
-                for n in lengths
-            },
-        )
-        for r in range(repeats)
-    ]
-
-
-def embed(strings: np.ndarray, walk: Walk, n: int, bits) -> np.ndarray:
-    """The sampled coordinates of each row (a string of ``n`` words; past it 0)."""
+    walks = []
+    for r in range(repeats):
+        steps = {}
+        for c, n in classes.items():
+            first = int(rng.integers(0, max(1, int(0.3 * n))))
+            rest = rng.choice(np.arange(first + 1, max(first + COORDS, int(1.5 * n))), COORDS - 1, replace=False)
+            steps[c] = (first, *sorted(rest.tolist()))
+        walks.append(Walk(r + 1, r % 2 == 1, steps))
+    return walks
+
+
+def length_class(n: int) -> int:
+    return int(np.log(n) / np.log(1.15))
+
+
+def embed(strings: np.ndarray, walk: Walk, bits) -> np.ndarray:
+    """The sampled coordinates of each row (a string of words; past it 0)."""
+    n = strings.shape[1]
+    steps = walk.steps[length_class(n)]
     rows = np.arange(len(strings))
     cursor = np.zeros(len(strings), dtype=np.int64)
+    strings = strings[:, ::-1] if walk.back else strings
     padded = np.column_stack([strings, np.zeros(len(strings), dtype=strings.dtype)])
     out = []
-    for step in range(walk.steps[n][-1] + 1):
+    for step in range(steps[-1] + 1):
         word = padded[rows, np.minimum(cursor, n)]
-        if step in walk.steps[n]:
+        if step in steps:
             out.append(word)
         cursor += bits(walk.seed, step)[word]
     return np.column_stack(out)
@@ -158,9 +171,24 @@ class Items:
             self.ids.setdefault(len(words), []).append(item)
         self.strings = {n: np.array(s, dtype=np.int32) for n, s in strings.items()}
         self.edits = {n: int(max_edits * n + 1e-9) for n in strings}
+        # words of at most a hundredth of the items are rare
+        uses = np.zeros(len(self.vocabulary) + 1, dtype=np.int64)
+        for s in self.strings.values():
+            for item in s:
+                uses[np.unique(item)] += 1
+        self.rare = uses <= max(1, len(items) // 100)
+        self.rare[0] = False
         self.walks: list[Walk] = []
         self._cache: dict[tuple[int, int], np.ndarray] = {}
 
+    def groups(self) -> dict[tuple[int, int], list[tuple[int, int]]]:
+        """Items as (length, number), by class of length and by their share of rare words."""
+        out: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for n, s in sorted(self.strings.items()):
+            for k, share in enumerate((self.rare[s].mean(axis=1) * 5).astype(int).tolist()):
+                out.setdefault((length_class(n), share), []).append((n, k))
+        return out
+
     def bits(self, seed: int, step: int) -> np.ndarray:
         got = self._cache.get((seed, step))
         if got is None:
@@ -171,7 +199,10 @@ class Items:
         """As many walks as random edits of the items need to be found with ``recall``."""
         rng = np.random.default_rng(5)
         lengths = sorted(self.strings)
-        self.walks = plan_walks(lengths, most)
+        classes: dict[int, int] = {}
+        for n in lengths:
+            classes.setdefault(length_class(n), n)
+        self.walks = plan_walks(classes, most)
         missed, counted = np.zeros(most), 0
         for n in lengths:
             share = max(1, trials * len(self.strings[n]) // sum(map(len, self.strings.values())))
@@ -185,7 +216,7 @@ class Items:
             open_ = np.ones(int(ok.sum()), dtype=bool)
             counted += len(open_)
             for k, walk in enumerate(self.walks):
-                a, b = embed(near[ok], walk, n, self.bits), embed(whole[ok], walk, n, self.bits)
+                a, b = embed(near[ok], walk, self.bits), embed(whole[ok], walk, self.bits)
                 open_ &= (a != b).any(axis=1)
                 missed[k] += open_.sum()
         enough = np.flatnonzero(missed <= (1 - recall) * counted)
@@ -200,9 +231,17 @@ class Finder:
         self.items = items
         self.numbers = _Numbers(items.vocabulary)
         self.reach = max(items.strings)
-        # for each length and walk, the items' samples as a trie: the sorted keys of each level
+        # for each group of items and each walk, the samples as a trie: the sorted keys of each level
         # (number of the node above, word), and the items below each last node
-        self.tries = {n: [self._trie(embed(s, w, n, items.bits)) for w in items.walks] for n, s in items.strings.items()}
+        samples = {n: [embed(s, w, items.bits) for w in items.walks] for n, s in items.strings.items()}
+        self.groups = []
+        for (kind, _), members in items.groups().items():
+            tries = [
+                self._trie(np.array([samples[n][w][k] for n, k in members])) for w in range(len(items.walks))
+            ]
+            least = min(n - items.edits[n] for n, _ in members)
+            rare = min(int(items.rare[items.strings[n][k]].sum()) - items.edits[n] for n, k in members)
+            self.groups.append((kind, members, max(n for n, _ in members), least, rare, tries))
 
     def _trie(self, samples: np.ndarray):
         size = len(self.items.vocabulary) + 1
@@ -232,39 +271,55 @@ class Finder:
         stream = np.concatenate([x for w in words for x in (w, gap)]) if words else gap
         sizes = np.array([len(w) + self.reach for w in words])
         begin = np.cumsum(sizes) - sizes
-        known = np.concatenate([[0], np.cumsum(stream > 0)])
+        ways = []
+        for line in (stream, stream[::-1]):
+            known, rare = (
+                np.concatenate([[0], np.cumsum(x, dtype=np.int32)]) for x in (line > 0, self.items.rare[line])
+            )
+            ways.append((np.ascontiguousarray(line), known, rare))
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for n, strings in self.items.strings.items():
-            edits = self.items.edits[n]
-            inside = known[n:] - known[:-n]
-            starts = np.flatnonzero(inside >= n - edits)
-            if not len(starts):
-                continue
-            pairs = []
-            for walk, trie in zip(self.items.walks, self.tries[n], strict=True):
-                at, which = self._meet(stream, starts, walk, n, trie)
-                pairs.append(at * len(strings) + which)
+        for kind, members, width, least, least_rare, tries in self.groups:
+            lengths = np.array([n for n, _ in members])
+            pairs = [np.empty(0, dtype=np.int64)]
+            for back, (line, known, rare) in enumerate(ways):
+                near = known[width:] - known[:-width] >= least
+                near &= rare[width:] - rare[:-width] >= least_rare
+                starts = np.flatnonzero(near)
+                if not len(starts):
+                    continue
+                for walk, trie in zip(self.items.walks, tries, strict=True):
+                    if walk.back == bool(back):
+                        at, which = self._meet(line, starts, walk, walk.steps[kind], trie)
+                        if back:
+                            at = len(stream) - at - lengths[which]
+                            at, which = at[at >= 0], which[at >= 0]
+                        pairs.append(at * len(members) + which)
             both = np.unique(np.concatenate(pairs))
-            at, which = both // len(strings), both % len(strings)
-            for lo in range(0, len(at), 8192):
-                a, w = at[lo : lo + 8192], which[lo : lo + 8192]
-                far = edit_distances(stream[a[:, None] + np.arange(n)], strings[w])
-                for k in np.flatnonzero(far <= edits).tolist():
-                    text = int(np.searchsorted(begin, a[k], side="right")) - 1
-                    item = self.items.ids[n][int(w[k])]
-                    found = (int(far[k]), int(a[k] - begin[text]), n)
-                    if found < best.get((text, item), (1 << 30,)):
-                        best[text, item] = found
+            at, member = both // len(members), both % len(members)
+            length = lengths[member]
+            for n in np.unique(length).tolist():
+                a_n = at[length == n]
+                w_n = np.array([k for _, k in members])[member[length == n]]
+                edits, strings = self.items.edits[n], self.items.strings[n]
+                for lo in range(0, len(a_n), 8192):
+                    a, w = a_n[lo : lo + 8192], w_n[lo : lo + 8192]
+                    far = edit_distances(stream[a[:, None] + np.arange(n)], strings[w])
+                    for k in np.flatnonzero(far <= edits).tolist():
+                        text = int(np.searchsorted(begin, a[k], side="right")) - 1
+                        item = self.items.ids[n][int(w[k])]
+                        found = (int(far[k]), int(a[k] - begin[text]), n)
+                        if found < best.get((text, item), (1 << 30,)):
+                            best[text, item] = found
         return [(text, item, *found) for (text, item), found in sorted(best.items())]
 
-    def _meet(self, stream, starts, walk, n, trie):
+    def _meet(self, stream, starts, walk, steps, trie):
         """Windows and items with equal samples in one walk."""
         levels, order, ends = trie
-        steps, size = walk.steps[n], len(self.items.vocabulary) + 1
-        cursor, node = np.zeros(len(starts), dtype=np.int64), np.zeros(len(starts), dtype=np.int64)
+        size = len(self.items.vocabulary) + 1
+        cursor, node = np.zeros(len(starts), dtype=np.int32), np.zeros(len(starts), dtype=np.int64)
         level = 0
         for step in range(steps[-1] + 1):
-            word = np.where(cursor < n, stream[np.minimum(starts + cursor, len(stream) - 1)], 0)
+            word = stream[np.minimum(starts + cursor, len(stream) - 1)]
             if step == steps[level]:
                 keys, value = levels[level], node * size + word
                 at = np.searchsorted(keys, value)
@@ -284,7 +339,7 @@ def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
     max_edits: float = 0.2,
-    recall: float = 0.99,
+    recall: float = 0.97,
     min_words: int = 5,
     max_repeats: int = 48,
     block_words: int = 1_000_000,
