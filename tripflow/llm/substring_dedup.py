@@ -48,8 +48,10 @@ NO_ID = -(2**63)
 # Windows that one bucket should hold; bytes of text that a word takes at least.
 BUCKET_WINDOWS, WORD_BYTES = 1_000_000, 6
 ID_BITS = 1 << 24
+# Bytes of text that a task hashes at once.
+PART = 1 << 23
 
-# one row for each batch and bucket; marks made on the spot have bucket -1 and their id in one_id
+# one row for each batch and bucket; marks made on the spot have a bucket below 0 and their id in one_id
 PACKED = "bucket int, n int, hash binary, id binary, start binary, one_id long"
 MARKED = "id long, starts binary"
 
@@ -98,7 +100,7 @@ def _pack(size: int, buckets: int):
             ]
         )
         for whole in batches:
-            for batch in parts(whole, 1):
+            for batch in parts(whole, 1, PART):
                 data, offsets = text_bytes(batch.column(1))
                 begin, end, first = word_spans(data, offsets)
                 words = span_hashes(symbols[data], begin, end)
@@ -116,7 +118,7 @@ def _pack(size: int, buckets: int):
                     order = np.argsort(ids[again], kind="stable")
                     done = _starts_by_id(ids[again][order], starts[again][order])
                     for id_, got in zip(done["id"], done["starts"], strict=True):
-                        rows["bucket"].append(-1)
+                        rows["bucket"].append(-1 - id_ % buckets)
                         rows["n"].append(len(got) // 4)
                         rows["hash"].append(None)
                         rows["id"].append(None)
@@ -143,6 +145,8 @@ def _pack(size: int, buckets: int):
 
 def _mark(table: pa.Table) -> pa.Table:
     """The marked windows of one bucket."""
+    if table.column("bucket")[0].as_py() < 0:
+        return pa.table({"id": table.column("one_id"), "starts": table.column("start")})
     hashes, ids, starts = [], [], []
     for r in table.select(["n", "hash", "id", "start"]).to_pylist():
         hashes.append(np.frombuffer(r["hash"], dtype=np.uint64))
@@ -165,18 +169,13 @@ def marked_windows(docs: DataFrame, size: int = 20, id_col: str = "doc_id", text
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     packed = rows.mapInArrow(_pack(size, bucket_count(total)), PACKED)
-    packed = settle(packed, "substring-windows")
-    far = packed.filter("bucket >= 0").groupBy("bucket").applyInArrow(_mark, MARKED)
-    near = packed.filter("bucket < 0").select(
-        F.col("one_id").alias("id"), F.col("start").alias("starts")
-    )
-    return far.unionByName(near)
+    return packed.groupBy("bucket").applyInArrow(_mark, MARKED)
 
 
 def _remove(size: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in parts(whole, 0):
+            for batch in parts(whole, 0, PART):
                 texts, marks = batch.column(0), batch.column(1)
                 n_words, n_removed, kept, spans = [], [], [], []
                 for text, starts in zip(texts, marks, strict=True):
