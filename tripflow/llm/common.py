@@ -36,3 +36,10 @@ def crc32_of(value: Column) -> Column:
 def power_of_two(n: int, low: int, high: int) -> int:
     """The least power of two from ``n`` up, kept between ``low`` and ``high``."""
     return max(low, min(high, 1 << max(0, int(n - 1).bit_length())))
+
+
+def vocabulary_path() -> str:
+    """Place of the vocabulary file that the queries and the pipeline encode with."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")

@@ -335,6 +335,24 @@ class Finder:
         return np.repeat(starts, many), order[np.repeat(ends[node], many) + offset]
 
 
+def item_blocks(
+    benchmark: DataFrame, max_edits: float, recall: float, min_words: int, max_repeats: int, block_words: int
+) -> Iterator[Items]:
+    """The items in blocks of bounded size, each with its walks planned."""
+    items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select(
+        F.col("item_id").cast("long"), "text"
+    )
+    sizes = items.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
+    blocks = sizes // (4 * block_words) + 1
+    for b in range(blocks):
+        chosen = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
+        listed = [(r["item_id"], w) for r in chosen if len(w := normal_words(r["text"])) >= min_words]
+        if listed:
+            block = Items(sorted(listed), max_edits)
+            block.plan(recall, max_repeats)
+            yield block
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -348,25 +366,14 @@ def contaminated(
 ) -> DataFrame:
     """Rows (id, item_id, distance, first_word, n_words), one for each document and item found."""
     spark = docs.sparkSession
-    items = benchmark.filter("item_id IS NOT NULL AND text IS NOT NULL").select(
-        F.col("item_id").cast("long"), "text"
-    )
-    sizes = items.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    blocks = sizes // (4 * block_words) + 1
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, item_id long, distance int, first_word long, n_words int"
     rows = docs.select(id_col, F.col(text_col).alias("text"))
-    found = None
-    for b in range(blocks):  # blocks of bounded size, each searched for in all documents
-        chosen = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
-        listed = [(r["item_id"], w) for r in chosen if len(w := normal_words(r["text"])) >= min_words]
-        if not listed:
-            continue
-        block = Items(sorted(listed), max_edits)
-        block.plan(recall, max_repeats)
+    found = spark.createDataFrame([], schema)
+    for block in item_blocks(benchmark, max_edits, recall, min_words, max_repeats, block_words):
         here = rows.mapInArrow(_search(spark.sparkContext.broadcast(block), id_col), schema)
-        found = here if found is None else found.unionByName(here)
-    return spark.createDataFrame([], schema) if found is None else found
+        found = found.unionByName(here)
+    return found
 
 
 def _search(shared, id_col: str):
@@ -376,21 +383,40 @@ def _search(shared, id_col: str):
             for batch in parts(whole, 1, PART):
                 got = finder.search(batch.column(1).to_pylist())
                 columns = list(zip(*got, strict=True)) or [[]] * 5
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32())
+                row, *values = (pa.array(c, k) for c, k in zip(columns, kinds, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array(columns[0], pa.int64())),
-                        pa.array(columns[1], pa.int64()),
-                        pa.array(columns[2], pa.int32()),
-                        pa.array(columns[3], pa.int64()),
-                        pa.array(columns[4], pa.int32()),
-                    ],
+                    [batch.column(0).take(row), *values],
                     names=[id_col, "item_id", "distance", "first_word", "n_words"],
                 )
 
     return run
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **settings) -> DataFrame:
-    """The rows of ``docs`` without a benchmark passage, all columns unchanged."""
-    hits = contaminated(docs, benchmark, id_col=id_col, **settings).select(F.col(id_col).alias("_hit")).distinct()
-    return docs.join(hits, F.col(id_col).eqNullSafe(F.col("_hit")), "left_anti")
+def clean_documents(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    max_edits: float = 0.2,
+    recall: float = 0.97,
+    min_words: int = 5,
+    max_repeats: int = 48,
+    block_words: int = 1_000_000,
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` without a benchmark passage, all columns unchanged; no row moves."""
+    at = docs.columns.index(text_col)
+
+    def pure(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            finder = Finder(shared.value)
+            for whole in batches:
+                for batch in parts(whole, at, PART):
+                    hit = {row for row, *_ in finder.search(batch.column(at).to_pylist())}
+                    yield batch.filter(pa.array([k not in hit for k in range(batch.num_rows)], pa.bool_()))
+
+        return run
+
+    context = docs.sparkSession.sparkContext
+    for block in item_blocks(benchmark, max_edits, recall, min_words, max_repeats, block_words):
+        docs = docs.mapInArrow(pure(context.broadcast(block)), docs.schema)
+    return docs

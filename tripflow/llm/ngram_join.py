@@ -485,3 +485,29 @@ def linked_groups(
     return out.withColumn("root", F.coalesce("root", "id")).select(
         real("id").alias(id_col), F.col("n").alias("n_shingles"), real("root").alias("component_id")
     )
+
+
+def one_of_each_group(
+    docs: DataFrame, size: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` less near duplicates: of linked documents the one with the smallest id stays.
+
+    Of rows with one id (not null) one stays. Only rows that may go are
+    shuffled; a bit set of their ids lets the others pass.
+    """
+    groups = settle(linked_groups(docs, size, num, den, id_col, text_col), "ngram-groups")
+    gone = groups.filter(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col).distinct()
+    twice = groups.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1").select(id_col)
+    key = F.col(id_col).cast("long")
+    bits = power_of_two(16 * groups.count(), 1 << 16, 1 << 26)
+    marks = gone.unionByName(twice).select(position(key, bits).alias("p"))
+    marked = settle(bit_set(marks, "p"), "ngram-marked")
+    tested = with_test(docs.withColumn("_p", position(key, bits)), "_p", marked, "_marked").drop("_p")
+    some = tested.filter("_marked").drop("_marked").join(gone, id_col, "left_anti")
+    again = some.join(twice, id_col, "left_semi").dropDuplicates([id_col])
+    return (
+        tested.filter("NOT _marked")
+        .drop("_marked")
+        .unionByName(some.join(twice, id_col, "left_anti").select(docs.columns))
+        .unionByName(again.select(docs.columns))
+    )

@@ -11,9 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tripflow.llm import oracle
 from tripflow.llm.bpe import encode_texts
-from tripflow.llm.common import crc32_of, documents
+from tripflow.llm.chat_format import format_chats
+from tripflow.llm.common import crc32_of, documents, vocabulary_path
 from tripflow.llm.decontaminate import contaminated
 from tripflow.llm.exact_dedup import exact_dedup
 from tripflow.llm.language_id import identify, train_profiles
@@ -59,13 +61,6 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def vocabulary_path() -> str:
-    """Place of the vocabulary that the queries encode with."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = encode_texts(documents(spark, sf_dir), vocabulary_path(), decoded=True)
     return coded.select(
@@ -80,6 +75,10 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_groups(documents(spark, sf_dir), size=3, num=90, den=100)
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = remove_repeats(documents(spark, sf_dir), 20)
     return cleaned.select(
@@ -110,9 +109,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_sharding": op4_sharding,
         "op5_bpe": op5_bpe,
         "op6_ngram_join": op6_ngram_join,
+        "op7_chat_format": op7_chat_format,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_line_dedup": op9_line_dedup,
         "op10_exact_dedup": op10_exact_dedup,
+        "pipeline": corpus_pipeline.run,
     }
 
 
