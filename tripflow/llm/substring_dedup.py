@@ -51,23 +51,44 @@ ID_BITS = 1 << 24
 # Bytes of text that a task hashes at once.
 PART = 1 << 23
 
-# one row for each batch and bucket; marks made on the spot have a bucket below 0 and their id in one_id
-PACKED = "bucket int, n int, hash binary, id binary, start binary, one_id long"
-MARKED = "id long, starts binary"
+# one row for each batch and bucket; windows marked on the spot have a bucket below 0, by their id
+PACKED = "bucket int, n int, hash binary, id binary, start binary"
+# marked windows, packed by a hash of their id
+MARKED = "part int, n int, id binary, start binary"
 
 
 def bucket_count(total_bytes: int) -> int:
     """Buckets for so many bytes of text."""
-    return max(1, min(1 << 16, total_bytes // (BUCKET_WINDOWS * WORD_BYTES) + 1))
+    return max(1, min((1 << 16) - 1, total_bytes // (BUCKET_WINDOWS * WORD_BYTES) + 1))
+
+
+def _parts(ids: np.ndarray, count: int) -> np.ndarray:
+    """Which of ``count`` parts an id belongs to."""
+    return (mix(ids.view(np.uint64)) % np.uint64(count)).astype(np.uint16)
+
+
+def _packed(key: np.ndarray, count: int, ids: np.ndarray, starts: np.ndarray) -> Iterator[tuple]:
+    """(key, rows, number, ids, starts) of each key that occurs, ids and starts compressed."""
+    order = np.argsort(key, kind="stable")
+    edges = np.concatenate([[0], np.cumsum(np.bincount(key, minlength=count))])
+    for k in np.flatnonzero(np.diff(edges)).tolist():
+        cut = order[edges[k] : edges[k + 1]]
+        yield (
+            k,
+            cut,
+            len(cut),
+            squeeze(np.diff(ids[cut], prepend=np.int64(0))),
+            squeeze(np.diff(starts[cut], prepend=np.int32(0))),
+        )
 
 
-def _starts_by_id(ids: np.ndarray, starts: np.ndarray) -> dict[str, list]:
-    """Rows (id, starts) of marked windows; ids must be grouped."""
-    edges = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])) if len(ids) else np.empty(0, int)
-    return {
-        "id": ids[edges].tolist(),
-        "starts": [x.astype("<i4").tobytes() for x in np.split(starts, edges[1:])] if len(edges) else [],
-    }
+def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The ids and starts of packed rows."""
+    ids, starts = [], []
+    for r in table.select(["n", "id", "start"]).to_pylist():
+        ids.append(np.cumsum(spread(r["id"], np.int64, r["n"]), dtype=np.int64))
+        starts.append(np.cumsum(spread(r["start"], np.int32, r["n"]), dtype=np.int32))
+    return np.concatenate(ids), np.concatenate(starts)
 
 
 def _repeats(hashes: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -89,16 +110,7 @@ def _repeats(hashes: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndar
 def _pack(size: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols = byte_symbols(lower=False)
-        schema = pa.schema(
-            [
-                ("bucket", pa.int32()),
-                ("n", pa.int32()),
-                ("hash", pa.binary()),
-                ("id", pa.binary()),
-                ("start", pa.binary()),
-                ("one_id", pa.int64()),
-            ]
-        )
+        kinds = {"bucket": pa.int32(), "n": pa.int32(), "hash": pa.binary(), "id": pa.binary(), "start": pa.binary()}
         for whole in batches:
             for batch in parts(whole, 1, PART):
                 data, offsets = text_bytes(batch.column(1))
@@ -110,66 +122,69 @@ def _pack(size: int, buckets: int):
                     continue
                 hashes = span_hashes(words, at, at + size)
                 text = np.searchsorted(first, at, side="right") - 1
-                ids = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)[text]
+                ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[text]
                 starts = (at - first[text]).astype(np.int32)
                 again = _repeats(hashes, ids, starts)
-                rows: dict[str, list] = {k: [] for k in schema.names}
+                rows: list[tuple] = []
                 if again.any():
-                    order = np.argsort(ids[again], kind="stable")
-                    done = _starts_by_id(ids[again][order], starts[again][order])
-                    for id_, got in zip(done["id"], done["starts"], strict=True):
-                        rows["bucket"].append(-1 - id_ % buckets)
-                        rows["n"].append(len(got) // 4)
-                        rows["hash"].append(None)
-                        rows["id"].append(None)
-                        rows["start"].append(got)
-                        rows["one_id"].append(id_)
+                    done, where = ids[again], starts[again]
+                    for k, _, n, i, s in _packed(_parts(done, buckets), buckets, done, where):
+                        rows.append((-1 - k, n, b"", i, s))
                     hashes, ids, starts = hashes[~again], ids[~again], starts[~again]
                 # the bucket comes from other bits than those that the hash compares first
                 bucket = (mix(hashes ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(buckets)).astype(np.uint16)
-                order = np.argsort(bucket, kind="stable")
-                edges = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
-                hashes, ids, starts = hashes[order], ids[order], starts[order]
-                for b in np.flatnonzero(np.diff(edges)):
-                    cut = slice(edges[b], edges[b + 1])
-                    rows["bucket"].append(int(b))
-                    rows["n"].append(int(edges[b + 1] - edges[b]))
-                    rows["hash"].append(hashes[cut].tobytes())
-                    rows["id"].append(squeeze(np.diff(ids[cut], prepend=np.int64(0))))
-                    rows["start"].append(squeeze(np.diff(starts[cut], prepend=np.int32(0))))
-                    rows["one_id"].append(None)
-                yield pa.RecordBatch.from_pydict(rows, schema=schema)
+                for b, cut, n, i, s in _packed(bucket, buckets, ids, starts):
+                    rows.append((b, n, hashes[cut].tobytes(), i, s))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), kinds.values(), strict=True)],
+                    names=list(kinds),
+                )
 
     return run
 
 
-def _mark(table: pa.Table) -> pa.Table:
-    """The marked windows of one bucket."""
-    if table.column("bucket")[0].as_py() < 0:
-        return pa.table({"id": table.column("one_id"), "starts": table.column("start")})
-    hashes, ids, starts = [], [], []
-    for r in table.select(["n", "hash", "id", "start"]).to_pylist():
-        hashes.append(np.frombuffer(r["hash"], dtype=np.uint64))
-        ids.append(np.cumsum(spread(r["id"], np.int64, r["n"]), dtype=np.int64))
-        starts.append(np.cumsum(spread(r["start"], np.int32, r["n"]), dtype=np.int32))
-    h, i, s = np.concatenate(hashes), np.concatenate(ids), np.concatenate(starts)
-    again = _repeats(h, i, s)
-    i, s = i[again], s[again]
-    order = np.argsort(i, kind="stable")
-    return pa.table(
-        _starts_by_id(i[order], s[order]), schema=pa.schema([("id", pa.int64()), ("starts", pa.binary())])
-    )
+def _mark(buckets: int):
+    def run(table: pa.Table) -> pa.Table:
+        """The marked windows of one bucket."""
+        kinds = {"part": pa.int32(), "n": pa.int32(), "id": pa.binary(), "start": pa.binary()}
+        bucket = table.column("bucket")[0].as_py()
+        if bucket < 0:
+            part = pa.array(np.full(table.num_rows, -1 - bucket), pa.int32())
+            return pa.Table.from_arrays([part, *(table.column(k) for k in list(kinds)[1:])], names=list(kinds))
+        ids, starts = _unpacked(table)
+        hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("hash").to_pylist()])
+        again = _repeats(hashes, ids, starts)
+        ids, starts = ids[again], starts[again]
+        order = np.lexsort((starts, ids))
+        ids, starts = ids[order], starts[order]
+        rows = [(k, n, i, s) for k, _, n, i, s in _packed(_parts(ids, buckets), buckets, ids, starts)]
+        columns = zip(*rows, strict=True) if rows else [[]] * 4
+        return pa.Table.from_arrays(
+            [pa.array(x, kind) for x, kind in zip(columns, kinds.values(), strict=True)], names=list(kinds)
+        )
 
+    return run
 
-def marked_windows(docs: DataFrame, size: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (id, starts): the first words (int32 array as bytes) of windows that start earlier too.
 
-    An id has several rows.
-    """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+def _by_id(table: pa.Table) -> pa.Table:
+    """One row for each id of a part, with its marked starts."""
+    ids, starts = _unpacked(table)
+    order = np.lexsort((starts, ids))
+    ids, starts = ids[order], starts[order]
+    edges = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    blobs = [x.astype("<i4").tobytes() for x in np.split(starts, edges[1:])]
+    return pa.table({"id": pa.array(ids[edges]), "starts": pa.array(blobs, pa.binary())})
+
+
+def marked_windows(docs: DataFrame, size: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows (id, starts): the first words (int32 array as bytes) of an id's windows that start earlier too."""
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+    rows = docs.select(key.alias("id"), F.col(text_col).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    packed = rows.mapInArrow(_pack(size, bucket_count(total)), PACKED)
-    return packed.groupBy("bucket").applyInArrow(_mark, MARKED)
+    buckets = bucket_count(total)
+    packed = rows.mapInArrow(_pack(size, buckets), PACKED)
+    marked = packed.groupBy("bucket").applyInArrow(_mark(buckets), MARKED)
+    return marked.groupBy("part").applyInArrow(_by_id, "id long, starts binary")
 
 
 def _remove(size: int, names: list[str]):
@@ -181,14 +196,14 @@ def _remove(size: int, names: list[str]):
                 for text, starts in zip(texts, marks, strict=True):
                     words = (text.as_py() or "").encode().split()
                     n_words.append(len(words))
-                    pieces = starts.as_py()
-                    if not pieces:
+                    marked = starts.as_py()
+                    if not marked:
                         n_removed.append(0)
                         kept.append(b" ".join(words))
                         spans.append([])
                         continue
                     edge = np.zeros(len(words) + 1, dtype=np.int32)
-                    at = np.unique(np.concatenate([np.frombuffer(p, dtype="<i4") for p in pieces]))
+                    at = np.unique(np.frombuffer(marked, dtype="<i4"))
                     np.add.at(edge, at, 1)
                     np.add.at(edge, at + size, -1)
                     gone = np.cumsum(edge[:-1]) > 0
@@ -221,10 +236,10 @@ def remove_repeats(
     )
     rows = docs.select(F.col(text_col).alias("text"), F.col(id_col).alias(id_col), key.alias("_key"))
     rows = with_test(rows.withColumn("_p", position(F.col("_key"), ID_BITS)), "_p", marked_ids, "_marked")
-    by_id = marks.groupBy(F.col("id").alias("_key")).agg(F.collect_list("starts").alias("marks"))
+    by_id = marks.select(F.col("id").alias("_key"), F.col("starts").alias("marks"))
     some = rows.filter("_marked").join(by_id, "_key", "left").select("text", "marks", id_col)
     none = rows.filter("NOT _marked").select(
-        "text", F.lit(None).cast("array<binary>").alias("marks"), id_col
+        "text", F.lit(None).cast("binary").alias("marks"), id_col
     )
     both = none.unionByName(some)
     kind = docs.schema[id_col].dataType.simpleString()
