@@ -11,10 +11,11 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from tripflow.session import get_session
+    from tripflow.session import get_session, ship_package
 
     session = get_session("local[4]", app_name="tripflow-tests", shuffle_partitions=4)
     session.sparkContext.setLogLevel("ERROR")
+    ship_package(session)
     yield session
     session.stop()
 
