@@ -131,7 +131,7 @@ def test_type_drift_between_month_files(spark):
     from pyspark.sql import types as T
 
     from tripflow.session import scratch_path
-    from tripflow.sources.parquet import month_folders, read_months_conformed
+    from tripflow.sources.parquet import month_folders, read_months_merged
 
     root = scratch_path(spark, "drift")
     d = datetime
@@ -153,17 +153,8 @@ def test_type_drift_between_month_files(spark):
     for m, df in ((1, jan), (2, feb), (3, mar)):
         df.write.parquet(f"{root}/green/2019/{m:02d}/")
     assert [(y, m) for y, m, _ in month_folders(spark, root, GREEN, [2019])] == [(2019, 1), (2019, 2), (2019, 3)]
-    target = T.StructType(
-        [
-            T.StructField("VendorID", T.IntegerType()),
-            T.StructField("lpep_pickup_datetime", T.TimestampNTZType()),
-            T.StructField("lpep_dropoff_datetime", T.TimestampNTZType()),
-            T.StructField("PULocationID", T.IntegerType()),
-            T.StructField("DOLocationID", T.IntegerType()),
-            T.StructField("congestion_surcharge", T.DoubleType()),
-        ]
-    )
-    raw = read_months_conformed(spark, root, GREEN, target, [2019])
+    raw = read_months_merged(spark, root, GREEN, [2019])
+    assert raw.schema["congestion_surcharge"].dataType == T.DoubleType()
     got = sorted(clean_months(raw, GREEN).collect(), key=lambda r: r.lpep_pickup_datetime)
     assert [(r.VendorID, r.PULocationID, r.DOLocationID, r.congestion_surcharge, r.month) for r in got] == [
         (1, 10, 20, 1.5, 1),

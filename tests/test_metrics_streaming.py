@@ -1,3 +1,4 @@
+import pytest
 import time
 from datetime import datetime
 
@@ -184,41 +185,53 @@ def _many_files(spark, sf_small, n):
     return path, ev.schema
 
 
-def test_table_sink_compaction_keeps_the_answer_and_bounds_storage(spark, sf_small):
+def test_table_sink_over_many_batches(spark, sf_small):
+    """Every mode gives the batch answer over five batches; complete mode keeps two folders."""
     from tripflow.plans.adapters import rides_from_events
-    from tripflow.streaming.runner import _batch_folders
 
     src, schema = _many_files(spark, sf_small, 5)
     batch = M.flatten_window(M.window_metrics(rides_from_events(spark.read.parquet(src))))
     want = sorted(map(tuple, batch.collect()))
     for mode, keys in (("update", ["window_start", "window_end"]), ("complete", None)):
-        out = scratch_path(spark, f"compact-{mode}")
+        out = scratch_path(spark, f"many-{mode}")
         plan = M.flatten_window(M.window_metrics(rides_from_events(parquet_stream(spark, src, schema, max_files_per_trigger=1))))
-        q = start_query(plan, mode=mode, sink="table", path=out, trigger="availableNow", keys=keys, compact_every=2, state_partitions=2)
-        q.awaitTermination(300)
+        q = start_query(plan, mode=mode, sink="table", path=out, trigger="availableNow", state_partitions=2)
+        q.awaitTermination()
         assert q.exception() is None
-        assert len(q.recentProgress) >= 5
         got = sorted(map(tuple, read_table_sink(spark, out, mode, keys).collect()))
         assert got == want
-        folders = len(_batch_folders(spark, out))
-        assert folders <= (1 if mode == "complete" else 3)
-
-
-def test_replayed_batch_keeps_committed_compaction(spark):
-    """A compacted batch that is replayed after its older folders were
-    removed must not be rebuilt from what is left."""
-    from tripflow.streaming.runner import BATCH_COL, _table_batch_writer
-
-    path = scratch_path(spark, "replay")
-    write = _table_batch_writer(path, "update", ["k"], compact_every=2)
-    rows = lambda data: spark.createDataFrame(data, "k string, v int")
-    write(rows([("a", 1), ("b", 1)]), 0)
-    write(rows([("a", 2)]), 1)
-    write(rows([("c", 3)]), 2)  # compaction: folder 2 holds a, b, c; 0 and 1 removed
-    write(rows([("c", 3)]), 2)  # replay of batch 2
-    got = {r.k: r.v for r in read_table_sink(spark, path, "update", ["k"]).collect()}
-    assert got == {"a": 2, "b": 1, "c": 3}
-    assert {r[BATCH_COL] for r in spark.read.parquet(path).select(BATCH_COL).distinct().collect()} == {2}
+        if mode == "complete":
+            assert spark.read.parquet(out).select("batch_slot").distinct().count() == 2
+
+
+def test_status_counts_beyond_the_progress_buffer(spark, sf_small):
+    from tripflow.plans.adapters import rides_from_events
+
+    src, schema = _many_files(spark, sf_small, 5)
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        plan = M.anomalies(rides_from_events(parquet_stream(spark, src, schema, max_files_per_trigger=1)))
+        q = start_query(plan, name="many", mode="append", sink="table", path=scratch_path(spark, "many"), trigger="availableNow")
+        q.awaitTermination()
+        status = query_status(spark, [q]).first()
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    assert status.input_rows == spark.read.parquet(src).count() and status.batches >= 5
+
+
+def test_a_limit_that_passes_raises(spark):
+    from tripflow.streaming.runner import await_all, await_any
+
+    df = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    q = start_query(df.select("value"), name="endless", mode="append", sink="memory")
+    try:
+        with pytest.raises(TimeoutError):
+            await_all([q], timeout=1)
+        with pytest.raises(TimeoutError):
+            await_any(spark, timeout=1)
+    finally:
+        q.stop()
 
 
 def test_stream_global_count_emits_zero_when_all_rows_filtered(spark, sf_small):

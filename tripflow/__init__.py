@@ -19,7 +19,7 @@ from tripflow.operators.wire import decode_full_rides, decode_rides, encode_ride
 from tripflow.schemas import GREEN, HIGH_VOLUME, YELLOW, service
 from tripflow.session import get_session
 from tripflow.sinks.writers import publish_rides, write_clean, write_details, write_report
-from tripflow.sources.parquet import read_month, read_months, read_months_conformed, read_year
+from tripflow.sources.parquet import read_month, read_months, read_months_merged, read_year
 from tripflow.sources.stream import KafkaSource, ride_stream
 from tripflow.streaming.runner import read_table_sink, run_to_table, start_query
 
@@ -41,7 +41,7 @@ __all__ = [
     "publish_rides",
     "read_month",
     "read_months",
-    "read_months_conformed",
+    "read_months_merged",
     "read_table_sink",
     "read_year",
     "recent_rides",

@@ -309,8 +309,7 @@ def service(name: str | ServiceSpec) -> ServiceSpec:
 
 
 def raw_schema(spec: ServiceSpec | str) -> T.StructType:
-    """Read schema of a service's raw monthly files, for reading months
-    whose physical types drift (see ``read_months_conformed``).
+    """Declared schema of a service's raw monthly files, for ``read_with_schema``.
 
     Green is the declared 20-field schema; yellow is the same with the
     ``tpep_`` time names and without the green-only ``ehail_fee`` and

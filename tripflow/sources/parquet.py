@@ -75,7 +75,8 @@ def read_months(
     glob_filter: str | None = "*.parquet",
 ) -> DataFrame:
     """Every month folder (of the given years) in one scan, with the folder
-    month as ``year``/``month`` columns, for cleaning all months in one job."""
+    month as ``year``/``month`` columns, for months whose files have one
+    schema (``read_months_merged`` takes months that differ)."""
     spec = service(spec)
     base = f"{root.rstrip('/')}/{spec.folder}"
     paths = [f"{base}/{y}/*/" for y in years] if years else [f"{base}/*/*/"]
@@ -85,11 +86,6 @@ def read_months(
     return with_folder_month(reader.parquet(*paths))
 
 
-def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
-    """A ``year=/month=`` (or any ``key=value``) partitioned folder."""
-    return spark.read.parquet(path)
-
-
 def read_with_schema(
     spark: SparkSession,
     path: str | list[str],
@@ -101,9 +97,10 @@ def read_with_schema(
 
     ``strict=True`` hands the schema to the parquet reader, which fails on
     files whose physical type differs (a bigint file read as int). The
-    default reads each file's own schema and then projects onto the
-    declared one with ``try_cast`` and typed nulls for absent columns;
-    columns that are never used are still pruned from the scan.
+    default reads each path by the schema in its own footers and projects it
+    onto the declared one with ``try_cast`` and typed nulls for absent
+    columns; columns that are never used are still pruned from the scans.
+    Files of one path must agree (give one path a month).
     """
     paths = [path] if isinstance(path, str) else list(path)
     reader = spark.read
@@ -111,7 +108,11 @@ def read_with_schema(
         reader = reader.option("pathGlobFilter", glob_filter)
     if strict:
         return reader.schema(schema).parquet(*paths)
-    return conform(reader.parquet(*paths), schema)
+    frames = [conform(reader.parquet(p), schema) for p in paths]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def month_folders(
@@ -138,36 +139,55 @@ def month_folders(
     return sorted(found)
 
 
-def read_months_conformed(
+def read_months_merged(
     spark: SparkSession,
     root: str,
     spec: ServiceSpec | str,
-    schema: T.StructType,
     years: list[int] | None = None,
     glob_filter: str | None = "*.parquet",
 ) -> DataFrame:
-    """Every month folder read with its own footer schema, projected onto
-    ``schema`` (``try_cast``, typed nulls for absent columns), then unioned,
-    with ``year``/``month`` of the folder.
-
-    For months whose files disagree on physical types (a column stored as
-    bigint in one year, double or text in another), where a single scan
-    over all folders would fail. The union is a plan of one scan per month;
-    no data passes through the driver.
+    """Every month folder read by its own footer schema and unioned, with all
+    columns that any month has and ``year``/``month`` of the folder.
+
+    For months whose files disagree: a column may be bigint in one month,
+    double or text in another, or absent. The columns that cleaning types
+    take their declared type (``try_cast``); any other column keeps its type
+    where all months agree, becomes double where they differ in number type
+    only, and text otherwise. Absent columns are null. The union is a plan of
+    one scan per month; no data passes through the driver.
     """
-    frames = []
+    spec = service(spec)
+    typed: dict[str, T.DataType] = dict.fromkeys(spec.int_cols, T.IntegerType())
+    typed |= dict.fromkeys(spec.double_cols, T.DoubleType())
+    typed[spec.vendor_col] = T.StringType() if spec.licence_digit else T.IntegerType()
+    months = []
     for year, month, path in month_folders(spark, root, spec, years):
         reader = spark.read
         if glob_filter:
             reader = reader.option("pathGlobFilter", glob_filter)
-        frames.append(
-            conform(reader.parquet(path), schema).withColumns(
-                {"year": F.lit(year), "month": F.lit(month)}
-            )
-        )
-    if not frames:
-        raise FileNotFoundError(f"no month folders under {root}/{service(spec).folder}")
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
+        months.append((year, month, reader.parquet(path)))
+    if not months:
+        raise FileNotFoundError(f"no month folders under {root}/{spec.folder}")
+    found: dict[str, list[T.DataType]] = {}
+    for _, _, df in months:
+        for f in df.schema.fields:
+            kinds = found.setdefault(f.name, [])
+            if f.dataType not in kinds:
+                kinds.append(f.dataType)
+    target = T.StructType([T.StructField(c, typed.get(c) or common_type(kinds)) for c, kinds in found.items()])
+    out = None
+    for year, month, df in months:
+        one = conform(df, target).withColumns({"year": F.lit(year), "month": F.lit(month)})
+        out = one if out is None else out.unionByName(one)
     return out
+
+
+def common_type(kinds: list[T.DataType]) -> T.DataType:
+    """A type that holds the values of all ``kinds``."""
+    if len(kinds) == 1:
+        return kinds[0]
+    if all(isinstance(k, (T.TimestampType, T.TimestampNTZType)) for k in kinds):
+        return T.TimestampNTZType()
+    if all(isinstance(k, T.NumericType) for k in kinds):
+        return T.LongType() if all(isinstance(k, T.IntegralType) for k in kinds) else T.DoubleType()
+    return T.StringType()

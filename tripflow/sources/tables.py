@@ -1,71 +1,10 @@
-"""Reading the driver's tables, with input parallelism kept up.
-
-A parquet file with a single row group is read by a single task, however
-many cores there are. When a scan yields fewer partitions than the
-session's default parallelism, the rows are spread round-robin over that
-many partitions before any per-row work. On a large input (many files and
-row groups) the scan already has more partitions than cores and nothing
-is added.
-"""
+"""Reading the driver's tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-# (application id, path) -> partitions of a plain scan of that path
-_SCAN_PARTITIONS: dict[tuple[str, str], int] = {}
-# (application id, path) -> schema read from the parquet footers
-_SCHEMAS: dict[tuple[str, str], object] = {}
-
-
-def scan_partitions(df: DataFrame) -> int | None:
-    """Partitions the physical plan of ``df`` yields (plans, runs nothing);
-    None where the session offers no RDD view (Spark Connect)."""
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD API on this session
-        return None
-
-
-def _parallelism(df: DataFrame) -> int | None:
-    try:
-        return df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - no SparkContext on this session
-        return None
-
-
-def balanced(df: DataFrame, min_partitions: int | None = None, key: str | None = None) -> DataFrame:
-    """``df`` spread to at least ``min_partitions`` (default: the session's
-    default parallelism) when its scan yields fewer; otherwise unchanged.
-    ``key`` (the scanned path) lets the partition count be looked up once
-    per application."""
-    target = min_partitions or _parallelism(df)
-    if not target:
-        return df
-    if key is None:
-        parts = scan_partitions(df)
-    else:
-        cache_key = (df.sparkSession.conf.get("spark.app.id", ""), key)
-        if cache_key not in _SCAN_PARTITIONS:
-            _SCAN_PARTITIONS[cache_key] = scan_partitions(df)
-        parts = _SCAN_PARTITIONS[cache_key]
-    if parts is None or parts >= target:
-        return df
-    return df.repartition(target)
-
-
-def table_schema(spark: SparkSession, path: str):
-    """Schema from the parquet footers of ``path``, read once per application."""
-    key = (spark.conf.get("spark.app.id", ""), path)
-    if key not in _SCHEMAS:
-        _SCHEMAS[key] = spark.read.parquet(path).schema
-    return _SCHEMAS[key]
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``{sf_dir}/{name}.parquet`` as a DataFrame."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    # the footers are read once; later reads skip schema inference
-    df = spark.read.schema(table_schema(spark, path)).parquet(path)
-    return balanced(df, key=path) if balance else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

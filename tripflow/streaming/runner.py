@@ -5,34 +5,43 @@ Sinks:
 * ``console`` and ``memory`` (debugging, small results);
 * ``parquet`` - Spark's file sink, append mode only (stateless queries or
   watermarked aggregations), exactly once through its checkpoint;
-* ``table`` - any output mode through ``foreachBatch``: each micro-batch
-  writes its own ``batch_id=N`` folder, so a batch that is re-run after a
-  failure replaces its partial output, and one replayed after its output
-  was committed is skipped, instead of adding to it.
-  Storage stays bounded on a stream that runs for months: in complete
-  mode older batch folders are deleted once batch N is written; in update
-  mode every ``compact_every`` batches batch N's folder is written as the
-  last version of every key so far, and only then are older folders
-  deleted (a crash in between leaves a folder set with the same answer). ``read_table_sink`` turns the folder
-  into the query's answer: all rows (append), the last batch (complete)
-  or the last version of every key (update), all as Spark jobs.
-
-Every query gets a checkpoint under the session's shared checkpoint
-folder unless one is given, so a restarted query resumes instead of
-re-reading its whole source.
+* ``table`` - any output mode through ``foreachBatch``. Each micro-batch runs
+  its plan and overwrites its own folder, so a batch that is replayed after
+  a failure replaces its output and commits its state like any other.
+  Append and update modes keep one ``batch_n=N`` folder a batch; complete
+  mode alternates between two folders, as only the last answer counts.
+  ``read_table_sink`` turns the folder into the query's answer: all rows
+  (append), the last batch (complete) or the last version of every key
+  (update), all as Spark jobs. Update mode's folder grows by one version of
+  each changed key a batch.
+
+A ``table`` folder belongs to the query (the id in the checkpoint) that
+wrote it first; a query with another checkpoint is refused before it writes,
+since its batch numbers would collide. Give ``checkpoint`` to resume a query
+after a restart; without one, a start is a new query with a new folder under
+the session's shared checkpoint folder.
 """
 
 from __future__ import annotations
 
+import json
+import threading
+import time
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tripflow.session import scratch_path
 
 BATCH_COL = "batch_id"
+# Beside a table folder, the id of its query.
+OWNER = ".owner"
+# The shuffle setting is the session's; starts that change it go one by one.
+_starting = threading.Lock()
 
 
 def _trigger(writer, trigger: str | None):
@@ -45,79 +54,35 @@ def _trigger(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger)
 
 
-def _batch_folders(spark: SparkSession, path: str) -> list[tuple[int, object]]:
-    """``(batch id, Hadoop path)`` of the ``batch_id=N`` folders under ``path``."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    out = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(f"{BATCH_COL}="):
-            tail = name.split("=", 1)[1]
-            if tail.isdigit():
-                out.append((int(tail), st.getPath()))
-    return out
-
-
-def _committed(spark: SparkSession, folder: str) -> bool:
-    """Whether a batch folder was written completely (commit marker)."""
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
-
-
-def _drop_batches_below(spark: SparkSession, path: str, batch_id: int) -> None:
-    for bid, folder in _batch_folders(spark, path):
-        if bid < batch_id:
-            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+def _not_there(error: AnalysisException) -> bool:
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def _latest_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    cols = [c for c in df.columns if c != BATCH_COL]
-    values = [c for c in cols if c not in keys]
-    latest = F.max_by(F.struct(*[F.col(c) for c in values]), F.col(BATCH_COL)).alias("__v")
-    grouped = df.groupBy(*keys).agg(latest) if keys else df.agg(latest)
-    return grouped.filter(F.col("__v").isNotNull()).select(*keys, "__v.*").select(*cols)
+def _claim(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Make sure that the table folder is this query's, or nobody's yet."""
+    mine = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+    try:
+        owner = spark.read.text(f"{path}{OWNER}").first()
+    except AnalysisException as e:
+        if not _not_there(e):
+            raise
+        owner = None
+    if owner is None:
+        spark.range(1).select(F.lit(mine).alias("value")).write.mode("overwrite").text(f"{path}{OWNER}")
+    elif owner[0] != mine:
+        raise RuntimeError(f"{path} holds the output of another query ({owner[0]}); give its checkpoint or a new folder")
 
 
-def _table_batch_writer(path: str, mode: str, keys: list[str] | None, compact_every: int | None):
-    """Each micro-batch writes its own ``batch_id=N`` folder: a batch re-run
-    after a failed write overwrites the partial attempt, a batch replayed
-    after a committed write is recognised by its commit marker and skipped
-    (deduplication by batch id)."""
-    base = path.rstrip("/")
+def _table_batch_writer(path: str, mode: str, checkpoint: str):
+    base, claimed = path.rstrip("/"), []
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        target = f"{base}/{BATCH_COL}={batch_id}"
-        # compaction needs the grouping keys ([] = one global row); without
-        # them the versions of different keys could not be told apart
-        compacts = bool(
-            mode == "update"
-            and keys is not None
-            and compact_every
-            and batch_id > 0
-            and batch_id % compact_every == 0
-        )
-        if _committed(spark, target):
-            # a replay of a batch whose output was committed before the
-            # engine recorded it: same rows, so only finish the clean-up and
-            # never rebuild it (older folders may already be gone)
-            if mode == "complete" or compacts:
-                _drop_batches_below(spark, base, batch_id)
-            return
-        if compacts and any(bid < batch_id for bid, _ in _batch_folders(spark, base)):
-            older = spark.read.parquet(base).filter(F.col(BATCH_COL) < batch_id)
-            current = batch.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
-            _latest_per_key(older.unionByName(current), keys).write.mode("overwrite").parquet(target)
-            _drop_batches_below(spark, base, batch_id)
-            return
-        batch.write.mode("overwrite").parquet(target)
-        if mode == "complete":
-            _drop_batches_below(spark, base, batch_id)
+        if not claimed:
+            _claim(batch.sparkSession, base, checkpoint.rstrip("/"))
+            claimed.append(True)
+        numbered = batch.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
+        folder = f"batch_slot={batch_id % 2}" if mode == "complete" else f"batch_n={batch_id}"
+        numbered.write.mode("overwrite").parquet(f"{base}/{folder}")
 
     return write
 
@@ -132,8 +97,6 @@ def start_query(
     trigger: str | None = None,
     options: dict[str, str] | None = None,
     state_partitions: int | None = None,
-    keys: list[str] | None = None,
-    compact_every: int | None = 50,
 ) -> StreamingQuery:
     """Start one streaming query; returns at once.
 
@@ -141,11 +104,10 @@ def start_query(
     partitions of a stateful query. It is fixed by the checkpoint at the
     first start; the metrics here pre-aggregate before the state store and
     keep one row per open window (or one row in all), so a few partitions
-    hold their state at any input rate. ``keys`` (the grouping columns of
-    an update-mode query) and ``compact_every`` drive the ``table`` sink's
-    compaction.
+    hold their state at any input rate.
     """
     spark = df.sparkSession
+    count_progress(spark)
     writer = df.writeStream.outputMode(mode)
     if name:
         writer = writer.queryName(name)
@@ -155,6 +117,8 @@ def start_query(
         writer = writer.option("checkpointLocation", checkpoint)
     for k, v in (options or {}).items():
         writer = writer.option(k, v)
+    if sink in ("table", "parquet") and not path:
+        raise ValueError(f"sink {sink!r} needs a path")
     if sink == "console":
         writer = writer.format("console").option("truncate", "false")
     elif sink == "memory":
@@ -164,38 +128,56 @@ def start_query(
             raise ValueError("the parquet file sink supports append mode only")
         writer = writer.format("parquet").option("path", path)
     elif sink == "table":
-        if not path:
-            raise ValueError("sink 'table' needs a path")
-        writer = writer.foreachBatch(_table_batch_writer(path, mode, keys, compact_every))
+        writer = writer.foreachBatch(_table_batch_writer(path, mode, checkpoint))
     elif sink == "kafka":
         writer = writer.format("kafka")
     else:
         raise ValueError(f"unknown sink {sink!r}")
     if state_partitions is None:
         return _trigger(writer, trigger).start()
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
-    try:
-        return _trigger(writer, trigger).start()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
+    with _starting:
+        previous = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+        try:
+            return _trigger(writer, trigger).start()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", previous)
 
 
-def start_all(queries: dict[str, tuple[DataFrame, str]], **kw) -> dict[str, StreamingQuery]:
-    """Start several queries (e.g. over one source) before waiting on any."""
-    return {name: start_query(df, name=name, mode=mode, **kw) for name, (df, mode) in queries.items()}
+def finish(query: StreamingQuery, timeout: float | None = None, name: str | None = None) -> None:
+    """Wait until a query has ended; raise its failure, or TimeoutError when a given limit passes first.
+
+    The query goes on after a TimeoutError; without a limit it may run as
+    long as it needs.
+    """
+    ended = query.awaitTermination(timeout) if timeout is not None else query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"query {name or query.name} failed: {query.exception()}")
+    if timeout is not None and not ended:
+        raise TimeoutError(f"query {name or query.name} did not end in {timeout} s")
 
 
 def await_all(queries, timeout: float | None = None) -> None:
-    """Wait for every query; raise the first failure."""
+    """Wait for every query; raise the first failure, or TimeoutError."""
+    end = None if timeout is None else time.monotonic() + timeout
     for q in list(queries.values() if isinstance(queries, dict) else queries):
-        q.awaitTermination(timeout)
-        if q.exception() is not None:
-            raise RuntimeError(f"query {q.name} failed: {q.exception()}")
+        finish(q, None if end is None else max(0.001, end - time.monotonic()))
 
 
 def await_any(spark: SparkSession, timeout: float | None = None) -> None:
-    spark.streams.awaitAnyTermination(timeout)
+    """Wait until any query has ended; raise its failure, or TimeoutError when a given limit passes first."""
+    if timeout is None:
+        spark.streams.awaitAnyTermination()
+    elif not spark.streams.awaitAnyTermination(timeout):
+        raise TimeoutError(f"no query ended in {timeout} s")
+
+
+def _latest_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    cols = [c for c in df.columns if c not in (BATCH_COL, "batch_n", "batch_slot")]
+    values = [c for c in cols if c not in keys]
+    latest = F.max_by(F.struct(*[F.col(c) for c in values]), F.col(BATCH_COL)).alias("__v")
+    grouped = df.groupBy(*keys).agg(latest) if keys else df.agg(latest)
+    return grouped.filter(F.col("__v").isNotNull()).select(*keys, "__v.*").select(*cols)
 
 
 def read_table_sink(
@@ -210,11 +192,11 @@ def read_table_sink(
     batch has been written yet."""
     try:
         out = spark.read.parquet(path)
-    except AnalysisException:
-        if schema is None:
+    except AnalysisException as e:
+        if schema is None or not _not_there(e):
             raise
         return spark.createDataFrame([], schema)
-    cols = [c for c in out.columns if c != BATCH_COL]
+    cols = [c for c in out.columns if c not in (BATCH_COL, "batch_n", "batch_slot")]
     if mode == "append":
         return out.select(*cols)
     if mode == "complete":
@@ -232,9 +214,8 @@ def run_to_table(
     keys: list[str] | None = None,
     path: str | None = None,
     checkpoint: str | None = None,
-    timeout: float = 600,
+    timeout: float | None = None,
     state_partitions: int | None = None,
-    compact_every: int | None = 50,
 ) -> DataFrame:
     """Run a streaming query over all data available now into a ``table``
     sink and return its answer as a DataFrame."""
@@ -242,22 +223,14 @@ def run_to_table(
     path = path or scratch_path(spark, f"out-{name}")
     q = start_query(
         df,
-        name=None,
         mode=mode,
         sink="table",
         path=path,
         checkpoint=checkpoint,
         trigger="availableNow",
         state_partitions=state_partitions,
-        keys=keys,
-        compact_every=compact_every,
     )
-    finished = q.awaitTermination(timeout)
-    if q.exception() is not None:
-        raise RuntimeError(f"stream {name} failed: {q.exception()}")
-    if not finished:
-        q.stop()
-        raise TimeoutError(f"stream {name} did not finish in {timeout} s")
+    finish(q, timeout, name)
     return read_table_sink(spark, path, mode, keys, schema=df.schema)
 
 
@@ -266,7 +239,7 @@ def run_to_parquet(
     name: str,
     path: str | None = None,
     checkpoint: str | None = None,
-    timeout: float = 600,
+    timeout: float | None = None,
 ) -> tuple[str, str]:
     """Run an append-mode query over all available data into Spark's
     parquet file sink; returns (path, checkpoint) for reruns."""
@@ -276,28 +249,61 @@ def run_to_parquet(
     q = start_query(
         df, mode="append", sink="parquet", path=path, checkpoint=checkpoint, trigger="availableNow"
     )
-    q.awaitTermination(timeout)
-    if q.exception() is not None:
-        raise RuntimeError(f"stream {name} failed: {q.exception()}")
+    finish(q, timeout, name)
     return path, checkpoint
 
 
+class _Progress(StreamingQueryListener):
+    """Input rows and batches of every run, and which runs have ended."""
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+        self.batches: dict[str, int] = {}
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        self.rows[run] = self.rows.get(run, 0) + event.progress.numInputRows
+        self.batches[run] = self.batches.get(run, 0) + 1
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+
+_progress: dict[str, _Progress] = {}
+
+
+def count_progress(spark: SparkSession) -> _Progress:
+    """The session's progress counter; queries started before its first call are not counted."""
+    app = spark.conf.get("spark.app.id", "")
+    if app not in _progress:
+        _progress[app] = _Progress()
+        spark.streams.addListener(_progress[app])
+    return _progress[app]
+
+
 def query_status(spark: SparkSession, queries=None) -> DataFrame:
     """Name, id, activity and input volume of streaming queries (the active
-    ones by default) as a small DataFrame."""
+    ones by default) as a small DataFrame, counted over all their batches."""
     qs = list(queries.values() if isinstance(queries, dict) else queries) if queries else spark.streams.active
+    counted = count_progress(spark)
+    end = time.monotonic() + 30
+    while time.monotonic() < end and any(not q.isActive and str(q.runId) not in counted.ended for q in qs):
+        time.sleep(0.05)  # events reach a listener after the query has moved on
     rows = []
     for q in qs:
-        progress = q.recentProgress or []
+        run = str(q.runId)
+        if not q.isActive and run not in counted.ended:
+            raise RuntimeError(f"the last events of query {q.name} have not arrived")
+        message = str(q.status.get("message", ""))
         rows.append(
-            (
-                q.name,
-                str(q.id),
-                bool(q.isActive),
-                str(q.status.get("message", "")),
-                int(sum(p.get("numInputRows", 0) for p in progress)),
-                len(progress),
-            )
+            (q.name, str(q.id), bool(q.isActive), message, counted.rows.get(run, 0), counted.batches.get(run, 0))
         )
     schema = "name string, id string, is_active boolean, message string, input_rows long, batches int"
     return spark.createDataFrame(rows, schema)
