@@ -8,7 +8,7 @@ from tripflow.operators.report import (
     zone_month_report,
     zone_month_report_sql,
 )
-from tripflow.operators.unify import high_volume_total, to_common, union_services, unify
+from tripflow.operators.unify import to_common, union_services, unify
 from tripflow.schemas import GREEN, HIGH_VOLUME, TRIP, TRIP_CORE_COLUMNS, YELLOW
 
 
@@ -65,9 +65,9 @@ def test_high_volume_renames_total_and_payment(spark):
 def test_total_is_null_when_an_addend_is_null(spark):
     df = spark.createDataFrame(
         [(1.0, 1.0, 1.0, 1.0, None, 1.0), (1.0, 1.0, 1.0, 1.0, 1.0, 1.0)],
-        "fare_amount double, tolls_amount double, mta_tax double, congestion_surcharge double, airport_fee double, tip_amount double",
+        "base_passenger_fare double, tolls double, sales_tax double, congestion_surcharge double, airport_fee double, tips double",
     )
-    got = [r.total_amount for r in high_volume_total(df).collect()]
+    got = [r.total_amount for r in to_common(df, HIGH_VOLUME, ["total_amount"]).collect()]
     assert got == [None, 6.0]
 
 
@@ -122,16 +122,18 @@ def test_exact_sum_rules(spark):
         return {r.g: (r.s, r.a) for r in out}
 
     floats = agg(spark.createDataFrame([("a", 123.45), ("a", 0.1), ("a", None)], "g string, x float"))
-    # float32 noise is cut at a hundredth of a cent; nulls are skipped
-    assert floats["a"] == (123.55, 123.55 / 2)
+    # values are taken to six decimals; nulls are skipped
+    assert floats["a"] == (123.549997, 123.549997 / 2)
     doubles = agg(
         spark.createDataFrame(
-            [("b", float("nan")), ("b", 1.0), ("c", 2e14), ("c", 1.0)], "g string, x double"
+            [("b", float("nan")), ("b", 1.0), ("c", 2e22), ("c", 1.0), *[("d", 9e13)] * 12, *[("e", 0.00004)] * 1000],
+            "g string, x double",
         )
     )
     # NaN and out-of-range values fall back to the plain double sum
     assert doubles["b"][0] != doubles["b"][0]
-    assert doubles["c"][0] == 2e14 + 1.0
+    assert doubles["c"][0] == 2e22 + 1.0
+    assert doubles["d"][0] == 12 * 9e13 and doubles["e"][0] == 0.04
 
 
 def test_sql_twin_follows_the_exact_rules(spark):
@@ -141,10 +143,12 @@ def test_sql_twin_follows_the_exact_rules(spark):
     trips = trips.withColumn(
         "fare_amount", F.when(F.col("PULocationID") == 11, F.lit(float("nan"))).otherwise(F.col("fare_amount"))
     )
-    df_rows = {(r.revenue_zone, r.revenue_month): r for r in zone_month_report(trips, REPORT_MEASURES).collect()}
+    df_rows = {
+        (r.revenue_zone, r.revenue_month): r for r in zone_month_report(trips, REPORT_MEASURES, exact=True).collect()
+    }
     sql_rows = {
         (r.revenue_zone, r.revenue_month): r
-        for r in zone_month_report_sql(spark, trips, "trips_nan", REPORT_MEASURES).collect()
+        for r in zone_month_report_sql(spark, trips, "trips_nan", REPORT_MEASURES, exact=True).collect()
     }
     assert df_rows.keys() == sql_rows.keys()
     for key, a in df_rows.items():
@@ -156,3 +160,14 @@ def test_sql_twin_follows_the_exact_rules(spark):
             else:
                 assert x == y, (key, name, x, y)
     assert math.isnan(df_rows[(11, datetime(2024, 2, 1))].revenue_monthly_fare)
+
+
+def test_report_sums_are_plain_by_default(spark):
+    trips = union_services([to_common(_green(spark), GREEN)]).withColumn("fare_amount", F.lit(9e13))
+    many = trips
+    for _ in range(5):
+        many = many.unionByName(trips)
+    total = zone_month_report(many, REPORT_MEASURES).agg(F.sum("revenue_monthly_fare")).first()[0]
+    assert total == 9e13 * many.count()
+    tiny = trips.withColumn("fare_amount", F.lit(0.00004))
+    assert zone_month_report(tiny, REPORT_MEASURES).agg(F.min("revenue_monthly_fare")).first()[0] >= 0.00004

@@ -1,6 +1,6 @@
 """Column-expression helpers (all built-in Spark expressions, no UDFs)."""
 
-from tripflow.functions.casts import conform, int_from_any, safe_cast_all
+from tripflow.functions.casts import conform, int_from_any
 from tripflow.functions.money import exact_avg, exact_sum
 from tripflow.functions.timecols import (
     month_bounds,
@@ -18,7 +18,6 @@ __all__ = [
     "month_bounds",
     "month_end_col",
     "month_start_col",
-    "safe_cast_all",
     "timestamp_literal",
     "trip_seconds",
 ]

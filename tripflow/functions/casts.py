@@ -7,12 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def safe_cast_all(df: DataFrame, columns: list[str], dtype: str | T.DataType) -> DataFrame:
-    """Cast each listed column with ``try_cast`` in one projection."""
-    present = [c for c in columns if c in df.columns]
-    return df.withColumns({c: F.col(c).try_cast(dtype) for c in present})
-
-
 def int_from_any(col: Column, src: T.DataType | None = None) -> Column:
     """Integer value of a column stored as any type, null when impossible.
 

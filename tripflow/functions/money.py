@@ -1,18 +1,11 @@
-"""Exact money aggregation.
-
-A ``sum`` over doubles depends on the order rows arrive in, so two runs over
-the same 100 TB with different partitionings differ in the last digits.
-Here each value is taken to whole units of 10^-``MONEY_SCALE`` (a hundredth
-of a cent: fares, taxes and distances keep every digit they have, float
-noise such as 0.30000000000000004 or a float32 fare's tail is cut) and the
-units are summed as ``long``: exact, independent of order, and as fast as a
-double sum (no per-row decimal objects; a ``decimal`` sum measured three
-times slower). The result is returned as double, like the plain ``sum``.
-
-A group holding NaN, an infinity or a value of 10^14 or more falls back to
-the plain double ``sum`` (so NaN still propagates as in the original).
-Within the bound a sum holds up to 9.2 * 10^14, far beyond any trip total;
-under ANSI an overflow raises instead of wrapping.
+"""Sums and averages of measures: plain by default, exact on demand.
+
+A ``sum`` over doubles depends in its last digits on the order rows arrive
+in. The exact form adds decimals instead (each value to ``SCALE`` decimals),
+so two runs over differently partitioned input agree to the bit; it costs a
+decimal sum and two counters more for each measure. A group that holds a value
+which no ``decimal(28, 6)`` can hold (NaN, an infinity, 10^22 or more) gets
+the plain sum, so NaN propagates. Both forms return doubles.
 """
 
 from __future__ import annotations
@@ -20,39 +13,26 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY_SCALE = 4
-# |value| below this keeps value * 10^scale well inside a long
-_SAFE_LIMIT = 1e14
+SCALE = 6
+EXACT_TYPE = f"decimal(28,{SCALE})"
 
 
-def _col(col: Column | str) -> Column:
-    return F.col(col) if isinstance(col, str) else col
+def exact_sum(col: str) -> Column:
+    """Order-independent ``sum``, as double."""
+    exact = F.col(col).try_cast(EXACT_TYPE)
+    unsafe = F.count_if(F.col(col).isNotNull() & exact.isNull())
+    plain = F.sum(F.col(col).cast("double"))
+    return F.when(unsafe > 0, plain).otherwise(F.sum(exact).cast("double"))
 
 
-def units(col: Column | str, scale: int = MONEY_SCALE) -> Column:
-    """The value in whole 10^-scale units, half up; null outside the safe range."""
-    c = _col(col)
-    scaled = F.floor(c * F.lit(float(10**scale)) + F.lit(0.5)).cast("long")
-    return F.when(F.abs(c) < F.lit(_SAFE_LIMIT), scaled)
+def exact_avg(col: str) -> Column:
+    """``exact_sum`` over the number of values."""
+    return exact_sum(col) / F.count(col)
 
 
-def exact_sum(col: Column | str, scale: int = MONEY_SCALE) -> Column:
-    """``sum`` of the values taken to ``scale`` decimals, exact, as double."""
-    c = _col(col)
-    unsafe = F.count_if(~(F.abs(c) < F.lit(_SAFE_LIMIT)))
-    exact = F.sum(units(c, scale)).cast("double") / F.lit(float(10**scale))
-    return F.when(unsafe > 0, F.sum(c).cast("double")).otherwise(exact)
+def measure_sum(col: str, exact: bool) -> Column:
+    return exact_sum(col) if exact else F.sum(col).cast("double")
 
 
-def exact_avg(col: Column | str, scale: int = MONEY_SCALE) -> Column:
-    """``avg`` as exact sum / count of non-null values, as double."""
-    c = _col(col)
-    return exact_sum(c, scale) / F.count(c)
-
-
-def measure_sum(col: str, exact: bool, scale: int = MONEY_SCALE) -> Column:
-    return exact_sum(col, scale) if exact else F.sum(col).cast("double")
-
-
-def measure_avg(col: str, exact: bool, scale: int = MONEY_SCALE) -> Column:
-    return exact_avg(col, scale) if exact else F.avg(col)
+def measure_avg(col: str, exact: bool) -> Column:
+    return exact_avg(col) if exact else F.avg(col).cast("double")

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import calendar
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,9 +10,10 @@ from pyspark.sql import types as T
 
 
 def month_bounds(year: int, month: int) -> tuple[datetime, datetime]:
-    """First second and last second of a calendar month (leap years included)."""
-    last_day = calendar.monthrange(year, month)[1]
-    return datetime(year, month, 1, 0, 0, 0), datetime(year, month, last_day, 23, 59, 59)
+    """First second of a month, and the second before the next month starts."""
+    start = datetime(year, month, 1)
+    following = start.replace(year=year + month // 12, month=month % 12 + 1)
+    return start, following - timedelta(seconds=1)
 
 
 def timestamp_literal(value: datetime, dtype: T.DataType | None = None) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.functions.money import _SAFE_LIMIT, MONEY_SCALE, measure_avg, measure_sum
+from tripflow.functions.money import EXACT_TYPE, measure_avg, measure_sum
 
 
 @dataclass(frozen=True)
@@ -69,14 +69,13 @@ def measures_for(trips: DataFrame) -> list[Measure]:
 def zone_month_report(
     trips: DataFrame,
     measures: list[Measure] | None = None,
-    exact: bool = True,
+    exact: bool = False,
 ) -> DataFrame:
     """Sums and averages per (``revenue_zone``, ``revenue_month``, ``service_type``).
 
-    ``exact=True`` sums each value taken to a hundredth of a cent, exactly
-    (see ``functions.money``), and returns doubles: the figures no longer
-    depend on partitioning or row order. ``exact=False``
-    gives the plain double ``sum``/``avg``.
+    The default is the plain double ``sum``/``avg``; ``exact=True`` gives
+    figures that don't depend on partitioning or row order (see
+    ``functions.money``).
     """
     measures = measures or measures_for(trips)
     aggs = []
@@ -90,17 +89,16 @@ def zone_month_report(
     ).agg(*aggs)
 
 
-def report_sql(view: str, measures: list[Measure], exact: bool = True, ntz: bool = True) -> str:
+def report_sql(view: str, measures: list[Measure], exact: bool = False, ntz: bool = True) -> str:
     """The same report as Spark SQL text over a registered view."""
     lines = []
     for m in measures:
         if exact:
-            c, unit = m.column, float(10**MONEY_SCALE)
-            safe = f"ABS({c}) < {_SAFE_LIMIT!r}"
-            exact_units = f"CAST(FLOOR({c} * {unit!r} + 0.5) AS BIGINT)"
+            c = m.column
+            value = f"TRY_CAST({c} AS {EXACT_TYPE})"
             expr = (
-                f"CASE WHEN COUNT_IF(NOT ({safe})) > 0 THEN CAST(SUM({c}) AS DOUBLE) "
-                f"ELSE CAST(SUM(CASE WHEN {safe} THEN {exact_units} END) AS DOUBLE) / {unit!r} END"
+                f"CASE WHEN COUNT_IF({c} IS NOT NULL AND {value} IS NULL) > 0 "
+                f"THEN SUM(CAST({c} AS DOUBLE)) ELSE CAST(SUM({value}) AS DOUBLE) END"
             )
             if m.kind == "avg":
                 expr = f"({expr}) / COUNT({c})"
@@ -127,7 +125,7 @@ def zone_month_report_sql(
     trips: DataFrame,
     view: str = "trips_data",
     measures: list[Measure] | None = None,
-    exact: bool = True,
+    exact: bool = False,
 ) -> DataFrame:
     """Register ``trips`` as ``view`` and run the report as SQL text."""
     measures = measures or measures_for(trips)

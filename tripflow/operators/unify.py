@@ -20,24 +20,6 @@ _INT_COLUMNS = {"VendorID", "PULocationID", "DOLocationID"}
 _TIME_COLUMNS = {"pickup_datetime", "dropoff_datetime"}
 
 
-def high_volume_total(df: DataFrame) -> DataFrame:
-    """Derived ``total_amount``: fare + tolls + tax + congestion + airport fee
-    + tip, null when any addend is null (columns already renamed)."""
-    total = reduce(lambda a, b: a + b, [F.col(c) for c in HIGH_VOLUME_TOTAL_ADDENDS])
-    return df.withColumn("total_amount", total)
-
-
-def rename_to_common(df: DataFrame, spec: ServiceSpec | str) -> DataFrame:
-    """Service column names -> unified names; for the high-volume service
-    also the constant payment type and the derived total."""
-    spec = service(spec)
-    df = df.withColumnsRenamed({k: v for k, v in spec.renames.items() if k in df.columns})
-    if spec.licence_digit:
-        df = df.withColumn("payment_type", F.lit(HIGH_VOLUME_PAYMENT_TYPE))
-        df = high_volume_total(df)
-    return df
-
-
 def to_common(
     df: DataFrame,
     spec: ServiceSpec | str,

@@ -81,11 +81,6 @@ def decode_full_rides(df: DataFrame, value: str = "value", keep: list[str] | Non
     return df.select(*(keep or []), *cols)
 
 
-def ride_payload(df: DataFrame) -> DataFrame:
-    """Kafka source rows -> one ``value`` string column."""
-    return df.select(F.col("value").cast("string").alias("value"))
-
-
 def kafka_records(encoded: DataFrame, topic: str | None = None) -> DataFrame:
     """Encoded rides in the shape the Kafka sink writes (binary-compatible
     strings; optional ``topic`` column for multi-topic writes)."""
