@@ -11,6 +11,9 @@ are spelled out in SQL in ``plans/catalog.py`` for the oracle.
 ``l_shipdate + (l_linenumber - 4) days``, so some trips start before or end
 after their folder month and cleaning has work to do.
 
+Pickup zones are folded to 200, with a third of the trips in one zone;
+payment types are text, ``1`` to ``6`` with some junk.
+
 ``events`` -> rides: vendor ``user_id % 7 + 1`` as text, pickup ``ts``,
 drop-off ``ts + floor(value)`` seconds, fare ``value * 10``, distance
 ``15 * k`` from the JSON props, surcharge 2.75 on errors and null
@@ -27,6 +30,7 @@ from tripflow.schemas import ServiceSpec, service
 # Fixed values of the mapping (shared with the oracle SQL).
 SERVICE_BY_RETURNFLAG = {"green": "R", "yellow": "A", "high volume": "N"}
 LICENCE_PREFIX = "HV000"
+ZONES, HOT_ZONE = 200, 132
 SURCHARGE_EVENT = "error"
 SURCHARGE_VALUE = 2.75
 
@@ -40,6 +44,16 @@ def _folder() -> dict[str, Column]:
     return {"year": F.year(shifted), "month": F.month(shifted)}
 
 
+def _zone() -> Column:
+    folded = F.col("l_suppkey") % ZONES + 1
+    return F.when(F.col("l_orderkey") % 3 == 0, F.lit(HOT_ZONE).cast("long")).otherwise(folded)
+
+
+def _payment() -> Column:
+    code = (F.col("l_orderkey") % 6 + 1).cast("string")
+    return F.when(F.col("l_partkey") % 50 == 0, F.lit("unknown")).otherwise(code)
+
+
 def raw_trips_from_lineitem(lineitem: DataFrame, spec: ServiceSpec | str) -> DataFrame:
     """Raw trips of one service with ``year``/``month`` folder columns."""
     spec = service(spec)
@@ -52,7 +66,7 @@ def raw_trips_from_lineitem(lineitem: DataFrame, spec: ServiceSpec | str) -> Dat
             ),
             F.col("l_shipdate").alias("pickup_datetime"),
             _dropoff().alias("dropoff_datetime"),
-            F.col("l_suppkey").alias("PULocationID"),
+            _zone().alias("PULocationID"),
             F.col("l_partkey").alias("DOLocationID"),
             F.col("l_quantity").alias("trip_miles"),
             F.col("l_extendedprice").alias("base_passenger_fare"),
@@ -68,7 +82,7 @@ def raw_trips_from_lineitem(lineitem: DataFrame, spec: ServiceSpec | str) -> Dat
         F.col("l_linenumber").alias("VendorID"),
         F.col("l_shipdate").alias(spec.pickup_col),
         _dropoff().alias(spec.dropoff_col),
-        F.col("l_suppkey").alias("PULocationID"),
+        _zone().alias("PULocationID"),
         F.col("l_partkey").alias("DOLocationID"),
         F.col("l_linenumber").cast("double").alias("passenger_count"),
         F.col("l_quantity").alias("trip_distance"),
@@ -79,7 +93,7 @@ def raw_trips_from_lineitem(lineitem: DataFrame, spec: ServiceSpec | str) -> Dat
         F.col("l_tax").alias("tolls_amount"),
         F.col("l_discount").alias("improvement_surcharge"),
         F.col("l_extendedprice").alias("total_amount"),
-        F.col("l_linestatus").alias("payment_type"),
+        _payment().alias("payment_type"),
         F.col("l_tax").alias("congestion_surcharge"),
         folder["year"].alias("year"),
         folder["month"].alias("month"),

@@ -94,16 +94,21 @@ def q_hv_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unified(spark, sf_dir, (HIGH_VOLUME,), TRIP_CORE_COLUMNS)
 
 
+def rounded_sums(report: DataFrame) -> DataFrame:
+    """Money sums to cents: plain double sums differ in their last digits with the order of rows."""
+    return report.withColumns({c: F.round(c, 2) for c in report.columns if c.startswith("revenue_monthly_")})
+
+
 def q_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return zone_month_report(q_unify_two(spark, sf_dir), REPORT_MEASURES)
+    return rounded_sums(zone_month_report(q_unify_two(spark, sf_dir), REPORT_MEASURES))
 
 
 def q_report_core(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return zone_month_report(q_unify_three(spark, sf_dir), REPORT_CORE_MEASURES)
+    return rounded_sums(zone_month_report(q_unify_three(spark, sf_dir), REPORT_CORE_MEASURES))
 
 
 def q_report_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return zone_month_report_sql(spark, q_unify_two(spark, sf_dir), "trips_data", REPORT_MEASURES)
+    return rounded_sums(zone_month_report_sql(spark, q_unify_two(spark, sf_dir), "trips_data", REPORT_MEASURES))
 
 
 def _queries() -> dict[str, QueryFn]:
@@ -192,6 +197,11 @@ def oracle_sql() -> dict[str, str]:
             "stream_parquet_sink": O.ANOMALIES_SQL,
             "multi_query_status": O.MULTI_STATUS_SQL,
             "late_data_drop": O.late_data_sql(),
+            "stream_restart": O.ANSWERS_SQL,
+            "clean_drifting_months": O.DRIFTING_SQL.replace("c.*", "c.* EXCLUDE (l_quantity)"),
+            "read_one_month": O.ONE_MONTH_SQL,
+            "clean_month_files": O.MONTH_FILES_SQL,
+            "publish_readback": O.WIRE_DECODE_SQL.replace("SELECT event_id, ", "SELECT "),
         }
     )
     return out

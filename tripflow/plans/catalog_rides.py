@@ -5,14 +5,15 @@ Structured Streaming query over the events table read as a file stream.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripflow.operators import metrics as M
 from tripflow.operators.wire import decode_full_rides, decode_rides, encode_rides
 from tripflow.plans.adapters import green_trips_from_events, rides_from_events
 from tripflow.schemas import GREEN, RIDE_WIRE_COLUMNS, RIDE_WIRE_TYPES
-from tripflow.sources.stream import table_stream
+from tripflow.session import scratch_path
+from tripflow.sources.stream import parquet_stream
 from tripflow.sources.tables import read_table
 from tripflow.streaming.runner import run_to_table
 
@@ -29,8 +30,24 @@ def rides(spark: SparkSession, sf_dir: str, keep_id: bool = False) -> DataFrame:
     return rides_from_events(events, keep=["event_id"] if keep_id else None)
 
 
-def ride_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rides_from_events(table_stream(spark, sf_dir, "events"))
+# Days of the month on which a delivery of staged events ends.
+DELIVERIES = (10, 20, 31)
+
+
+def deliver(events: DataFrame, path: str, number: int) -> None:
+    """Append one delivery of the events (a range of days) to a folder, as one more file or a few."""
+    after = DELIVERIES[number - 1] if number else 0
+    day = F.dayofmonth("ts")
+    events.filter((day > after) & (day <= DELIVERIES[number])).write.mode("append").parquet(path)
+
+
+def ride_stream(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
+    """The events as a stream of several batches, in order of time."""
+    events = _table(spark, sf_dir, "events")
+    path = scratch_path(spark, "staged-events")
+    for k in range(len(DELIVERIES)):
+        deliver(events, path, k)
+    return rides_from_events(parquet_stream(spark, path, events.schema, max_files_per_trigger=1), keep=keep)
 
 
 def _ntz(df: DataFrame, cols=("pickup_datetime", "dropoff_datetime")) -> DataFrame:
@@ -121,7 +138,7 @@ def q_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.flatten_window(M.window_metrics(rides(spark, sf_dir)))
+    return M.flatten_window(M.window_metrics(rides(spark, sf_dir), exact=True))
 
 
 def q_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,8 +149,14 @@ def q_surcharged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.surcharged_trips(rides(spark, sf_dir))
 
 
+def busiest(windows: DataFrame) -> DataFrame:
+    """Number the windows from the busiest on (few rows: one for each half hour)."""
+    order = Window.orderBy(F.desc("trip_count"), "pickup_window_start")
+    return windows.withColumn("busiest", F.row_number().over(order).cast("long"))
+
+
 def q_peak_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.flatten_window(M.peak_windows(rides(spark, sf_dir)), "pickup_window")
+    return busiest(M.flatten_window(M.peak_windows(rides(spark, sf_dir), sort=False), "pickup_window"))
 
 
 def q_recent_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +180,7 @@ def q_running_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _window_stream(mode: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        plan = M.flatten_window(M.window_metrics(ride_stream(spark, sf_dir)))
+        plan = M.flatten_window(M.window_metrics(ride_stream(spark, sf_dir), exact=True))
         return run_to_table(
             plan,
             mode,
@@ -170,7 +193,7 @@ def _window_stream(mode: str):
 
 
 def q_anomalies_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = rides_from_events(table_stream(spark, sf_dir, "events"), keep=["event_id"])
+    keyed = ride_stream(spark, sf_dir, keep=["event_id"])
     return run_to_table(_ntz(M.anomalies(keyed)), "append", "anomalies")
 
 
@@ -185,7 +208,7 @@ def q_surcharged_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_peak_windows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = M.flatten_window(M.peak_windows(ride_stream(spark, sf_dir)), "pickup_window")
-    return run_to_table(plan, "complete", "peak_windows", state_partitions=M.STATE_PARTITIONS_WINDOWED)
+    return busiest(run_to_table(plan, "complete", "peak_windows", state_partitions=M.STATE_PARTITIONS_WINDOWED))
 
 
 QUERIES = {

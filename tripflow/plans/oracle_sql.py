@@ -18,13 +18,17 @@ _FOLDER = (
 )
 
 
+_ZONE = "CASE WHEN l_orderkey % 3 = 0 THEN 132 ELSE l_suppkey % 200 + 1 END"
+_PAYMENT = "CASE WHEN l_partkey % 50 = 0 THEN 'unknown' ELSE CAST(l_orderkey % 6 + 1 AS VARCHAR) END"
+
+
 def raw_sql(service: str) -> str:
     """Raw trips of a service from lineitem (same mapping as the adapter)."""
     if service == "high volume":
         return (
             "SELECT 'HV000' || CAST(l_linenumber AS VARCHAR) AS hvfhs_license_num, "
             f"l_shipdate AS pickup_datetime, {_DROPOFF} AS dropoff_datetime, "
-            "l_suppkey AS PULocationID, l_partkey AS DOLocationID, "
+            f"{_ZONE} AS PULocationID, l_partkey AS DOLocationID, "
             "l_quantity AS trip_miles, l_extendedprice AS base_passenger_fare, "
             "nullif(l_tax, 0.0) AS tolls, l_tax AS sales_tax, l_tax AS congestion_surcharge, "
             f"l_discount AS airport_fee, l_discount AS tips, {_FOLDER} "
@@ -35,11 +39,11 @@ def raw_sql(service: str) -> str:
     return (
         f"SELECT l_linenumber AS VendorID, l_shipdate AS {prefix}_pickup_datetime, "
         f"{_DROPOFF} AS {prefix}_dropoff_datetime, "
-        "l_suppkey AS PULocationID, l_partkey AS DOLocationID, "
+        f"{_ZONE} AS PULocationID, l_partkey AS DOLocationID, "
         "CAST(l_linenumber AS DOUBLE) AS passenger_count, l_quantity AS trip_distance, "
         "l_extendedprice AS fare_amount, l_discount AS extra, l_tax AS mta_tax, "
         "l_discount AS tip_amount, l_tax AS tolls_amount, l_discount AS improvement_surcharge, "
-        "l_extendedprice AS total_amount, l_linestatus AS payment_type, "
+        f"l_extendedprice AS total_amount, {_PAYMENT} AS payment_type, "
         f"l_tax AS congestion_surcharge, {_FOLDER} "
         f"FROM lineitem WHERE l_returnflag = '{flag}'"
     )
@@ -124,6 +128,7 @@ def clean_sql(service: str, month_filter: str | None, keep_folder: bool) -> str:
     )
 
 
+# Output columns of the unified trips and measures of the reports.
 TRIP_COLS = [
     "VendorID",
     "pickup_datetime",
@@ -227,8 +232,9 @@ def _exact(kind: str, col: str) -> str:
 
 
 def report_sql(services: list[str], core: bool) -> str:
+    # plain sums; the queries round money sums on output, as float noise depends on the order of rows
     measures = REPORT_CORE if core else REPORT_FULL
-    aggs = ", ".join(f"{_exact(k, c)} AS {a}" for k, c, a in measures)
+    aggs = ", ".join(f"round(sum({c}), 2) AS {a}" if k == "sum" else f"avg({c}) AS {a}" for k, c, a in measures)
     return (
         "SELECT PULocationID AS revenue_zone, "
         "CAST(date_trunc('month', pickup_datetime) AS TIMESTAMP) AS revenue_month, "
@@ -365,7 +371,9 @@ SURCHARGED_SQL = (
 PEAK_WINDOWS_SQL = (
     "SELECT time_bucket(INTERVAL '30 minutes', pickup_datetime) AS pickup_window_start, "
     "time_bucket(INTERVAL '30 minutes', pickup_datetime) + INTERVAL '30 minutes' AS pickup_window_end, "
-    f"COUNT(*) AS trip_count FROM ({RIDES_SQL}) AS r GROUP BY 1, 2"
+    "COUNT(*) AS trip_count, "
+    "row_number() OVER (ORDER BY COUNT(*) DESC, time_bucket(INTERVAL '30 minutes', pickup_datetime)) AS busiest "
+    f"FROM ({RIDES_SQL}) AS r GROUP BY 1, 2"
 )
 
 
@@ -391,15 +399,40 @@ FIXED_SCHEMA_SQL = (
 )
 
 DETAILS_SQL = (
-    "SELECT service_type, 2 * COUNT(*) AS rows_append, COUNT(*) AS rows_replace FROM ("
+    "SELECT service_type, 2 * COUNT(*) AS rows_append, COUNT(*) AS rows_replace, "
+    "COUNT(*) FILTER (WHERE NOT (date_trunc('month', pickup_datetime) = TIMESTAMP '1996-02-01' "
+    "AND trip_distance < 10)) AS rows_month_replaced FROM ("
     + unified_sql(["green", "yellow"], core=False)
     + ") AS t GROUP BY 1"
 )
 
+# Answers of the five metrics: number of rows, and of trips in them.
+ANSWERS_SQL = (
+    "SELECT 'running_totals' AS name, 1 AS answer_rows, COUNT(*) AS answer_trips FROM events "
+    f"UNION ALL SELECT 'window_metrics', COUNT(*), sum(total_trips_last_month)::BIGINT FROM ({window_metrics_sql()}) AS w "
+    f"UNION ALL SELECT 'surcharged_trips', 1, trips_with_surcharge_count FROM ({SURCHARGED_SQL}) AS s "
+    f"UNION ALL SELECT 'anomalies', COUNT(*), COUNT(*) FROM ({ANOMALIES_SQL}) AS a "
+    f"UNION ALL SELECT 'peak_windows', COUNT(*), sum(trip_count)::BIGINT FROM ({PEAK_WINDOWS_SQL}) AS p"
+)
+
 MULTI_STATUS_SQL = (
-    "SELECT q.name, false AS is_active, (SELECT COUNT(*) FROM events) AS input_rows "
-    "FROM (VALUES ('running_totals'), ('window_metrics'), ('surcharged_trips'), "
-    "('anomalies'), ('peak_windows')) AS q(name)"
+    "SELECT name, false AS is_active, (SELECT COUNT(*) FROM events) AS input_rows, answer_rows, answer_trips "
+    f"FROM ({ANSWERS_SQL}) AS q"
+)
+
+# Months of one year; in odd months the files also have a column ``note``.
+DRIFTING_SQL = (
+    f"SELECT c.*, CASE WHEN month % 2 = 1 THEN 'n' || CAST(l_quantity AS INTEGER) END AS note FROM ("
+    + clean_sql("green", None, keep_folder=True).replace("SELECT ", "SELECT trip_distance AS l_quantity, ", 1)
+    + ") AS c WHERE year = 1996"
+)
+
+ONE_MONTH_SQL = "SELECT * EXCLUDE (year, month) FROM (" + raw_sql("green") + ") AS r WHERE year = 1996 AND month = 2"
+
+MONTH_FILES_SQL = (
+    "SELECT 4 AS files, COUNT(*) AS trips, sum(PULocationID)::BIGINT AS zones FROM ("
+    + clean_sql("green", "1996-02", keep_folder=False)
+    + ") AS c"
 )
 
 
