@@ -12,8 +12,11 @@ prefix and the more shingles a pair must share there before it is verified
 1. One scan makes each document's number of shingles and a 128-bit
    signature of its set, and the counts. Documents with equal sets form one
    class; only its smallest id goes on.
-2. A second scan packs the prefixes by shingle. Shingles of two to ``SMALL``
-   prefixes yield pairs, added up by pair; those of more yield chains by set
+2. A second scan counts the shingles of the prefixes exactly; those of more
+   than ``SMALL`` prefixes go to the end of the order (as a bit set of fixed
+   size). A third scan packs the prefixes of the new order by shingle.
+   Shingles of two to ``SMALL`` prefixes yield pairs, added up by pair; those
+   of more (of documents that have hardly any other) yield chains by set
    size, so that no shingle makes more than linear rows.
 3. Components of these candidates are clusters; every link lies within one.
    Each set is sent once, to its cluster. There, documents are compared with
@@ -66,6 +69,7 @@ PART = 1 << 23
 SLICES = 64
 # Shingles that a bucket of prefixes should hold, of which each takes some bytes of text.
 BUCKET_BYTES = 16 << 20
+HOT_BITS = 1 << 24
 
 
 def shingles(words: np.ndarray, first: np.ndarray, size: int) -> Iterator[np.ndarray]:
@@ -143,14 +147,23 @@ def _add_counts(batches: Iterator[pa.Table]) -> pa.Table:
     return pa.table({"slice": batches.column("slice")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
 
+def hot_key(tokens: np.ndarray) -> np.ndarray:
+    """Position of a shingle in the bit set of those with many prefixes."""
+    return (mix(tokens) % np.uint64(HOT_BITS)).astype(np.int64)
+
+
 class Order:
     """The global order of shingles and the choice of prefixes."""
 
     def __init__(self, counts: np.ndarray, num: int, den: int):
         self.num, self.den = num, den
-        self.rank = np.minimum(255, 4 * np.log2(counts + 1.0)).astype(np.uint8)
-        # documents that share a shingle, beyond what the table's width lets coincide
-        self.others = np.maximum(0, 2.0 ** (np.arange(256) / 4) - 1 - counts.mean() - 1)
+        self.rank = np.minimum(254, 4 * np.log2(counts + 1.0)).astype(np.uint8)
+        # documents that share a shingle: beyond what the table's width lets coincide,
+        # and as many as that chance leaves uncertain
+        mean = counts.mean()
+        seen = 2.0 ** (np.arange(256) / 4) - 1
+        self.others = np.maximum(0, seen - 1 - mean) + np.sqrt(mean) * (mean > 1)
+        self.hot: np.ndarray | None = None
 
     def least(self, n: int) -> int:
         """Shingles of a set of ``n`` that a partner shares at least."""
@@ -159,6 +172,9 @@ class Order:
     def arrange(self, s: np.ndarray) -> tuple[np.ndarray, int, int]:
         """The set in global order, the shingles to match, the length of the prefix."""
         rank = self.rank[s % np.uint64(WIDTH)]
+        if self.hot is not None:
+            at = hot_key(s)
+            rank = np.where((self.hot[at >> 3] >> (at & 7).astype(np.uint8)) & 1, np.uint8(255), rank)
         order = np.argsort(rank, kind="stable")
         n = len(s)
         least = self.least(n)
@@ -209,6 +225,13 @@ def _prefixes(size: int, buckets: int, order):
 
 
 PREFIX_ROWS = "bucket int, k int, token binary, id binary, n binary, match binary"
+def _hot(table: pa.Table) -> pa.Table:
+    """Positions of a bucket's shingles that more than ``SMALL`` prefixes hold."""
+    token = np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in table.column("token").to_pylist()])
+    token, many = np.unique(token, return_counts=True)
+    return pa.table({"p": pa.array(np.unique(hot_key(token[many > SMALL])) + 1, pa.int64())})
+
+
 PAIR_ROWS = "a long, b long, shared long, need long"
 CERTAIN = 1 << 30
 
@@ -435,7 +458,7 @@ def linked_groups(
     for r in added.collect():  # SLICES rows, of WIDTH numbers together
         lo = r["slice"] * (WIDTH // SLICES)
         counts[lo : lo + WIDTH // SLICES] = np.frombuffer(r["counts"], dtype=np.int64)
-    order = spark.sparkContext.broadcast(Order(counts, num, den))
+    first = Order(counts, num, den)
 
     classes = settle(
         signed.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("k")),
@@ -451,6 +474,15 @@ def linked_groups(
 
     text_bytes_all = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, min(1 << 16, text_bytes_all // BUCKET_BYTES + 1))
+    packed = chosen(reps).mapInArrow(_prefixes(size, buckets, spark.sparkContext.broadcast(first)), PREFIX_ROWS)
+    many = packed.select("bucket", "token").groupBy("bucket").applyInArrow(_hot, "p long")
+    hot = np.zeros(HOT_BITS // 8, dtype=np.uint8)
+    for r in bit_set(many, "p").collect():  # HOT_BITS / 8 bytes at most
+        lo = (r["bucket"] - 1) * 4096
+        hot[lo : lo + 4096] = np.frombuffer(r["bitmap"], dtype=np.uint8)
+    final = Order(counts, num, den)
+    final.hot = hot
+    order = spark.sparkContext.broadcast(final)
     pairs = (
         chosen(reps)
         .mapInArrow(_prefixes(size, buckets, order), PREFIX_ROWS)
@@ -495,19 +527,22 @@ def one_of_each_group(
     Of rows with one id (not null) one stays. Only rows that may go are
     shuffled; a bit set of their ids lets the others pass.
     """
-    groups = settle(linked_groups(docs, size, num, den, id_col, text_col), "ngram-groups")
-    gone = groups.filter(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col).distinct()
-    twice = groups.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1").select(id_col)
-    key = F.col(id_col).cast("long")
+    groups = settle(
+        linked_groups(docs, size, num, den, id_col, text_col).select(
+            F.col(id_col).cast("long").alias("id"), F.col("component_id").alias("root")
+        ),
+        "ngram-groups",
+    )
+    gone = groups.filter(~F.col("id").eqNullSafe(F.col("root"))).select("id").distinct()
+    twice = groups.filter("id IS NOT NULL").groupBy("id").count().filter("count > 1").select("id")
     bits = power_of_two(16 * groups.count(), 1 << 16, 1 << 26)
-    marks = gone.unionByName(twice).select(position(key, bits).alias("p"))
+    marks = gone.unionByName(twice).select(position(F.col("id"), bits).alias("p"))
     marked = settle(bit_set(marks, "p"), "ngram-marked")
-    tested = with_test(docs.withColumn("_p", position(key, bits)), "_p", marked, "_marked").drop("_p")
-    some = tested.filter("_marked").drop("_marked").join(gone, id_col, "left_anti")
-    again = some.join(twice, id_col, "left_semi").dropDuplicates([id_col])
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.struct(*docs.columns).alias("kept"))
+    tested = with_test(rows.withColumn("p", position(F.col("id"), bits)), "p", marked, "marked").drop("p")
+    some = tested.filter("marked").select("id", "kept").join(gone, "id", "left_anti")
+    again = some.join(twice, "id", "left_semi").dropDuplicates(["id"])
+    once = some.join(twice, "id", "left_anti")
     return (
-        tested.filter("NOT _marked")
-        .drop("_marked")
-        .unionByName(some.join(twice, id_col, "left_anti").select(docs.columns))
-        .unionByName(again.select(docs.columns))
-    )
+        tested.filter("NOT marked").select("kept").unionByName(once.select("kept")).unionByName(again.select("kept"))
+    ).select("kept.*")
