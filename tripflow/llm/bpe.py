@@ -36,11 +36,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.textnp import mix, parts, span_hashes
+from tripflow.llm.textnp import mix, parts, runs, span_hashes
 
 OTHER, LETTER, DIGIT, SPACE = range(4)
 # Characters encoded at once; words whose encodings are kept.
-PIECE, KEPT_WORDS = 1 << 21, 300_000
+PIECE, KEPT_WORDS = 1 << 20, 300_000
 NEVER = 1 << 60
 
 # Information separators, which are no white space in vocabulary files' patterns,
@@ -339,21 +339,13 @@ class Encoder:
         coded = [self.words[w] if w not in special else (special[w],) for w in distinct]
         sizes = np.array([len(c) for c in coded], dtype=np.int64)
         flat = np.fromiter((i for c in coded for i in c), dtype="<u4", count=int(sizes.sum()))
-        ids = flat[_gather(np.cumsum(sizes) - sizes, sizes, which)]
+        ids = flat[runs(np.cumsum(sizes) - sizes, sizes, which)]
         totals = np.concatenate([[0], np.cumsum(sizes[which])])
         cuts = totals[np.searchsorted(starts, np.append(edges, len(codes)))].tolist()
         for row, lo, hi in zip(rows, cuts, cuts[1:], strict=False):
             found[row].append(ids[lo:hi].tobytes())
 
 
-def _gather(begin: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """Indices that copy the runs ``which`` (each from ``begin``, of ``sizes``) one after the other."""
-    n = sizes[which]
-    ends = np.cumsum(n)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.repeat(begin[which] - (ends - n), n) + np.arange(total)
-
-
 def decode_ids(tables: dict, ids: bytes) -> str:
     """The text of ids as ``encode`` returns them; special tokens stay."""
     which = np.frombuffer(ids, dtype="<u4").astype(np.int64)
@@ -361,7 +353,7 @@ def decode_ids(tables: dict, ids: bytes) -> str:
     sizes = np.diff(ends, prepend=0)
     blob = np.frombuffer(tables["bytes"], dtype=np.uint8)
     out = [
-        blob[_gather(ends - sizes, sizes, which[lo : lo + PIECE])].tobytes() for lo in range(0, len(which), PIECE)
+        blob[runs(ends - sizes, sizes, which[lo : lo + PIECE])].tobytes() for lo in range(0, len(which), PIECE)
     ]
     return b"".join(out).decode("utf-8", "replace")
 
@@ -383,34 +375,35 @@ def encode_texts(
     ``ids`` is binary: little-endian unsigned 32-bit integers.
     """
     shared = docs.sparkSession.sparkContext.broadcast(load_tables(vocabulary))
-    rows = docs.select(F.col(text_col).alias("_text"), *keep)
-    names = rows.columns[1:]
+    rows = docs.select(F.col(text_col).alias("text"), F.struct(*keep).alias("kept"))
+    names = ["ids", *["decoded"] * decoded]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for whole in batches:
-            for batch in parts(whole, 0):
+            for batch in parts(whole, 0, 1 << 22):
                 ids = encoder.encode(batch.column(0).to_pylist())
-                out = [*batch.columns[1:], pa.array(ids, pa.binary())]
+                out = [batch.column(1), pa.array(ids, pa.binary())]
                 if decoded:
                     out.append(pa.array([decode_ids(shared.value, x) for x in ids], pa.string()))
-                yield pa.RecordBatch.from_arrays(out, names=[*names, "ids", *["decoded"] * decoded])
+                yield pa.RecordBatch.from_arrays(out, names=["kept", *names])
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[1:])
-    return rows.mapInArrow(run, fields + "ids binary" + ", decoded string" * decoded)
+    kind = rows.schema["kept"].dataType.simpleString()
+    coded = rows.mapInArrow(run, f"kept {kind}, ids binary" + ", decoded string" * decoded)
+    return coded.select("kept.*", *names)
 
 
 def decode_texts(encoded: DataFrame, vocabulary: str, keep: tuple[str | Column, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``keep`` with ``decoded``, the text of the column ``ids``."""
     shared = encoded.sparkSession.sparkContext.broadcast(load_tables(vocabulary))
-    rows = encoded.select("ids", *keep)
+    rows = encoded.select("ids", F.struct(*keep).alias("kept"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [decode_ids(shared.value, x or b"") for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(texts, pa.string())], names=[*rows.columns[1:], "decoded"]
+                [batch.column(1), pa.array(texts, pa.string())], names=["kept", "decoded"]
             )
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[1:])
-    return rows.mapInArrow(run, fields + "decoded string")
+    kind = rows.schema["kept"].dataType.simpleString()
+    return rows.mapInArrow(run, f"kept {kind}, decoded string").select("kept.*", "decoded")

@@ -12,9 +12,10 @@ matches it, judged on the input.
    packed as arrays by word. Equal lines within a batch are settled on the
    spot, so a line that a third of all texts hold is sent once a batch.
    Where a word's lines meet, equal sets are settled too, and of the rest
-   each line gets its earliest possible partners, by length filter,
-   positional filter and a parity sketch that bounds the difference of the
-   sets. All these filters are lossless.
+   each line gets its likeliest partner, of those that pass the length
+   filter, the positional filter and a parity sketch that bounds the
+   difference of the sets (about a bit for each word). All these filters
+   are lossless.
 3. A scan fetches the word sets of the lines in question, and the pairs are
    verified exactly. Lines of which no partner so far was right, and which
    have more, get all of them in one more round.
@@ -42,27 +43,32 @@ from pyspark.sql import functions as F
 
 from tripflow.llm.bitmaps import bit_set, position, with_test
 from tripflow.llm.common import settle
-from tripflow.llm.textnp import byte_symbols, mix, parts, span_hashes, spread, squeeze, text_bytes, word_spans
+from tripflow.llm.textnp import byte_symbols, mix, parts, runs, span_hashes, spread, squeeze, text_bytes, word_spans
 
 NO_ID = -(2**63)
-WIDTH, SLICES = 1 << 20, 64
-PART = 1 << 23
-BUCKET_BYTES = 16 << 20
-# Partners that a line gets at first; lines of a word that are paired at once; a side of a block of larger ones.
-FIRST, SMALL, SIDE = 2, 24, 1024
+WIDTH, SLICES = 1 << 22, 256
+# 64-bit words of the longest sketch.
+WIDEST = 16
+PART = 1 << 22
+BUCKET_BYTES = 8 << 20
+# Lines of a word that are paired at once; a side of a block of larger ones.
+SMALL, SIDE = 24, 512
 LINE_BITS, ID_BITS = 1 << 26, 1 << 24
 
+# Words that share the 32 bits of ``token`` only make more candidates. Sets that agree in ``sig``, ``parity`` (64 bits
+# of it) and ``n`` are equal. ``parity`` has ``sketch_size(n)`` numbers for each entry.
 COLUMNS = (
-    ("token", np.uint64),
-    ("sig", np.uint64),
+    ("token", np.uint32),
+    ("sig", np.uint32),
     ("parity", np.uint64),
     ("id", np.int64),
     ("line", np.int32),
     ("n", np.int32),
     ("at", np.int32),
 )
+RAW = ("token", "sig", "parity")
 PACKED = "bucket int, k int, " + ", ".join(f"{name} binary" for name, _ in COLUMNS)
-FOUND = "y_id long, y_line int, x_id long, x_line int, more boolean, word long"
+FOUND = "y_id long, y_line int, x_id long, x_line int, more boolean, word long, far int"
 
 
 def _ids(batch: pa.RecordBatch) -> np.ndarray:
@@ -76,21 +82,82 @@ def line_key(ids: np.ndarray, lines: np.ndarray) -> np.ndarray:
     return (h % np.uint64(LINE_BITS)).astype(np.int64)
 
 
+def sketch_size(n: np.ndarray) -> np.ndarray:
+    """64-bit words of the sketch of a line of ``n`` words: a power of two, about a bit for each word."""
+    size = np.ones(len(n), dtype=np.int64)
+    for k in range(WIDEST.bit_length() - 1):
+        size[n > 64 << k] = 2 << k
+    return size
+
+
+def sketches(words: np.ndarray, begin: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Parity sketches of lines, one after the other; where each begins, and their sizes.
+
+    A word flips the bit that its hash names. So two sketches of one size
+    differ in no more bits than the sets in words. A sketch whose halves are
+    added by exclusive or is the sketch of half the size.
+    """
+    size = sketch_size(n)
+    first = np.cumsum(size) - size
+    out = np.zeros(int(size.sum()), dtype=np.uint64)
+    bit = words & (np.repeat(size, n) * 64 - 1).astype(np.uint64)
+    np.bitwise_xor.at(
+        out, np.repeat(first, n) + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63))
+    )
+    return out, first, size
+
+
+def folded(sketch: np.ndarray, first: np.ndarray, size: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """For each sketch size, the rows that have it at least (as numbers in a table), and the table."""
+    out, width = {}, WIDEST
+    rows, table = np.empty(0, dtype=np.int64), np.empty((0, width), dtype=np.uint64)
+    while True:
+        own = np.flatnonzero(size == width)
+        rows = np.concatenate([rows, own])
+        table = np.concatenate([table, sketch[first[own][:, None] + np.arange(width)]])
+        at = np.full(len(size), -1, dtype=np.int64)
+        at[rows] = np.arange(len(rows))
+        out[width] = (at, table)
+        if width == 1:
+            return out
+        width //= 2
+        table = table[:, :width] ^ table[:, width:]
+
+
+def word_token(words: np.ndarray) -> np.ndarray:
+    """The part of a word's hash that its prefixes are dealt with."""
+    return (words >> np.uint64(32)).astype(np.uint32)
+
+
 def word_key(tokens: np.ndarray) -> np.ndarray:
-    return (mix(tokens) % np.uint64(LINE_BITS)).astype(np.int64)
+    """Position of a token in a bit set of words."""
+    return (mix(tokens.astype(np.uint64)) % np.uint64(LINE_BITS)).astype(np.int64)
 
 
 class Lines:
-    """The distinct words of the lines of a batch, line by line."""
-
-    def __init__(self, batch: pa.RecordBatch, symbols: np.ndarray, rank: np.ndarray | None = None):
+    """The distinct words of the lines of a batch, line by line; with ``wanted``, a bit set, of some lines."""
+
+    def __init__(
+        self,
+        batch: pa.RecordBatch,
+        symbols: np.ndarray,
+        rank: np.ndarray | None = None,
+        wanted: np.ndarray | None = None,
+    ):
         data, offsets = text_bytes(batch.column(1))
         begin, end, _ = word_spans(data, offsets)
-        words = span_hashes(symbols[data], begin, end)
         breaks = np.flatnonzero(data == 0x0A)
-        text = np.searchsorted(offsets, begin, side="right") - 1
         # empty texts share an offset; the last of them has the words
+        text = np.searchsorted(offsets, begin, side="right") - 1
         line = np.searchsorted(breaks, begin) + text
+        ids = _ids(batch)
+        before = np.searchsorted(breaks, offsets)  # line breaks before each text
+        if wanted is not None:
+            lead = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else line
+            number = line[lead] - text[lead] - before[text[lead]]
+            inside = np.repeat(_bits(wanted, line_key(ids[text[lead]], number)), np.diff(np.append(lead, len(line))))
+            begin, end, text, line = begin[inside], end[inside], text[inside], line[inside]
+        words = span_hashes(symbols[data], begin, end)
         order = np.zeros(len(words), dtype=np.uint8) if rank is None else rank[words % np.uint64(WIDTH)]
         if len(line) and int(line[-1]) < 1 << 20:
             key = line.astype(np.uint64) << np.uint64(44)
@@ -99,34 +166,35 @@ class Lines:
             at = np.argsort(key)
         else:
             at = np.lexsort((words, order, line))
-        line, words, order, text = line[at], words[at], order[at], text[at]
+        line, words, text = line[at], words[at], text[at]
         new = np.ones(len(at), dtype=bool)
         new[1:] = (line[1:] != line[:-1]) | (words[1:] != words[:-1])
-        line, self.words, self.order, text = line[new], words[new], order[new], text[new]
+        line, self.words, text = line[new], words[new], text[new]
         self.begin = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else np.empty(0, int)
         self.n = np.diff(np.append(self.begin, len(line)))
         self.text = text[self.begin]
-        self.line = (line[self.begin] - self.text - np.searchsorted(breaks, offsets[self.text])).astype(np.int32)
-        self.ids = _ids(batch)[self.text] if len(self.text) else np.empty(0, np.int64)
+        self.line = (line[self.begin] - self.text - before[self.text]).astype(np.int32)
+        self.ids = ids[self.text] if len(self.text) else np.empty(0, np.int64)
 
     def keep(self, chosen: np.ndarray) -> None:
         """Go on with some of the lines."""
         inside = np.repeat(chosen, self.n)
-        self.words, self.order = self.words[inside], self.order[inside]
+        self.words = self.words[inside]
         self.n, self.text, self.line, self.ids = self.n[chosen], self.text[chosen], self.line[chosen], self.ids[chosen]
         self.begin = np.cumsum(self.n) - self.n
 
 
 def _count(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols, counts = byte_symbols(lower=True), np.zeros(WIDTH, dtype=np.int64)
+        symbols, counts = byte_symbols(lower=True), np.zeros(WIDTH, dtype=np.int32)
         for whole in batches:
             for batch in parts(whole, 1, PART):
                 # every occurrence counts; which of two words is rarer hardly depends on repeats in a line
                 data, offsets = text_bytes(batch.column(1))
                 begin, end, _ = word_spans(data, offsets)
                 words = span_hashes(symbols[data], begin, end)
-                counts += np.bincount(words % np.uint64(WIDTH), minlength=WIDTH)
+                seen = np.bincount(words % np.uint64(WIDTH), minlength=WIDTH)
+                np.add(counts, seen, out=counts, casting="unsafe")
         if counts.any():
             yield pa.RecordBatch.from_arrays(
                 [
@@ -142,8 +210,9 @@ def _count(min_words: int):
 def _add(table: pa.Table) -> pa.Table:
     total = np.zeros(WIDTH // SLICES, dtype=np.int64)
     for blob in table.column("counts").to_pylist():
-        total += spread(blob, np.int64, len(total))
-    return pa.table({"slice": table.column("slice")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
+        total += spread(blob, np.int32, len(total))
+    rank = np.minimum(255, 4 * np.log2(total + 1.0)).astype(np.uint8)
+    return pa.table({"slice": table.column("slice")[:1], "rank": pa.array([rank.tobytes()], pa.binary())})
 
 
 def word_ranks(rows: DataFrame, min_words: int) -> np.ndarray:
@@ -151,13 +220,13 @@ def word_ranks(rows: DataFrame, min_words: int) -> np.ndarray:
     added = (
         rows.mapInArrow(_count(min_words), "slice int, counts binary")
         .groupBy("slice")
-        .applyInArrow(_add, "slice int, counts binary")
+        .applyInArrow(_add, "slice int, rank binary")
     )
-    counts = np.zeros(WIDTH, dtype=np.int64)
-    for r in added.collect():  # SLICES rows, of WIDTH numbers together
+    ranks = np.zeros(WIDTH, dtype=np.uint8)
+    for r in added.collect():  # SLICES rows, of WIDTH bytes together
         lo = r["slice"] * (WIDTH // SLICES)
-        counts[lo : lo + WIDTH // SLICES] = np.frombuffer(r["counts"], dtype=np.int64)
-    return np.minimum(255, 4 * np.log2(counts + 1.0)).astype(np.uint8)
+        ranks[lo : lo + WIDTH // SLICES] = np.frombuffer(r["rank"], dtype=np.uint8)
+    return ranks
 
 
 def _pack(buckets: int, num: int, den: int, min_words: int, ranks, only):
@@ -175,12 +244,14 @@ def _pack(buckets: int, num: int, den: int, min_words: int, ranks, only):
                 x.keep(x.n >= min_words)
                 if not len(x.n):
                     continue
-                sig = np.add.reduceat(mix(x.words), x.begin)
-                parity = np.bitwise_xor.reduceat(np.uint64(1) << (x.words & np.uint64(63)), x.begin)
+                sig = (np.add.reduceat(mix(x.words), x.begin) >> np.uint64(32)).astype(np.uint32)
+                parity, first_of, size_of = sketches(x.words, x.begin, x.n)
+                base = np.bitwise_xor.reduceat(parity, first_of)
                 # equal sets of this batch: the first goes on, marks for the others
-                at = np.lexsort((x.line, x.ids, x.n, sig))
+                at = np.lexsort((x.line, x.ids, x.n, base, sig))
                 same = np.zeros(len(at), dtype=bool)
-                same[1:] = (sig[at][1:] == sig[at][:-1]) & (x.n[at][1:] == x.n[at][:-1])
+                for values in (sig, base, x.n):
+                    same[1:] = (same[1:] if values is not sig else True) & (values[at][1:] == values[at][:-1])
                 later = np.zeros(len(at), dtype=bool)
                 later[at[same]] = True
                 out: dict[str, list] = {k: [] for k in ("bucket", "k", *(name for name, _ in COLUMNS))}
@@ -189,22 +260,22 @@ def _pack(buckets: int, num: int, den: int, min_words: int, ranks, only):
                     other = np.zeros(len(at), dtype=bool)
                     other[at] = (x.ids[at] != x.ids[first]) | (x.line[at] != x.line[first])
                     gone = np.flatnonzero(later & other)
-                    out["bucket"].append(-1 - int(sig[gone[0]] % np.uint64(buckets)) if len(gone) else -1)
+                    out["bucket"].append(-1 - (int(x.ids[0]) + int(x.line[0])) % buckets)
                     out["k"].append(len(gone))
                     for name, kind in COLUMNS:
                         value = {"id": x.ids, "line": x.line}.get(name)
                         out[name].append(b"" if value is None else value[gone].astype(kind).tobytes())
-                x_parity, x_sig = parity[~later], sig[~later]
+                x_first, x_size, x_sig = first_of[~later], size_of[~later], sig[~later]
                 x.keep(~later)
                 prefix = x.n - -(-num * x.n // den) + 1
                 place = np.arange(len(x.words)) - np.repeat(x.begin, x.n)
                 inside = place < np.repeat(prefix, x.n)
                 if wanted is not None:
-                    inside &= _bits(wanted, word_key(x.words))
+                    inside &= _bits(wanted, word_key(word_token(x.words)))
                 row = np.repeat(np.arange(len(x.n)), x.n)[inside]
-                token = x.words[inside]
-                bucket = (mix(token ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(buckets)).astype(np.uint16)
-                values = (token, x_sig[row], x_parity[row], x.ids[row], x.line[row], x.n[row], place[inside])
+                token = word_token(x.words[inside])
+                bucket = (mix(token.astype(np.uint64) + np.uint64(1)) % np.uint64(buckets)).astype(np.uint16)
+                values = (token, x_sig[row], row, x.ids[row], x.line[row], x.n[row], place[inside])
                 by = np.argsort(bucket, kind="stable")
                 edges = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
                 for b in np.flatnonzero(np.diff(edges)).tolist():
@@ -212,10 +283,10 @@ def _pack(buckets: int, num: int, den: int, min_words: int, ranks, only):
                     out["bucket"].append(b)
                     out["k"].append(len(cut))
                     for (name, kind), value in zip(COLUMNS, values, strict=True):
-                        v = value[cut].astype(kind)
+                        v = value[cut].astype(kind) if name != "parity" else parity[runs(x_first, x_size, value[cut])]
                         if name in ("id", "line"):
                             v = np.diff(v, prepend=kind(0))
-                        out[name].append(v.tobytes() if kind is np.uint64 else squeeze(v))
+                        out[name].append(v.tobytes() if name in RAW else squeeze(v))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, kind) for v, kind in zip(out.values(), kinds, strict=True)], names=list(out)
                 )
@@ -227,27 +298,33 @@ def _bits(table: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def _popcount(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x).astype(np.int64)
-
-
 def _partners(num: int, den: int, pending):
     """Equal lines to remove (x_line null), and possible partners of the others.
 
-    Without ``pending`` each line gets its ``FIRST`` earliest partners of a
-    word; with it (a bit set of lines), those lines get all and others none.
+    Without ``pending`` each line gets, of a word's, the partner of the
+    nearest sketch; with it (a bit set of lines), those lines get all and
+    others none.
     """
 
-    def possible(v: dict, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    def possible(v: dict, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pairs that may match, and in how many bits their sketches differ."""
         n, m, p, q = v["n"][i], v["n"][j], v["at"][i], v["at"][j]
         least = -(-num * (n + m) // (num + den))
         ok = (den * np.minimum(n, m) >= num * np.maximum(n, m)) & (
             np.minimum(p, q) + 1 + np.minimum(n - p - 1, m - q - 1) >= least
         )
-        return ok & (_popcount(v["parity"][i] ^ v["parity"][j]) <= n + m - 2 * least)
+        i, j, most = i[ok], j[ok], (n + m - 2 * least)[ok]
+        far = np.zeros(len(i), dtype=np.int64)
+        level = np.minimum(v["size"][i], v["size"][j])
+        for width, (at, table) in v["folded"].items():
+            some = np.flatnonzero(level == width)
+            if len(some):
+                far[some] = np.bitwise_count(table[at[i[some]]] ^ table[at[j[some]]]).sum(axis=1, dtype=np.int64)
+        ok = far <= most
+        return i[ok], j[ok], far[ok]
 
     def run(table: pa.Table) -> pa.Table:
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.int64()]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int32()]
         names = [c.split(" ")[0] for c in FOUND.split(", ")]
         if table.column("bucket")[0].as_py() < 0:
             ids = np.concatenate([np.frombuffer(b, np.int64) for b in table.column("id").to_pylist()])
@@ -257,18 +334,22 @@ def _partners(num: int, den: int, pending):
         v: dict[str, list] = {name: [] for name, _ in COLUMNS}
         for r in table.to_pylist():
             for name, kind in COLUMNS:
-                if kind is np.uint64:
+                if name in RAW:
                     v[name].append(np.frombuffer(r[name], kind))
                 else:
                     got = spread(r[name], kind, r["k"])
                     v[name].append(np.cumsum(got, dtype=kind) if name in ("id", "line") else got)
         v = {name: np.concatenate(x) for name, x in v.items()}
-        at = np.lexsort((v["line"], v["id"], v["n"], v["sig"], v["token"]))
+        sketch = v["parity"]
+        v["size"] = sketch_size(v["n"])
+        v["first"] = np.cumsum(v["size"]) - v["size"]
+        v["parity"] = np.bitwise_xor.reduceat(sketch, v["first"])
+        at = np.lexsort((v["line"], v["id"], v["n"], v["parity"], v["sig"], v["token"]))
         v = {name: x[at] for name, x in v.items()}
         same = np.zeros(len(at), dtype=bool)
-        same[1:] = (
-            (v["token"][1:] == v["token"][:-1]) & (v["sig"][1:] == v["sig"][:-1]) & (v["n"][1:] == v["n"][:-1])
-        )
+        same[1:] = True
+        for name in ("token", "sig", "parity", "n"):
+            same[1:] &= v[name][1:] == v[name][:-1]
         lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))
         twice = same & ((v["id"] != v["id"][lead]) | (v["line"] != v["line"][lead]))
         # every line is dealt to its rarest word, where its equals are
@@ -278,52 +359,52 @@ def _partners(num: int, den: int, pending):
         at = np.lexsort((v["line"], v["id"], v["token"]))
         v = {name: x[at] for name, x in v.items()}
         v["n"], v["at"] = v["n"].astype(np.int64), v["at"].astype(np.int64)
+        v["folded"] = folded(sketch, v["first"], v["size"])
         begin = np.flatnonzero(np.concatenate([[True], v["token"][1:] != v["token"][:-1]]))
         many = np.diff(np.append(begin, len(at)))
         asked = None if pending is None else _bits(pending.value, line_key(v["id"], v["line"]))
-        left, right = [], []
+        left, right, far = [], [], []
         for m in range(2, SMALL + 1):
             some = begin[many == m]
             if len(some):
                 j, i = np.tril_indices(m, -1)
-                for lo in range(0, len(some), 4096):
-                    a = (some[lo : lo + 4096, None] + i).ravel()
-                    b = (some[lo : lo + 4096, None] + j).ravel()
-                    ok = possible(v, a, b)
-                    left.append(a[ok])
-                    right.append(b[ok])
+                for lo in range(0, len(some), 1024):
+                    a = (some[lo : lo + 1024, None] + i).ravel()
+                    b = (some[lo : lo + 1024, None] + j).ravel()
+                    for out, found in zip((left, right, far), possible(v, a, b), strict=True):
+                        out.append(found)
         for start, m in zip(begin[many > SMALL].tolist(), many[many > SMALL].tolist(), strict=True):
             for lo in range(0, m, SIDE):
                 ys = np.arange(start + lo, start + min(m, lo + SIDE))
                 if asked is not None:
                     ys = ys[asked[ys]]
-                have = np.zeros(len(ys), dtype=np.int64)
+                near = np.zeros(len(ys), dtype=np.int64)  # partners whose sketch hardly differs
                 for x0 in range(0, lo + SIDE, SIDE):
-                    open_ = np.flatnonzero(have <= FIRST) if asked is None else np.arange(len(ys))
+                    # who has two such needs no others at first
+                    open_ = np.flatnonzero(near < 2) if asked is None else np.arange(len(ys))
                     if not len(open_):
                         break
                     xs = np.arange(start + x0, start + min(m, x0 + SIDE))
                     b = np.repeat(ys[open_], len(xs))
                     a = np.tile(xs, len(open_))
-                    ok = possible(v, a, b) & (a < b)
-                    a, b = a[ok], b[ok]
-                    left.append(a)
-                    right.append(b)
-                    have += np.bincount(np.searchsorted(ys, b), minlength=len(ys))
+                    earlier = a < b
+                    a, b, d = possible(v, a[earlier], b[earlier])
+                    for out, found in zip((left, right, far), (a, b, d), strict=True):
+                        out.append(found)
+                    near += np.bincount(np.searchsorted(ys, b[8 * d <= v["n"][b]]), minlength=len(ys))
         empty = np.empty(0, dtype=np.int64)
-        i, j = (np.concatenate(x) if x else empty for x in (left, right))
+        i, j, d = (np.concatenate(x) if x else empty for x in (left, right, far))
         real = (v["id"][i] != v["id"][j]) | (v["line"][i] != v["line"][j])
-        i, j = i[real], j[real]
-        by = np.lexsort((i, j))
-        i, j = i[by], j[by]
+        i, j, d = i[real], j[real], d[real]
+        by = np.lexsort((i, d, j))
+        i, j, d = i[by], j[by], d[by]
         if asked is not None:
-            i, j = i[asked[j]], j[asked[j]]
+            i, j, d = i[asked[j]], j[asked[j]], d[asked[j]]
             more = np.zeros(len(j), dtype=bool)
         else:
             head = np.concatenate([[True], j[1:] != j[:-1]]) if len(j) else empty.astype(bool)
-            nth = np.arange(len(j)) - np.maximum.accumulate(np.where(head, np.arange(len(j)), 0))
-            many_of = np.bincount(j, minlength=len(v["n"]))[j] if len(j) else empty
-            i, j, more = i[nth < FIRST], j[nth < FIRST], (many_of > FIRST)[nth < FIRST]
+            more = np.bincount(j, minlength=len(v["n"]))[j[head]] > 1 if len(j) else empty.astype(bool)
+            i, j, d = i[head], j[head], d[head]
         n = len(gone)
         none = pa.nulls(n, pa.int64())
         return pa.Table.from_arrays(
@@ -333,7 +414,8 @@ def _partners(num: int, den: int, pending):
                 pa.concat_arrays([none, pa.array(v["id"][i], pa.int64())]),
                 pa.concat_arrays([pa.nulls(n, pa.int32()), pa.array(v["line"][i], pa.int32())]),
                 pa.concat_arrays([pa.nulls(n, pa.bool_()), pa.array(more)]),
-                pa.concat_arrays([none, pa.array(v["token"][j].view(np.int64))]),
+                pa.concat_arrays([none, pa.array(v["token"][j].astype(np.int64))]),
+                pa.concat_arrays([pa.nulls(n, pa.int32()), pa.array(d, pa.int32())]),
             ],
             names=names,
         )
@@ -341,19 +423,26 @@ def _partners(num: int, den: int, pending):
     return run
 
 
-def _fetch(wanted):
-    """The word sets of the lines in a bit set, as rows (id, line, words)."""
+def _fetch(left, right):
+    """The word sets of the lines in two bit sets, as rows (id, line, is_x, is_y, words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols = byte_symbols(lower=True)
+        either = left.value | right.value
         for whole in batches:
             for batch in parts(whole, 1, PART):
-                x = Lines(batch, symbols)
-                if len(x.n):
-                    x.keep(_bits(wanted.value, line_key(x.ids, x.line)))
+                x = Lines(batch, symbols, wanted=either)
+                key = line_key(x.ids, x.line)
                 blobs = [w.tobytes() for w in np.split(x.words, x.begin[1:])] if len(x.n) else []
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x.ids), pa.array(x.line), pa.array(blobs, pa.binary())], names=["id", "line", "words"]
+                    [
+                        pa.array(x.ids),
+                        pa.array(x.line),
+                        pa.array(_bits(left.value, key)),
+                        pa.array(_bits(right.value, key)),
+                        pa.array(blobs, pa.binary()),
+                    ],
+                    names=["id", "line", "is_x", "is_y", "words"],
                 )
 
     return run
@@ -390,7 +479,7 @@ def _keyed(rows: DataFrame, kind: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(batch.num_columns)]
-            key = line_key(*got) if kind == "line" else word_key(got[0].view(np.uint64))
+            key = line_key(*got) if kind == "line" else word_key(got[0].astype(np.uint32))
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(key), pa.int64())], names=["p"])
 
     return rows.mapInArrow(run, "p long")
@@ -398,23 +487,19 @@ def _keyed(rows: DataFrame, kind: str) -> DataFrame:
 
 def _right(rows: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
     """The lines (id, line) of ``pairs`` that really match their partner."""
-    spark = rows.sparkSession
-    lines = pairs.select(F.col("y_id").alias("id"), F.col("y_line").alias("line")).unionByName(
-        pairs.select(F.col("x_id").alias("id"), F.col("x_line").alias("line"))
-    )
-    wanted = spark.sparkContext.broadcast(_collect_bits(_keyed(lines, "line")))
-    sets = rows.mapInArrow(_fetch(wanted), "id long, line int, words binary").join(
-        lines.distinct(), ["id", "line"], "left_semi"
+    context = rows.sparkSession.sparkContext
+    bits = [context.broadcast(_collect_bits(_keyed(pairs.select(f"{k}_id", f"{k}_line"), "line"))) for k in "xy"]
+    sets = settle(
+        rows.mapInArrow(_fetch(*bits), "id long, line int, is_x boolean, is_y boolean, words binary"), "line-sets"
     )
-    sets = settle(sets.dropDuplicates(["id", "line"]), "line-sets")
-    x = sets.select(F.col("id").alias("x_id"), F.col("line").alias("x_line"), F.col("words").alias("x_words"))
-    y = sets.select(F.col("id").alias("y_id"), F.col("line").alias("y_line"), F.col("words").alias("y_words"))
-    joined = pairs.select("y_id", "y_line", "x_id", "x_line").distinct().join(x, ["x_id", "x_line"]).join(
-        y, ["y_id", "y_line"]
+    x, y = (
+        sets.filter(f"is_{k}").select(
+            F.col("id").alias(f"{k}_id"), F.col("line").alias(f"{k}_line"), F.col("words").alias(f"{k}_words")
+        )
+        for k in "xy"
     )
-    return joined.select("y_id", "y_line", "x_words", "y_words").mapInArrow(
-        _verify(num, den), "id long, line int"
-    ).distinct()
+    joined = pairs.select("y_id", "y_line", "x_id", "x_line").join(x, ["x_id", "x_line"]).join(y, ["y_id", "y_line"])
+    return joined.select("y_id", "y_line", "x_words", "y_words").mapInArrow(_verify(num, den), "id long, line int")
 
 
 def repeated_lines(rows: DataFrame, num: int, den: int, min_words: int) -> DataFrame:
@@ -429,54 +514,55 @@ def repeated_lines(rows: DataFrame, num: int, den: int, min_words: int) -> DataF
         return packed.groupBy("bucket").applyInArrow(_partners(num, den, pending), FOUND)
 
     found = settle(meet(None, None), "line-partners")
-    equal = found.filter("x_line IS NULL").select(F.col("y_id").alias("id"), F.col("y_line").alias("line"))
+    equal = found.filter("x_line IS NULL").select(F.col("y_id").alias("id"), F.col("y_line").alias("line")).distinct()
     pairs = found.filter("x_line IS NOT NULL")
-    sure = settle(_right(rows, pairs, num, den).unionByName(equal).distinct(), "lines-gone")
+    x = F.struct("far", "x_id", "x_line")
+    best = (
+        pairs.groupBy("y_id", "y_line")
+        .agg(F.min(x).alias("x"), (F.max("more") | (F.min(x) != F.max(x))).alias("more"))
+        .join(equal.select(F.col("id").alias("y_id"), F.col("line").alias("y_line")), ["y_id", "y_line"], "left_anti")
+        .select("y_id", "y_line", "x.x_id", "x.x_line", "more")
+    )
+    best = settle(best, "line-pairs")
+    sure = settle(_right(rows, best, num, den).unionByName(equal).distinct(), "lines-gone")
+    found_ = sure.select(F.col("id").alias("y_id"), F.col("line").alias("y_line"))
     open_ = settle(
-        pairs.filter("more").join(
-            sure.select(F.col("id").alias("y_id"), F.col("line").alias("y_line")), ["y_id", "y_line"], "left_anti"
-        ),
-        "lines-open",
+        best.filter("more").join(found_, ["y_id", "y_line"], "left_anti").select("y_id", "y_line"), "lines-open"
     )
     if open_.isEmpty():
         return sure
     context = spark.sparkContext
-    words = context.broadcast(_collect_bits(_keyed(open_.select("word"), "word")))
-    pending = context.broadcast(_collect_bits(_keyed(open_.select("y_id", "y_line"), "line")))
-    again = settle(meet(words, pending), "line-partners-again").join(
-        open_.select("y_id", "y_line").distinct(), ["y_id", "y_line"], "left_semi"
-    )
+    asked = pairs.join(open_, ["y_id", "y_line"], "left_semi").select("word")
+    words = context.broadcast(_collect_bits(_keyed(asked, "word")))
+    pending = context.broadcast(_collect_bits(_keyed(open_, "line")))
+    again = meet(words, pending).join(open_, ["y_id", "y_line"], "left_semi")
+    again = settle(again.select("y_id", "y_line", "x_id", "x_line").distinct(), "line-pairs-again")
     return sure.unionByName(_right(rows, again, num, den)).distinct()
 
 
-def _cut(names: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n_lines, n_removed, removed, kept = [], [], [], []
-            for text, gone in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                lines = [] if text is None else text.split("\n")
-                drop = set(gone or ())
-                n_lines.append(len(lines))
-                n_removed.append(len(drop))
-                removed.append(sorted(drop))
-                kept.append(
-                    text if not drop else "\n".join(x for k, x in enumerate(lines) if k not in drop)
-                )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[2:],
-                    pa.array(n_lines, pa.int64()),
-                    pa.array(n_removed, pa.int64()),
-                    pa.array(removed, pa.list_(pa.int32())),
-                    pa.array(kept, pa.string()),
-                ],
-                names=[*names, "n_lines", "n_removed", "removed_lines", "kept_text"],
-            )
-
-    return run
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts without their marked lines."""
+    for batch in batches:
+        n_lines, removed, kept = [], [], []
+        for text, gone in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            lines = [] if text is None else text.split("\n")
+            drop = set(gone or ())
+            n_lines.append(len(lines))
+            removed.append(sorted(drop))
+            kept.append(text if not drop else "\n".join(x for k, x in enumerate(lines) if k not in drop))
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(2),
+                pa.array(n_lines, pa.int64()),
+                pa.array([len(x) for x in removed], pa.int64()),
+                pa.array(removed, pa.list_(pa.int32())),
+                pa.array(kept, pa.string()),
+            ],
+            names=["kept", "n_lines", "n_removed", "removed_lines", "kept_text"],
+        )
 
 
-def remove_lines(
+def cleaned_rows(
     docs: DataFrame,
     num: int = 8,
     den: int = 10,
@@ -485,24 +571,27 @@ def remove_lines(
     text_col: str = "text",
     keep: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """The columns ``keep`` (the id) of each row with n_lines, n_removed, removed_lines, kept_text.
+    """Rows (kept, n_lines, n_removed, removed_lines, kept_text); ``kept`` is a struct of the columns ``keep``.
 
     Lines are numbered from 0.
     """
-    keep = (id_col,) if keep is None else keep
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
-    gone = settle(
-        repeated_lines(docs.select(key.alias("id"), F.col(text_col).alias("text")), num, den, min_words),
-        "lines-removed",
+    rows = docs.select(
+        F.col(text_col).alias("text"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
+        F.struct(*((id_col,) if keep is None else keep)).alias("kept"),
     )
+    gone = settle(repeated_lines(rows.select("id", "text"), num, den, min_words), "lines-removed")
     marked = settle(bit_set(gone.select(position(F.col("id"), ID_BITS).alias("p")), "p"), "line-marked-ids")
-    rows = docs.select(F.col(text_col).alias("_text"), key.alias("_key"), *keep)
-    rows = with_test(rows.withColumn("_p", position(F.col("_key"), ID_BITS)), "_p", marked, "_marked")
-    by_id = gone.groupBy(F.col("id").alias("_key")).agg(F.collect_list("line").alias("_gone"))
-    some = rows.filter("_marked").join(by_id, "_key", "left").select("_text", "_gone", *keep)
-    none = rows.filter("NOT _marked").select("_text", F.lit(None).cast("array<int>").alias("_gone"), *keep)
-    both = none.unionByName(some)
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in both.schema.fields[2:])
-    return both.mapInArrow(
-        _cut(list(keep)), fields + "n_lines long, n_removed long, removed_lines array<int>, kept_text string"
+    tested = with_test(rows.withColumn("p", position(F.col("id"), ID_BITS)), "p", marked, "marked")
+    by_id = gone.groupBy("id").agg(F.collect_list("line").alias("gone"))
+    some = tested.filter("marked").join(by_id, "id", "left").select("text", "gone", "kept")
+    none = tested.filter("NOT marked").select("text", F.lit(None).cast("array<int>").alias("gone"), "kept")
+    kind = rows.schema["kept"].dataType.simpleString()
+    return none.unionByName(some).mapInArrow(
+        _cut, f"kept {kind}, n_lines long, n_removed long, removed_lines array<int>, kept_text string"
     )
+
+
+def remove_lines(docs: DataFrame, **settings) -> DataFrame:
+    """The id of each row with n_lines, n_removed, removed_lines, kept_text; settings as for ``cleaned_rows``."""
+    return cleaned_rows(docs, **settings).select("kept.*", "n_lines", "n_removed", "removed_lines", "kept_text")

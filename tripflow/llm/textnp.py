@@ -155,3 +155,11 @@ def spread(data: bytes, dtype, n: int) -> np.ndarray:
     """The array of ``n`` numbers that ``squeeze`` packed."""
     size = n * np.dtype(dtype).itemsize
     return np.frombuffer(pa.decompress(data, decompressed_size=size, codec="zstd", asbytes=True), dtype=dtype)
+
+
+def runs(begin: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Indices that copy the runs ``which`` (each from ``begin``, of ``sizes``) one after the other."""
+    n = sizes[which]
+    ends = np.cumsum(n)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(begin[which] - (ends - n), n) + np.arange(total)
