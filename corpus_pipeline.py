@@ -27,42 +27,41 @@ from tripflow.llm.bpe import encode_texts
 from tripflow.llm.common import SPACE, documents, settle, vocabulary_path
 from tripflow.llm.decontaminate import clean_documents
 from tripflow.llm.language_id import accepted
-from tripflow.llm.line_dedup import remove_lines
+from tripflow.llm.line_dedup import cleaned_rows
 from tripflow.llm.ngram_join import one_of_each_group
+from tripflow.session import ship_package
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return accepted(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = remove_lines(docs, keep=tuple(c for c in docs.columns if c not in ("text", "n_chars")))
+    ship_package(spark)
     left = F.regexp_replace("kept_text", f"{SPACE}+", "") != ""
-    return (
-        cleaned.filter((F.col("n_removed") == 0) | left)
-        .withColumn("text", F.col("kept_text"))
-        .withColumn("n_chars", F.char_length("kept_text").cast("long"))
-        .select(docs.columns)
+    cleaned = cleaned_rows(docs, keep=tuple(c for c in docs.columns if c != "text"))
+    new = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
+    return cleaned.filter((F.col("n_removed") == 0) | left).select(
+        *(new.get(c, F.col("kept")[c]).alias(c) for c in docs.columns)
     )
 
 
 def ngram_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return one_of_each_group(docs, size=5, num=8, den=10)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    keep = tuple(c for c in docs.columns if c != "text")
-    coded = encode_texts(docs, vocabulary_path(), keep=keep, decoded=True)
-    return coded.select(
-        *keep,
-        F.col("decoded").alias("text"),
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        "ids",
-    )
+    ship_package(spark)
+    coded = encode_texts(docs, vocabulary_path(), keep=(F.struct(*docs.columns).alias("row"),), decoded=True)
+    row = [(F.col("decoded") if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns]
+    return coded.select(*row, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids")
 
 
 STAGES = [

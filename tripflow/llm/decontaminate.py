@@ -271,6 +271,9 @@ class Finder:
         stream = np.concatenate([x for w in words for x in (w, gap)]) if words else gap
         sizes = np.array([len(w) + self.reach for w in words])
         begin = np.cumsum(sizes) - sizes
+        own = np.zeros(len(stream), dtype=bool)  # windows begin in a text, not in the gap after it
+        for lo, w in zip(begin.tolist(), words, strict=True):
+            own[lo : lo + len(w)] = True
         ways = []
         for line in (stream, stream[::-1]):
             known, rare = (
@@ -293,6 +296,7 @@ class Finder:
                         if back:
                             at = len(stream) - at - lengths[which]
                             at, which = at[at >= 0], which[at >= 0]
+                        at, which = at[own[at]], which[own[at]]
                         pairs.append(at * len(members) + which)
             both = np.unique(np.concatenate(pairs))
             at, member = both // len(members), both % len(members)

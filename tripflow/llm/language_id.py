@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 UNKNOWN = "und"
 BLANK = 0x20
 # Characters of a piece of text, and cells of a batch's count matrix.
-PIECE = 1 << 21
-CELLS = 8_000_000
+PIECE = 1 << 20
+CELLS = 4_000_000
 
 
 def letter_vectors(codes: np.ndarray, dim: int) -> np.ndarray:
@@ -202,19 +202,18 @@ def train_profiles(
     return out
 
 
-def identify(
+def identified_rows(
     docs: DataFrame,
     profiles: dict[str, np.ndarray],
     text_col: str = "text",
     keep: list[str | Column] = ("doc_id",),
     n: int = 3,
 ) -> DataFrame:
-    """The columns ``keep`` with ``lang_pred`` and ``score`` of each row's text."""
+    """Rows (kept, lang_pred, score); ``kept`` is a struct of the columns ``keep``."""
     langs = sorted(profiles)
     dim = len(profiles[langs[0]]) if langs else 64
     matrix = np.array([profiles[x] for x in langs], dtype=np.float32).T
-    kept = docs.select(*keep, F.col(text_col).alias("_text"))
-    names = kept.columns[:-1]
+    rows = docs.select(F.struct(*keep).alias("kept"), F.col(text_col).alias("text"))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bundler = Bundler(dim, n)
@@ -222,7 +221,7 @@ def identify(
             rows = batch.num_rows
             pred, score = np.full(rows, UNKNOWN, dtype=object), np.zeros(rows)
             if langs and rows:
-                got, grams = bundler.bundles(batch.column(len(names)).to_pylist())
+                got, grams = bundler.bundles(batch.column(1).to_pylist())
                 norm = np.linalg.norm(got, axis=1)
                 with np.errstate(divide="ignore", invalid="ignore"):
                     cosine = (got @ matrix) / norm[:, None]
@@ -231,21 +230,28 @@ def identify(
                 pred[sure] = np.array(langs, dtype=object)[best[sure]]
                 score[sure] = np.clip(cosine[np.arange(rows), best][sure], 0, 1)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(pred, pa.string()), pa.array(score, pa.float64())],
-                names=[*names, "lang_pred", "score"],
+                [batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64())],
+                names=["kept", "lang_pred", "score"],
             )
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1])
-    return kept.mapInArrow(predict, f"{fields}, lang_pred string, score double")
+    kind = rows.schema["kept"].dataType.simpleString()
+    return rows.mapInArrow(predict, f"kept {kind}, lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, min_score: float = 0.0, **names) -> DataFrame:
+def identify(docs: DataFrame, profiles: dict[str, np.ndarray], **settings) -> DataFrame:
+    """The kept columns with ``lang_pred`` and ``score``; settings as for ``identified_rows``."""
+    return identified_rows(docs, profiles, **settings).select("kept.*", "lang_pred", "score")
+
+
+def accepted(docs: DataFrame, min_score: float = 0.0, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with a recognised language, all columns unchanged.
 
     Profiles are learned from the rows' own ``lang``. A row goes if its text
-    has no letter or resembles no language (cosine up to ``min_score``).
+    has no letter or resembles no language (cosine up to ``min_score``);
+    without profiles (no row has a language) only texts without a letter go.
     """
-    lang, text = names.get("lang_col", "lang"), names.get("text_col", "text")
-    profiles = train_profiles(docs, lang, text)
-    found = identify(docs, profiles, text, keep=list(docs.columns))
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") > min_score)).select(docs.columns)
+    profiles = train_profiles(docs, lang_col, text_col)
+    if not profiles:
+        return docs.filter(F.col(text_col).rlike(r"\p{L}"))
+    found = identified_rows(docs, profiles, text_col, keep=list(docs.columns))
+    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") > min_score)).select("kept.*")

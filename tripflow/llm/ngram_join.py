@@ -65,7 +65,7 @@ NO_ID = -(2**63)
 WIDTH, SMALL = 1 << 20, 24
 # Documents of a cluster that one task compares; bytes of sets that a task takes.
 BLOCK, TASK_BYTES = 4096, 32 << 20
-PART = 1 << 23
+PART = 1 << 22
 SLICES = 64
 # Shingles that a bucket of prefixes should hold, of which each takes some bytes of text.
 BUCKET_BYTES = 16 << 20

@@ -18,4 +18,97 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(bare) AS te
 FROM ranked
 """
 
-ORACLE_SQL = {"op10_exact_dedup": OP10}
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _words(text: str) -> str:
+    return rf"list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+
+
+OP6 = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, {_words(_LOWER)} AS ws FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda k: array_to_string(ws[k:k + 2], ' '))) END AS s
+  FROM words
+), shingles AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), edges AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles,
+       least(doc_id, coalesce((SELECT min(b) FROM reach WHERE a = doc_id), doc_id)) AS component_id
+FROM sets
+"""
+
+OP8 = f"""
+WITH words AS (
+  SELECT doc_id, {_words("coalesce(text, '')")} AS ws FROM documents
+), windows AS (
+  SELECT doc_id, s, row_number() OVER (PARTITION BY array_to_string(ws[s + 1:s + 20], ' ') ORDER BY doc_id, s) AS nth
+  FROM (SELECT doc_id, ws, unnest(range(0, len(ws) - 19)) AS s FROM words WHERE len(ws) >= 20)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM windows WHERE nth > 1
+), each AS (
+  SELECT doc_id, unnest(ws) AS word, unnest(range(0, len(ws))) AS p FROM words
+), kept AS (
+  SELECT e.doc_id, count(*) AS n_words, count(g.p) AS n_removed,
+         string_agg(word, ' ' ORDER BY e.p) FILTER (WHERE g.p IS NULL) AS kept
+  FROM each e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.p = g.p GROUP BY 1
+)
+SELECT w.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM words w LEFT JOIN kept USING (doc_id)
+"""
+
+OP9 = f"""
+WITH lines AS (
+  SELECT doc_id, k, line, list_sort(list_distinct({_words(_LOWER.replace("text", "line"))})) AS s,
+         row_number() OVER (ORDER BY doc_id, k) AS pos
+  FROM (SELECT doc_id, unnest(ls) AS line, unnest(range(0, len(ls))) AS k
+        FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL))
+), classes AS (
+  SELECT s, len(s) AS n, min(pos) AS first FROM lines WHERE len(s) >= 3 GROUP BY s
+), tokens AS (
+  SELECT first, n, unnest(s) AS w FROM classes
+), ranked AS (
+  SELECT first, n, w, row_number() OVER (PARTITION BY first ORDER BY uses, w) AS nth
+  FROM (SELECT *, count(*) OVER (PARTITION BY w) AS uses FROM tokens)
+), prefixes AS (
+  SELECT * FROM ranked WHERE nth <= n - (8 * n + 9) // 10 + 1
+), pairs AS (
+  SELECT DISTINCT a.first AS x, b.first AS y FROM prefixes a JOIN prefixes b
+  ON a.w = b.w AND a.first < b.first AND 10 * least(a.n, b.n) >= 8 * greatest(a.n, b.n)
+), near AS (
+  SELECT DISTINCT y FROM (
+    SELECT y, a.n AS n, b.n AS m, len(list_intersect(a.s, b.s)) AS c
+    FROM pairs JOIN classes a ON a.first = x JOIN classes b ON b.first = y)
+  WHERE 10 * c >= 8 * (n + m - c)
+), judged AS (
+  SELECT doc_id, k, line, (c.first IS NOT NULL AND (pos <> c.first OR near.y IS NOT NULL)) AS gone
+  FROM lines l LEFT JOIN classes c ON l.s = c.s LEFT JOIN near ON near.y = c.first
+), kept AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+         string_agg(k::VARCHAR, ',' ORDER BY k) FILTER (WHERE gone) AS removed_lines,
+         string_agg(line, chr(10) ORDER BY k) FILTER (WHERE NOT gone) AS kept
+  FROM judged GROUP BY 1
+)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+       coalesce(removed_lines, '') AS removed_lines,
+       CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(kept, '')) END AS kept_sha256
+FROM documents d LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE_SQL = {
+    "op6_ngram_join": OP6,
+    "op8_substring_dedup": OP8,
+    "op9_line_dedup": OP9,
+    "op10_exact_dedup": OP10,
+}

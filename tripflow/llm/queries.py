@@ -24,6 +24,7 @@ from tripflow.llm.ngram_join import linked_groups
 from tripflow.llm.sharding import shard_rows
 from tripflow.llm.substring_dedup import remove_repeats
 from tripflow.llm.toxicity import score_toxicity, train_toxicity
+from tripflow.session import ship_package
 
 SHARDS = 24
 
@@ -101,8 +102,17 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    run.__name__ = getattr(query, "__name__", "query")
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "op1_toxicity": op1_toxicity,
         "op2_language_id": op2_language_id,
         "op3_decontamination": op3_decontamination,
@@ -115,6 +125,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_exact_dedup": op10_exact_dedup,
         "pipeline": corpus_pipeline.run,
     }
+    return {name: _shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:

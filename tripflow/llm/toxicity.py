@@ -382,8 +382,7 @@ def score_toxicity(
 ) -> DataFrame:
     """The columns ``keep`` with ``score`` (0 to 1) of each row's text."""
     shared = docs.sparkSession.sparkContext.broadcast((model.lexicon, model.weights, model.bias))
-    rows = docs.select(F.col(text_col).alias("_text"), *keep)
-    names = rows.columns[1:]
+    rows = docs.select(F.col(text_col).alias("text"), F.struct(*keep).alias("kept"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, weights, bias = shared.value
@@ -394,8 +393,8 @@ def score_toxicity(
                 scores.append(bias + sum(weights[k] for k in sorted(hits)))
             value = 1 / (1 + np.exp(-np.clip(np.array(scores, dtype=np.float64), -30, 30)))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(value, pa.float64())], names=[*names, "score"]
+                [batch.column(1), pa.array(value, pa.float64())], names=["kept", "score"]
             )
 
-    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[1:])
-    return rows.mapInArrow(run, fields + "score double")
+    kind = rows.schema["kept"].dataType.simpleString()
+    return rows.mapInArrow(run, f"kept {kind}, score double").select("kept.*", "score")
