@@ -53,6 +53,8 @@ PART = 1 << 22
 BUCKET_BYTES = 8 << 20
 # Lines of a word that are paired at once; a side of a block of larger ones.
 SMALL, SIDE = 24, 512
+# Partners that a line without a likely one gets at first.
+FIRST = 8
 LINE_BITS, ID_BITS = 1 << 26, 1 << 24
 
 # Words that share the 32 bits of ``token`` only make more candidates. Sets that agree in ``sig``, ``parity`` (64 bits
@@ -302,7 +304,8 @@ def _partners(num: int, den: int, pending):
     """Equal lines to remove (x_line null), and possible partners of the others.
 
     Without ``pending`` each line gets, of a word's, the partner of the
-    nearest sketch; with it (a bit set of lines), those lines get all and
+    nearest sketch, or if that isn't a likely one the ``FIRST`` nearest
+    (``more``: there are others); with it (a bit set of lines), those lines get all and
     others none.
     """
 
@@ -403,8 +406,11 @@ def _partners(num: int, den: int, pending):
             more = np.zeros(len(j), dtype=bool)
         else:
             head = np.concatenate([[True], j[1:] != j[:-1]]) if len(j) else empty.astype(bool)
-            more = np.bincount(j, minlength=len(v["n"]))[j[head]] > 1 if len(j) else empty.astype(bool)
-            i, j, d = i[head], j[head], d[head]
+            lead = np.maximum.accumulate(np.where(head, np.arange(len(j)), 0))
+            most = np.where(8 * d[lead] <= v["n"][j], 1, FIRST)
+            keep = np.arange(len(j)) - lead < most
+            more = (np.bincount(j, minlength=len(v["n"]))[j] > most)[keep] if len(j) else empty.astype(bool)
+            i, j, d = i[keep], j[keep], d[keep]
         n = len(gone)
         none = pa.nulls(n, pa.int64())
         return pa.Table.from_arrays(
@@ -516,18 +522,21 @@ def repeated_lines(rows: DataFrame, num: int, den: int, min_words: int) -> DataF
     found = settle(meet(None, None), "line-partners")
     equal = found.filter("x_line IS NULL").select(F.col("y_id").alias("id"), F.col("y_line").alias("line")).distinct()
     pairs = found.filter("x_line IS NOT NULL")
+    # of each line the FIRST nearest partners
     x = F.struct("far", "x_id", "x_line")
     best = (
         pairs.groupBy("y_id", "y_line")
-        .agg(F.min(x).alias("x"), (F.max("more") | (F.min(x) != F.max(x))).alias("more"))
+        .agg(F.array_sort(F.collect_set(x)).alias("xs"), F.max("more").alias("more"))
         .join(equal.select(F.col("id").alias("y_id"), F.col("line").alias("y_line")), ["y_id", "y_line"], "left_anti")
+        .select("y_id", "y_line", F.explode(F.slice("xs", 1, FIRST)).alias("x"), (F.col("more") | (F.size("xs") > FIRST)).alias("more"))
         .select("y_id", "y_line", "x.x_id", "x.x_line", "more")
     )
     best = settle(best, "line-pairs")
-    sure = settle(_right(rows, best, num, den).unionByName(equal).distinct(), "lines-gone")
+    sure = settle(_right(rows, best.drop("more"), num, den).unionByName(equal).distinct(), "lines-gone")
     found_ = sure.select(F.col("id").alias("y_id"), F.col("line").alias("y_line"))
     open_ = settle(
-        best.filter("more").join(found_, ["y_id", "y_line"], "left_anti").select("y_id", "y_line"), "lines-open"
+        best.filter("more").select("y_id", "y_line").distinct().join(found_, ["y_id", "y_line"], "left_anti"),
+        "lines-open",
     )
     if open_.isEmpty():
         return sure
