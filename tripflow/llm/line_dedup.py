@@ -366,7 +366,28 @@ def _partners(num: int, den: int, pending):
         begin = np.flatnonzero(np.concatenate([[True], v["token"][1:] != v["token"][:-1]]))
         many = np.diff(np.append(begin, len(at)))
         asked = None if pending is None else _bits(pending.value, line_key(v["id"], v["line"]))
-        left, right, far = [], [], []
+        picked: list[tuple] = []
+
+        def pick(i: np.ndarray, j: np.ndarray, d: np.ndarray) -> None:
+            """Keep what is asked for of all partners ``i`` of lines ``j`` for a word; the rest goes at once."""
+            real = (v["id"][i] != v["id"][j]) | (v["line"][i] != v["line"][j])
+            if asked is not None:
+                real &= asked[j]
+            i, j, d = i[real], j[real], d[real]
+            if not len(j):
+                return
+            if asked is not None:
+                picked.append((i, j, d, np.zeros(len(j), dtype=bool)))
+                return
+            by = np.lexsort((i, d, j))
+            i, j, d = i[by], j[by], d[by]
+            head = np.concatenate([[True], j[1:] != j[:-1]])
+            lead = np.maximum.accumulate(np.where(head, np.arange(len(j)), 0))
+            most = np.where(8 * d[lead] <= v["n"][j], 1, FIRST)
+            many_of = np.diff(np.append(np.flatnonzero(head), len(j)))[np.cumsum(head) - 1]
+            keep = np.arange(len(j)) - lead < most
+            picked.append((i[keep], j[keep], d[keep], (many_of > most)[keep]))
+
         for m in range(2, SMALL + 1):
             some = begin[many == m]
             if len(some):
@@ -374,14 +395,14 @@ def _partners(num: int, den: int, pending):
                 for lo in range(0, len(some), 1024):
                     a = (some[lo : lo + 1024, None] + i).ravel()
                     b = (some[lo : lo + 1024, None] + j).ravel()
-                    for out, found in zip((left, right, far), possible(v, a, b), strict=True):
-                        out.append(found)
+                    pick(*possible(v, a, b))
         for start, m in zip(begin[many > SMALL].tolist(), many[many > SMALL].tolist(), strict=True):
             for lo in range(0, m, SIDE):
                 ys = np.arange(start + lo, start + min(m, lo + SIDE))
                 if asked is not None:
                     ys = ys[asked[ys]]
                 near = np.zeros(len(ys), dtype=np.int64)  # partners whose sketch hardly differs
+                found = []
                 for x0 in range(0, lo + SIDE, SIDE):
                     # who has two such needs no others at first
                     open_ = np.flatnonzero(near < 2) if asked is None else np.arange(len(ys))
@@ -391,26 +412,14 @@ def _partners(num: int, den: int, pending):
                     b = np.repeat(ys[open_], len(xs))
                     a = np.tile(xs, len(open_))
                     earlier = a < b
-                    a, b, d = possible(v, a[earlier], b[earlier])
-                    for out, found in zip((left, right, far), (a, b, d), strict=True):
-                        out.append(found)
-                    near += np.bincount(np.searchsorted(ys, b[8 * d <= v["n"][b]]), minlength=len(ys))
+                    found.append(possible(v, a[earlier], b[earlier]))
+                    likely = found[-1][1][8 * found[-1][2] <= v["n"][found[-1][1]]]
+                    near += np.bincount(np.searchsorted(ys, likely), minlength=len(ys))
+                if found:
+                    pick(*(np.concatenate(x) for x in zip(*found, strict=True)))
         empty = np.empty(0, dtype=np.int64)
-        i, j, d = (np.concatenate(x) if x else empty for x in (left, right, far))
-        real = (v["id"][i] != v["id"][j]) | (v["line"][i] != v["line"][j])
-        i, j, d = i[real], j[real], d[real]
-        by = np.lexsort((i, d, j))
-        i, j, d = i[by], j[by], d[by]
-        if asked is not None:
-            i, j, d = i[asked[j]], j[asked[j]], d[asked[j]]
-            more = np.zeros(len(j), dtype=bool)
-        else:
-            head = np.concatenate([[True], j[1:] != j[:-1]]) if len(j) else empty.astype(bool)
-            lead = np.maximum.accumulate(np.where(head, np.arange(len(j)), 0))
-            most = np.where(8 * d[lead] <= v["n"][j], 1, FIRST)
-            keep = np.arange(len(j)) - lead < most
-            more = (np.bincount(j, minlength=len(v["n"]))[j] > most)[keep] if len(j) else empty.astype(bool)
-            i, j, d = i[keep], j[keep], d[keep]
+        i, j, d = (np.concatenate([p[k] for p in picked]) if picked else empty for k in range(3))
+        more = np.concatenate([p[3] for p in picked]) if picked else empty.astype(bool)
         n = len(gone)
         none = pa.nulls(n, pa.int64())
         return pa.Table.from_arrays(
