@@ -179,6 +179,52 @@ def test_decontamination_blocks_and_empty(spark, make_docs, words):
     assert decontaminate.clean_documents(docs, bench.limit(0)).count() == 10
 
 
+def edited(item, rng):
+    """The words of an item after as many substitutions, insertions and deletions as it may have."""
+    w, edits = list(item), len(item) // 5
+    for k in range(edits // 3):
+        w[rng.randrange(len(w))] = f"x{k}"
+        w.insert(rng.randrange(len(w)), f"y{k}")
+        del w[rng.randrange(len(w))]
+    return w
+
+
+def test_decontamination_walks_by_length(words):
+    """Few long items among many short ones get the walks that they need themselves."""
+    rng = words.rng
+    listed = [(k, words(15).split()) for k in range(200)] + [(900 + k, words(120).split()) for k in range(2)]
+    items = decontaminate.Items(listed, 0.2)
+    items.plan(0.97, 48)
+    finder = decontaminate.Finder(items)
+    long_ = dict(listed[200:])
+    texts = [(k, " ".join(edited(w, rng))) for k, w in long_.items() for _ in range(100)]
+    got = {(text, item) for text, item, *_ in finder.search([t for _, t in texts])}
+    assert sum((row, k) in got for row, (k, _) in enumerate(texts)) >= 0.94 * len(texts)
+    assert items.repeats[decontaminate.length_class(120)] > items.repeats[decontaminate.length_class(15)]
+
+
+def test_decontamination_exact_beyond_the_walks(spark, make_docs, words):
+    """Classes of lengths that ``max_repeats`` walks don't bring to the recall are searched exactly."""
+    rng = words.rng
+    items = [words(n).split() for n in (5, 9, 10, 14, 31, 80, 80, 150)]
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    texts = []
+    for k in range(48):
+        w = edited(items[k % len(items)], rng)
+        at = rng.randrange(len(w))
+        w = w[1:] if k % 5 == 0 else w[:at] + ["z"] + w[at:] if k % 5 == 1 else w
+        texts.append(" ".join([*words(rng.randint(0, 9)).split(), *w, *words(rng.randint(0, 9)).split()]))
+    texts += [words(60), *ODD]
+    got = {(r.doc_id, r.item_id): r.distance for r in decontaminate.contaminated(make_docs(texts), bench, max_repeats=1).collect()}
+    want = {}
+    for d, t in enumerate(texts[:49]):
+        for k, item in enumerate(items):
+            best = brute.leaks(decontaminate.normal_words(t), item, 0.2)
+            if best is not None:
+                want[d, k] = best
+    assert got == want
+
+
 def test_edit_distances():
     rng = np.random.default_rng(4)
     a, b = rng.integers(0, 4, (60, 9)), rng.integers(0, 4, (60, 9))

@@ -10,10 +10,16 @@ writes the word under the cursor and moves on by the bit that ``(j, word)``
 draws. Two strings at a small edit distance fall into step again after an
 edit, so their embeddings have a small Hamming distance. Sampling ``COORDS``
 of the embedding's coordinates gives a hash that two near strings share with
-a fair chance; ``repeats`` independent walks raise the chance to
-``recall`` (the number of repeats is set on the driver, by hashing random
-edits of the items themselves). Windows that share a hash with an item are
-verified by the exact edit distance, so no clean document is reported.
+a fair chance; independent walks raise the chance to ``recall``. How many
+it takes grows with the item's length, so the driver sets their number for
+each class of lengths, by hashing random edits of that class's own items.
+Windows that share a hash with an item are verified by the exact edit
+distance, so no clean document is reported.
+
+A class that ``max_repeats`` walks don't bring to ``recall`` is searched
+exactly: an item is cut into one piece more than it may have edits, so every
+window that matches holds a piece unchanged; all windows around such a piece
+that have enough of the item's words are verified.
 
 A window starts at every word of every document and is as long as the item.
 The walk from a word doesn't depend on the window's length, so all lengths
@@ -49,6 +55,8 @@ from tripflow.llm.textnp import mix, parts
 NOISE = re.compile(r"[\W_]+")
 COORDS = 2
 PART, PIECE = 1 << 22, 1 << 20
+# Bytes of the walks' bits that are kept, and words of windows that are compared at once.
+CACHE, VERIFIED = 1 << 26, 1 << 20
 GAP = -1  # a token without letters or digits
 
 
@@ -73,10 +81,18 @@ class _Numbers(dict):
         return number
 
 
-def _bits(seed: int, step: int, vocabulary: int) -> np.ndarray:
-    """The random bit of every word at one step of one walk."""
-    words = np.arange(vocabulary + 1, dtype=np.uint64) + np.uint64((seed << 40) + (step << 24))
-    return (mix(mix(words)) & np.uint64(1)).astype(np.int32)
+def _bits(seed: int, step: int, words: np.ndarray) -> np.ndarray:
+    """The random bits of words at one step of one walk."""
+    keys = words.astype(np.uint64) + np.uint64((seed << 40) + (step << 24))
+    return (mix(mix(keys)) & np.uint64(1)).astype(np.int8)
+
+
+def gram_hashes(line: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` words from each word of a string."""
+    out = np.zeros(max(0, len(line) - size + 1), dtype=np.uint64)
+    for k in range(size):
+        out = mix(out + line[k : k + len(out)].astype(np.uint64))
+    return out
 
 
 @dataclass
@@ -124,7 +140,7 @@ def embed(strings: np.ndarray, walk: Walk, bits) -> np.ndarray:
         word = padded[rows, np.minimum(cursor, n)]
         if step in steps:
             out.append(word)
-        cursor += bits(walk.seed, step)[word]
+        cursor += bits(walk.seed, step, word)
     return np.column_stack(out)
 
 
@@ -144,18 +160,21 @@ def edit_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def random_edits(item: list[int], edits: int, rng: np.random.Generator) -> list[int]:
-    """The item after ``edits`` random edits, cut or filled to its own length."""
+    """The item after ``edits`` random edits, as many of them insertions as deletions, so that its length stays."""
     out = list(item)
-    for _ in range(edits):
+    while True:
+        kinds = rng.integers(0, 3, edits)
+        if (kinds == 1).sum() == (kinds == 2).sum():
+            break
+    for kind in kinds.tolist():
         at = int(rng.integers(0, max(1, len(out))))
-        kind = rng.integers(0, 3)
-        if kind == 0 and out:
+        if kind == 0:
             out[at] = 0
         elif kind == 1:
             out.insert(at, 0)
-        elif out:
+        else:
             del out[at]
-    return (out + [0] * len(item))[: len(item)]
+    return out
 
 
 class Items:
@@ -179,6 +198,7 @@ class Items:
         self.rare = uses <= max(1, len(items) // 100)
         self.rare[0] = False
         self.walks: list[Walk] = []
+        self.repeats: dict[int, int] = {}  # walks of each class of lengths; 0: searched exactly
         self._cache: dict[tuple[int, int], np.ndarray] = {}
 
     def groups(self) -> dict[tuple[int, int], list[tuple[int, int]]]:
@@ -189,38 +209,40 @@ class Items:
                 out.setdefault((length_class(n), share), []).append((n, k))
         return out
 
-    def bits(self, seed: int, step: int) -> np.ndarray:
+    def bits(self, seed: int, step: int, words: np.ndarray) -> np.ndarray:
         got = self._cache.get((seed, step))
         if got is None:
-            got = self._cache[seed, step] = _bits(seed, step, len(self.vocabulary))
-        return got
-
-    def plan(self, recall: float, most: int, trials: int = 2000) -> None:
-        """As many walks as random edits of the items need to be found with ``recall``."""
+            size = len(self.vocabulary) + 1
+            if len(self._cache) * size > CACHE:
+                return _bits(seed, step, words)
+            got = self._cache[seed, step] = _bits(seed, step, np.arange(size))
+        return got[words]
+
+    def plan(self, recall: float, most: int, trials: int = 1000) -> None:
+        """For each class of lengths as many walks as random edits of its items need to be found with ``recall``."""
         rng = np.random.default_rng(5)
-        lengths = sorted(self.strings)
-        classes: dict[int, int] = {}
-        for n in lengths:
-            classes.setdefault(length_class(n), n)
-        self.walks = plan_walks(classes, most)
-        missed, counted = np.zeros(most), 0
-        for n in lengths:
-            share = max(1, trials * len(self.strings[n]) // sum(map(len, self.strings.values())))
-            pick = rng.integers(0, len(self.strings[n]), share)
-            whole = self.strings[n][pick]
-            near = np.array([random_edits(s.tolist(), self.edits[n], rng) for s in whole], dtype=np.int32)
-            # only edits that leave the window within the distance
-            ok = edit_distances(near, whole) <= self.edits[n]
-            if not ok.any():
-                continue
-            open_ = np.ones(int(ok.sum()), dtype=bool)
-            counted += len(open_)
+        classes: dict[int, list[int]] = {}
+        for n in sorted(self.strings):
+            classes.setdefault(length_class(n), []).append(n)
+        self.walks = plan_walks({c: lengths[0] for c, lengths in classes.items()}, most)
+        for c, lengths in classes.items():
+            total = sum(len(self.strings[n]) for n in lengths)
+            whole, near = [], []
+            for n in lengths:
+                whole.append(self.strings[n][rng.integers(0, len(self.strings[n]), -(-trials * len(self.strings[n]) // total))])
+                near.append(np.array([random_edits(s.tolist(), self.edits[n], rng) for s in whole[-1]], dtype=np.int32))
+            counted, self.repeats[c] = sum(map(len, whole)), 0
             for k, walk in enumerate(self.walks):
-                a, b = embed(near[ok], walk, self.bits), embed(whole[ok], walk, self.bits)
-                open_ &= (a != b).any(axis=1)
-                missed[k] += open_.sum()
-        enough = np.flatnonzero(missed <= (1 - recall) * counted)
-        self.walks = self.walks[: int(enough[0]) + 1 if len(enough) else most]
+                for g, (x, y) in enumerate(zip(whole, near, strict=True)):
+                    if len(x):
+                        missed = (embed(y, walk, self.bits) != embed(x, walk, self.bits)).any(axis=1)
+                        whole[g], near[g] = x[missed], y[missed]
+                if sum(map(len, whole)) <= (1 - recall) * counted:
+                    self.repeats[c] = k + 1
+                    break
+            if not self.repeats[c] and any(self.edits[n] >= n for n in lengths):
+                raise ValueError("an item may not have as many edits as words")
+        self.walks = self.walks[: max(self.repeats.values())]
         self._cache = {}
 
 
@@ -233,15 +255,34 @@ class Finder:
         self.reach = max(items.strings)
         # for each group of items and each walk, the samples as a trie: the sorted keys of each level
         # (number of the node above, word), and the items below each last node
-        samples = {n: [embed(s, w, items.bits) for w in items.walks] for n, s in items.strings.items()}
+        samples = {
+            n: [embed(s, w, items.bits) for w in items.walks[: items.repeats[length_class(n)]]]
+            for n, s in items.strings.items()
+        }
         self.groups = []
         for (kind, _), members in items.groups().items():
             tries = [
-                self._trie(np.array([samples[n][w][k] for n, k in members])) for w in range(len(items.walks))
+                self._trie(np.array([samples[n][w][k] for n, k in members])) for w in range(items.repeats[kind])
             ]
+            seeds = {} if tries else self._seeds(members)
             least = min(n - items.edits[n] for n, _ in members)
             rare = min(int(items.rare[items.strings[n][k]].sum()) - items.edits[n] for n, k in members)
-            self.groups.append((kind, members, max(n for n, _ in members), least, rare, tries))
+            self.groups.append((kind, members, max(n for n, _ in members), least, rare, tries, seeds))
+
+    def _seeds(self, members: list[tuple[int, int]]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """By size: the hashes of the items' pieces in order, the member of each, and where in the item it begins."""
+        found: dict[int, list[tuple[np.ndarray, ...]]] = {}
+        for member, (n, k) in enumerate(members):
+            pieces = self.items.edits[n] + 1
+            size, offset = n // pieces, np.arange(pieces) * n // pieces
+            keys = gram_hashes(self.items.strings[n][k], size)[offset]
+            found.setdefault(size, []).append((keys, np.full(pieces, member), offset))
+        out = {}
+        for size, parts_ in found.items():
+            keys, member, offset = (np.concatenate(x) for x in zip(*parts_, strict=True))
+            by = np.argsort(keys, kind="stable")
+            out[size] = (keys[by], member[by], offset[by])
+        return out
 
     def _trie(self, samples: np.ndarray):
         size = len(self.items.vocabulary) + 1
@@ -281,16 +322,19 @@ class Finder:
             )
             ways.append((np.ascontiguousarray(line), known, rare))
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for kind, members, width, least, least_rare, tries in self.groups:
+        grams = {size: gram_hashes(stream, size) for size in {size for *_, seeds in self.groups for size in seeds}}
+        for kind, members, width, least, least_rare, tries, seeds in self.groups:
             lengths = np.array([n for n, _ in members])
             pairs = [np.empty(0, dtype=np.int64)]
-            for back, (line, known, rare) in enumerate(ways):
+            for at, member in self._around(stream, own, ways[0], grams, members, seeds):
+                pairs.append(at * len(members) + member)
+            for back, (line, known, rare) in enumerate(ways if tries else []):
                 near = known[width:] - known[:-width] >= least
                 near &= rare[width:] - rare[:-width] >= least_rare
                 starts = np.flatnonzero(near)
                 if not len(starts):
                     continue
-                for walk, trie in zip(self.items.walks, tries, strict=True):
+                for walk, trie in zip(self.items.walks, tries, strict=False):
                     if walk.back == bool(back):
                         at, which = self._meet(line, starts, walk, walk.steps[kind], trie)
                         if back:
@@ -305,8 +349,9 @@ class Finder:
                 a_n = at[length == n]
                 w_n = np.array([k for _, k in members])[member[length == n]]
                 edits, strings = self.items.edits[n], self.items.strings[n]
-                for lo in range(0, len(a_n), 8192):
-                    a, w = a_n[lo : lo + 8192], w_n[lo : lo + 8192]
+                step = max(1, min(8192, VERIFIED // n))
+                for lo in range(0, len(a_n), step):
+                    a, w = a_n[lo : lo + step], w_n[lo : lo + step]
                     far = edit_distances(stream[a[:, None] + np.arange(n)], strings[w])
                     for k in np.flatnonzero(far <= edits).tolist():
                         text = int(np.searchsorted(begin, a[k], side="right")) - 1
@@ -316,6 +361,42 @@ class Finder:
                             best[text, item] = found
         return [(text, item, *found) for (text, item), found in sorted(best.items())]
 
+    def _around(self, stream, own, way, grams, members, seeds):
+        """For each item (a member and the windows' starts) all windows that hold a piece of it and may match."""
+        _, known, rare = way
+        hits = [(np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))]
+        for size, (keys, member, offset) in seeds.items():
+            first = np.searchsorted(keys, grams[size])
+            at = np.flatnonzero(keys[np.minimum(first, len(keys) - 1)] == grams[size])
+            many = np.searchsorted(keys, grams[size][at], side="right") - first[at]
+            of = np.repeat(first[at], many) + np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+            hits.append((member[of], np.repeat(at, many) - offset[of]))
+        which, begin = (np.concatenate(x) for x in zip(*hits, strict=True))
+        for m in np.unique(which).tolist():
+            n, k = members[m]
+            item, edits = self.items.strings[n][k], self.items.edits[n]
+            # a piece that is moved by d words has d edits before it and d after it
+            far = edits // 2
+            of_item = np.zeros(len(self.items.vocabulary) + 1, dtype=bool)
+            of_item[item] = True
+            least_rare = int(self.items.rare[item].sum()) - edits
+            near = np.unique(begin[which == m])
+            for lo in range(0, len(near), 1 << 14):
+                some = near[lo : lo + (1 << 14)]
+                low = some - far
+                low[1:] = np.maximum(low[1:], some[:-1] + far + 1)
+                many = some + far + 1 - low
+                a = np.repeat(low - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+                a = a[(a >= 0) & (a < len(own))]
+                a = a[own[a]]
+                a = a[(known[a + n] - known[a] >= n - edits) & (rare[a + n] - rare[a] >= least_rare)]
+                step = max(1, VERIFIED // n)
+                for b in range(0, len(a), step):
+                    x = a[b : b + step]
+                    x = x[of_item[stream[x[:, None] + np.arange(n)]].sum(axis=1) >= n - edits]
+                    if len(x):
+                        yield x, m
+
     def _meet(self, stream, starts, walk, steps, trie):
         """Windows and items with equal samples in one walk."""
         levels, order, ends = trie
@@ -333,7 +414,7 @@ class Finder:
                 level += 1
                 if level == len(steps):
                     break
-            cursor = cursor + self.items.bits(walk.seed, step)[word]
+            cursor = cursor + self.items.bits(walk.seed, step, word)
         many = ends[node + 1] - ends[node]
         offset = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
         return np.repeat(starts, many), order[np.repeat(ends[node], many) + offset]
