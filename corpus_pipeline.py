@@ -5,8 +5,9 @@ columns of ``documents``; the last one adds the encoding.
 
 1. ``language_id`` drops documents without a letter and those that resemble
    no language; profiles are learned from the documents' own ``lang``.
-2. ``line_dedup`` removes every line that resembles an earlier one (Jaccard
-   0.8 of word sets) and drops documents that have no word left thereby.
+2. ``line_dedup`` removes every line of a word or more that resembles an
+   earlier one (Jaccard 0.8 of word sets) and drops documents that have no
+   word left thereby.
 3. ``ngram_dedup`` keeps one document (the smallest id) of each group linked
    by a Jaccard similarity of 0.8 or more of 5-word shingles.
 4. ``decontamination`` drops documents with a benchmark passage (word edit
@@ -40,7 +41,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     left = F.regexp_replace("kept_text", f"{SPACE}+", "") != ""
-    cleaned = cleaned_rows(docs, keep=tuple(c for c in docs.columns if c != "text"))
+    cleaned = cleaned_rows(docs, min_words=1, keep=tuple(c for c in docs.columns if c != "text"))
     new = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
     return cleaned.filter((F.col("n_removed") == 0) | left).select(
         *(new.get(c, F.col("kept")[c]).alias(c) for c in docs.columns)

@@ -92,6 +92,12 @@ def test_line_dedup(make_docs, corpus, monkeypatch, small, side):
         assert got[d].kept_text == (None if t is None else kept)
 
 
+def test_line_dedup_of_single_words(make_docs, corpus):
+    texts = [*corpus, "w1", "w1 w1", "w1 w2", "w2\nw1 w2 w1", "w1 w2 w3"]
+    got = {r.doc_id: r.removed_lines for r in line_dedup.remove_lines(make_docs(texts).repartition(3), min_words=1).collect()}
+    assert got == brute.lines_gone(list(enumerate(texts)), 8, 10, 1)
+
+
 def test_line_dedup_null_ids_and_empty(make_docs):
     docs = make_docs(["one two three", "one two three", "a b\none two three"], ids=[5, None, 5])
     got = sorted((r.doc_id or -1, r.removed_lines) for r in line_dedup.remove_lines(docs).collect())

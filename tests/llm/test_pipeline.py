@@ -70,6 +70,17 @@ def test_pipeline_against_plain_stages(spark, make_docs, words, tmp_path):
         assert r.n_chars == len(r.text)
 
 
+def test_line_stage_removes_short_lines(spark, make_docs, words):
+    """Lines of one or two distinct words, and lines without blanks, go like any others."""
+    han = "山中有水水中有月"
+    texts = ["Les.", f"{words(9)}\nLes.", "And ornd.\nno no no no", f"And ornd.\n\n{words(9)}\nNO no", han, f"{han}\n{words(5)}", "\n\n"]
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, make_docs(texts).repartition(3), "").collect()}
+    gone = brute.lines_gone(list(enumerate(texts)), 8, 10, 1)
+    assert gone == {0: [], 1: [1], 2: [], 3: [0, 3], 4: [], 5: [0], 6: []}
+    want = {d: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[d]) for d, t in enumerate(texts)}
+    assert got == want
+
+
 def test_stages_on_an_empty_table(spark, make_docs, tmp_path):
     folder = write(spark, tmp_path, make_docs(["x"]).limit(0), [(1, "one two three four five six")])
     docs = spark.read.parquet(f"{folder}/documents.parquet")
