@@ -4,7 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame with the
 columns of ``documents``; the last one adds the encoding.
 
 1. ``language_id`` drops documents without a letter and those that resemble
-   no language; profiles are learned from the documents' own ``lang``.
+   no language (very short ones can't be judged and stay); profiles are
+   learned from the documents' own ``lang``.
 2. ``line_dedup`` removes every line of a word or more that resembles an
    earlier one (Jaccard 0.8 of word sets) and drops documents that have no
    word left thereby.

@@ -45,6 +45,24 @@ def test_language_id(make_docs):
     assert {r.doc_id for r in kept.collect()}.isdisjoint({60, 61, 62, 63})
 
 
+def test_accepted_drops_what_resembles_no_language(spark, sf_small, make_docs):
+    """Unlearned scripts and random letters go, also with a language as label; the real texts and short ones stay."""
+    rng = random.Random(3)
+    rows = spark.read.parquet(f"{sf_small}/documents.parquet").filter("lang IS NOT NULL").collect()
+    real = [(r.text, r.lang) for r in rows if r.text and any(c.isalpha() for c in r.text)]
+    alphabets = ["".join(map(chr, range(0x430, 0x450))), "".join(map(chr, range(0x4E00, 0x5200))), "abcdefghijklmnopqrstuvwxyz"]
+    junk = []
+    for alphabet, blanks in itertools.product(alphabets, (0, 1)):
+        for n in (150, 400, 3000):
+            text = "".join(" " if blanks and rng.random() < 0.17 else rng.choice(alphabet) for _ in range(n))
+            junk += [(text, None), (text[::-1], "en")]
+    short = [("Yes.", None), ("Да", None), ("word", "en")]
+    listed = [*real, *short, *junk]
+    docs = make_docs([t for t, _ in listed], langs=[lang for _, lang in listed])
+    kept = {r.doc_id for r in language_id.accepted(docs).collect()}
+    assert kept == set(range(len(real) + len(short)))
+
+
 def test_language_id_bundles_letter_by_letter(monkeypatch):
     """Bundles by counts and matrices equal the sum of bound n-grams, also over pieces."""
     text = "Déjà vu, 12 naïve Straße!"

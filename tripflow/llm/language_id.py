@@ -16,6 +16,11 @@ Training sums are added up in Spark by (language, component); what reaches
 the driver is one vector for each language. Whole texts are read: long ones
 in pieces that overlap by ``n - 1`` letters, so memory follows the batch.
 
+A text that resembles no language still has cosines of about ``1 /
+sqrt(dim)``, by chance. What a cosine can tell depends on how many different
+n-grams the text has, so ``accepted`` sets its threshold by classes of their
+effective number (a repeated n-gram adds little to it).
+
 Defined results: a null text, or one without a letter, is ``und`` with score
 0. Without training texts every text is ``und``. A tie goes to the language
 that sorts first. The score is the cosine with the chosen prototype, cut to
@@ -36,6 +41,9 @@ BLANK = 0x20
 # Characters of a piece of text, and cells of a batch's count matrix.
 PIECE = 1 << 20
 CELLS = 4_000_000
+# Standard deviations up to which a cosine may be chance, effective n-grams of the shortest text that is judged by its
+# cosine, and classes of sizes.
+CHANCE, JUDGED, CLASSES = 4, 32, 40
 
 
 def letter_vectors(codes: np.ndarray, dim: int) -> np.ndarray:
@@ -202,6 +210,27 @@ def train_profiles(
     return out
 
 
+def size_class(grams: np.ndarray, norm: np.ndarray, dim: int) -> np.ndarray:
+    """Class of a text's effective number of n-grams, by powers of two: as many different ones have a bundle of its norm."""
+    effective = dim * (grams / norm) ** 2
+    return np.clip(np.log2(np.maximum(effective, 1)), 0, CLASSES - 1).astype(np.int32)
+
+
+def thresholds(medians: dict[int, float], dim: int) -> list[float | None]:
+    """The least score of each class of sizes, from the median of its training scores; None: all texts stay.
+
+    It lies between chance and half the median, if that is well above chance;
+    larger classes have at least the threshold of smaller ones.
+    """
+    chance, least, out = CHANCE / dim**0.5, None, []
+    for c in range(CLASSES):
+        half = medians.get(c, 0.0) / 2
+        if 1 << c >= JUDGED and half >= 1.5 * chance:
+            least = max(least or 0.0, (chance * half) ** 0.5)
+        out.append(least)
+    return out
+
+
 def identified_rows(
     docs: DataFrame,
     profiles: dict[str, np.ndarray],
@@ -209,7 +238,7 @@ def identified_rows(
     keep: list[str | Column] = ("doc_id",),
     n: int = 3,
 ) -> DataFrame:
-    """Rows (kept, lang_pred, score); ``kept`` is a struct of the columns ``keep``."""
+    """Rows (kept, lang_pred, score, size); ``kept`` is a struct of the columns ``keep``, ``size`` a class of sizes."""
     langs = sorted(profiles)
     dim = len(profiles[langs[0]]) if langs else 64
     matrix = np.array([profiles[x] for x in langs], dtype=np.float32).T
@@ -220,6 +249,7 @@ def identified_rows(
         for batch in batches:
             rows = batch.num_rows
             pred, score = np.full(rows, UNKNOWN, dtype=object), np.zeros(rows)
+            size = np.zeros(rows, dtype=np.int32)
             if langs and rows:
                 got, grams = bundler.bundles(batch.column(1).to_pylist())
                 norm = np.linalg.norm(got, axis=1)
@@ -229,13 +259,14 @@ def identified_rows(
                 sure = (grams > 0) & (norm > 0)
                 pred[sure] = np.array(langs, dtype=object)[best[sure]]
                 score[sure] = np.clip(cosine[np.arange(rows), best][sure], 0, 1)
+                size[sure] = size_class(grams[sure], norm[sure], dim)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64())],
-                names=["kept", "lang_pred", "score"],
+                [batch.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(size)],
+                names=["kept", "lang_pred", "score", "size"],
             )
 
     kind = rows.schema["kept"].dataType.simpleString()
-    return rows.mapInArrow(predict, f"kept {kind}, lang_pred string, score double")
+    return rows.mapInArrow(predict, f"kept {kind}, lang_pred string, score double, size int")
 
 
 def identify(docs: DataFrame, profiles: dict[str, np.ndarray], **settings) -> DataFrame:
@@ -246,12 +277,22 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], **settings) -> Da
 def accepted(docs: DataFrame, min_score: float = 0.0, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with a recognised language, all columns unchanged.
 
-    Profiles are learned from the rows' own ``lang``. A row goes if its text
-    has no letter or resembles no language (cosine up to ``min_score``);
-    without profiles (no row has a language) only texts without a letter go.
+    Profiles and thresholds are learned from the rows' own ``lang``. A row
+    goes if its text has no letter, or has enough n-grams to be judged and
+    resembles no language (score up to ``min_score`` or under the threshold
+    of its class of sizes). Texts too short to be judged stay. Without
+    profiles (no row has a language) only texts without a letter go.
     """
     profiles = train_profiles(docs, lang_col, text_col)
     if not profiles:
         return docs.filter(F.col(text_col).rlike(r"\p{L}"))
+    trained = identified_rows(docs.filter(F.col(lang_col).isNotNull()), profiles, text_col, keep=[F.lit(1).alias("one")])
+    medians = trained.filter(F.col("lang_pred") != UNKNOWN).groupBy("size").agg(F.percentile_approx("score", 0.5).alias("m"))
+    least = thresholds(
+        {r["size"]: r["m"] for r in medians.collect()},  # CLASSES rows at most
+        len(next(iter(profiles.values()))),
+    )
     found = identified_rows(docs, profiles, text_col, keep=list(docs.columns))
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") > min_score)).select("kept.*")
+    bound = F.array(*(F.lit(x).cast("double") for x in least))[F.col("size")]
+    stays = bound.isNull() | ((F.col("score") >= bound) & (F.col("score") > min_score))
+    return found.filter((F.col("lang_pred") != UNKNOWN) & stays).select("kept.*")
