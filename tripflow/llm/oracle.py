@@ -106,9 +106,80 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_re
 FROM documents d LEFT JOIN kept USING (doc_id)
 """
 
+
+def _floor_mean(total: str, n: str) -> str:
+    return f"(({total}) - ((({total}) % {n}) + {n}) % {n}) // {n}"
+
+
+_INTEGERS = """list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT))"""
+_GOOD = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _lloyd(rounds: int) -> str:
+    """Rounds r of assignments a{r} and centres c{r}, from points (id, p, v) and centres c0 (p, k, w)."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT id, p, v, arg_min(k, (d, k)) AS k, min(d) AS d FROM (
+    SELECT id, t.p, v, k, CAST(list_inner_product(v, v) + list_inner_product(w, w) - 2 * list_inner_product(v, w) AS BIGINT) AS d
+    FROM points t JOIN c{r} c ON t.p = c.p
+  ) GROUP BY id, p, v
+)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT c.p, c.k, coalesce(m.w, c.w) AS w FROM c{r} c LEFT JOIN (
+    SELECT p, k, list(CAST(x AS DOUBLE) ORDER BY pos) AS w FROM (
+      SELECT p, k, pos, {_floor_mean("CAST(sum(CAST(x AS BIGINT)) AS BIGINT)", "count(*)")} AS x
+      FROM (SELECT p, k, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM a{r}) GROUP BY p, k, pos
+    ) GROUP BY p, k
+  ) m ON c.p = m.p AND c.k = m.k
+)""")
+    return ",\n".join(steps)
+
+
+def _printed(w: str) -> str:
+    return f"array_to_string(list_transform({w}, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')"
+
+
+OP11 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, {_INTEGERS.format(scale=1024)} AS v,
+         row_number() OVER (ORDER BY vec_id) - 1 AS nth
+  FROM embeddings WHERE {_GOOD}
+), points AS MATERIALIZED (
+  SELECT vec_id AS id, p, nth, CAST(v[p * len(v) // 4 + 1:(p + 1) * len(v) // 4] AS DOUBLE[]) AS v
+  FROM kept, (SELECT unnest(range(0, 4)) AS p)
+), c0 AS MATERIALIZED (
+  SELECT p, nth AS k, v AS w FROM points WHERE nth < 256
+), {_lloyd(4)}, books AS (
+  SELECT sha256(string_agg({_printed("w")}, ',' ORDER BY p, k)) AS codebooks_sha256 FROM c4
+), coded AS (
+  SELECT id, string_agg(printf('%02x', k), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a4 GROUP BY id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN kept ON id = vec_id, books
+"""
+
+OP12 = f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, CAST({_INTEGERS.format(scale=64)} AS DOUBLE[]) AS v
+  FROM embeddings WHERE {_GOOD} AND len(embedding) = 64
+), points AS MATERIALIZED (
+  SELECT vec_id AS id, 0 AS p, v FROM kept
+), c0 AS MATERIALIZED (
+  SELECT 0 AS p, k, v AS w FROM (SELECT v, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS k FROM kept) WHERE k < 16
+), {_lloyd(3)}
+SELECT id AS vec_id, CAST(a.k AS INTEGER) AS cluster, d AS distance,
+       CAST(sum(d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256({_printed("w")}) AS centroid_sha256
+FROM a3 a JOIN c3 c ON a.k = c.k
+"""
+
 ORACLE_SQL = {
     "op6_ngram_join": OP6,
     "op8_substring_dedup": OP8,
     "op9_line_dedup": OP9,
     "op10_exact_dedup": OP10,
+    "op11_vector_codes": OP11,
+    "op12_centroids": OP12,
 }

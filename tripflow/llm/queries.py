@@ -6,6 +6,7 @@ Each ``opN_`` query applies its operator to the whole ``documents`` (or
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +15,12 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tripflow.llm import oracle
 from tripflow.llm.bpe import encode_texts
+from tripflow.llm.centroids import cluster_vectors
 from tripflow.llm.chat_format import format_chats
 from tripflow.llm.common import crc32_of, documents, vocabulary_path
 from tripflow.llm.decontaminate import contaminated
 from tripflow.llm.exact_dedup import exact_dedup
+from tripflow.llm.grid_codes import compress_vectors
 from tripflow.llm.language_id import identify, train_profiles
 from tripflow.llm.line_dedup import remove_lines
 from tripflow.llm.ngram_join import linked_groups
@@ -102,6 +105,26 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = compress_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), parts=4, entries=256, rounds=4)
+    printed = ",".join(str(x) for x in books.ravel().tolist())
+    digest = hashlib.sha256(printed.encode()).hexdigest()
+    return coded.drop("label").withColumn("codebooks_sha256", F.lit(digest))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cluster_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=16, rounds=3, dims=64, scale=64)
+    printed = F.concat_ws(",", F.transform("centroid", lambda x: x.cast("string")))
+    return found.select(
+        "vec_id",
+        "cluster",
+        "distance",
+        "cluster_inertia",
+        "inertia",
+        F.sha2(printed.cast("binary"), 256).alias("centroid_sha256"),
+    )
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -123,6 +146,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_line_dedup": op9_line_dedup,
         "op10_exact_dedup": op10_exact_dedup,
+        "op11_vector_codes": op11_vector_codes,
+        "op12_centroids": op12_centroids,
         "pipeline": corpus_pipeline.run,
     }
     return {name: _shipped(query) for name, query in found.items()}
