@@ -25,6 +25,7 @@ from tripflow.llm.language_id import identify, train_profiles
 from tripflow.llm.line_dedup import remove_lines
 from tripflow.llm.ngram_join import linked_groups
 from tripflow.llm.sharding import shard_rows
+from tripflow.llm.simhash import near_groups
 from tripflow.llm.substring_dedup import remove_repeats
 from tripflow.llm.toxicity import score_toxicity, train_toxicity
 from tripflow.session import ship_package
@@ -125,6 +126,10 @@ def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(documents(spark, sf_dir), size=3).select("doc_id", "fingerprint", "component_id")
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -148,6 +153,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_exact_dedup": op10_exact_dedup,
         "op11_vector_codes": op11_vector_codes,
         "op12_centroids": op12_centroids,
+        "op13_simhash": op13_simhash,
         "pipeline": corpus_pipeline.run,
     }
     return {name: _shipped(query) for name, query in found.items()}
