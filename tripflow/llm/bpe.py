@@ -37,10 +37,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.textnp import mix, parts, runs, span_hashes
+from tripflow.llm.worker import lean
 
 OTHER, LETTER, DIGIT, SPACE = range(4)
 # Characters encoded at once; words whose encodings are kept.
-PIECE, KEPT_WORDS = 1 << 20, 300_000
+PIECE = 1 << 20
+# Bytes of word encodings, and borders of tokens, that an encoder keeps.
+KEPT_BYTES, KEPT_BORDERS = 32 << 20, 400_000
 NEVER = 1 << 60
 
 # Information separators, which are no white space in vocabulary files' patterns,
@@ -223,6 +226,7 @@ class Encoder:
         self.t = tables
         self.kind, self.symbol = _character_tables()
         self.words: dict[str, tuple[int, ...]] = {}
+        self.held = 0  # about the bytes of ``words``
         self.follows: dict[int, bool] = {}
 
     def may_follow(self, a: int, b: int) -> bool:
@@ -243,7 +247,7 @@ class Encoder:
                     break
                 y, gone_y = left[y], rank[y]
             x, gone_x = right[x], rank[x]
-        if len(self.follows) > 2_000_000:
+        if len(self.follows) > KEPT_BORDERS:
             self.follows.clear()
         self.follows[key] = ok
         return ok
@@ -332,9 +336,11 @@ class Encoder:
         hashes = span_hashes(self.symbol[codes], starts, stops)
         _, where, which = np.unique(hashes, return_index=True, return_inverse=True)
         distinct = [joined[a:b] for a, b in zip(starts[where].tolist(), stops[where].tolist(), strict=True)]
-        if len(self.words) > KEPT_WORDS:
+        if self.held > KEPT_BYTES:
             self.words.clear()
+            self.held = 0
         new = [w for w in distinct if w not in self.words and w not in special]
+        self.held += sum(150 + 5 * len(w) for w in new)  # a string, a tuple and a number or two for each word
         self.words.update(self.encode_words(new))
         coded = [self.words[w] if w not in special else (special[w],) for w in distinct]
         sizes = np.array([len(c) for c in coded], dtype=np.int64)
@@ -378,6 +384,7 @@ def encode_texts(
     rows = docs.select(F.col(text_col).alias("text"), F.struct(*keep).alias("kept"))
     names = ["ids", *["decoded"] * decoded]
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(shared.value)
         for whole in batches:
@@ -398,6 +405,7 @@ def decode_texts(encoded: DataFrame, vocabulary: str, keep: tuple[str | Column,
     shared = encoded.sparkSession.sparkContext.broadcast(load_tables(vocabulary))
     rows = encoded.select("ids", F.struct(*keep).alias("kept"))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [decode_ids(shared.value, x or b"") for x in batch.column(0).to_pylist()]

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from tripflow.llm.common import settle
 from tripflow.llm.vectors import finite, group_sums, matrix, scaled
+from tripflow.llm.worker import lean
 
 PIVOTS, PIVOT_SAMPLE = 8, 64
 # Relative slack that covers the rounding of square roots.
@@ -92,6 +93,7 @@ def nearest(rows: np.ndarray, to_pivots: np.ndarray, centroids: np.ndarray, pivo
 
 
 def _with_pivot_distances(dims: int, pivots: np.ndarray):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = matrix(batch.column(1), dims)
@@ -106,6 +108,7 @@ def _with_pivot_distances(dims: int, pivots: np.ndarray):
 
 
 def _sums(dims: int, centroids: np.ndarray, pivots: np.ndarray):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = len(centroids)
         count, total = np.zeros(k, dtype=np.int64), np.zeros((k, dims), dtype=np.int64)
@@ -128,6 +131,7 @@ def _sums(dims: int, centroids: np.ndarray, pivots: np.ndarray):
 
 
 def _labels(centroids: np.ndarray, pivots: np.ndarray, dims: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label, best, _ = nearest(

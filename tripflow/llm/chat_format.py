@@ -47,6 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.common import settle
+from tripflow.llm.worker import lean
 
 SYSTEM, USER, ASSISTANT, START = range(4)
 ROLES = ("system", "user", "assistant")
@@ -154,6 +155,7 @@ def _role(name: str | None) -> int:
     return ROLES.index(name) if name in ROLES else 3
 
 
+@lean
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], bool, bool]]:
     """The turns of one conversation in one part, whether they begin the part, whether they end it.
 
@@ -175,6 +177,7 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple],
 def _matrices(costs: Costs):
     """The matrices of each part's first and last stretch."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         program, found = Program(costs), []
         for stretch, first, last in _stretches(batches):
@@ -193,6 +196,7 @@ def _matrices(costs: Costs):
 def _ways(costs: Costs, ends: dict):
     """Where the cheapest way through a stretch of ``ends`` leads from each state, and if it begins with a merge."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         program, found = Program(costs), []
         for stretch, first, last in _stretches(batches):
@@ -238,6 +242,7 @@ def _fix(costs: Costs, context: dict):
     names = ["conv", "position", "role", "new_role", "action", "inserted", "fragment"]
     kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.string()]
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         program = Program(costs)
         rows: list[tuple] = []

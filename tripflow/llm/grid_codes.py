@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from tripflow.llm.common import settle
 from tripflow.llm.vectors import finite, group_sums, join_groups, matrix, scaled
+from tripflow.llm.worker import lean
 
 CACHE = 1 << 14
 # Rows of which the bounds are computed at once.
@@ -124,6 +125,7 @@ def _cells(books: np.ndarray) -> list[Cells]:
 def _sums(books: np.ndarray):
     parts, size, width = books.shape
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = _cells(books)
         count = np.zeros((parts, size), dtype=np.int64)
@@ -153,6 +155,7 @@ def _sums(books: np.ndarray):
 def _codes(books: np.ndarray):
     parts, _, width = books.shape
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = _cells(books)
         for batch in batches:

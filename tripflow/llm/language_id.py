@@ -36,6 +36,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripflow.llm.worker import lean
+
 UNKNOWN = "und"
 BLANK = 0x20
 # Characters of a piece of text, and cells of a batch's count matrix.
@@ -176,6 +178,7 @@ def train_profiles(
     language reaches the driver.
     """
 
+    @lean
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bundler, total = Bundler(dim, n), {}
         for batch in batches:
@@ -244,6 +247,7 @@ def identified_rows(
     matrix = np.array([profiles[x] for x in langs], dtype=np.float32).T
     rows = docs.select(F.struct(*keep).alias("kept"), F.col(text_col).alias("text"))
 
+    @lean
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bundler = Bundler(dim, n)
         for batch in batches:

@@ -52,6 +52,7 @@ from tripflow.llm.common import settle
 from tripflow.llm.components import components
 from tripflow.llm.textnp import mix, parts, runs, squeeze, spread
 from tripflow.llm.vectors import join_groups
+from tripflow.llm.worker import lean
 
 REACH = 3
 BLOCKS, BLOCK_BITS = 4, 16
@@ -85,6 +86,7 @@ def fingerprint(text: str | None, size: int = 3) -> int:
 
 
 def _fingerprints(size: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in parts(whole, 1):
@@ -105,6 +107,7 @@ def _fps(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column(0).to_numpy().view(np.uint64)
 
 
+@lean
 def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How often two bits are set together, as rows (i, n) with i = 64 * bit + bit."""
     total = np.zeros((64, 64), dtype=np.int64)
@@ -141,6 +144,7 @@ def block_values(fps: np.ndarray, blocks: list[list[int]]) -> np.ndarray:
 
 
 def _block_counts(blocks: list[list[int]]):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((BLOCKS, 1 << BLOCK_BITS), dtype=np.int64)
         for batch in batches:
@@ -235,6 +239,7 @@ def flips(width: int, most: int) -> np.ndarray:
 
 
 def _costs(shared):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan = shared.value
         cost, sent = np.zeros(len(LAYOUTS)), np.zeros(len(LAYOUTS))
@@ -310,6 +315,7 @@ class Cuts:
 
 
 def _key_counts(shared, layout):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, _, _ in entries(_fps(batch), shared.value, layout):
@@ -322,6 +328,7 @@ def _key_counts(shared, layout):
 def _filed(shared, cuts, layout, buckets: int):
     """All entries, those of a cut value in the cell of their fingerprint."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, fps, role in entries(_fps(batch), shared.value, layout):
@@ -335,6 +342,7 @@ def _filed(shared, cuts, layout, buckets: int):
 def _of_cut_values(shared, cuts, layout):
     """Entries of cut values as rows."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, fps, role in entries(_fps(batch), shared.value, layout):
@@ -354,6 +362,7 @@ def _of_cut_values(shared, cuts, layout):
 
 
 def _pack_rows(buckets: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -411,6 +420,7 @@ def links_within(key: np.ndarray, fps: np.ndarray, role: np.ndarray) -> tuple[np
     return forest(a, b)
 
 
+@lean
 def _link(table: pa.Table) -> pa.Table:
     rows = table.select(["n", "key", "fp", "role"]).to_pylist()
     key, fps, role = (
