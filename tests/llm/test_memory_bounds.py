@@ -15,7 +15,37 @@ def test_many_variants_of_one_line(make_docs, words):
             w[rng.randrange(len(w))] = f"v{k}"
         texts.append(" ".join(w))
     got = {r.doc_id: r.removed_lines for r in line_dedup.remove_lines(make_docs(texts)).collect()}
-    assert got == brute.lines_gone(list(enumerate(texts)), 8, 10, 3)
+    assert got == brute.lines_gone(list(enumerate(texts)), 8, 10, 1)
+
+
+def test_variants_that_match_nothing_come_out_once_a_word(make_docs, words, monkeypatch):
+    """Lines that resemble many others without matching any: what is sent on grows with the lines, not their pairs."""
+    rng = words.rng
+    sent = {}
+    seen = line_dedup.settle
+
+    def counted(df, name):
+        out = seen(df, name)
+        sent[name] = sent.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(line_dedup, "settle", counted)
+    monkeypatch.setattr(line_dedup, "SIDE", 32)
+    monkeypatch.setattr(line_dedup, "FIRST", 1)
+    base = words(20).split()
+    rows = {}
+    for n in (300, 600):
+        texts = []
+        for k in range(n):
+            w = list(base)
+            for p in rng.sample(range(20), 3):
+                w[p] = f"v{k}x{p}"
+            texts.append(" ".join(w))
+        sent.clear()
+        got = {r.doc_id: r.removed_lines for r in line_dedup.remove_lines(make_docs(texts)).collect()}
+        assert got == brute.lines_gone(list(enumerate(texts)), 8, 10, 1)
+        rows[n] = sum(sent.values())
+    assert rows[600] < 2.4 * rows[300]
 
 
 def test_windows_begin_in_their_text(spark, make_docs, words):

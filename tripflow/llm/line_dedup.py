@@ -17,19 +17,23 @@ matches it, judged on the input.
    difference of the sets (about a bit for each word). All these filters
    are lossless.
 3. A scan fetches the word sets of the lines in question, and the pairs are
-   verified exactly. Lines of which no partner so far was right, and which
-   have more, get all of them in one more round.
+   verified exactly. For lines of which no partner so far was right, and which
+   have more, the words' lines meet once more, now with their word sets, so
+   that all partners are verified where they meet; each line that has a right
+   one comes out once a word, whatever the number of its partners.
 4. Texts that lose a line are joined with the marks; a bit set of bounded
    size lets all others pass without a shuffle.
 
 Words are compared by 64-bit hashes.
 
-Defined results: lines of fewer than ``min_words`` distinct words always
-stay and match nothing; a null text has no lines and stays null; an empty
-text is one empty line; ids must be integers; a null id counts as smaller
-than all others; rows with one id are one document (their lines with one
-number are the same line, and don't remove each other). Extra columns are
-ignored. An empty table gives an empty result.
+Defined results: lines of fewer than ``min_words`` distinct words (by
+default, lines without a word) always stay and match nothing; a null text has
+no lines and stays null; an empty text is one empty line; ids must be
+integers; a null id counts as smaller than all others; rows with one id (or
+none) and different texts are documents of their own, in the order of a hash
+of their texts; fully repeated rows are one document, so they don't remove
+each other's lines. Extra columns are ignored. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -41,11 +45,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.bitmaps import bit_set, position, with_test
-from tripflow.llm.common import settle
+from tripflow.llm.bitmaps import MAX_BITS, bit_set, position, with_test
+from tripflow.llm.common import keyed_rows, power_of_two, settle
 from tripflow.llm.textnp import byte_symbols, mix, parts, runs, span_hashes, spread, squeeze, text_bytes, word_spans
+from tripflow.llm.worker import lean
 
-NO_ID = -(2**63)
 WIDTH, SLICES = 1 << 22, 256
 # 64-bit words of the longest sketch.
 WIDEST = 16
@@ -55,7 +59,11 @@ BUCKET_BYTES = 8 << 20
 SMALL, SIDE = 24, 512
 # Partners that a line without a likely one gets at first.
 FIRST = 8
-LINE_BITS, ID_BITS = 1 << 26, 1 << 24
+LINE_BITS = 1 << 26
+# 64-bit words of the sketches that are made where word sets meet; pairs of sets compared at once.
+FINE, PAIRS = 16, 1 << 15
+# Entries whose word sets are held at once, but for a word of more; how much smaller the buckets of word sets are.
+UNIT, FINER = 1 << 14, 16
 
 # Words that share the 32 bits of ``token`` only make more candidates. Sets that agree in ``sig``, ``parity`` (64 bits
 # of it) and ``n`` are equal. ``parity`` has ``sketch_size(n)`` numbers for each entry.
@@ -64,23 +72,27 @@ COLUMNS = (
     ("sig", np.uint32),
     ("parity", np.uint64),
     ("id", np.int64),
+    ("tie", np.int64),
     ("line", np.int32),
     ("n", np.int32),
     ("at", np.int32),
 )
 RAW = ("token", "sig", "parity")
-PACKED = "bucket int, k int, " + ", ".join(f"{name} binary" for name, _ in COLUMNS)
-FOUND = "y_id long, y_line int, x_id long, x_line int, more boolean, word long, far int"
+PACKED = "bucket int, k int, " + ", ".join(f"{name} binary" for name, _ in COLUMNS) + ", sets binary"
+# what names a line: two numbers of its document, and its own
+LINE = ("id", "tie", "line")
+Y, X = ([f"{side}_{name}" for name in LINE] for side in "yx")
+FOUND = "y_id long, y_tie long, y_line int, x_id long, x_tie long, x_line int, more boolean, word long, far int"
 
 
-def _ids(batch: pa.RecordBatch) -> np.ndarray:
-    return batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+def _numbers(batch: pa.RecordBatch, column: int) -> np.ndarray:
+    return batch.column(column).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def line_key(ids: np.ndarray, lines: np.ndarray) -> np.ndarray:
+def line_key(ids: np.ndarray, ties: np.ndarray, lines: np.ndarray) -> np.ndarray:
     """Position of a line in a bit set of lines."""
     with np.errstate(over="ignore"):
-        h = mix(ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + lines.astype(np.uint64))
+        h = mix((ids + ties).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + lines.astype(np.uint64))
     return (h % np.uint64(LINE_BITS)).astype(np.int64)
 
 
@@ -146,18 +158,18 @@ class Lines:
         rank: np.ndarray | None = None,
         wanted: np.ndarray | None = None,
     ):
-        data, offsets = text_bytes(batch.column(1))
+        data, offsets = text_bytes(batch.column(2))
         begin, end, _ = word_spans(data, offsets)
         breaks = np.flatnonzero(data == 0x0A)
         # empty texts share an offset; the last of them has the words
         text = np.searchsorted(offsets, begin, side="right") - 1
         line = np.searchsorted(breaks, begin) + text
-        ids = _ids(batch)
+        ids, ties = _numbers(batch, 0), _numbers(batch, 1)
         before = np.searchsorted(breaks, offsets)  # line breaks before each text
         if wanted is not None:
             lead = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else line
             number = line[lead] - text[lead] - before[text[lead]]
-            inside = np.repeat(_bits(wanted, line_key(ids[text[lead]], number)), np.diff(np.append(lead, len(line))))
+            inside = np.repeat(_bits(wanted, line_key(ids[text[lead]], ties[text[lead]], number)), np.diff(np.append(lead, len(line))))
             begin, end, text, line = begin[inside], end[inside], text[inside], line[inside]
         words = span_hashes(symbols[data], begin, end)
         order = np.zeros(len(words), dtype=np.uint8) if rank is None else rank[words % np.uint64(WIDTH)]
@@ -176,23 +188,25 @@ class Lines:
         self.n = np.diff(np.append(self.begin, len(line)))
         self.text = text[self.begin]
         self.line = (line[self.begin] - self.text - before[self.text]).astype(np.int32)
-        self.ids = ids[self.text] if len(self.text) else np.empty(0, np.int64)
+        self.ids, self.ties = (x[self.text] if len(self.text) else np.empty(0, np.int64) for x in (ids, ties))
 
     def keep(self, chosen: np.ndarray) -> None:
         """Go on with some of the lines."""
         inside = np.repeat(chosen, self.n)
         self.words = self.words[inside]
-        self.n, self.text, self.line, self.ids = self.n[chosen], self.text[chosen], self.line[chosen], self.ids[chosen]
+        for name in ("n", "text", "line", "ids", "ties"):
+            setattr(self, name, getattr(self, name)[chosen])
         self.begin = np.cumsum(self.n) - self.n
 
 
-def _count(min_words: int):
+def _count():
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols, counts = byte_symbols(lower=True), np.zeros(WIDTH, dtype=np.int32)
         for whole in batches:
-            for batch in parts(whole, 1, PART):
+            for batch in parts(whole, 2, PART):
                 # every occurrence counts; which of two words is rarer hardly depends on repeats in a line
-                data, offsets = text_bytes(batch.column(1))
+                data, offsets = text_bytes(batch.column(2))
                 begin, end, _ = word_spans(data, offsets)
                 words = span_hashes(symbols[data], begin, end)
                 seen = np.bincount(words % np.uint64(WIDTH), minlength=WIDTH)
@@ -209,6 +223,7 @@ def _count(min_words: int):
     return run
 
 
+@lean
 def _add(table: pa.Table) -> pa.Table:
     total = np.zeros(WIDTH // SLICES, dtype=np.int64)
     for blob in table.column("counts").to_pylist():
@@ -217,10 +232,10 @@ def _add(table: pa.Table) -> pa.Table:
     return pa.table({"slice": table.column("slice")[:1], "rank": pa.array([rank.tobytes()], pa.binary())})
 
 
-def word_ranks(rows: DataFrame, min_words: int) -> np.ndarray:
+def word_ranks(rows: DataFrame) -> np.ndarray:
     """Rarity class of each cell of the count table (more for commoner words)."""
     added = (
-        rows.mapInArrow(_count(min_words), "slice int, counts binary")
+        rows.mapInArrow(_count(), "slice int, counts binary")
         .groupBy("slice")
         .applyInArrow(_add, "slice int, rank binary")
     )
@@ -232,14 +247,16 @@ def word_ranks(rows: DataFrame, min_words: int) -> np.ndarray:
 
 
 def _pack(buckets: int, num: int, den: int, min_words: int, ranks, only):
-    """Prefixes by word; with ``only``, a bit set of words, no others."""
+    """Prefixes by word; with ``only``, a bit set of words, those and no others, with the lines' word sets."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols, rank = byte_symbols(lower=True), ranks.value
         wanted = None if only is None else only.value
-        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * len(COLUMNS)]
+        names = [name for name, _ in COLUMNS]
+        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * (len(COLUMNS) + 1)]
         for whole in batches:
-            for batch in parts(whole, 1, PART):
+            for batch in parts(whole, 2, PART):
                 x = Lines(batch, symbols, rank)
                 if not len(x.n):
                     continue
@@ -250,23 +267,25 @@ def _pack(buckets: int, num: int, den: int, min_words: int, ranks, only):
                 parity, first_of, size_of = sketches(x.words, x.begin, x.n)
                 base = np.bitwise_xor.reduceat(parity, first_of)
                 # equal sets of this batch: the first goes on, marks for the others
-                at = np.lexsort((x.line, x.ids, x.n, base, sig))
+                at = np.lexsort((x.line, x.ties, x.ids, x.n, base, sig))
                 same = np.zeros(len(at), dtype=bool)
                 for values in (sig, base, x.n):
                     same[1:] = (same[1:] if values is not sig else True) & (values[at][1:] == values[at][:-1])
                 later = np.zeros(len(at), dtype=bool)
                 later[at[same]] = True
-                out: dict[str, list] = {k: [] for k in ("bucket", "k", *(name for name, _ in COLUMNS))}
+                out: dict[str, list] = {k: [] for k in ("bucket", "k", *names, "sets")}
                 if wanted is None and later.any():
                     first = at[np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))]
                     other = np.zeros(len(at), dtype=bool)
-                    other[at] = (x.ids[at] != x.ids[first]) | (x.line[at] != x.line[first])
+                    for value in (x.ids, x.ties, x.line):
+                        other[at] |= value[at] != value[first]
                     gone = np.flatnonzero(later & other)
                     out["bucket"].append(-1 - (int(x.ids[0]) + int(x.line[0])) % buckets)
                     out["k"].append(len(gone))
                     for name, kind in COLUMNS:
-                        value = {"id": x.ids, "line": x.line}.get(name)
+                        value = {"id": x.ids, "tie": x.ties, "line": x.line}.get(name)
                         out[name].append(b"" if value is None else value[gone].astype(kind).tobytes())
+                    out["sets"].append(b"")
                 x_first, x_size, x_sig = first_of[~later], size_of[~later], sig[~later]
                 x.keep(~later)
                 prefix = x.n - -(-num * x.n // den) + 1
@@ -276,19 +295,22 @@ def _pack(buckets: int, num: int, den: int, min_words: int, ranks, only):
                     inside &= _bits(wanted, word_key(word_token(x.words)))
                 row = np.repeat(np.arange(len(x.n)), x.n)[inside]
                 token = word_token(x.words[inside])
-                bucket = (mix(token.astype(np.uint64) + np.uint64(1)) % np.uint64(buckets)).astype(np.uint16)
-                values = (token, x_sig[row], row, x.ids[row], x.line[row], x.n[row], place[inside])
+                bucket = mix(token.astype(np.uint64) + np.uint64(1)) % np.uint64(buckets)
+                bucket = bucket.astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
+                values = (token, x_sig[row], row, x.ids[row], x.ties[row], x.line[row], x.n[row], place[inside])
                 by = np.argsort(bucket, kind="stable")
-                edges = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
-                for b in np.flatnonzero(np.diff(edges)).tolist():
-                    cut = by[edges[b] : edges[b + 1]]
-                    out["bucket"].append(b)
+                edges = np.append(np.flatnonzero(np.diff(bucket[by].astype(np.int64), prepend=-1)), len(by)).tolist()
+                for lo, hi in zip(edges, edges[1:], strict=False):
+                    cut = by[lo:hi]
+                    out["bucket"].append(int(bucket[cut[0]]))
                     out["k"].append(len(cut))
                     for (name, kind), value in zip(COLUMNS, values, strict=True):
                         v = value[cut].astype(kind) if name != "parity" else parity[runs(x_first, x_size, value[cut])]
                         if name in ("id", "line"):
                             v = np.diff(v, prepend=kind(0))
                         out[name].append(v.tobytes() if name in RAW else squeeze(v))
+                    whole_sets = b"" if wanted is None else x.words[runs(x.begin, x.n, row[cut])].tobytes()
+                    out["sets"].append(whole_sets)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, kind) for v, kind in zip(out.values(), kinds, strict=True)], names=list(out)
                 )
@@ -300,42 +322,15 @@ def _bits(table: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def _partners(num: int, den: int, pending):
-    """Equal lines to remove (x_line null), and possible partners of the others.
-
-    Without ``pending`` each line gets, of a word's, the partner of the
-    nearest sketch, or if that isn't a likely one the ``FIRST`` nearest
-    (``more``: there are others); with it (a bit set of lines), those lines get all and
-    others none.
-    """
-
-    def possible(v: dict, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The pairs that may match, and in how many bits their sketches differ."""
-        n, m, p, q = v["n"][i], v["n"][j], v["at"][i], v["at"][j]
-        least = -(-num * (n + m) // (num + den))
-        ok = (den * np.minimum(n, m) >= num * np.maximum(n, m)) & (
-            np.minimum(p, q) + 1 + np.minimum(n - p - 1, m - q - 1) >= least
-        )
-        i, j, most = i[ok], j[ok], (n + m - 2 * least)[ok]
-        far = np.zeros(len(i), dtype=np.int64)
-        level = np.minimum(v["size"][i], v["size"][j])
-        for width, (at, table) in v["folded"].items():
-            some = np.flatnonzero(level == width)
-            if len(some):
-                far[some] = np.bitwise_count(table[at[i[some]]] ^ table[at[j[some]]]).sum(axis=1, dtype=np.int64)
-        ok = far <= most
-        return i[ok], j[ok], far[ok]
+class Met:
+    """The lines of a bucket's words: entries in the order of (token, id, tie, line), equal sets of a word once."""
 
-    def run(table: pa.Table) -> pa.Table:
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int32()]
-        names = [c.split(" ")[0] for c in FOUND.split(", ")]
-        if table.column("bucket")[0].as_py() < 0:
-            ids = np.concatenate([np.frombuffer(b, np.int64) for b in table.column("id").to_pylist()])
-            lines = np.concatenate([np.frombuffer(b, np.int32) for b in table.column("line").to_pylist()])
-            nothing = [pa.nulls(len(ids), k) for k in kinds[2:]]
-            return pa.Table.from_arrays([pa.array(ids), pa.array(lines), *nothing], names=names)
+    def __init__(self, table: pa.Table, num: int, den: int):
+        self.num, self.den = num, den
         v: dict[str, list] = {name: [] for name, _ in COLUMNS}
+        sets = []
         for r in table.to_pylist():
+            sets.append(np.frombuffer(r["sets"], np.uint64))
             for name, kind in COLUMNS:
                 if name in RAW:
                     v[name].append(np.frombuffer(r[name], kind))
@@ -343,138 +338,272 @@ def _partners(num: int, den: int, pending):
                     got = spread(r[name], kind, r["k"])
                     v[name].append(np.cumsum(got, dtype=kind) if name in ("id", "line") else got)
         v = {name: np.concatenate(x) for name, x in v.items()}
+        self.sets = np.concatenate(sets)
         sketch = v["parity"]
         v["size"] = sketch_size(v["n"])
         v["first"] = np.cumsum(v["size"]) - v["size"]
+        v["own"] = np.cumsum(v["n"], dtype=np.int64) - v["n"]
         v["parity"] = np.bitwise_xor.reduceat(sketch, v["first"])
-        at = np.lexsort((v["line"], v["id"], v["n"], v["parity"], v["sig"], v["token"]))
+        at = np.lexsort((v["line"], v["tie"], v["id"], v["n"], v["parity"], v["sig"], v["token"]))
         v = {name: x[at] for name, x in v.items()}
         same = np.zeros(len(at), dtype=bool)
         same[1:] = True
         for name in ("token", "sig", "parity", "n"):
             same[1:] &= v[name][1:] == v[name][:-1]
         lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))
-        twice = same & ((v["id"] != v["id"][lead]) | (v["line"] != v["line"][lead]))
+        other = np.zeros(len(at), dtype=bool)
+        for name in LINE:
+            other |= v[name] != v[name][lead]
         # every line is dealt to its rarest word, where its equals are
-        gone = np.flatnonzero(twice & (v["at"] == 0)) if pending is None else np.empty(0, np.int64)
-        equal = (v["id"][gone], v["line"][gone])
+        gone = np.flatnonzero(same & other & (v["at"] == 0))
+        self.equal = {name: v[name][gone] for name in LINE}
         v = {name: x[~same] for name, x in v.items()}
-        at = np.lexsort((v["line"], v["id"], v["token"]))
+        at = np.lexsort((v["line"], v["tie"], v["id"], v["token"]))
         v = {name: x[at] for name, x in v.items()}
         v["n"], v["at"] = v["n"].astype(np.int64), v["at"].astype(np.int64)
-        v["folded"] = folded(sketch, v["first"], v["size"])
-        begin = np.flatnonzero(np.concatenate([[True], v["token"][1:] != v["token"][:-1]]))
-        many = np.diff(np.append(begin, len(at)))
-        asked = None if pending is None else _bits(pending.value, line_key(v["id"], v["line"]))
+        self.v = v
+        self.folded = folded(sketch, v["first"], v["size"])
+        self.begin = np.flatnonzero(np.concatenate([[True], v["token"][1:] != v["token"][:-1]]))
+        self.many = np.diff(np.append(self.begin, len(at)))
+
+    def possible(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pairs that may match, and in how many bits their sketches differ."""
+        v, num, den = self.v, self.num, self.den
+        n, m, p, q = v["n"][i], v["n"][j], v["at"][i], v["at"][j]
+        least = -(-num * (n + m) // (num + den))
+        ok = (den * np.minimum(n, m) >= num * np.maximum(n, m)) & (
+            np.minimum(p, q) + 1 + np.minimum(n - p - 1, m - q - 1) >= least
+        )
+        other = np.zeros(len(i), dtype=bool)
+        for name in LINE:
+            other |= v[name][i] != v[name][j]
+        ok &= other
+        i, j, most = i[ok], j[ok], (n + m - 2 * least)[ok]
+        far = np.zeros(len(i), dtype=np.int64)
+        level = np.minimum(v["size"][i], v["size"][j])
+        for width, (at, table) in self.folded.items():
+            some = np.flatnonzero(level == width)
+            if len(some):
+                far[some] = np.bitwise_count(table[at[i[some]]] ^ table[at[j[some]]]).sum(axis=1, dtype=np.int64)
+        ok = far <= most
+        return i[ok], j[ok], far[ok]
+
+    def small_words(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (earlier, later) of the words of few lines."""
+        for m in range(2, SMALL + 1):
+            some = self.begin[self.many == m]
+            j, i = np.tril_indices(m, -1)
+            for lo in range(0, len(some), 1024):
+                yield (some[lo : lo + 1024, None] + i).ravel(), (some[lo : lo + 1024, None] + j).ravel()
+
+    def large_words(self) -> Iterator[tuple[int, int]]:
+        """First entry and number of lines of the other words."""
+        large = self.many > SMALL
+        return zip(self.begin[large].tolist(), self.many[large].tolist(), strict=True)
+
+    def units(self, asked: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Ranges of entries, of whole words with a line in ``asked``, of about ``UNIT`` entries."""
+        busy = (np.add.reduceat(asked, self.begin, dtype=np.int64) > 0) & (self.many > 1)
+        lo = hi = 0
+        for start, m, wanted in zip(self.begin.tolist(), self.many.tolist(), busy.tolist(), strict=True):
+            if not wanted or hi - lo > UNIT:
+                if hi > lo:
+                    yield lo, hi
+                lo = hi = start + m
+                if wanted:
+                    lo = start
+            hi = start + m if wanted else hi
+        if hi > lo:
+            yield lo, hi
+
+
+class Unit:
+    """Some entries with their word sets, to compare exactly."""
+
+    def __init__(self, met: Met, lo: int, hi: int):
+        self.met, self.lo = met, lo
+        self.n, own = met.v["n"][lo:hi], met.v["own"][lo:hi]
+        words = met.sets[runs(own, self.n, np.arange(hi - lo))]
+        self.own = np.cumsum(self.n) - self.n
+        self.word = np.unique(words, return_inverse=True)[1]
+        self.fine = np.zeros((hi - lo, FINE), dtype=np.uint64)
+        bit = mix(words) & np.uint64(64 * FINE - 1)
+        row = np.repeat(np.arange(hi - lo), self.n)
+        np.bitwise_xor.at(self.fine, (row, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
+
+    def matches(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Which pairs of entries match."""
+        num, den, n = self.met.num, self.met.den, self.n
+        i, j = i - self.lo, j - self.lo
+        least = -(-num * (n[i] + n[j]) // (num + den))
+        out = np.zeros(len(i), dtype=bool)
+        for lo in range(0, len(i), PAIRS):
+            a, b = i[lo : lo + PAIRS], j[lo : lo + PAIRS]
+            far = np.bitwise_count(self.fine[a] ^ self.fine[b]).sum(axis=1, dtype=np.int64)
+            some = lo + np.flatnonzero(far <= n[a] + n[b] - 2 * least[lo : lo + PAIRS])
+            key = []
+            for k in (i[some], j[some]):
+                pair = np.repeat(np.arange(len(some)), n[k])
+                key.append(pair * (len(self.word) + 1) + self.word[runs(self.own, n, k)])
+            key = np.sort(np.concatenate(key))
+            both = key[1:][key[1:] == key[:-1]] // (len(self.word) + 1)
+            out[some] = np.bincount(both, minlength=len(some)) >= least[some]
+        return out
+
+
+def _nearest(i: np.ndarray, j: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each line ``j`` the ``FIRST`` nearest partners, in the order of (j, d, i)."""
+    by = np.lexsort((i, d, j))
+    i, j, d = i[by], j[by], d[by]
+    head = np.concatenate([[True], j[1:] != j[:-1]]) if len(j) else np.empty(0, dtype=bool)
+    place = np.arange(len(j)) - np.maximum.accumulate(np.where(head, np.arange(len(j)), 0))
+    keep = place < FIRST
+    return i[keep], j[keep], d[keep]
+
+
+def _partners(num: int, den: int):
+    """Equal lines to remove (x_line null), and possible partners of the others.
+
+    Each line gets, of a word's, the partner of the nearest sketch, or if that isn't a likely one
+    the ``FIRST`` nearest (``more``: there are others).
+    """
+
+    @lean
+    def run(table: pa.Table) -> pa.Table:
+        kinds = [pa.int64(), pa.int64(), pa.int32()] * 2 + [pa.bool_(), pa.int64(), pa.int32()]
+        names = [c.split(" ")[0] for c in FOUND.split(", ")]
+        if table.column("bucket")[0].as_py() < 0:
+            which = [
+                pa.array(np.concatenate([np.frombuffer(b, kind) for b in table.column(name).to_pylist()]))
+                for name, kind in COLUMNS
+                if name in LINE
+            ]
+            nothing = [pa.nulls(len(which[0]), k) for k in kinds[3:]]
+            return pa.Table.from_arrays([*which, *nothing], names=names)
+        met = Met(table, num, den)
+        v = met.v
         picked: list[tuple] = []
 
-        def pick(i: np.ndarray, j: np.ndarray, d: np.ndarray) -> None:
-            """Keep what is asked for of all partners ``i`` of lines ``j`` for a word; the rest goes at once."""
-            real = (v["id"][i] != v["id"][j]) | (v["line"][i] != v["line"][j])
-            if asked is not None:
-                real &= asked[j]
-            i, j, d = i[real], j[real], d[real]
-            if not len(j):
-                return
-            if asked is not None:
-                picked.append((i, j, d, np.zeros(len(j), dtype=bool)))
-                return
-            by = np.lexsort((i, d, j))
-            i, j, d = i[by], j[by], d[by]
+        def pick(i: np.ndarray, j: np.ndarray, d: np.ndarray, partners: np.ndarray | None = None) -> None:
+            """Keep what is asked for of the partners ``i`` of lines ``j``, in the order of (j, d, i).
+
+            ``partners`` has the number of all partners of each line, if not all are given.
+            """
             head = np.concatenate([[True], j[1:] != j[:-1]])
             lead = np.maximum.accumulate(np.where(head, np.arange(len(j)), 0))
+            if partners is None:
+                partners = np.diff(np.append(np.flatnonzero(head), len(j)))[np.cumsum(head) - 1]
             most = np.where(8 * d[lead] <= v["n"][j], 1, FIRST)
-            many_of = np.diff(np.append(np.flatnonzero(head), len(j)))[np.cumsum(head) - 1]
             keep = np.arange(len(j)) - lead < most
-            picked.append((i[keep], j[keep], d[keep], (many_of > most)[keep]))
-
-        for m in range(2, SMALL + 1):
-            some = begin[many == m]
-            if len(some):
-                j, i = np.tril_indices(m, -1)
-                for lo in range(0, len(some), 1024):
-                    a = (some[lo : lo + 1024, None] + i).ravel()
-                    b = (some[lo : lo + 1024, None] + j).ravel()
-                    pick(*possible(v, a, b))
-        for start, m in zip(begin[many > SMALL].tolist(), many[many > SMALL].tolist(), strict=True):
+            picked.append((i[keep], j[keep], d[keep], (partners > most)[keep]))
+
+        for a, b in met.small_words():
+            i, j, d = met.possible(a, b)
+            if len(j):
+                by = np.lexsort((i, d, j))
+                pick(i[by], j[by], d[by])
+        for start, m in met.large_words():
             for lo in range(0, m, SIDE):
                 ys = np.arange(start + lo, start + min(m, lo + SIDE))
-                if asked is not None:
-                    ys = ys[asked[ys]]
                 near = np.zeros(len(ys), dtype=np.int64)  # partners whose sketch hardly differs
-                found = []
+                partners = np.zeros(len(ys), dtype=np.int64)
+                best = tuple(np.empty(0, dtype=np.int64) for _ in range(3))
                 for x0 in range(0, lo + SIDE, SIDE):
                     # who has two such needs no others at first
-                    open_ = np.flatnonzero(near < 2) if asked is None else np.arange(len(ys))
+                    open_ = np.flatnonzero(near < 2)
                     if not len(open_):
                         break
                     xs = np.arange(start + x0, start + min(m, x0 + SIDE))
                     b = np.repeat(ys[open_], len(xs))
                     a = np.tile(xs, len(open_))
                     earlier = a < b
-                    found.append(possible(v, a[earlier], b[earlier]))
-                    likely = found[-1][1][8 * found[-1][2] <= v["n"][found[-1][1]]]
-                    near += np.bincount(np.searchsorted(ys, likely), minlength=len(ys))
-                if found:
-                    pick(*(np.concatenate(x) for x in zip(*found, strict=True)))
+                    found = met.possible(a[earlier], b[earlier])
+                    partners += np.bincount(found[1] - ys[0], minlength=len(ys))
+                    likely = found[1][8 * found[2] <= v["n"][found[1]]]
+                    near += np.bincount(likely - ys[0], minlength=len(ys))
+                    best = _nearest(*(np.concatenate(x) for x in zip(best, found, strict=True)))
+                if len(best[1]):
+                    pick(*best, partners[best[1] - ys[0]])
         empty = np.empty(0, dtype=np.int64)
         i, j, d = (np.concatenate([p[k] for p in picked]) if picked else empty for k in range(3))
         more = np.concatenate([p[3] for p in picked]) if picked else empty.astype(bool)
-        n = len(gone)
-        none = pa.nulls(n, pa.int64())
-        return pa.Table.from_arrays(
-            [
-                pa.array(np.concatenate([equal[0], v["id"][j]])),
-                pa.array(np.concatenate([equal[1], v["line"][j]]), pa.int32()),
-                pa.concat_arrays([none, pa.array(v["id"][i], pa.int64())]),
-                pa.concat_arrays([pa.nulls(n, pa.int32()), pa.array(v["line"][i], pa.int32())]),
-                pa.concat_arrays([pa.nulls(n, pa.bool_()), pa.array(more)]),
-                pa.concat_arrays([none, pa.array(v["token"][j].astype(np.int64))]),
-                pa.concat_arrays([pa.nulls(n, pa.int32()), pa.array(d, pa.int32())]),
-            ],
-            names=names,
-        )
+        n = len(met.equal["id"])
+        y = [pa.array(np.concatenate([met.equal[name], v[name][j]])) for name in LINE]
+        x = [pa.concat_arrays([pa.nulls(n, k), pa.array(v[name][i], k)]) for name, k in zip(LINE, kinds[3:], strict=False)]
+        rest = [more, v["token"][j].astype(np.int64), d]
+        rest = [pa.concat_arrays([pa.nulls(n, k), pa.array(r, k)]) for r, k in zip(rest, kinds[6:], strict=True)]
+        return pa.Table.from_arrays([*y, *x, *rest], names=names)
+
+    return run
+
+
+def _settled_on_the_spot(num: int, den: int, pending):
+    """Of the lines in ``pending`` (a bit set) those (id, tie, line) that match an earlier line, once a word."""
+
+    @lean
+    def run(table: pa.Table) -> pa.Table:
+        met = Met(table, num, den)
+        v = met.v
+        asked = _bits(pending.value, line_key(v["id"], v["tie"], v["line"]))
+        gone = np.zeros(len(asked), dtype=bool)
+        many = np.repeat(met.many, met.many)
+        first = np.repeat(met.begin, met.many)
+        for lo, hi in met.units(asked):
+            unit = Unit(met, lo, hi)
+            # later lines of ``SIDE`` words or more at a time, with ``SIDE`` earlier ones of each word
+            wanted = lo + np.flatnonzero(asked[lo:hi] & (np.arange(lo, hi) > first[lo:hi]))
+            for at in range(0, len(wanted), SIDE):
+                ys = wanted[at : at + SIDE]
+                for step in range(0, int(many[ys].max()), SIDE):
+                    left = ys[~gone[ys] & (first[ys] + step < ys)]
+                    n = np.minimum(SIDE, left - first[left] - step)
+                    a = runs(first[left] + step, n, np.arange(len(left)))
+                    i, j, _ = met.possible(a, np.repeat(left, n))
+                    gone[j[unit.matches(i, j)]] = True
+        at = np.flatnonzero(gone)
+        return pa.table({name: pa.array(v[name][at]) for name in LINE})
 
     return run
 
 
 def _fetch(left, right):
-    """The word sets of the lines in two bit sets, as rows (id, line, is_x, is_y, words)."""
+    """The word sets of the lines in two bit sets, as rows (id, tie, line, is_x, is_y, words)."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols = byte_symbols(lower=True)
         either = left.value | right.value
         for whole in batches:
-            for batch in parts(whole, 1, PART):
+            for batch in parts(whole, 2, PART):
                 x = Lines(batch, symbols, wanted=either)
-                key = line_key(x.ids, x.line)
+                key = line_key(x.ids, x.ties, x.line)
                 blobs = [w.tobytes() for w in np.split(x.words, x.begin[1:])] if len(x.n) else []
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(x.ids),
+                        pa.array(x.ties),
                         pa.array(x.line),
                         pa.array(_bits(left.value, key)),
                         pa.array(_bits(right.value, key)),
                         pa.array(blobs, pa.binary()),
                     ],
-                    names=["id", "line", "is_x", "is_y", "words"],
+                    names=[*LINE, "is_x", "is_y", "words"],
                 )
 
     return run
 
 
 def _verify(num: int, den: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
-            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            for a, b in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
                 x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 good.append(den * both >= num * (len(x) + len(y) - both))
             keep = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["id", "line"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in range(3)], names=list(LINE))
 
     return run
 
@@ -489,8 +618,9 @@ def _collect_bits(keys: DataFrame) -> np.ndarray:
 
 
 def _keyed(rows: DataFrame, kind: str) -> DataFrame:
-    """Column ``p``: the positions of lines (id, line) or words, as the tasks compute them."""
+    """Column ``p``: the positions of lines (id, tie, line) or words, as the tasks compute them."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(batch.num_columns)]
@@ -501,63 +631,71 @@ def _keyed(rows: DataFrame, kind: str) -> DataFrame:
 
 
 def _right(rows: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
-    """The lines (id, line) of ``pairs`` that really match their partner."""
+    """The lines (id, tie, line) of ``pairs`` that really match their partner."""
     context = rows.sparkSession.sparkContext
-    bits = [context.broadcast(_collect_bits(_keyed(pairs.select(f"{k}_id", f"{k}_line"), "line"))) for k in "xy"]
+    bits = [context.broadcast(_collect_bits(_keyed(pairs.select(*side), "line"))) for side in (X, Y)]
     sets = settle(
-        rows.mapInArrow(_fetch(*bits), "id long, line int, is_x boolean, is_y boolean, words binary"), "line-sets"
+        rows.mapInArrow(_fetch(*bits), "id long, tie long, line int, is_x boolean, is_y boolean, words binary"),
+        "line-sets",
     )
+    for b in bits:
+        b.unpersist()
     x, y = (
         sets.filter(f"is_{k}").select(
-            F.col("id").alias(f"{k}_id"), F.col("line").alias(f"{k}_line"), F.col("words").alias(f"{k}_words")
+            *(F.col(c).alias(f"{k}_{c}") for c in LINE), F.col("words").alias(f"{k}_words")
         )
         for k in "xy"
     )
-    joined = pairs.select("y_id", "y_line", "x_id", "x_line").join(x, ["x_id", "x_line"]).join(y, ["y_id", "y_line"])
-    return joined.select("y_id", "y_line", "x_words", "y_words").mapInArrow(_verify(num, den), "id long, line int")
+    joined = pairs.select(*Y, *X).join(x, X).join(y, Y)
+    return joined.select(*Y, "x_words", "y_words").mapInArrow(_verify(num, den), "id long, tie long, line int")
 
 
 def repeated_lines(rows: DataFrame, num: int, den: int, min_words: int) -> DataFrame:
-    """The lines (id, line) that go, of rows (id, text); ids are not null."""
+    """The lines (id, tie, line) that go, of rows (id, tie, text)."""
     spark = rows.sparkSession
-    ranks = spark.sparkContext.broadcast(word_ranks(rows, min_words))
+    context = spark.sparkContext
+    ranks = context.broadcast(word_ranks(rows))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, min(1 << 15, total // BUCKET_BYTES + 1))
+    buckets = max(1, min((1 << 31) // FINER - 1, total // BUCKET_BYTES + 1))
 
-    def meet(only, pending) -> DataFrame:
-        packed = rows.mapInArrow(_pack(buckets, num, den, min_words, ranks, only), PACKED)
-        return packed.groupBy("bucket").applyInArrow(_partners(num, den, pending), FOUND)
+    def meet(only, task, schema: str) -> DataFrame:
+        count = buckets if only is None else buckets * FINER
+        packed = rows.mapInArrow(_pack(count, num, den, min_words, ranks, only), PACKED)
+        return packed.groupBy("bucket").applyInArrow(task, schema)
 
-    found = settle(meet(None, None), "line-partners")
-    equal = found.filter("x_line IS NULL").select(F.col("y_id").alias("id"), F.col("y_line").alias("line")).distinct()
+    found = settle(meet(None, _partners(num, den), FOUND), "line-partners")
+    equal = found.filter("x_line IS NULL").select(*(F.col(f"y_{c}").alias(c) for c in LINE)).distinct()
     pairs = found.filter("x_line IS NOT NULL")
     # of each line the FIRST nearest partners
-    x = F.struct("far", "x_id", "x_line")
+    x = F.struct("far", *X)
     best = (
-        pairs.groupBy("y_id", "y_line")
-        .agg(F.array_sort(F.collect_set(x)).alias("xs"), F.max("more").alias("more"))
-        .join(equal.select(F.col("id").alias("y_id"), F.col("line").alias("y_line")), ["y_id", "y_line"], "left_anti")
-        .select("y_id", "y_line", F.explode(F.slice("xs", 1, FIRST)).alias("x"), (F.col("more") | (F.size("xs") > FIRST)).alias("more"))
-        .select("y_id", "y_line", "x.x_id", "x.x_line", "more")
+        pairs.groupBy(*Y)
+        .agg(F.array_sort(F.collect_set(x)).alias("xs"), F.max("more").alias("more"), F.collect_set("word").alias("words"))
+        .join(equal.select(*(F.col(c).alias(f"y_{c}") for c in LINE)), Y, "left_anti")
+        .withColumn("more", F.col("more") | (F.size("xs") > FIRST))
+        .withColumn("x", F.explode(F.slice("xs", 1, FIRST)))
+        .select(*Y, *(f"x.{c}" for c in X), "more", F.when(F.col("more"), F.col("words")).alias("words"))
     )
     best = settle(best, "line-pairs")
-    sure = settle(_right(rows, best.drop("more"), num, den).unionByName(equal).distinct(), "lines-gone")
-    found_ = sure.select(F.col("id").alias("y_id"), F.col("line").alias("y_line"))
+    sure = settle(_right(rows, best.drop("more", "words"), num, den).unionByName(equal).distinct(), "lines-gone")
     open_ = settle(
-        best.filter("more").select("y_id", "y_line").distinct().join(found_, ["y_id", "y_line"], "left_anti"),
+        best.filter("more").groupBy(*Y).agg(F.first("words").alias("words"))
+        .join(sure.select(*(F.col(c).alias(f"y_{c}") for c in LINE)), Y, "left_anti"),
         "lines-open",
     )
     if open_.isEmpty():
+        ranks.unpersist()
         return sure
-    context = spark.sparkContext
-    asked = pairs.join(open_, ["y_id", "y_line"], "left_semi").select("word")
-    words = context.broadcast(_collect_bits(_keyed(asked, "word")))
-    pending = context.broadcast(_collect_bits(_keyed(open_, "line")))
-    again = meet(words, pending).join(open_, ["y_id", "y_line"], "left_semi")
-    again = settle(again.select("y_id", "y_line", "x_id", "x_line").distinct(), "line-pairs-again")
-    return sure.unionByName(_right(rows, again, num, den)).distinct()
+    words = context.broadcast(_collect_bits(_keyed(open_.select(F.explode("words").alias("word")), "word")))
+    pending = context.broadcast(_collect_bits(_keyed(open_.select(*Y), "line")))
+    again = meet(words, _settled_on_the_spot(num, den, pending), "id long, tie long, line int")
+    out = settle(sure.unionByName(again).distinct(), "lines-gone")
+    for b in (ranks, words, pending):
+        b.unpersist()
+    return out
 
 
+@lean
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without their marked lines."""
     for batch in batches:
@@ -584,7 +722,7 @@ def cleaned_rows(
     docs: DataFrame,
     num: int = 8,
     den: int = 10,
-    min_words: int = 3,
+    min_words: int = 1,
     id_col: str = "doc_id",
     text_col: str = "text",
     keep: tuple[str, ...] | None = None,
@@ -593,16 +731,13 @@ def cleaned_rows(
 
     Lines are numbered from 0.
     """
-    rows = docs.select(
-        F.col(text_col).alias("text"),
-        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
-        F.struct(*((id_col,) if keep is None else keep)).alias("kept"),
-    )
-    gone = settle(repeated_lines(rows.select("id", "text"), num, den, min_words), "lines-removed")
-    marked = settle(bit_set(gone.select(position(F.col("id"), ID_BITS).alias("p")), "p"), "line-marked-ids")
-    tested = with_test(rows.withColumn("p", position(F.col("id"), ID_BITS)), "p", marked, "marked")
-    by_id = gone.groupBy("id").agg(F.collect_list("line").alias("gone"))
-    some = tested.filter("marked").join(by_id, "id", "left").select("text", "gone", "kept")
+    rows = keyed_rows(docs, id_col, text_col, F.struct(*((id_col,) if keep is None else keep)).alias("kept"))
+    gone = settle(repeated_lines(rows.select("id", "tie", "text"), num, den, min_words), "lines-removed")
+    by_doc = settle(gone.groupBy("id", "tie").agg(F.collect_list("line").alias("gone")), "lines-by-document")
+    bits = power_of_two(16 * by_doc.count(), 1 << 16, MAX_BITS)
+    marked = settle(bit_set(by_doc.select(position(F.col("id"), bits).alias("p")), "p"), "line-marked-ids")
+    tested = with_test(rows.withColumn("p", position(F.col("id"), bits)), "p", marked, "marked")
+    some = tested.filter("marked").join(by_doc, ["id", "tie"], "left").select("text", "gone", "kept")
     none = tested.filter("NOT marked").select("text", F.lit(None).cast("array<int>").alias("gone"), "kept")
     kind = rows.schema["kept"].dataType.simpleString()
     return none.unionByName(some).mapInArrow(

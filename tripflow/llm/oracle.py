@@ -75,7 +75,7 @@ WITH lines AS (
   FROM (SELECT doc_id, unnest(ls) AS line, unnest(range(0, len(ls))) AS k
         FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL))
 ), classes AS (
-  SELECT s, len(s) AS n, min(pos) AS first FROM lines WHERE len(s) >= 3 GROUP BY s
+  SELECT s, len(s) AS n, min(pos) AS first FROM lines WHERE len(s) >= 1 GROUP BY s
 ), tokens AS (
   SELECT first, n, unnest(s) AS w FROM classes
 ), ranked AS (
