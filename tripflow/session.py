@@ -123,6 +123,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/tripflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
+# Bytes of an Arrow batch that a Python worker gets at once (Spark's own limit
+# is 64 MB): long texts then arrive in small parts, and neither the executor
+# nor its workers hold a whole partition.
+ARROW_BATCH_BYTES = 8 << 20
+
 _shipped: set[str] = set()
 
 
@@ -131,8 +136,9 @@ def ship_package(spark: SparkSession) -> None:
 
     Sends the package's source files once per application; jobs that run
     Python in tasks call it, so that nothing has to be installed on the
-    executors.
+    executors. Arrow batches of the session are kept small.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BATCH_BYTES))
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
