@@ -161,11 +161,12 @@ def _oracle() -> dict[str, str]:
 
 
 def queries() -> dict[str, QueryFn]:
-    from tripflow.plans import catalog_io, catalog_rides
+    from tripflow.plans import catalog_io, catalog_kept, catalog_rides
 
     out = _queries()
     out.update(catalog_rides.QUERIES)
     out.update(catalog_io.QUERIES)
+    out.update(catalog_kept.QUERIES)
     return out
 
 
@@ -201,6 +202,11 @@ def oracle_sql() -> dict[str, str]:
             "clean_drifting_months": O.DRIFTING_SQL.replace("c.*", "c.* EXCLUDE (l_quantity)"),
             "read_one_month": O.ONE_MONTH_SQL,
             "clean_month_files": O.MONTH_FILES_SQL,
+            "report_incremental": O.report_sql(["green", "yellow"], core=False),
+            "multi_query_one_read": O.ONE_READ_SQL,
+            "window_metrics_one_read": O.window_metrics_sql(),
+            "late_rows_counted": O.late_rows_sql(),
+            "window_metrics_5min_compacted": O.window_metrics_sql(),
             "publish_readback": O.WIRE_DECODE_SQL.replace("SELECT event_id, ", "SELECT "),
         }
     )

@@ -420,6 +420,8 @@ MULTI_STATUS_SQL = (
     f"FROM ({ANSWERS_SQL}) AS q"
 )
 
+ONE_READ_SQL = f"SELECT name, answer_rows, answer_trips, (SELECT COUNT(*) FROM events) AS input_rows FROM ({ANSWERS_SQL}) AS q"
+
 # Months of one year; in odd months the files also have a column ``note``.
 DRIFTING_SQL = (
     f"SELECT c.*, CASE WHEN month % 2 = 1 THEN 'n' || CAST(l_quantity AS INTEGER) END AS note FROM ("
@@ -451,3 +453,14 @@ def late_data_sql(late_type: str = "view", split_day: int = 20) -> str:
         f"time_bucket(INTERVAL '5 minutes', pickup_datetime) + INTERVAL '5 minutes' > {wm}"
     )
     return window_metrics_sql().replace(f"FROM ({RIDES_SQL}) AS r", f"FROM ({kept}) AS k")
+
+
+def late_rows_sql(late_type: str = "view") -> str:
+    """How many rides came too late for their window, and what the windows hold without them."""
+    end = "time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes'"
+    return (
+        f"SELECT (SELECT COUNT(*) FROM events) AS input_rows, (SELECT COUNT(*) FROM events WHERE event_type = '{late_type}' "
+        f"AND {end} <= (SELECT date_trunc('millisecond', max(ts)) - INTERVAL '5 minutes' FROM events "
+        f"WHERE event_type <> '{late_type}')) AS late_rows, COUNT(*) AS windows, "
+        f"sum(total_trips_last_month)::BIGINT AS window_trips FROM ({late_data_sql(late_type)}) AS w"
+    )

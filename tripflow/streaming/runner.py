@@ -36,6 +36,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tripflow.session import scratch_path
+from tripflow.sources.paths import exists
 
 BATCH_COL = "batch_id"
 # Beside a table folder, the id of its query.
@@ -61,12 +62,7 @@ def _not_there(error: AnalysisException) -> bool:
 def _claim(spark: SparkSession, path: str, checkpoint: str) -> None:
     """Make sure that the table folder is this query's, or nobody's yet."""
     mine = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
-    try:
-        owner = spark.read.text(f"{path}{OWNER}").first()
-    except AnalysisException as e:
-        if not _not_there(e):
-            raise
-        owner = None
+    owner = spark.read.text(f"{path}{OWNER}").first() if exists(spark, f"{path}{OWNER}") else None
     if owner is None:
         spark.range(1).select(F.lit(mine).alias("value")).write.mode("overwrite").text(f"{path}{OWNER}")
     elif owner[0] != mine:
@@ -254,10 +250,11 @@ def run_to_parquet(
 
 
 class _Progress(StreamingQueryListener):
-    """Input rows and batches of every run, and which runs have ended."""
+    """Input rows, late rows and batches of every run, and which runs have ended."""
 
     def __init__(self):
         self.rows: dict[str, int] = {}
+        self.late: dict[str, int] = {}
         self.batches: dict[str, int] = {}
         self.ended: set[str] = set()
 
@@ -267,6 +264,8 @@ class _Progress(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         run = str(event.progress.runId)
         self.rows[run] = self.rows.get(run, 0) + event.progress.numInputRows
+        dropped = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        self.late[run] = self.late.get(run, 0) + dropped
         self.batches[run] = self.batches.get(run, 0) + 1
 
     def onQueryIdle(self, event) -> None:
@@ -290,7 +289,12 @@ def count_progress(spark: SparkSession) -> _Progress:
 
 def query_status(spark: SparkSession, queries=None) -> DataFrame:
     """Name, id, activity and input volume of streaming queries (the active
-    ones by default) as a small DataFrame, counted over all their batches."""
+    ones by default) as a small DataFrame, counted over all their batches.
+
+    ``late_rows`` is what the state operators dropped behind the watermark. An
+    aggregation drops partial aggregates, one for each task and late window, so
+    it counts those; ``fanout.fanout_status`` counts late rides one by one.
+    """
     qs = list(queries.values() if isinstance(queries, dict) else queries) if queries else spark.streams.active
     counted = count_progress(spark)
     end = time.monotonic() + 30
@@ -303,7 +307,15 @@ def query_status(spark: SparkSession, queries=None) -> DataFrame:
             raise RuntimeError(f"the last events of query {q.name} have not arrived")
         message = str(q.status.get("message", ""))
         rows.append(
-            (q.name, str(q.id), bool(q.isActive), message, counted.rows.get(run, 0), counted.batches.get(run, 0))
+            (
+                q.name,
+                str(q.id),
+                bool(q.isActive),
+                message,
+                counted.rows.get(run, 0),
+                counted.batches.get(run, 0),
+                counted.late.get(run, 0),
+            )
         )
-    schema = "name string, id string, is_active boolean, message string, input_rows long, batches int"
+    schema = "name string, id string, is_active boolean, message string, input_rows long, batches int, late_rows long"
     return spark.createDataFrame(rows, schema)
