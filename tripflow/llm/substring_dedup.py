@@ -16,9 +16,10 @@ words in an interval are removed, the kept ones are joined by one blank.
 
 Defined results: a null text has no words and an empty kept text; a text of
 fewer than ``size`` words loses none; ids must be integers; a null id counts
-as smaller than all others; rows with one id are one document with the same
-starts, so repeated rows don't remove each other's words. Extra columns are
-ignored.
+as smaller than all others; rows with one id (or none) and different texts
+are documents of their own, in the order of a hash of their texts; fully
+repeated rows are one document, so they don't remove each other's words.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.bitmaps import bit_set, position, with_test
-from tripflow.llm.common import settle
+from tripflow.llm.bitmaps import MAX_BITS, bit_set, position, with_test
+from tripflow.llm.common import keyed_rows, power_of_two, settle
 from tripflow.llm.textnp import (
     byte_symbols,
     mix,
@@ -43,77 +44,89 @@ from tripflow.llm.textnp import (
     windows,
     word_spans,
 )
+from tripflow.llm.worker import lean
 
-NO_ID = -(2**63)
 # Windows that one bucket should hold; bytes of text that a word takes at least.
 BUCKET_WINDOWS, WORD_BYTES = 1_000_000, 6
-ID_BITS = 1 << 24
 # Bytes of text that a task hashes at once.
 PART = 1 << 23
 
 # one row for each batch and bucket; windows marked on the spot have a bucket below 0, by their id
-PACKED = "bucket int, n int, hash binary, id binary, start binary"
+PACKED = "bucket int, n int, hash binary, id binary, tie binary, start binary"
 # marked windows, packed by a hash of their id
-MARKED = "part int, n int, id binary, start binary"
+MARKED = "part int, n int, id binary, tie binary, start binary"
 
 
 def bucket_count(total_bytes: int) -> int:
     """Buckets for so many bytes of text."""
-    return max(1, min((1 << 16) - 1, total_bytes // (BUCKET_WINDOWS * WORD_BYTES) + 1))
+    return max(1, min((1 << 31) - 1, total_bytes // (BUCKET_WINDOWS * WORD_BYTES) + 1))
+
+
+def _dealt(hashes: np.ndarray, count: int) -> np.ndarray:
+    """Numbers below ``count``, in the narrowest kind that sorts fast."""
+    return (mix(hashes) % np.uint64(count)).astype(np.uint16 if count <= 1 << 16 else np.uint32)
 
 
 def _parts(ids: np.ndarray, count: int) -> np.ndarray:
     """Which of ``count`` parts an id belongs to."""
-    return (mix(ids.view(np.uint64)) % np.uint64(count)).astype(np.uint16)
+    return _dealt(ids.view(np.uint64), count)
 
 
-def _packed(key: np.ndarray, count: int, ids: np.ndarray, starts: np.ndarray) -> Iterator[tuple]:
-    """(key, rows, number, ids, starts) of each key that occurs, ids and starts compressed."""
+def _packed(key: np.ndarray, ids: np.ndarray, ties: np.ndarray, starts: np.ndarray) -> Iterator[tuple]:
+    """(key, rows, number, ids, ties, starts) of each key that occurs, the last three compressed."""
     order = np.argsort(key, kind="stable")
-    edges = np.concatenate([[0], np.cumsum(np.bincount(key, minlength=count))])
-    for k in np.flatnonzero(np.diff(edges)).tolist():
-        cut = order[edges[k] : edges[k + 1]]
+    edges = np.append(np.flatnonzero(np.diff(key[order].astype(np.int64), prepend=-1)), len(order)).tolist()
+    for lo, hi in zip(edges, edges[1:], strict=False):
+        cut = order[lo:hi]
         yield (
-            k,
+            int(key[cut[0]]),
             cut,
             len(cut),
             squeeze(np.diff(ids[cut], prepend=np.int64(0))),
+            squeeze(ties[cut]) if ties[cut].any() else b"",
             squeeze(np.diff(starts[cut], prepend=np.int32(0))),
         )
 
 
-def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """The ids and starts of packed rows."""
-    ids, starts = [], []
-    for r in table.select(["n", "id", "start"]).to_pylist():
+def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ids, ties and starts of packed rows."""
+    ids, ties, starts = [], [], []
+    for r in table.select(["n", "id", "tie", "start"]).to_pylist():
         ids.append(np.cumsum(spread(r["id"], np.int64, r["n"]), dtype=np.int64))
+        ties.append(spread(r["tie"], np.int64, r["n"]) if r["tie"] else np.zeros(r["n"], dtype=np.int64))
         starts.append(np.cumsum(spread(r["start"], np.int32, r["n"]), dtype=np.int32))
-    return np.concatenate(ids), np.concatenate(starts)
+    return np.concatenate(ids), np.concatenate(ties), np.concatenate(starts)
 
 
-def _repeats(hashes: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Which entries have an equal hash with a smaller (id, start)."""
+def _repeats(hashes: np.ndarray, ids: np.ndarray, ties: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Which entries have an equal hash with a smaller (id, tie, start)."""
     marked = np.zeros(len(hashes), dtype=bool)
     order = np.argsort(hashes)
     ranked = hashes[order]
     same = ranked[1:] == ranked[:-1]
     twice = np.concatenate([[False], same]) | np.concatenate([same, [False]])
     some = order[twice]
-    some = some[np.lexsort((starts[some], ids[some], hashes[some]))]
-    h, i, s = hashes[some], ids[some], starts[some]
+    some = some[np.lexsort((starts[some], ties[some], ids[some], hashes[some]))]
+    h, i, t, s = hashes[some], ids[some], ties[some], starts[some]
     lead = np.concatenate([[True], h[1:] != h[:-1]])
     first = np.maximum.accumulate(np.where(lead, np.arange(len(some)), 0))
-    marked[some] = (i != i[first]) | (s != s[first])
+    marked[some] = (i != i[first]) | (t != t[first]) | (s != s[first])
     return marked
 
 
+def _ids(batch: pa.RecordBatch, column: int) -> np.ndarray:
+    return batch.column(column).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def _pack(size: int, buckets: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols = byte_symbols(lower=False)
-        kinds = {"bucket": pa.int32(), "n": pa.int32(), "hash": pa.binary(), "id": pa.binary(), "start": pa.binary()}
+        names = ["bucket", "n", "hash", "id", "tie", "start"]
+        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
         for whole in batches:
-            for batch in parts(whole, 1, PART):
-                data, offsets = text_bytes(batch.column(1))
+            for batch in parts(whole, 2, PART):
+                data, offsets = text_bytes(batch.column(2))
                 begin, end, first = word_spans(data, offsets)
                 words = span_hashes(symbols[data], begin, end)
                 del begin, end
@@ -122,72 +135,75 @@ def _pack(size: int, buckets: int):
                     continue
                 hashes = span_hashes(words, at, at + size)
                 text = np.searchsorted(first, at, side="right") - 1
-                ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[text]
+                ids, ties = _ids(batch, 0)[text], _ids(batch, 1)[text]
                 starts = (at - first[text]).astype(np.int32)
-                again = _repeats(hashes, ids, starts)
+                again = _repeats(hashes, ids, ties, starts)
                 rows: list[tuple] = []
                 if again.any():
-                    done, where = ids[again], starts[again]
-                    for k, _, n, i, s in _packed(_parts(done, buckets), buckets, done, where):
-                        rows.append((-1 - k, n, b"", i, s))
-                    hashes, ids, starts = hashes[~again], ids[~again], starts[~again]
+                    done = ids[again], ties[again], starts[again]
+                    for k, _, n, *blobs in _packed(_parts(done[0], buckets), *done):
+                        rows.append((-1 - k, n, b"", *blobs))
+                    hashes, ids, ties, starts = hashes[~again], ids[~again], ties[~again], starts[~again]
                 # the bucket comes from other bits than those that the hash compares first
-                bucket = (mix(hashes ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(buckets)).astype(np.uint16)
-                for b, cut, n, i, s in _packed(bucket, buckets, ids, starts):
-                    rows.append((b, n, hashes[cut].tobytes(), i, s))
+                bucket = _dealt(hashes ^ np.uint64(0x5851F42D4C957F2D), buckets)
+                for b, cut, n, *blobs in _packed(bucket, ids, ties, starts):
+                    rows.append((b, n, hashes[cut].tobytes(), *blobs))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), kinds.values(), strict=True)],
-                    names=list(kinds),
+                    [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), kinds, strict=True)], names=names
                 )
 
     return run
 
 
 def _mark(buckets: int):
+    @lean
     def run(table: pa.Table) -> pa.Table:
         """The marked windows of one bucket."""
-        kinds = {"part": pa.int32(), "n": pa.int32(), "id": pa.binary(), "start": pa.binary()}
+        names = ["part", "n", "id", "tie", "start"]
+        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 3]
         bucket = table.column("bucket")[0].as_py()
         if bucket < 0:
             part = pa.array(np.full(table.num_rows, -1 - bucket), pa.int32())
-            return pa.Table.from_arrays([part, *(table.column(k) for k in list(kinds)[1:])], names=list(kinds))
-        ids, starts = _unpacked(table)
+            return pa.Table.from_arrays([part, *(table.column(k) for k in names[1:])], names=names)
+        ids, ties, starts = _unpacked(table)
         hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in table.column("hash").to_pylist()])
-        again = _repeats(hashes, ids, starts)
-        ids, starts = ids[again], starts[again]
-        order = np.lexsort((starts, ids))
-        ids, starts = ids[order], starts[order]
-        rows = [(k, n, i, s) for k, _, n, i, s in _packed(_parts(ids, buckets), buckets, ids, starts)]
-        columns = zip(*rows, strict=True) if rows else [[]] * 4
-        return pa.Table.from_arrays(
-            [pa.array(x, kind) for x, kind in zip(columns, kinds.values(), strict=True)], names=list(kinds)
-        )
+        again = _repeats(hashes, ids, ties, starts)
+        ids, ties, starts = ids[again], ties[again], starts[again]
+        order = np.lexsort((starts, ties, ids))
+        ids, ties, starts = ids[order], ties[order], starts[order]
+        rows = [(k, n, *blobs) for k, _, n, *blobs in _packed(_parts(ids, buckets), ids, ties, starts)]
+        columns = zip(*rows, strict=True) if rows else [[]] * 5
+        return pa.Table.from_arrays([pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)], names=names)
 
     return run
 
 
+@lean
 def _by_id(table: pa.Table) -> pa.Table:
-    """One row for each id of a part, with its marked starts."""
-    ids, starts = _unpacked(table)
-    order = np.lexsort((starts, ids))
-    ids, starts = ids[order], starts[order]
-    edges = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    """One row for each document of a part, with its marked starts."""
+    ids, ties, starts = _unpacked(table)
+    order = np.lexsort((starts, ties, ids))
+    ids, ties, starts = ids[order], ties[order], starts[order]
+    edges = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1])]))
     blobs = [x.astype("<i4").tobytes() for x in np.split(starts, edges[1:])]
-    return pa.table({"id": pa.array(ids[edges]), "starts": pa.array(blobs, pa.binary())})
+    return pa.table({"id": pa.array(ids[edges]), "tie": pa.array(ties[edges]), "starts": pa.array(blobs, pa.binary())})
+
 
+def marked_windows(rows: DataFrame, size: int = 20) -> DataFrame:
+    """Rows (id, tie, starts) of rows (id, tie, text).
 
-def marked_windows(docs: DataFrame, size: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (id, starts): the first words (int32 array as bytes) of an id's windows that start earlier too."""
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
-    rows = docs.select(key.alias("id"), F.col(text_col).alias("text"))
+    ``starts`` has the first words (int32 array as bytes) of a document's
+    windows that start earlier too.
+    """
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = bucket_count(total)
-    packed = rows.mapInArrow(_pack(size, buckets), PACKED)
+    packed = rows.select("id", "tie", "text").mapInArrow(_pack(size, buckets), PACKED)
     marked = packed.groupBy("bucket").applyInArrow(_mark(buckets), MARKED)
-    return marked.groupBy("part").applyInArrow(_by_id, "id long, starts binary")
+    return marked.groupBy("part").applyInArrow(_by_id, "id long, tie long, starts binary")
 
 
 def _remove(size: int, names: list[str]):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in parts(whole, 0, PART):
@@ -229,18 +245,13 @@ def remove_repeats(
     docs: DataFrame, size: int = 20, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per input row: id, n_words, n_removed, spans (word intervals), kept_text."""
-    marks = settle(marked_windows(docs, size, id_col, text_col), "substring-marks")
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
-    marked_ids = settle(
-        bit_set(marks.select(position(F.col("id"), ID_BITS).alias("p")), "p"), "substring-marked-ids"
-    )
-    rows = docs.select(F.col(text_col).alias("text"), F.col(id_col).alias(id_col), key.alias("_key"))
-    rows = with_test(rows.withColumn("_p", position(F.col("_key"), ID_BITS)), "_p", marked_ids, "_marked")
-    by_id = marks.select(F.col("id").alias("_key"), F.col("starts").alias("marks"))
-    some = rows.filter("_marked").join(by_id, "_key", "left").select("text", "marks", id_col)
-    none = rows.filter("NOT _marked").select(
-        "text", F.lit(None).cast("binary").alias("marks"), id_col
-    )
+    rows = keyed_rows(docs, id_col, text_col, F.col(id_col).alias("_kept_id"))
+    marks = settle(marked_windows(rows, size), "substring-marks")
+    bits = power_of_two(16 * marks.count(), 1 << 16, MAX_BITS)
+    marked_ids = settle(bit_set(marks.select(position(F.col("id"), bits).alias("p")), "p"), "substring-marked-ids")
+    tested = with_test(rows.withColumn("_p", position(F.col("id"), bits)), "_p", marked_ids, "_marked")
+    some = tested.filter("_marked").join(marks, ["id", "tie"], "left").select("text", "starts", "_kept_id")
+    none = tested.filter("NOT _marked").select("text", F.lit(None).cast("binary").alias("starts"), "_kept_id")
     both = none.unionByName(some)
     kind = docs.schema[id_col].dataType.simpleString()
     return both.mapInArrow(
