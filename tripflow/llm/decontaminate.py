@@ -51,6 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.textnp import mix, parts
+from tripflow.llm.worker import lean
 
 NOISE = re.compile(r"[\W_]+")
 COORDS = 2
@@ -309,10 +310,11 @@ class Finder:
         """Rows (text, item, distance, first word, words) of the best window of each match."""
         words = [self.words(t) if t else np.empty(0, np.int32) for t in texts]
         gap = np.zeros(self.reach, dtype=np.int32)
-        stream = np.concatenate([x for w in words for x in (w, gap)]) if words else gap
-        sizes = np.array([len(w) + self.reach for w in words])
-        begin = np.cumsum(sizes) - sizes
-        own = np.zeros(len(stream), dtype=bool)  # windows begin in a text, not in the gap after it
+        # a gap before each text and after the last, so that windows may reach beyond a text either way
+        stream = np.concatenate([gap, *(x for w in words for x in (w, gap))])
+        sizes = np.array([len(w) + self.reach for w in words], dtype=np.int64)
+        begin = self.reach + np.cumsum(sizes) - sizes
+        own = np.zeros(len(stream), dtype=bool)  # windows begin in a text, not in a gap
         for lo, w in zip(begin.tolist(), words, strict=True):
             own[lo : lo + len(w)] = True
         ways = []
@@ -462,6 +464,7 @@ def contaminated(
 
 
 def _search(shared, id_col: str):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(shared.value)
         for whole in batches:
@@ -492,6 +495,7 @@ def clean_documents(
     at = docs.columns.index(text_col)
 
     def pure(shared):
+        @lean
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             finder = Finder(shared.value)
             for whole in batches:
