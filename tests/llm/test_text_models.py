@@ -138,6 +138,58 @@ def test_label_model_finds_accuracies_and_correlations():
     assert (6, 7) in [(a, b) for a, b, _ in model.correlations]
 
 
+def test_label_model_against_the_enumerated_joint():
+    """Four voters of known rates: posteriors equal Bayes' rule over the whole joint distribution."""
+    prior, one, zero = 0.3, (0.9, 0.7, 0.6, 0.8), (0.1, 0.2, 0.05, 0.3)
+    counts, joint = {}, {}
+    for bits in range(16):
+        fired = [bits >> v & 1 for v in range(4)]
+        for y, rates, share in ((1, one, prior), (0, zero, 1 - prior)):
+            joint[bits, y] = share * np.prod([r if f else 1 - r for r, f in zip(rates, fired, strict=True)])
+        for y in (0, 1):  # a tenth has labels, of which a fifth is wrong
+            for label, right in ((y, 0.8), (1 - y, 0.2)):
+                key = (bits, label)
+                counts[key] = counts.get(key, 0) + 1e5 * 0.1 * right * joint[bits, y]
+            counts[bits, -1] = counts.get((bits, -1), 0) + 1e5 * 0.9 * joint[bits, y]
+    model = toxicity.fit_label_model(counts, rounds=200)
+    for bits in range(16):
+        want = joint[bits, 1] / (joint[bits, 0] + joint[bits, 1])
+        assert abs(model.posterior[bits] - want) < 0.03
+        for label, (a, b) in ((1, (0.8, 0.2)), (0, (0.2, 0.8))):
+            both = want * a / (want * a + (1 - want) * b)
+            assert abs(model.target(bits, label) - both) < 0.05
+    assert abs(model.prior - prior) < 0.02 and abs(model.marks[0] - 0.2) < 0.03 and abs(model.marks[1] - 0.8) < 0.03
+
+
+def test_toxicity_outvotes_wrong_labels(spark, make_docs, words):
+    """All rows labelled, a fifth of the labels wrong: the classifier is fitted to posteriors, not to labels."""
+    rng = words.rng
+    texts, labels = [], []
+    for k in range(600):
+        t = words(30).split()
+        if k % 3 == 0:
+            for w in ("idiot", "zorgal", "zorgaff", "blurpo"):
+                t.insert(rng.randrange(len(t)), w)
+        texts.append(" ".join(t))
+        labels.append((k, int((k % 3 == 0) != (k % 5 == 0))))
+    model = toxicity.train_toxicity(make_docs(texts), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    strong = max(range(1 << toxicity.VOTERS), key=lambda p: model.labels.posterior[p])
+    assert model.labels.target(strong, 0) > 0.9 and 0.1 < 1 - model.labels.marks[1] < 0.35
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(make_docs(texts), model).collect()}
+    assert sum((got[k] >= 0.5) == (k % 3 == 0) for k in got) >= 0.98 * len(got)
+
+
+def test_toxicity_score_by_hand(make_docs):
+    """Repeated rows, ties and a whole score."""
+    lexicon = toxicity.Lexicon({"=idiot": 0, "4idio": 1, "=fool": 2, "5stupi": 3}, {0: 0})
+    model = toxicity.ToxicityModel(lexicon, np.array([1.5, 0.25, -2.0, 1.0]), -0.5, None)
+    texts = ["You IDIOT, idiot!", "idiotic fool", "a stupid day", "", None, "You IDIOT, idiot!"]
+    sums = [1.5 + 0.25, 0.25 - 2.0, 1.0, 0, 0, 1.75]
+    got = sorted((r.doc_id, round(r.score, 12)) for r in toxicity.score_toxicity(make_docs(texts, [0, 1, 2, 3, 4, 0]), model).collect())
+    want = [round(1 / (1 + np.exp(0.5 - x)), 12) for x in sums]
+    assert got == sorted(zip([0, 1, 2, 3, 4, 0], want, strict=True))
+
+
 def test_toxicity_query_held_out(spark, sf_small):
     rows = queries()["op1_toxicity"](spark, sf_small).collect()
     assert {"doc_id", "held_out", "score", "predicted"} <= set(rows[0].asDict())
@@ -221,6 +273,25 @@ def test_decontamination_walks_by_length(words):
     assert items.repeats[decontaminate.length_class(120)] > items.repeats[decontaminate.length_class(15)]
 
 
+@pytest.mark.parametrize("first", [True, False])
+def test_decontamination_at_the_start_of_texts(words, first):
+    """Lengths mixed in one class, passages at the very start, in the first text of a batch or a later one."""
+    rng = words.rng
+    listed = [(k, words(n).split()) for k, n in enumerate([44, 50] * 6)]
+    assert decontaminate.length_class(44) == decontaminate.length_class(50)
+    items = decontaminate.Items(listed, 0.2)
+    items.plan(0.97, 48)
+    finder = decontaminate.Finder(items)
+    hits = tried = 0
+    for k, w in listed:
+        for _ in range(25):
+            near = " ".join(edited(w, rng))
+            texts = [near, "other words"] if first else ["other words", near]
+            hits += (0 if first else 1, k) in {(t, i) for t, i, *_ in finder.search(texts)}
+            tried += 1
+    assert hits >= 0.95 * tried
+
+
 def test_decontamination_exact_beyond_the_walks(spark, make_docs, words):
     """Classes of lengths that ``max_repeats`` walks don't bring to the recall are searched exactly."""
     rng = words.rng
@@ -314,6 +385,32 @@ def test_sharding(make_docs, words, load):
         assert max(map(len, shards.values())) <= -(-load * len(texts) // 7)
 
 
+def test_sharding_against_a_plain_walk(make_docs, words):
+    """Row by row: each goes clockwise from its arc to the first shard with room that it hasn't seen."""
+    texts = [words(words.rng.randint(0, 9)) for _ in range(400)]
+    docs = make_docs(texts).selectExpr("*", "pmod(xxhash64(doc_id), 4096) AS point")
+    points = {r.doc_id: r.point for r in docs.collect()}
+    lanes = {
+        r.doc_id: r.lane
+        for r in sharding.shard_rows(make_docs(texts), 5, vnodes=8)
+        .selectExpr("doc_id", "pmod(xxhash64(doc_id, text_crc32, size), 16) AS lane")
+        .collect()
+    }
+    nodes = sharding.ring(5, 8)
+    arcs = [[] for _ in nodes]
+    for d in sorted(points, key=lambda d: (points[d], lanes[d], d)):
+        arcs[next((k for k, (p, _) in enumerate(nodes) if p >= points[d]), 0)].append(d)
+    room, slots, want = sharding.capacities(len(texts), 5, None), [0] * 5, {}
+    for hop in range(5):
+        for a, waiting in enumerate(arcs):
+            order = list(dict.fromkeys(nodes[(a + k) % len(nodes)][1] for k in range(len(nodes))))
+            while waiting and slots[order[hop]] < room[order[hop]]:
+                want[waiting.pop(0)] = (order[hop], slots[order[hop]])
+                slots[order[hop]] += 1
+    got = {r.doc_id: (r.shard, r.slot) for r in sharding.shard_rows(make_docs(texts), 5, vnodes=8).collect()}
+    assert got == want
+
+
 def test_sharding_moves_little(make_docs):
     docs = make_docs([f"t{k}" for k in range(3000)])
     before, after = (

@@ -11,7 +11,9 @@
 3. **Label model.** A generative model of (label, votes), fitted by EM on the
    pattern counts: a class prior, how often each voter fires in each class
    (its accuracy), and factors for pairs of voters that still correlate
-   within a class. Rows with a label keep it, trusted to ``TRUST``. It gives every pattern a posterior.
+   within a class. A row's label is one more vote, whose accuracy in either
+   class is learned too (from ``TRUST`` on). It gives every pattern, with a
+   label or without, a posterior.
 4. **Classifier.** Logistic regression on the features, fitted to the
    posterior labels of a bounded sample of training rows (``max_fit``).
    It scores every text; a score sees the text only.
@@ -40,6 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.common import settle
+from tripflow.llm.worker import lean
 
 WORD = re.compile(r"[^\W\d_]+")
 SHOUT = re.compile(r"\b[A-Z]{4,}\b")
@@ -57,7 +60,8 @@ INSULTS = frozenset(
 PREFIXES = (4, 5, 6)
 VOTERS = 14
 CLEAN_VOTERS = (12, 13)
-TRUST = 0.99
+# Accuracy of a label to begin with, and of how many labels of a class that is thought to be known.
+TRUST, TRUSTED = 0.99, 20.0
 
 
 def features_of(word: str) -> list[str]:
@@ -129,6 +133,7 @@ class Lexicon:
 def mine_lexicon(labelled: DataFrame, max_features: int) -> Lexicon:
     """Lexicons from rows (text, toxic); counts are added up in Spark."""
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             toxic, total = Counter(), Counter()
@@ -187,6 +192,19 @@ class LabelModel:
     prior: float
     accuracy: list[float]
     correlations: list[tuple[int, int, float]]
+    # the label as one more voter: P(label 1 | class 0), P(label 1 | class 1)
+    marks: tuple[float, float]
+
+    def target(self, pattern: int, label: int | None) -> float:
+        """Posterior of class 1 given the votes, and the label where there is one."""
+        p = float(self.posterior[pattern])
+        return p if label is None else float(with_label(np.array([p]), label, self.marks)[0])
+
+
+def with_label(posterior: np.ndarray, label: int, marks: tuple[float, float]) -> np.ndarray:
+    """Posteriors after a label's vote, by Bayes."""
+    zero, one = marks if label else (1 - marks[0], 1 - marks[1])
+    return posterior * one / (posterior * one + (1 - posterior) * zero)
 
 
 def fit_label_model(counts: dict[tuple[int, int], int], rounds: int = 20, most_pairs: int = 16) -> LabelModel:
@@ -206,7 +224,15 @@ def fit_label_model(counts: dict[tuple[int, int], int], rounds: int = 20, most_p
 
     def responsibilities(p: np.ndarray) -> np.ndarray:
         """Posterior weight of class 1 of each (label, cell)."""
-        return np.stack([p, np.full(cells, 1 - TRUST), np.full(cells, TRUST)])
+        return np.stack([p, with_label(p, 0, marks), with_label(p, 1, marks)])
+
+    def mark_rates(r: np.ndarray) -> tuple[float, float]:
+        """How often either class has label 1, as if ``TRUSTED`` labels of each class had been right at the rate TRUST."""
+        rates = []
+        for share, start in ((1 - r, 1 - TRUST), (r, TRUST)):
+            held = (weight * share).sum(axis=1)
+            rates.append(float((held[2] + TRUSTED * start) / (held[1] + held[2] + TRUSTED)))
+        return rates[0], rates[1]
 
     def fit(phi: np.ndarray, w: np.ndarray, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Log-linear distribution over cells with the moments of ``w``."""
@@ -226,12 +252,13 @@ def fit_label_model(counts: dict[tuple[int, int], int], rounds: int = 20, most_p
         score = phi @ theta
         return theta, score - score.max() - np.log(np.exp(score - score.max()).sum())
 
-    phi, pairs = bits, []
+    phi, pairs, marks = bits, [], (1 - TRUST, TRUST)
     thetas = [np.zeros(VOTERS), np.zeros(VOTERS)]
     if total:
         for turn in range(2):  # first without pairs, then with those that still correlate
             for _ in range(rounds):
                 r = responsibilities(posterior)
+                marks = mark_rates(r)
                 one, zero = (weight * r).sum(axis=0), (weight * (1 - r)).sum(axis=0)
                 prior = float((one.sum() + 1) / (total + 20))
                 logs = []
@@ -256,7 +283,7 @@ def fit_label_model(counts: dict[tuple[int, int], int], rounds: int = 20, most_p
     one, all_ = (weight * r).sum(axis=0) @ bits, weight.sum(axis=0) @ bits
     right = [(all_[v] - one[v]) if v in CLEAN_VOTERS else one[v] for v in range(VOTERS)]
     accuracy = [float((right[v] + 1) / (all_[v] + 2)) for v in range(VOTERS)]
-    return LabelModel(posterior, prior, accuracy, pairs)
+    return LabelModel(posterior, prior, accuracy, pairs, marks)
 
 
 def fit_linear(
@@ -321,6 +348,7 @@ def train_toxicity(
     bare = Lexicon(lexicon.index, lexicon.voter)
     shared = spark.sparkContext.broadcast(bare)
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen = shared.value, Counter()
         for batch in batches:
@@ -344,8 +372,10 @@ def train_toxicity(
     )
     model = fit_label_model({(r["pattern"], r["label"]): r["n"] for r in counted})
 
-    picked = rows.select("id").orderBy(order, "id").limit(max_fit).distinct()
+    # other rows than the lexicons' by and large: their votes must not rest on their own labels
+    picked = rows.select("id").orderBy(F.xxhash64(F.col("id"), F.lit(23)), "id").limit(max_fit).distinct()
 
+    @lean
     def active(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
@@ -366,10 +396,7 @@ def train_toxicity(
         .mapInArrow(active, "toxic int, pattern int, found array<int>")
         .collect()  # max_fit rows, and repeats of their ids
     )
-    targets = np.array([model.posterior[r["pattern"]] for r in fit_on])
-    for k, r in enumerate(fit_on):
-        if r["toxic"] is not None:
-            targets[k] = TRUST if r["toxic"] else 1 - TRUST
+    targets = np.array([model.target(r["pattern"], r["toxic"]) for r in fit_on])
     weights, bias = fit_linear([r["found"] for r in fit_on], targets, len(lexicon.index), model.prior)
     return ToxicityModel(bare, weights, bias, model)
 
@@ -384,6 +411,7 @@ def score_toxicity(
     shared = docs.sparkSession.sparkContext.broadcast((model.lexicon, model.weights, model.bias))
     rows = docs.select(F.col(text_col).alias("text"), F.struct(*keep).alias("kept"))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, weights, bias = shared.value
         for batch in batches:
