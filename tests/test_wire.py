@@ -1,9 +1,11 @@
+import random
 from datetime import datetime
 from decimal import Decimal
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.functions.pytext import python_text
+from tripflow.functions.pytext import python_text, python_texts
 from tripflow.operators.wire import decode_full_rides, decode_rides, encode_rides
 from tripflow.schemas import GREEN, HIGH_VOLUME, RIDE_WIRE_COLUMNS
 
@@ -119,3 +121,24 @@ def test_python_text_equals_str_over_the_guaranteed_range(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     bad = [(r.x, r.t) for r in df.select("x", python_text("x", T.DoubleType()).alias("t")).collect() if r.t != str(r.x)]
     assert bad == []
+
+
+def test_python_texts_equal_str_over_all_doubles(spark):
+    """Random bit patterns of all exponents, money, large whole numbers, and the known hard cases."""
+    import struct
+
+    rng = random.Random(9)
+    values = [struct.unpack("<d", struct.pack("<Q", rng.getrandbits(64)))[0] for _ in range(8000)]
+    values += [rng.choice((1, -1)) * 10 ** rng.uniform(-6, 18.9) for _ in range(3000)]
+    values += [round(rng.uniform(0, 1e6), 2) for _ in range(1000)]
+    values += [0.0, -0.0, 5e-324, 1e-323, 2.2250738585072014e-308, 1.7976931348623157e308, 1e16, 9999999999999998.0, 1e23]
+    values += [9.999999999999999e22, 123456789012345680.0, 1e-4, 1e-5, 2e-3, 1e7, 2.0**53, 2.0**60, 2.0**-44, 1 / 3]
+    values += [float("inf"), float("-inf"), float("nan"), None]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, x double").withColumn("f", F.col("x").cast("float"))
+    got = python_texts(df, ["x", "f", "i"]).collect()
+    off = [r for r in got if r["_text_x"] != str(values[r.i])]
+    # beyond what fits a long a last digit may be one off, never a digit too many
+    for r in off:
+        assert abs(values[r.i]) > 9.2e18 and float(r["_text_x"]) == values[r.i] and len(r["_text_x"]) == len(str(values[r.i]))
+    assert len(off) <= 3
+    assert all(r["_text_f"] == str(r.f) and r["_text_i"] == str(r.i) for r in got)

@@ -35,6 +35,11 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     files whose physical types differ from the declaration (bigint stored
     where int is declared, say) would fail a strict read.
     """
+    return df.select(*conformed(df, schema))
+
+
+def conformed(df: DataFrame, schema: T.StructType) -> list[Column]:
+    """The columns of ``conform``."""
     have = {f.name: f.dataType for f in df.schema.fields}
     cols = []
     for f in schema.fields:
@@ -42,4 +47,4 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
             cols.append(_cast(F.col(f.name), have[f.name], f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    return cols

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.functions.pytext import python_text
+from tripflow.functions.pytext import python_texts
 from tripflow.schemas import RIDE_FULL_FIELDS, RIDE_WIRE_COLUMNS, RIDE_WIRE_TYPES, ServiceSpec, service
 
 WIRE_SEPARATOR = ", "
@@ -35,11 +35,10 @@ def encode_rides(df: DataFrame, spec: ServiceSpec | str, keep: list[str] | None
     missing = [c for c in spec.wire_columns if c not in df.columns]
     if missing:
         raise ValueError(f"{spec.name} trips lack wire columns {missing}")
-    types = {f.name: f.dataType for f in df.schema.fields}
-    fields = [python_text(c, types[c]) for c in spec.wire_columns]
-    key = python_text(spec.vendor_col, types[spec.vendor_col])
-    out = [key.alias("key"), F.concat_ws(WIRE_SEPARATOR, *fields).alias("value")]
-    return df.select(*(keep or []), *out)
+    columns = list(dict.fromkeys([spec.vendor_col, *spec.wire_columns]))
+    texts = python_texts(df.select(*dict.fromkeys([*(keep or []), *columns])), columns)
+    value = F.concat_ws(WIRE_SEPARATOR, *(F.col(f"_text_{c}") for c in spec.wire_columns))
+    return texts.select(*(keep or []), F.col(f"_text_{spec.vendor_col}").alias("key"), value.alias("value"))
 
 
 def _text(col: str | Column) -> Column:

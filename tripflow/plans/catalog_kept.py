@@ -1,5 +1,6 @@
-"""Registered queries of answers that are kept up to date: the report by
-month, five answers from one read, late rides counted, compacted versions."""
+"""Registered queries of answers that are kept up to date (the report by month, cleaned
+months, five answers from one read, late rides counted, compacted versions), of a
+global ranking, and of records of the other services."""
 
 from __future__ import annotations
 
@@ -7,11 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.operators import metrics as M
+from tripflow.operators.changed import clean_changed, read_cleaned
+from tripflow.operators.clean import clean_months
 from tripflow.operators.partials import IncrementalReport
+from tripflow.operators.ranking import global_rank
 from tripflow.operators.report import REPORT_MEASURES
-from tripflow.plans.adapters import rides_from_events
+from tripflow.operators.wire import encode_rides
+from tripflow.plans.adapters import raw_trips_from_lineitem, rides_from_events
 from tripflow.plans.catalog_io import LATE_EVENT_TYPE, SPLIT_DAY
-from tripflow.plans.catalog_rides import _ntz, ride_stream
+from tripflow.plans.catalog_rides import ride_stream
+from tripflow.schemas import GREEN, HIGH_VOLUME, YELLOW
 from tripflow.session import scratch_path
 from tripflow.sources.stream import parquet_stream
 from tripflow.sources.tables import read_table
@@ -115,10 +121,50 @@ def q_window_metrics_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_compacted(spark, f"{root}/out", plan.schema, keys)
 
 
+def q_clean_changed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Green months cleaned with one of them incomplete, again without a change, and again with that month mended."""
+    raw = raw_trips_from_lineitem(read_table(spark, sf_dir, "lineitem"), GREEN)
+    root, target = scratch_path(spark, "changed-raw"), scratch_path(spark, "changed-clean")
+    year, month = CORRECTED
+    this = (F.col("year") == year) & (F.col("month") == month)
+    parts = ["year", "month"]
+    raw.filter(~this | (F.col("trip_distance") < 10)).hint("rebalance", *parts).write.partitionBy(*parts).parquet(f"{root}/green")
+    first = clean_changed(spark, root, target, GREEN)
+    again = clean_changed(spark, root, target, GREEN)
+    mended = raw.filter(this).drop(*parts).coalesce(1)
+    mended.write.mode("overwrite").parquet(f"{root}/green/year={year}/month={month}")
+    last = clean_changed(spark, root, target, GREEN)
+    if again.cleaned or again.removed or last.cleaned != [CORRECTED] or CORRECTED not in first.cleaned:
+        raise AssertionError(f"cleaned the wrong months: {again}, {last.cleaned}")
+    schema = clean_months(raw, GREEN).schema
+    return read_cleaned(spark, target, schema)
+
+
+def q_peak_zone_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips of each pickup zone and half hour, numbered from the busiest on; no task holds them all."""
+    rides = rides_from_events(read_table(spark, sf_dir, "events"))
+    counted = rides.groupBy("PULocationID", F.window(M.EVENT_TIME, "30 minutes").alias("w")).agg(F.count(F.lit(1)).alias("trip_count"))
+    flat = M.flatten_window(counted, "w").withColumnsRenamed({"w_start": "window_start", "w_end": "window_end"})
+    return global_rank(flat, [F.desc("trip_count"), F.col("window_start"), F.col("PULocationID")], "busiest")
+
+
+def _encoded(spec):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Cleaned trips of a service, doubles and all, as records."""
+        raw = raw_trips_from_lineitem(read_table(spark, sf_dir, "lineitem"), spec)
+        return encode_rides(clean_months(raw, spec), spec)
+
+    return run
+
+
 QUERIES = {
     "report_incremental": q_report_incremental,
     "multi_query_one_read": q_multi_query_one_read,
     "window_metrics_one_read": q_window_metrics_one_read,
     "late_rows_counted": q_late_rows_counted,
     "window_metrics_5min_compacted": q_window_metrics_compacted,
+    "clean_changed_months": q_clean_changed_months,
+    "peak_zone_windows": q_peak_zone_windows,
+    "wire_encode_yellow": _encoded(YELLOW),
+    "wire_encode_high_volume": _encoded(HIGH_VOLUME),
 }

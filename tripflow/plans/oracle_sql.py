@@ -377,6 +377,28 @@ PEAK_WINDOWS_SQL = (
 )
 
 
+PEAK_ZONE_WINDOWS_SQL = (
+    "SELECT PULocationID, time_bucket(INTERVAL '30 minutes', pickup_datetime) AS window_start, "
+    "time_bucket(INTERVAL '30 minutes', pickup_datetime) + INTERVAL '30 minutes' AS window_end, COUNT(*) AS trip_count, "
+    "row_number() OVER (ORDER BY COUNT(*) DESC, time_bucket(INTERVAL '30 minutes', pickup_datetime), PULocationID) AS busiest "
+    f"FROM ({RIDES_SQL}) AS r GROUP BY 1, 2, 3"
+)
+
+
+def wire_encode_sql(service: str) -> str:
+    """Cleaned trips of a service as records; doubles print with their shortest digits."""
+    if service == "high volume":
+        cols = "hvfhs_license_num pickup_datetime dropoff_datetime PULocationID DOLocationID trip_miles base_passenger_fare sales_tax tips tolls congestion_surcharge"
+    else:
+        cols = (
+            "VendorID tpep_pickup_datetime tpep_dropoff_datetime PULocationID DOLocationID trip_distance fare_amount "
+            "mta_tax tip_amount tolls_amount congestion_surcharge"
+        )
+    names = cols.split()
+    texts = [f"COALESCE({_pytext_ts(c)}, 'None')" if c.endswith("datetime") else _none(c) for c in names]
+    return f"SELECT {texts[0]} AS key, concat_ws(', ', {', '.join(texts)}) AS value FROM ({clean_sql(service, None, keep_folder=False)}) AS c"
+
+
 def recent_rides_sql(span: str) -> str:
     return (
         f"SELECT event_id, {RIDE_COLS} FROM ({RIDES_SQL}) AS r "

@@ -9,7 +9,7 @@ and carry a version, the highest of which holds. So
 * readers see all parts of a replacement or none of them;
 * a job that dies before its manifest leaves the table as it was, and its
   rerun overwrites what it left;
-* a part that is replaced by no rows goes;
+* a part that is replaced by no rows goes, or stays as an empty part if it has a note;
 * files don't pile up: each part has two slots, and there are two manifests.
 
 One writer at a time. A reader keeps a valid view until the part it reads
@@ -28,6 +28,8 @@ from pyspark.sql import types as T
 from tripflow.sources.paths import exists
 
 MANIFEST = "version long, part string, slot int, note string"
+# The slot of a part that has a note but no rows.
+EMPTY = -1
 _NAME = re.compile(r"[A-Za-z0-9._-]+")
 
 
@@ -56,7 +58,7 @@ class PartTable:
     def replace(self, rows: DataFrame, parts: dict[str, str | None], part_col: str = "part") -> None:
         """Put ``rows`` (with their part's name in ``part_col``) in place of the ``parts`` (name to note).
 
-        Rows of other parts are refused; a part without rows is removed.
+        Rows of other parts are refused; a part without rows and note is removed.
         """
         bad = [p for p in parts if not _NAME.fullmatch(p)]
         if bad:
@@ -64,7 +66,7 @@ class PartTable:
         if not parts:
             return
         version, live = self._manifest()
-        slots = {p: 1 - live[p][0] if p in live else 0 for p in parts}
+        slots = {p: 1 - max(0, live[p][0]) if p in live else 0 for p in parts}
         names = self.spark.createDataFrame(list(slots.items()), "part string, slot int")
         placed = rows.withColumnRenamed(part_col, "part").join(F.broadcast(names), "part", "left")
         stray = F.concat(F.lit("rows of a part that is not replaced: "), F.coalesce("part", F.lit("null")))
@@ -79,7 +81,8 @@ class PartTable:
         # a slot that got no rows may still hold those of two replacements ago
         full = {r["part"] for r in checked.select("part").distinct().collect()}  # some of ``parts``
         kept = {p: at for p, at in live.items() if p not in parts}
-        self._commit(version + 1, kept | {p: (slots[p], parts[p]) for p in full})
+        kept |= {p: (slots[p] if p in full else EMPTY, note) for p, note in parts.items() if p in full or note is not None}
+        self._commit(version + 1, kept)
 
     def _commit(self, version: int, parts: dict[str, tuple[int, str | None]]) -> None:
         listed = [(version, p, slot, note) for p, (slot, note) in parts.items()] or [(version, None, None, None)]
@@ -91,7 +94,8 @@ class PartTable:
         if isinstance(schema, str):
             schema = T.StructType.fromDDL(schema)
         live = self._manifest()[1]
-        chosen = sorted(live if parts is None else set(parts) & set(live))
+        full = {p for p, (slot, _) in live.items() if slot != EMPTY}
+        chosen = sorted(full if parts is None else set(parts) & full)
         paths = [f"{self.root}/data/part={p}/slot={live[p][0]}" for p in chosen]
         whole = T.StructType([*schema.fields, T.StructField("part", T.StringType())])
         if not paths:

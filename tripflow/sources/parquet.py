@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.functions.casts import conform
+from tripflow.functions.casts import conform, conformed
 from tripflow.schemas import ServiceSpec, service
 
 
@@ -54,11 +54,16 @@ def read_year(
     return reader.parquet(f"{base}/{year}/*/")
 
 
+# Year and month of a file's folder, in either layout.
+FOLDER_MONTH = r"/(?:year=)?(\d{4})/(?:month=)?(\d{1,2})/[^/]+$"
+
+
 def with_folder_month(df: DataFrame) -> DataFrame:
     """Add ``year``/``month`` taken from each row's file path
-    (``.../{year}/{MM}/file.parquet``); a file-metadata read, no shuffle."""
+    (``.../{year}/{MM}/file.parquet``, or ``.../year={year}/month={M}/...``);
+    a file-metadata read, no shuffle."""
     path = F.col("_metadata.file_path")
-    pattern = r"/(\d{4})/(\d{1,2})/[^/]+$"
+    pattern = FOLDER_MONTH
     return df.withColumns(
         {
             "year": F.regexp_extract(path, pattern, 1).try_cast("int"),
@@ -153,31 +158,35 @@ def read_months_merged(
     double or text in another, or absent. The columns that cleaning types
     take their declared type (``try_cast``); any other column keeps its type
     where all months agree, becomes double where they differ in number type
-    only, and text otherwise. Absent columns are null. The union is a plan of
-    one scan per month; no data passes through the driver.
+    only, and text otherwise. Absent columns are null. Months with one footer
+    schema share a scan, so the plan has one scan for each distinct schema; no
+    data passes through the driver.
     """
     spec = service(spec)
     typed: dict[str, T.DataType] = dict.fromkeys(spec.int_cols, T.IntegerType())
     typed |= dict.fromkeys(spec.double_cols, T.DoubleType())
     typed[spec.vendor_col] = T.StringType() if spec.licence_digit else T.IntegerType()
-    months = []
-    for year, month, path in month_folders(spark, root, spec, years):
-        reader = spark.read
-        if glob_filter:
-            reader = reader.option("pathGlobFilter", glob_filter)
-        months.append((year, month, reader.parquet(path)))
-    if not months:
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+
+    def reader():
+        return spark.read.option("pathGlobFilter", glob_filter) if glob_filter else spark.read
+
+    for _, _, path in month_folders(spark, root, spec, years):
+        schema = reader().parquet(path).schema
+        groups.setdefault(schema.json(), (schema, []))[1].append(path)
+    if not groups:
         raise FileNotFoundError(f"no month folders under {root}/{spec.folder}")
     found: dict[str, list[T.DataType]] = {}
-    for _, _, df in months:
-        for f in df.schema.fields:
+    for schema, _ in groups.values():
+        for f in schema.fields:
             kinds = found.setdefault(f.name, [])
             if f.dataType not in kinds:
                 kinds.append(f.dataType)
     target = T.StructType([T.StructField(c, typed.get(c) or common_type(kinds)) for c, kinds in found.items()])
     out = None
-    for year, month, df in months:
-        one = conform(df, target).withColumns({"year": F.lit(year), "month": F.lit(month)})
+    for schema, paths in groups.values():
+        df = with_folder_month(reader().schema(schema).parquet(*paths))
+        one = df.select(*conformed(df, target), "year", "month")
         out = one if out is None else out.unionByName(one)
     return out
 
