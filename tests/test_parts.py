@@ -110,3 +110,40 @@ def test_exact_report_keeps_odd_values(spark, tmp_path):
     report.refresh(trips, [("green", 2020, 1)])
     got = {r.revenue_zone: (str(r.fare), str(r.mean)) for r in report.report().collect()}
     assert got == {1: ("nan", "nan"), 2: ("1e+30", "5e+29"), 3: ("None", "None")}
+
+
+def test_publish_once_is_repeatable(spark, sf_small, tmp_path):
+    from tripflow.plans.adapters import green_trips_from_events
+    from tripflow.schemas import GREEN
+    from tripflow.sinks.repeatable import numbered_records, publish_once, published
+    from tripflow.sources.tables import read_table
+
+    trips = green_trips_from_events(read_table(spark, sf_small, "events")).limit(400).unionByName(
+        green_trips_from_events(read_table(spark, sf_small, "events")).limit(5)
+    )
+    trips.write.parquet(str(tmp_path / "trips"))
+    trips = spark.read.parquet(str(tmp_path / "trips"))
+    want = sorted(tuple(r) for r in numbered_records(trips, GREEN).collect())
+    by_key = {}
+    for r in trips.select("VendorID", GREEN.pickup_col).collect():
+        by_key.setdefault(str(r.VendorID), []).append(r[1])
+    assert {k: [w[2] for w in want if w[0] == k] for k in by_key} and len(want) == 405
+    for k, times in by_key.items():
+        mine = sorted((n, v) for key, v, n in want if key == k)
+        assert [n for n, _ in mine] == list(range(len(times)))
+        assert [v.split(", ")[1] for _, v in mine] == sorted(str(t) for t in times)
+    root = str(tmp_path / "out")
+    first = publish_once(spark, trips, GREEN, root, chunk_rows=20)
+    assert sorted(tuple(r) for r in published(spark, root).collect()) == want
+    assert publish_once(spark, trips, GREEN, root, chunk_rows=20) == []
+    # half of it is lost
+    lost = first[::2]
+    PartTable(spark, root).replace(spark.createDataFrame([], "part string, key string, value string, number long"), dict.fromkeys(lost))
+    assert publish_once(spark, trips, GREEN, root, chunk_rows=20) == sorted(lost)
+    assert sorted(tuple(r) for r in published(spark, root).collect()) == want
+    # to a topic: what was sent and noted isn't sent again
+    sent = []
+    send = lambda df: sent.extend(tuple(r) for r in df.collect())
+    notes = str(tmp_path / "notes")
+    assert publish_once(spark, trips, GREEN, notes, 20, send) == first and sorted(sent) == want
+    assert publish_once(spark, trips, GREEN, notes, 20, send) == [] and len(sent) == len(want)

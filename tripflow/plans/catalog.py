@@ -209,6 +209,7 @@ def oracle_sql() -> dict[str, str]:
             "window_metrics_5min_compacted": O.window_metrics_sql(),
             "clean_changed_months": O.READBACK_SQL,
             "peak_zone_windows": O.PEAK_ZONE_WINDOWS_SQL,
+            "publish_repeated": O.PUBLISH_REPEATED_SQL,
             "wire_encode_yellow": O.wire_encode_sql("yellow"),
             "wire_encode_high_volume": O.wire_encode_sql("high volume"),
             "publish_readback": O.WIRE_DECODE_SQL.replace("SELECT event_id, ", "SELECT "),

@@ -14,11 +14,12 @@ from tripflow.operators.partials import IncrementalReport
 from tripflow.operators.ranking import global_rank
 from tripflow.operators.report import REPORT_MEASURES
 from tripflow.operators.wire import encode_rides
-from tripflow.plans.adapters import raw_trips_from_lineitem, rides_from_events
+from tripflow.plans.adapters import green_trips_from_events, raw_trips_from_lineitem, rides_from_events
 from tripflow.plans.catalog_io import LATE_EVENT_TYPE, SPLIT_DAY
 from tripflow.plans.catalog_rides import ride_stream
 from tripflow.schemas import GREEN, HIGH_VOLUME, YELLOW
 from tripflow.session import scratch_path
+from tripflow.sinks.repeatable import publish_once, published
 from tripflow.sources.stream import parquet_stream
 from tripflow.sources.tables import read_table
 from tripflow.streaming.compacted import read_compacted, start_compacted
@@ -157,6 +158,17 @@ def _encoded(spec):
     return run
 
 
+def q_publish_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rides published in part, then whole, then once more: each record once, numbered by pickup within its key."""
+    trips = green_trips_from_events(read_table(spark, sf_dir, "events"))
+    target = scratch_path(spark, "published-once")
+    publish_once(spark, trips.filter(F.dayofmonth(GREEN.pickup_col) <= SPLIT_DAY), GREEN, target, chunk_rows=500)
+    sent = publish_once(spark, trips, GREEN, target, chunk_rows=500)
+    if not sent or publish_once(spark, trips, GREEN, target, chunk_rows=500):
+        raise AssertionError("a repeated publish must send nothing")
+    return published(spark, target)
+
+
 QUERIES = {
     "report_incremental": q_report_incremental,
     "multi_query_one_read": q_multi_query_one_read,
@@ -165,6 +177,7 @@ QUERIES = {
     "window_metrics_5min_compacted": q_window_metrics_compacted,
     "clean_changed_months": q_clean_changed_months,
     "peak_zone_windows": q_peak_zone_windows,
+    "publish_repeated": q_publish_repeated,
     "wire_encode_yellow": _encoded(YELLOW),
     "wire_encode_high_volume": _encoded(HIGH_VOLUME),
 }

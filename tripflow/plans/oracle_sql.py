@@ -285,6 +285,11 @@ WIRE_ENCODE_SQL = (
     f"{_none('tip')}, {_none('tolls')}, {_none('cs')}) AS value FROM ({GREEN_EVENTS_SQL}) AS g"
 )
 
+PUBLISH_REPEATED_SQL = (
+    "SELECT key, value, row_number() OVER (PARTITION BY key ORDER BY ts, value) - 1 AS number "
+    f"FROM ({WIRE_ENCODE_SQL}) AS w JOIN (SELECT event_id, ts FROM events) AS e USING (event_id)"
+)
+
 WIRE_DECODE_SQL = (
     "SELECT event_id, CAST(VendorID AS VARCHAR) AS VendorID, p AS pickup_datetime, "
     "d AS dropoff_datetime, pu AS PULocationID, dl AS DOLocationID, "
