@@ -32,7 +32,7 @@ def test_query_matches_sql(spark, duck, sf_small, name):
 
 def test_all_registered():
     names = set(queries())
-    assert {f"op{n}_" for n in range(1, 11)} <= {x.split("_")[0] + "_" for x in names}
+    assert {f"op{n}_" for n in range(1, 14)} <= {x.split("_")[0] + "_" for x in names}
     assert "pipeline" in names and names <= set(E.queries())
 
 
