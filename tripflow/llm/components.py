@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from tripflow.llm.common import settle
 
+EDGES_PER_FILE = 250_000
+
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Rows (node, root) of all nodes that have an edge; root is the smallest node reached.
@@ -25,6 +27,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     pairs = settle(
         edges.select(high.alias("u"), low.alias("v")).filter("u <> v").distinct(), "components"
     )
+    # a round at most doubles the edges: few of them go into few files, whatever the number of shuffle partitions
+    files = int(pairs.count() // EDGES_PER_FILE + 1)
     seen = None
     while True:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -41,7 +45,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .filter("u <> v")
             .distinct()
         )
-        pairs = settle(small, "components")
+        pairs = settle(small.coalesce(files), "components")
         state = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             break
