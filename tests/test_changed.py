@@ -2,11 +2,13 @@
 
 import shutil
 
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tripflow.operators.changed import clean_changed, read_cleaned
 from tripflow.operators.clean import clean_months
 from tripflow.operators.ranking import global_rank
+from tripflow.plans import catalog_kept
 from tripflow.plans.adapters import raw_trips_from_lineitem
 from tripflow.schemas import GREEN
 from tripflow.sources.parquet import month_folders, read_months_merged
@@ -55,6 +57,28 @@ def test_only_changed_months_are_cleaned(spark, sf_small, tmp_path):
     assert rows_of(read_cleaned(spark, target, schema)) == rows_of(clean_months(kept, GREEN))
 
 
+def test_the_mended_month_is_not_read_by_one_task(spark, sf_small, tmp_path, monkeypatch):
+    """No task of ``clean_changed_months`` reads all line items: every write has the splits of its scan."""
+    rows = spark.read.parquet(f"{sf_small}/lineitem.parquet")
+    rows.repartition(6).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    plans, parquet = [], DataFrameWriter.parquet
+
+    def noted(self, path, *args, **kw):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return parquet(self, path, *args, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    try:
+        got = rows_of(catalog_kept.q_clean_changed_months(spark, str(tmp_path)))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    scans = [p for p in plans if "l_returnflag" in p]
+    assert len(scans) == 2 and not any("Coalesce" in p for p in scans)
+    assert all("REBALANCE" in p for p in scans)
+    assert got == rows_of(clean_months(green(spark, sf_small), GREEN))
+
+
 def test_months_of_one_schema_share_a_scan(spark, tmp_path):
     kinds = ("int", "bigint", "string")
     for k in range(12):

@@ -132,7 +132,8 @@ def q_clean_changed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw.filter(~this | (F.col("trip_distance") < 10)).hint("rebalance", *parts).write.partitionBy(*parts).parquet(f"{root}/green")
     first = clean_changed(spark, root, target, GREEN)
     again = clean_changed(spark, root, target, GREEN)
-    mended = raw.filter(this).drop(*parts).coalesce(1)
+    # the filter reads every line item: each split by a task of its own, and only the month's trips move
+    mended = raw.filter(this).drop(*parts).hint("rebalance")
     mended.write.mode("overwrite").parquet(f"{root}/green/year={year}/month={month}")
     last = clean_changed(spark, root, target, GREEN)
     if again.cleaned or again.removed or last.cleaned != [CORRECTED] or CORRECTED not in first.cleaned:
