@@ -1,4 +1,5 @@
 import random
+import re
 from datetime import datetime
 from decimal import Decimal
 
@@ -112,6 +113,25 @@ def test_full_line_decode(spark):
     assert s.tpep_pickup_datetime is None and s.passenger_count is None and s.congestion_surcharge is None
 
 
+def test_fields_split_without_a_regular_expression(spark):
+    """Any white space after a comma goes, as by the pattern ``,\\s*``, which no row compiles."""
+    space = ["", " ", "  ", "\t", "\r\n", " \x0b\f", "\u00a0", "\x00"]
+    rng = random.Random(3)
+    full = ["1", "2020-01-05 08:00:00", "2020-01-05 08:30:00", "2", "3.25", "1", "N x ", "74", "168", "1 "]
+    full += ["11.5", ".5", "-0.5", "2e1", "", "None", "14.8", "2.5", "extra"]
+    short = ["7 ", "2020-01-05 08:00:00", "2020-01-05T08:01:00.5", "1", "2 ", "nan", "3", "inf", "5.5", "", "None"]
+    for fields, decode in ((full, decode_full_rides), (short, decode_rides)):
+        lines = [rng.choice(space) + "".join(f + "," + rng.choice(space) for f in fields) for _ in range(300)]
+        lines += ["", ",", " , ,", ", ,, ", fields[0], *(line[: rng.randrange(len(line))] for line in lines[:100])]
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "i int, value string")
+        # the same fields with nothing around the commas
+        clean = [(i, ",".join(re.split(r",\s*", v, flags=re.ASCII))) for i, v in enumerate(lines)]
+        want = decode(spark.createDataFrame(clean, df.schema), keep=["i"]).orderBy("i").collect()
+        out = decode(df, keep=["i"])
+        assert str(out.orderBy("i").collect()) == str(want)
+        assert "\\s" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_python_text_equals_str_over_the_guaranteed_range(spark):
     import random
 

@@ -8,7 +8,9 @@ and consuming scale with the cluster; nothing passes through the driver.
 Decoding splits on a comma followed by any white space, takes field ``i``
 with ``get`` (null when the line is short; extra fields are ignored) and
 casts with ``try_cast`` (``None``, ``nan`` as text of an int, or junk give
-null). ``VendorID`` stays text.
+null). ``VendorID`` stays text. The split itself is at the bare comma, which
+needs no regular expression; white space after it is trimmed from fields
+that stay text or are read by a format, and casts skip it themselves.
 """
 
 from __future__ import annotations
@@ -21,7 +23,9 @@ from tripflow.functions.pytext import python_texts
 from tripflow.schemas import RIDE_FULL_FIELDS, RIDE_WIRE_COLUMNS, RIDE_WIRE_TYPES, ServiceSpec, service
 
 WIRE_SEPARATOR = ", "
-WIRE_SPLIT_PATTERN = r",\s*"
+WIRE_SPLIT_PATTERN = ","
+# White space that may follow the comma.
+WIRE_SPACE = " \t\n\x0b\f\r"
 FULL_DECIMAL = "decimal(18,4)"
 FULL_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -47,9 +51,15 @@ def _text(col: str | Column) -> Column:
 
 
 def wire_parts(value: str | Column = "value") -> Column:
+    """The fields, but for the first with the white space that follows the comma."""
     return F.split(_text(value), WIRE_SPLIT_PATTERN)
 
 
+def _trimmed(item: Column, i: int) -> Column:
+    """Field ``i`` without the white space that follows its comma (the first field has none before it)."""
+    return F.ltrim(item, F.lit(WIRE_SPACE)) if i else item
+
+
 def decode_rides(df: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
     """Wire text (string or binary ``value``) -> 11 named, typed ride columns."""
     parts = wire_parts(value)
@@ -57,7 +67,7 @@ def decode_rides(df: DataFrame, value: str = "value", keep: list[str] | None = N
     for i, name in enumerate(RIDE_WIRE_COLUMNS):
         item = F.get(parts, F.lit(i))
         dtype = RIDE_WIRE_TYPES[name]
-        cols.append((item if dtype == "string" else item.try_cast(dtype)).alias(name))
+        cols.append((_trimmed(item, i) if dtype == "string" else item.try_cast(dtype)).alias(name))
     return df.select(*(keep or []), *cols)
 
 
@@ -69,9 +79,9 @@ def decode_full_rides(df: DataFrame, value: str = "value", keep: list[str] | Non
     for i, (name, kind) in enumerate(RIDE_FULL_FIELDS):
         item = F.get(parts, F.lit(i))
         if kind == "string":
-            c = item
+            c = _trimmed(item, i)
         elif kind == "timestamp":
-            c = F.try_to_timestamp(item, F.lit(FULL_TIME_FORMAT))
+            c = F.try_to_timestamp(_trimmed(item, i), F.lit(FULL_TIME_FORMAT))
         elif kind == "decimal":
             c = item.try_cast(FULL_DECIMAL)
         else:
