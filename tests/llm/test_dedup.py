@@ -1,10 +1,14 @@
 """Exact, substring, line and near-duplicate removal against plain versions."""
 
+from types import SimpleNamespace
+
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm import brute
 from tests.llm.conftest import ODD
-from tripflow.llm import line_dedup, ngram_join, substring_dedup
+from tripflow.llm import line_dedup, ngram_join, substring_dedup, textnp
 from tripflow.llm.components import components
 from tripflow.llm.exact_dedup import drop_copies, exact_dedup
 
@@ -229,3 +233,37 @@ def test_components(spark, words):
     got = components(spark.createDataFrame(edges, "a long, b long"))
     assert {(r.node, r.root) for r in got.collect()} == {(x, find(x)) for x in parent}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_line_dedup_pairs_many_words_at_once(monkeypatch):
+    """Words of a few dozen lines are paired together, not one after the other; the lines are those of single steps."""
+    texts = [f"rare{k} " + " ".join(f"a{k}b{v}x{p}" for p in range(9)) for k in range(60) for v in range(30)]
+    ids = np.arange(len(texts), dtype=np.int64)
+    batch = pa.RecordBatch.from_arrays([ids, 0 * ids, pa.array(texts)], names=["id", "tie", "text"])
+    held = SimpleNamespace(value=np.zeros(line_dedup.WIDTH, dtype=np.uint8))
+    packed = pa.Table.from_batches(line_dedup._pack(1, 1, 20, 1, held, None)(iter([batch])))
+    calls, possible = [], line_dedup.Met.possible
+
+    def counted(met, i, j):
+        calls.append(len(i))
+        return possible(met, i, j)
+
+    monkeypatch.setattr(line_dedup.Met, "possible", counted)
+    found = line_dedup._partners(1, 20)(packed)
+    assert len(calls) <= 3 and sum(calls) >= 60 * 30 * 29 // 2
+    monkeypatch.setattr(line_dedup, "SMALL", 2)
+    alone = line_dedup._partners(1, 20)(packed)
+    key = [(c, "ascending") for c in ("y_id", "x_id")]
+    assert found.num_rows and found.sort_by(key).equals(alone.sort_by(key))
+
+
+def test_line_dedup_hashes_words_by_eight_bytes(words):
+    rng = words.rng
+    texts = ["".join(rng.choice("aAbBzZ@[é \n\t") for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    texts += [f"{'x' * n} {'X' * n} {'x' * (n - 1)}y" for n in (1, 7, 8, 9, 255, 256, 257, 264, 5000)]
+    data, offsets = textnp.text_bytes(pa.array(texts))
+    begin, end, _ = textnp.word_spans(data, offsets)
+    want = [w for t in texts for w in t.encode().lower().split()]
+    assert [bytes(data[a:b]).lower() for a, b in zip(begin, end, strict=True)] == want
+    hashes = textnp.word_hashes(data, begin, end).tolist()
+    assert len({*zip(want, hashes, strict=True)}) == len({*want}) == len({*hashes})

@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 
 from tripflow.llm.bitmaps import MAX_BITS, bit_set, position, with_test
 from tripflow.llm.common import keyed_rows, power_of_two, settle
-from tripflow.llm.textnp import byte_symbols, mix, parts, runs, span_hashes, spread, squeeze, text_bytes, word_spans
+from tripflow.llm.textnp import mix, parts, runs, spread, squeeze, text_bytes, word_hashes, word_spans
 from tripflow.llm.worker import lean
 
 WIDTH, SLICES = 1 << 22, 256
@@ -56,7 +56,7 @@ WIDEST = 16
 PART = 1 << 22
 BUCKET_BYTES = 8 << 20
 # Lines of a word that are paired at once; a side of a block of larger ones.
-SMALL, SIDE = 24, 512
+SMALL, SIDE = 512, 512
 # Partners that a line without a likely one gets at first.
 FIRST = 8
 LINE_BITS = 1 << 26
@@ -64,6 +64,8 @@ LINE_BITS = 1 << 26
 FINE, PAIRS = 16, 1 << 15
 # Entries whose word sets are held at once, but for a word of more; how much smaller the buckets of word sets are.
 UNIT, FINER = 1 << 14, 16
+# Words of the lines that are held until they are dealt with their word sets.
+HELD = 1 << 19
 
 # Words that share the 32 bits of ``token`` only make more candidates. Sets that agree in ``sig``, ``parity`` (64 bits
 # of it) and ``n`` are equal. ``parity`` has ``sketch_size(n)`` numbers for each entry.
@@ -93,7 +95,7 @@ def line_key(ids: np.ndarray, ties: np.ndarray, lines: np.ndarray) -> np.ndarray
     """Position of a line in a bit set of lines."""
     with np.errstate(over="ignore"):
         h = mix((ids + ties).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + lines.astype(np.uint64))
-    return (h % np.uint64(LINE_BITS)).astype(np.int64)
+    return (h & np.uint64(LINE_BITS - 1)).astype(np.int64)
 
 
 def sketch_size(n: np.ndarray) -> np.ndarray:
@@ -138,41 +140,76 @@ def folded(sketch: np.ndarray, first: np.ndarray, size: np.ndarray) -> dict[int,
         table = table[:, :width] ^ table[:, width:]
 
 
+def ordered(*keys: np.ndarray) -> np.ndarray:
+    """The order of rows by these whole numbers, the first key first; equal rows come in any order."""
+    spans, bits = [], 0
+    for key in keys:
+        low, high = (int(key.min()), int(key.max())) if len(key) else (0, 0)
+        spans.append((low, (high - low).bit_length()))
+        bits += spans[-1][1]
+    if bits > 64:
+        return np.lexsort(keys[::-1])
+    packed = np.zeros(len(keys[0]), dtype=np.uint64)
+    for key, (low, width) in zip(keys, spans, strict=True):
+        # differences wrap, so that they are right for any two 64-bit numbers
+        if width:
+            with np.errstate(over="ignore"):
+                shift = key.astype(np.int64).view(np.uint64) - np.uint64(low % (1 << 64))
+            packed = (packed << np.uint64(width) if width < 64 else packed) | shift
+    return np.argsort(packed)
+
+
 def word_token(words: np.ndarray) -> np.ndarray:
     """The part of a word's hash that its prefixes are dealt with."""
     return (words >> np.uint64(32)).astype(np.uint32)
 
 
 def word_key(tokens: np.ndarray) -> np.ndarray:
-    """Position of a token in a bit set of words."""
-    return (mix(tokens.astype(np.uint64)) % np.uint64(LINE_BITS)).astype(np.int64)
+    """Position of a token, which is a hash, in a bit set of words."""
+    return tokens.astype(np.int64) & (LINE_BITS - 1)
+
+
+def _heads(values: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values begin."""
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.empty(0, int)
 
 
 class Lines:
-    """The distinct words of the lines of a batch, line by line; with ``wanted``, a bit set, of some lines."""
+    """The distinct words of the lines of a batch, line by line.
+
+    With ``wanted``, a bit set of lines, of those; with ``tokens``, a bit set of words, of lines that have one of them.
+    """
 
     def __init__(
         self,
         batch: pa.RecordBatch,
-        symbols: np.ndarray,
         rank: np.ndarray | None = None,
         wanted: np.ndarray | None = None,
+        tokens: np.ndarray | None = None,
     ):
         data, offsets = text_bytes(batch.column(2))
-        begin, end, _ = word_spans(data, offsets)
+        begin, end, first = word_spans(data, offsets)
         breaks = np.flatnonzero(data == 0x0A)
         # empty texts share an offset; the last of them has the words
-        text = np.searchsorted(offsets, begin, side="right") - 1
-        line = np.searchsorted(breaks, begin) + text
+        text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+        line = np.cumsum(np.bincount(np.searchsorted(begin, breaks), minlength=len(begin) + 1)[: len(begin)]) + text
         ids, ties = _numbers(batch, 0), _numbers(batch, 1)
         before = np.searchsorted(breaks, offsets)  # line breaks before each text
+
+        def only(chosen: np.ndarray) -> np.ndarray:
+            """Which words are in the lines ``chosen``, of those that have words."""
+            return np.repeat(chosen, np.diff(np.append(_heads(line), len(line))))
+
         if wanted is not None:
-            lead = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else line
+            lead = _heads(line)
             number = line[lead] - text[lead] - before[text[lead]]
-            inside = np.repeat(_bits(wanted, line_key(ids[text[lead]], ties[text[lead]], number)), np.diff(np.append(lead, len(line))))
+            inside = only(_bits(wanted, line_key(ids[text[lead]], ties[text[lead]], number)))
             begin, end, text, line = begin[inside], end[inside], text[inside], line[inside]
-        words = span_hashes(symbols[data], begin, end)
-        order = np.zeros(len(words), dtype=np.uint8) if rank is None else rank[words % np.uint64(WIDTH)]
+        words = word_hashes(data, begin, end)
+        if tokens is not None and len(line):
+            inside = only(np.logical_or.reduceat(_bits(tokens, word_key(word_token(words))), _heads(line)))
+            words, text, line = words[inside], text[inside], line[inside]
+        order = np.zeros(len(words), dtype=np.uint8) if rank is None else rank[words & np.uint64(WIDTH - 1)]
         if len(line) and int(line[-1]) < 1 << 20:
             key = line.astype(np.uint64) << np.uint64(44)
             key |= order.astype(np.uint64) << np.uint64(36)
@@ -180,11 +217,11 @@ class Lines:
             at = np.argsort(key)
         else:
             at = np.lexsort((words, order, line))
-        line, words, text = line[at], words[at], text[at]
+        words = words[at]  # lines and texts ascend already
         new = np.ones(len(at), dtype=bool)
         new[1:] = (line[1:] != line[:-1]) | (words[1:] != words[:-1])
         line, self.words, text = line[new], words[new], text[new]
-        self.begin = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else np.empty(0, int)
+        self.begin = _heads(line)
         self.n = np.diff(np.append(self.begin, len(line)))
         self.text = text[self.begin]
         self.line = (line[self.begin] - self.text - before[self.text]).astype(np.int32)
@@ -198,26 +235,33 @@ class Lines:
             setattr(self, name, getattr(self, name)[chosen])
         self.begin = np.cumsum(self.n) - self.n
 
+    def add(self, others: list[Lines]) -> None:
+        """Take in lines of other batches."""
+        for name in ("words", "n", "text", "line", "ids", "ties"):
+            setattr(self, name, np.concatenate([getattr(x, name) for x in (self, *others)]))
+        self.begin = np.cumsum(self.n) - self.n
+
 
 def _count():
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols, counts = byte_symbols(lower=True), np.zeros(WIDTH, dtype=np.int32)
+        counts, size = np.zeros(WIDTH, dtype=np.int32), 0
         for whole in batches:
             for batch in parts(whole, 2, PART):
                 # every occurrence counts; which of two words is rarer hardly depends on repeats in a line
                 data, offsets = text_bytes(batch.column(2))
                 begin, end, _ = word_spans(data, offsets)
-                words = span_hashes(symbols[data], begin, end)
-                seen = np.bincount(words % np.uint64(WIDTH), minlength=WIDTH)
-                np.add(counts, seen, out=counts, casting="unsafe")
+                words = word_hashes(data, begin, end)
+                np.add.at(counts, words & np.uint64(WIDTH - 1), np.int32(1))
+                size += len(data)
         if counts.any():
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(SLICES, dtype=np.int32)),
                     pa.array([squeeze(x) for x in np.split(counts, SLICES)], pa.binary()),
+                    pa.array([size] + [0] * (SLICES - 1), pa.int64()),
                 ],
-                names=["slice", "counts"],
+                names=["slice", "counts", "size"],
             )
 
     return run
@@ -229,91 +273,112 @@ def _add(table: pa.Table) -> pa.Table:
     for blob in table.column("counts").to_pylist():
         total += spread(blob, np.int32, len(total))
     rank = np.minimum(255, 4 * np.log2(total + 1.0)).astype(np.uint8)
-    return pa.table({"slice": table.column("slice")[:1], "rank": pa.array([rank.tobytes()], pa.binary())})
+    size = sum(table.column("size").to_pylist())
+    return pa.table({"slice": table.column("slice")[:1], "rank": pa.array([rank.tobytes()], pa.binary()), "size": [size]})
 
 
-def word_ranks(rows: DataFrame) -> np.ndarray:
-    """Rarity class of each cell of the count table (more for commoner words)."""
+def word_ranks(rows: DataFrame) -> tuple[np.ndarray, int]:
+    """Rarity class of each cell of the count table (more for commoner words), and the bytes of all texts."""
     added = (
-        rows.mapInArrow(_count(), "slice int, counts binary")
+        rows.mapInArrow(_count(), "slice int, counts binary, size long")
         .groupBy("slice")
-        .applyInArrow(_add, "slice int, rank binary")
+        .applyInArrow(_add, "slice int, rank binary, size long")
     )
-    ranks = np.zeros(WIDTH, dtype=np.uint8)
+    ranks, size = np.zeros(WIDTH, dtype=np.uint8), 0
     for r in added.collect():  # SLICES rows, of WIDTH bytes together
         lo = r["slice"] * (WIDTH // SLICES)
         ranks[lo : lo + WIDTH // SLICES] = np.frombuffer(r["rank"], dtype=np.uint8)
-    return ranks
+        size += r["size"]
+    return ranks, size
 
 
 def _pack(buckets: int, num: int, den: int, min_words: int, ranks, only):
     """Prefixes by word; with ``only``, a bit set of words, those and no others, with the lines' word sets."""
 
+    def dealt(x: Lines, wanted: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Each word's place in its line, and whether the line is dealt to it."""
+        prefix = x.n - -(-num * x.n // den) + 1
+        place = np.arange(len(x.words)) - np.repeat(x.begin, x.n)
+        inside = place < np.repeat(prefix, x.n)
+        if wanted is not None:
+            inside &= _bits(wanted, word_key(word_token(x.words)))
+        return place, inside
+
+    def lines(batches: Iterator[pa.RecordBatch], rank: np.ndarray, wanted: np.ndarray | None) -> Iterator[Lines]:
+        """The lines to deal; of many batches together where few lines are wanted."""
+        held: list[Lines] = []
+        for whole in batches:
+            for batch in parts(whole, 2, PART):
+                x = Lines(batch, rank, tokens=wanted)
+                x.keep(x.n >= min_words)
+                if wanted is not None and len(x.n):
+                    x.keep(np.logical_or.reduceat(dealt(x, wanted)[1], x.begin))
+                if wanted is None and len(x.n):
+                    yield x
+                elif len(x.n):
+                    held.append(x)
+                if sum(len(h.words) for h in held) > HELD:
+                    held[0].add(held[1:])
+                    yield held[0]
+                    held = []
+        if held:
+            held[0].add(held[1:])
+            yield held[0]
+
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols, rank = byte_symbols(lower=True), ranks.value
+        rank = ranks.value
         wanted = None if only is None else only.value
         names = [name for name, _ in COLUMNS]
         kinds = [pa.int32(), pa.int32(), *[pa.binary()] * (len(COLUMNS) + 1)]
-        for whole in batches:
-            for batch in parts(whole, 2, PART):
-                x = Lines(batch, symbols, rank)
-                if not len(x.n):
-                    continue
-                x.keep(x.n >= min_words)
-                if not len(x.n):
-                    continue
-                sig = (np.add.reduceat(mix(x.words), x.begin) >> np.uint64(32)).astype(np.uint32)
-                parity, first_of, size_of = sketches(x.words, x.begin, x.n)
-                base = np.bitwise_xor.reduceat(parity, first_of)
-                # equal sets of this batch: the first goes on, marks for the others
-                at = np.lexsort((x.line, x.ties, x.ids, x.n, base, sig))
-                same = np.zeros(len(at), dtype=bool)
-                for values in (sig, base, x.n):
-                    same[1:] = (same[1:] if values is not sig else True) & (values[at][1:] == values[at][:-1])
-                later = np.zeros(len(at), dtype=bool)
-                later[at[same]] = True
-                out: dict[str, list] = {k: [] for k in ("bucket", "k", *names, "sets")}
-                if wanted is None and later.any():
-                    first = at[np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))]
-                    other = np.zeros(len(at), dtype=bool)
-                    for value in (x.ids, x.ties, x.line):
-                        other[at] |= value[at] != value[first]
-                    gone = np.flatnonzero(later & other)
-                    out["bucket"].append(-1 - (int(x.ids[0]) + int(x.line[0])) % buckets)
-                    out["k"].append(len(gone))
-                    for name, kind in COLUMNS:
-                        value = {"id": x.ids, "tie": x.ties, "line": x.line}.get(name)
-                        out[name].append(b"" if value is None else value[gone].astype(kind).tobytes())
-                    out["sets"].append(b"")
-                x_first, x_size, x_sig = first_of[~later], size_of[~later], sig[~later]
-                x.keep(~later)
-                prefix = x.n - -(-num * x.n // den) + 1
-                place = np.arange(len(x.words)) - np.repeat(x.begin, x.n)
-                inside = place < np.repeat(prefix, x.n)
-                if wanted is not None:
-                    inside &= _bits(wanted, word_key(word_token(x.words)))
-                row = np.repeat(np.arange(len(x.n)), x.n)[inside]
-                token = word_token(x.words[inside])
-                bucket = mix(token.astype(np.uint64) + np.uint64(1)) % np.uint64(buckets)
-                bucket = bucket.astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
-                values = (token, x_sig[row], row, x.ids[row], x.ties[row], x.line[row], x.n[row], place[inside])
-                by = np.argsort(bucket, kind="stable")
-                edges = np.append(np.flatnonzero(np.diff(bucket[by].astype(np.int64), prepend=-1)), len(by)).tolist()
-                for lo, hi in zip(edges, edges[1:], strict=False):
-                    cut = by[lo:hi]
-                    out["bucket"].append(int(bucket[cut[0]]))
-                    out["k"].append(len(cut))
-                    for (name, kind), value in zip(COLUMNS, values, strict=True):
-                        v = value[cut].astype(kind) if name != "parity" else parity[runs(x_first, x_size, value[cut])]
-                        if name in ("id", "line"):
-                            v = np.diff(v, prepend=kind(0))
-                        out[name].append(v.tobytes() if name in RAW else squeeze(v))
-                    whole_sets = b"" if wanted is None else x.words[runs(x.begin, x.n, row[cut])].tobytes()
-                    out["sets"].append(whole_sets)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, kind) for v, kind in zip(out.values(), kinds, strict=True)], names=list(out)
-                )
+        for x in lines(batches, rank, wanted):
+            sig = (np.add.reduceat(mix(x.words), x.begin) >> np.uint64(32)).astype(np.uint32)
+            parity, first_of, size_of = sketches(x.words, x.begin, x.n)
+            base = np.bitwise_xor.reduceat(parity, first_of)
+            # equal sets of this batch: the first goes on, marks for the others
+            at = np.lexsort((x.line, x.ties, x.ids, x.n, base, sig))
+            same = np.zeros(len(at), dtype=bool)
+            for values in (sig, base, x.n):
+                same[1:] = (same[1:] if values is not sig else True) & (values[at][1:] == values[at][:-1])
+            later = np.zeros(len(at), dtype=bool)
+            later[at[same]] = True
+            out: dict[str, list] = {k: [] for k in ("bucket", "k", *names, "sets")}
+            if wanted is None and later.any():
+                first = at[np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))]
+                other = np.zeros(len(at), dtype=bool)
+                for value in (x.ids, x.ties, x.line):
+                    other[at] |= value[at] != value[first]
+                gone = np.flatnonzero(later & other)
+                out["bucket"].append(-1 - (int(x.ids[0]) + int(x.line[0])) % buckets)
+                out["k"].append(len(gone))
+                for name, kind in COLUMNS:
+                    value = {"id": x.ids, "tie": x.ties, "line": x.line}.get(name)
+                    out[name].append(b"" if value is None else value[gone].astype(kind).tobytes())
+                out["sets"].append(b"")
+            x_first, x_size, x_sig = first_of[~later], size_of[~later], sig[~later]
+            x.keep(~later)
+            place, inside = dealt(x, wanted)
+            row = np.repeat(np.arange(len(x.n)), x.n)[inside]
+            token = word_token(x.words[inside])
+            bucket = mix(token.astype(np.uint64) + np.uint64(1)) % np.uint64(buckets)
+            bucket = bucket.astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
+            values = (token, x_sig[row], row, x.ids[row], x.ties[row], x.line[row], x.n[row], place[inside])
+            by = np.argsort(bucket, kind="stable")
+            edges = np.append(np.flatnonzero(np.diff(bucket[by].astype(np.int64), prepend=-1)), len(by)).tolist()
+            for lo, hi in zip(edges, edges[1:], strict=False):
+                cut = by[lo:hi]
+                out["bucket"].append(int(bucket[cut[0]]))
+                out["k"].append(len(cut))
+                for (name, kind), value in zip(COLUMNS, values, strict=True):
+                    v = value[cut].astype(kind) if name != "parity" else parity[runs(x_first, x_size, value[cut])]
+                    if name in ("id", "line"):
+                        v = np.diff(v, prepend=kind(0))
+                    out[name].append(v.tobytes() if name in RAW else squeeze(v))
+                whole_sets = b"" if wanted is None else x.words[runs(x.begin, x.n, row[cut])].tobytes()
+                out["sets"].append(whole_sets)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(v, kind) for v, kind in zip(out.values(), kinds, strict=True)], names=list(out)
+            )
 
     return run
 
@@ -344,40 +409,48 @@ class Met:
         v["first"] = np.cumsum(v["size"]) - v["size"]
         v["own"] = np.cumsum(v["n"], dtype=np.int64) - v["n"]
         v["parity"] = np.bitwise_xor.reduceat(sketch, v["first"])
-        at = np.lexsort((v["line"], v["tie"], v["id"], v["n"], v["parity"], v["sig"], v["token"]))
+        at = ordered(v["id"], v["tie"], v["line"])
+        # positions below the tokens keep that order
+        key = (v["token"][at].astype(np.uint64) << np.uint64(32)) | np.arange(len(at), dtype=np.uint64)
+        at = at[np.sort(key) & np.uint64(0xFFFFFFFF)]
         v = {name: x[at] for name, x in v.items()}
+        # Equal sets of a word side by side, in that order. Other sets of the same hash may part them, which
+        # only makes candidates.
+        low = np.uint64((1 << len(at).bit_length()) - 1)
+        key = mix(v["parity"] ^ mix((v["token"].astype(np.uint64) << np.uint64(32)) | v["sig"]))
+        key = (mix(key + v["n"].astype(np.uint64)) & ~low) | np.arange(len(at), dtype=np.uint64)
+        by = (np.sort(key) & low).astype(np.int64)
         same = np.zeros(len(at), dtype=bool)
         same[1:] = True
         for name in ("token", "sig", "parity", "n"):
-            same[1:] &= v[name][1:] == v[name][:-1]
-        lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))
-        other = np.zeros(len(at), dtype=bool)
+            values = v[name][by]
+            same[1:] &= values[1:] == values[:-1]
+        lead = by[np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))][same]
+        later = by[same]
+        other = np.zeros(len(later), dtype=bool)
         for name in LINE:
-            other |= v[name] != v[name][lead]
+            other |= v[name][later] != v[name][lead]
         # every line is dealt to its rarest word, where its equals are
-        gone = np.flatnonzero(same & other & (v["at"] == 0))
+        gone = later[other & (v["at"][later] == 0)]
         self.equal = {name: v[name][gone] for name in LINE}
-        v = {name: x[~same] for name, x in v.items()}
-        at = np.lexsort((v["line"], v["tie"], v["id"], v["token"]))
-        v = {name: x[at] for name, x in v.items()}
+        stay = np.ones(len(at), dtype=bool)
+        stay[later] = False
+        v = {name: x[stay] for name, x in v.items()}
         v["n"], v["at"] = v["n"].astype(np.int64), v["at"].astype(np.int64)
         self.v = v
         self.folded = folded(sketch, v["first"], v["size"])
-        self.begin = np.flatnonzero(np.concatenate([[True], v["token"][1:] != v["token"][:-1]]))
-        self.many = np.diff(np.append(self.begin, len(at)))
+        self.begin = _heads(v["token"])
+        self.many = np.diff(np.append(self.begin, len(v["token"])))
 
     def possible(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The pairs that may match, and in how many bits their sketches differ."""
         v, num, den = self.v, self.num, self.den
-        n, m, p, q = v["n"][i], v["n"][j], v["at"][i], v["at"][j]
+        n, m = v["n"][i], v["n"][j]
+        some = np.flatnonzero(den * np.minimum(n, m) >= num * np.maximum(n, m))
+        i, j, n, m = i[some], j[some], n[some], m[some]
+        p, q = v["at"][i], v["at"][j]
         least = -(-num * (n + m) // (num + den))
-        ok = (den * np.minimum(n, m) >= num * np.maximum(n, m)) & (
-            np.minimum(p, q) + 1 + np.minimum(n - p - 1, m - q - 1) >= least
-        )
-        other = np.zeros(len(i), dtype=bool)
-        for name in LINE:
-            other |= v[name][i] != v[name][j]
-        ok &= other
+        ok = np.flatnonzero(np.minimum(p, q) + 1 + np.minimum(n - p - 1, m - q - 1) >= least)
         i, j, most = i[ok], j[ok], (n + m - 2 * least)[ok]
         far = np.zeros(len(i), dtype=np.int64)
         level = np.minimum(v["size"][i], v["size"][j])
@@ -386,15 +459,25 @@ class Met:
             if len(some):
                 far[some] = np.bitwise_count(table[at[i[some]]] ^ table[at[j[some]]]).sum(axis=1, dtype=np.int64)
         ok = far <= most
-        return i[ok], j[ok], far[ok]
+        i, j, far = i[ok], j[ok], far[ok]
+        other = np.zeros(len(i), dtype=bool)
+        for name in LINE:
+            other |= v[name][i] != v[name][j]
+        return i[other], j[other], far[other]
 
     def small_words(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs (earlier, later) of the words of few lines."""
-        for m in range(2, SMALL + 1):
-            some = self.begin[self.many == m]
-            j, i = np.tril_indices(m, -1)
-            for lo in range(0, len(some), 1024):
-                yield (some[lo : lo + 1024, None] + i).ravel(), (some[lo : lo + 1024, None] + j).ravel()
+        """Pairs (earlier, later) of the words of at most ``SMALL`` lines, in the order of (later, earlier)."""
+        small = (self.many > 1) & (self.many <= SMALL)
+        ys = runs(self.begin, self.many, np.flatnonzero(small))
+        first = np.repeat(self.begin[small], self.many[small])
+        pairs = np.cumsum(ys - first)
+        lo = 0
+        while lo < len(ys):
+            done = int(pairs[lo - 1]) if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(pairs, done + PAIRS, side="right")))
+            n = ys[lo:hi] - first[lo:hi]
+            yield runs(first[lo:hi], n, np.arange(hi - lo)), np.repeat(ys[lo:hi], n)
+            lo = hi
 
     def large_words(self) -> Iterator[tuple[int, int]]:
         """First entry and number of lines of the other words."""
@@ -453,7 +536,7 @@ class Unit:
 
 def _nearest(i: np.ndarray, j: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each line ``j`` the ``FIRST`` nearest partners, in the order of (j, d, i)."""
-    by = np.lexsort((i, d, j))
+    by = ordered(j, d, i)
     i, j, d = i[by], j[by], d[by]
     head = np.concatenate([[True], j[1:] != j[:-1]]) if len(j) else np.empty(0, dtype=bool)
     place = np.arange(len(j)) - np.maximum.accumulate(np.where(head, np.arange(len(j)), 0))
@@ -500,7 +583,7 @@ def _partners(num: int, den: int):
         for a, b in met.small_words():
             i, j, d = met.possible(a, b)
             if len(j):
-                by = np.lexsort((i, d, j))
+                by = ordered(j, d, i)
                 pick(i[by], j[by], d[by])
         for start, m in met.large_words():
             for lo in range(0, m, SIDE):
@@ -571,11 +654,10 @@ def _fetch(left, right):
 
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols = byte_symbols(lower=True)
         either = left.value | right.value
         for whole in batches:
             for batch in parts(whole, 2, PART):
-                x = Lines(batch, symbols, wanted=either)
+                x = Lines(batch, wanted=either)
                 key = line_key(x.ids, x.ties, x.line)
                 blobs = [w.tobytes() for w in np.split(x.words, x.begin[1:])] if len(x.n) else []
                 yield pa.RecordBatch.from_arrays(
@@ -597,12 +679,20 @@ def _verify(num: int, den: int):
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for a, b in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
-                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(den * both >= num * (len(x) + len(y) - both))
-            keep = pa.array(good, pa.bool_())
+            rows, words, total = [], [], np.zeros(batch.num_rows, dtype=np.int64)
+            for column in (batch.column(3), batch.column(4)):
+                data, offsets = text_bytes(column)
+                n = np.diff(offsets) // 8
+                words.append(np.frombuffer(data.tobytes(), np.uint64))
+                rows.append(np.repeat(np.arange(batch.num_rows), n))
+                total += n
+            row, word = np.concatenate(rows), np.concatenate(words)
+            # a word of both sets comes twice
+            at = np.argsort(mix(word ^ mix(row)))
+            row, word = row[at], word[at]
+            twice = row[1:][(row[1:] == row[:-1]) & (word[1:] == word[:-1])]
+            both = np.bincount(twice, minlength=batch.num_rows)
+            keep = pa.array(den * both >= num * (total - both), pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in range(3)], names=list(LINE))
 
     return run
@@ -654,8 +744,8 @@ def repeated_lines(rows: DataFrame, num: int, den: int, min_words: int) -> DataF
     """The lines (id, tie, line) that go, of rows (id, tie, text)."""
     spark = rows.sparkSession
     context = spark.sparkContext
-    ranks = context.broadcast(word_ranks(rows))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    counted, total = word_ranks(rows)
+    ranks = context.broadcast(counted)
     buckets = max(1, min((1 << 31) // FINER - 1, total // BUCKET_BYTES + 1))
 
     def meet(only, task, schema: str) -> DataFrame:
@@ -701,11 +791,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n_lines, removed, kept = [], [], []
         for text, gone in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            lines = [] if text is None else text.split("\n")
             drop = set(gone or ())
-            n_lines.append(len(lines))
+            n_lines.append(0 if text is None else text.count("\n") + 1)
             removed.append(sorted(drop))
-            kept.append(text if not drop else "\n".join(x for k, x in enumerate(lines) if k not in drop))
+            if drop:
+                text = "\n".join(x for k, x in enumerate(text.split("\n")) if k not in drop)
+            kept.append(text)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column(2),
@@ -738,11 +829,19 @@ def cleaned_rows(
     marked = settle(bit_set(by_doc.select(position(F.col("id"), bits).alias("p")), "p"), "line-marked-ids")
     tested = with_test(rows.withColumn("p", position(F.col("id"), bits)), "p", marked, "marked")
     some = tested.filter("marked").join(by_doc, ["id", "tie"], "left").select("text", "gone", "kept")
-    none = tested.filter("NOT marked").select("text", F.lit(None).cast("array<int>").alias("gone"), "kept")
     kind = rows.schema["kept"].dataType.simpleString()
-    return none.unionByName(some).mapInArrow(
+    cut = some.mapInArrow(
         _cut, f"kept {kind}, n_lines long, n_removed long, removed_lines array<int>, kept_text string"
     )
+    breaks = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit("")))
+    none = tested.filter("NOT marked").select(
+        "kept",
+        F.coalesce(breaks + 1, F.lit(0)).cast("long").alias("n_lines"),
+        F.lit(0).cast("long").alias("n_removed"),
+        F.array().cast("array<int>").alias("removed_lines"),
+        F.col("text").alias("kept_text"),
+    )
+    return none.unionByName(cut)
 
 
 def remove_lines(docs: DataFrame, **settings) -> DataFrame:
