@@ -16,7 +16,7 @@ from tripflow.llm.queries import queries
 @pytest.fixture(scope="module")
 def duck(sf_small):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels", "conversations"):
+    for t in ("documents", "benchmark", "labels", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_small}/{t}.parquet')")
     return con
 

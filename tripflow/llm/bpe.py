@@ -44,6 +44,8 @@ OTHER, LETTER, DIGIT, SPACE = range(4)
 PIECE = 1 << 20
 # Bytes of word encodings, and borders of tokens, that an encoder keeps.
 KEPT_BYTES, KEPT_BORDERS = 32 << 20, 400_000
+# Words that an encoder keeps; each counts 150 bytes at least.
+KEPT_WORDS = KEPT_BYTES // 150
 NEVER = 1 << 60
 
 # Information separators, which are no white space in vocabulary files' patterns,
@@ -336,7 +338,7 @@ class Encoder:
         hashes = span_hashes(self.symbol[codes], starts, stops)
         _, where, which = np.unique(hashes, return_index=True, return_inverse=True)
         distinct = [joined[a:b] for a, b in zip(starts[where].tolist(), stops[where].tolist(), strict=True)]
-        if self.held > KEPT_BYTES:
+        if self.held > KEPT_BYTES or len(self.words) > KEPT_WORDS:
             self.words.clear()
             self.held = 0
         new = [w for w in distinct if w not in self.words and w not in special]
